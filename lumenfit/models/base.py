@@ -18,7 +18,7 @@ from ..functions.metrics import accuracy, r2_plain
 from ..functions.scalar import IMPORTANCE_EPS
 
 # Expressions up to this many terms stay column expressions; larger ones score Arrow batches.
-EXPRESSION_TERMS = 1_500
+EXPRESSION_TERMS = 200
 # Driver-side statistics are kept per class; beyond this the target is not a class label.
 MAX_CLASSES = 10_000
 

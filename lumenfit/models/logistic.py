@@ -91,7 +91,7 @@ def _gradient(blocks: DataFrame, weights, held_out, d: int, single: bool) -> np.
     parts = blocks.mapInArrow(partial, "s array<double>")
     cells = len(weights) * (d + 2)
     if single:
-        summed = parts.first()["s"]
+        summed = parts.collect()[0]["s"]  # read to the end, so that the Python worker is reused
     else:
         rows = parts.select(F.posexplode("s").alias("i", "v")).groupBy("i").agg(F.sum("v").alias("v"))
         summed = np.zeros(cells)

@@ -1,19 +1,20 @@
 """Exact decision trees and random forests, grown level by level for many trees at once.
 
-All trees of all folds grow together: rows carry a model number and a node number, and one level
-costs two aggregations whatever the number of trees.
+All trees of all folds grow together: rows carry a model number and a node number, and a level
+costs the same few jobs whatever the number of trees.
 
-1. *Histogram.* Features are cut once into buckets by quantile sketches. Counts per (model, node,
-   feature, bucket) are merged on the map side; running sums over a feature's buckets give the
-   exact impurity of splitting at every bucket edge.
+1. *Histogram.* Features are cut once into buckets by quantile sketches. Statistics per (model,
+   node, feature, bucket, class) are merged on the map side. From a node's few buckets, running
+   sums give the exact impurity of splitting at every bucket edge.
 2. *Refinement.* A split inside a bucket cannot beat the impurity obtained by setting the whole
    bucket aside as pure, because merging groups never lowers weighted impurity. Only buckets whose
-   bound reaches the best edge are opened and searched value by value. Buckets with a single value
-   (codes, indicators, small integers) never are.
+   bound reaches the best edge are opened: large ones are cut again by quantiles, small ones are
+   searched value by value. Buckets with a single value (codes, indicators, small integers) never
+   are.
 
-The result is the same split an exhaustive search over all distinct values finds, with ties going
-to the first feature and smallest value; no feature is ever sorted as a whole and no (node, feature)
-group is gathered in one task. The driver holds one row per tree node.
+The result is the split an exhaustive search over all distinct values finds, with ties going to the
+first feature and smallest value. No feature is ever sorted as a whole, every group that reaches a
+task has bounded size, and the driver holds one row per tree node.
 
 A tree limited to depth 3 is the top of the tree limited to depth 5, and the first 10 trees of a
 forest are the forest of 10, so a whole grid over depth, split size and tree count is read off one
@@ -25,10 +26,11 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.scalar import columns_of, names_of, total, vector, width_of
+from ..functions.scalar import columns_of, names_of, vector, width_of
 from ..operators.linalg import block
 from ..operators.split import bootstrap_weight, feature_subset
 from .base import Matrix, Model, class_values, explode_configs, list_array
@@ -38,6 +40,13 @@ from .base import Matrix, Model, class_values, explode_configs, list_array
 DECIMALS = 12
 BROADCAST_ROWS = 200_000
 EXPRESSION_DEPTH = 6
+# A node (rows times features) or an opened bucket is searched value by value up to this size;
+# beyond it, by buckets that are cut in PARTS again.
+VALUES_PER_GROUP = 500_000
+PARTS = 256
+SUMS = ["s0", "s1", "s2"]
+OFFERS = ("model int, node long, f int, part long, open boolean, ratio double, v double, n double, "
+          "left array<double>, right array<double>")
 
 
 # --- node tables -------------------------------------------------------------------------------
@@ -131,6 +140,7 @@ class _Grower:
         self.classify = m.task == "classification"
         self.spark = m.df.sparkSession
         self.centre, self.classes = 0.0, []
+        self.values_per_group = VALUES_PER_GROUP
 
     def model(self, fold_position: int, tree: int) -> int:
         return fold_position * (self.n_trees or 1) + tree
@@ -144,7 +154,7 @@ class _Grower:
                 active = self._active(grown, depth)
                 if not active:
                     break
-                self._split(grown, self._routed(rows, grown, depth, active), depth)
+                self._split(grown, self._routed(rows, grown, depth, active), depth, active)
             return grown
         finally:
             base.unpersist()
@@ -193,31 +203,17 @@ class _Grower:
             for p, f in enumerate(self.folds)
         ]
         kept = F.filter(F.array(*numbers), lambda c: c.isNotNull())
-        stats = [c.alias(f"s{i}") for i, c in enumerate(self._row_stats())]
         return trees.select(F.explode(kept).alias("model"), F.lit(1).cast("long").alias("node"),
-                            "x", "b", *stats)
+                            "x", "b", *self._row_stats())
 
     def _row_stats(self) -> list[Column]:
+        """Class number and weight, or weight, weighted label and its square."""
         w, y = F.col("w").cast("double"), F.col("y")
         if self.classify:
-            return [F.when(y == F.lit(c), w).otherwise(F.lit(0.0)) for c in self.classes]
+            number = F.create_map(*[F.lit(v) for p in enumerate(self.classes) for v in (p[1], p[0])])
+            return [number[y].alias("cls"), w.alias("s0"), F.lit(0.0).alias("s1"), F.lit(0.0).alias("s2")]
         z = y - F.lit(float(self.centre))
-        return [w, w * z, w * z * z]
-
-    @property
-    def stat_names(self) -> list[str]:
-        return [f"s{i}" for i in range(len(self.classes) if self.classify else 3)]
-
-    def _mass(self, s: list[Column]) -> Column:
-        """Node size times impurity: Gini, or the squared error around the mean."""
-        if self.classify:
-            n = total(s)
-            return F.when(n > 0, n - total([c * c for c in s]) / n).otherwise(F.lit(0.0))
-        spread = s[2] - s[1] * s[1] / F.when(s[0] > 0, s[0])
-        return F.greatest(F.coalesce(spread, F.lit(0.0)), F.lit(0.0))
-
-    def _size(self, s: list[Column]) -> Column:
-        return total(s) if self.classify else s[0]
+        return [F.lit(0).alias("cls"), w.alias("s0"), (w * z).alias("s1"), (w * z * z).alias("s2")]
 
     # nodes on the driver
 
@@ -234,10 +230,16 @@ class _Grower:
         return max(0.0, s[2] - s[1] ** 2 / s[0])
 
     def _roots(self, rows: DataFrame) -> Grown:
-        grown = Grown()
-        sums = rows.groupBy("model").agg(*[F.sum(s).alias(s) for s in self.stat_names])
+        grown, found = Grown(), {}
+        sums = rows.groupBy("model", "cls").agg(*[F.sum(s).alias(s) for s in SUMS])
         for r in sums.collect():
-            grown.trees[r["model"]] = {1: self._node(0, [r[s] for s in self.stat_names])}
+            stats = found.setdefault(r["model"], [0.0] * len(self.classes) if self.classify else None)
+            if self.classify:
+                stats[r["cls"]] = r["s0"]
+            else:
+                found[r["model"]] = [r[s] for s in SUMS]
+        for model, stats in found.items():
+            grown.trees[model] = {1: self._node(0, stats)}
         return grown
 
     def _active(self, grown: Grown, depth: int) -> list[tuple[int, int]]:
@@ -277,95 +279,189 @@ class _Grower:
             table = self._small(splits, "model int, node long, sf int, st double")
             right = (F.get("x", F.col("sf")) > F.col("st")).cast("long")
             rows = rows.join(table, ["model", "node"]).withColumn("node", F.col("node") * 2 + right)
-            rows = rows.select("model", "node", "x", "b", *self.stat_names)
+            rows = rows.select("model", "node", "x", "b", "cls", *SUMS)
         subset = {model: self._features_of(model) for model, _ in active}
-        table = self._small([(m, i, subset[m]) for m, i in active],
-                            "model int, node long, subset array<int>")
+        table = self._small([(m, i, subset[m], self._is_small(grown, m, i)) for m, i in active],
+                            "model int, node long, subset array<int>, small boolean")
         cells = rows.join(table, ["model", "node"]).select(
-            "model", "node", "x", "b", *self.stat_names, F.explode("subset").alias("f"))
+            "model", "node", "small", "x", "b", "cls", *SUMS, F.explode("subset").alias("f"))
+        part = F.when(F.col("small"), F.lit(-1)).otherwise(F.get("b", F.col("f"))).cast("long")
         return cells.select("model", "node", "f", F.get("x", F.col("f")).alias("v"),
-                            F.get("b", F.col("f")).alias("bucket"), *self.stat_names)
-
-    def _split(self, grown: Grown, cells: DataFrame, depth: int) -> None:
-        edges = self._edges(cells).persist(StorageLevel.MEMORY_AND_DISK)
+                            part.alias("part"), "cls", *SUMS)
+
+    def _is_small(self, grown: Grown, model: int, node: int) -> bool:
+        """Whether all cells of a node fit one group, which then skips the buckets."""
+        cells = grown.trees[model][node].n * len(self._features_of(model))
+        return cells <= self.values_per_group
+
+    def _split(self, grown: Grown, cells: DataFrame, depth: int, active) -> None:
+        """Find and record the best split of every active node."""
+        kernel = _kernel(len(self.classes) if self.classify else None)
+        counts = self._histogram(cells, ["model", "node", "f", "part"])
+        scored = counts.groupBy("model", "node").applyInArrow(lambda t: kernel(t, None), OFFERS)
+        best: dict[tuple, tuple] = {}
+        if all(self._is_small(grown, *a) for a in active):
+            for r in scored.collect():
+                best[(r["model"], r["node"])] = (r["ratio"], r["f"], r["v"], r["left"], r["right"])
+            return self._record(grown, best, depth)
+        stored = []
         try:
-            best = self._best(edges.where(self._size(self._named("r")) > 0), F.col("high"))
-            doubtful = edges.where((F.col("low") < F.col("high")) & (F.col("bound") < 1)
-                                   & (F.col("bound") <= F.coalesce("floor", F.lit(1.0))))
-            opened = doubtful.count()
-            if opened:
-                best = best.unionByName(self._inside(cells, doubtful, opened))
-            self._record(grown, self._smallest(best).collect(), depth)
+            while True:
+                scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
+                stored.append(scored)
+                opened, largest = self._collect(scored, best)
+                if not opened:
+                    break
+                cells, scored = self._open(cells, scored, best, opened, largest, kernel)
         finally:
-            edges.unpersist()
-
-    def _named(self, prefix: str) -> list[Column]:
-        return [F.col(f"{prefix}{i}") for i in range(len(self.stat_names))]
-
-    def _ratio(self, left: list[Column], right: list[Column]) -> Column:
-        """Impurity after a split relative to the node's."""
-        whole = self._mass([a + b for a, b in zip(left, right)])
-        return F.round((self._mass(left) + self._mass(right)) / whole, DECIMALS)
-
-    def _edges(self, cells: DataFrame) -> DataFrame:
-        """Per bucket: sums up to it (l), after it (r), the edge's ratio and the inside bound."""
-        names = self.stat_names
-        counts = cells.groupBy("model", "node", "f", "bucket").agg(
-            F.min("v").alias("low"), F.max("v").alias("high"), *[F.sum(s).alias(s) for s in names])
-        group = W.partitionBy("model", "node", "f")
-        upto = group.orderBy("bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
-        after = group.orderBy("bucket").rowsBetween(1, W.unboundedFollowing)
-        summed = counts.select(
-            "*", *[F.sum(s).over(upto).alias(f"l{i}") for i, s in enumerate(names)],
-            *[F.coalesce(F.sum(s).over(after), F.lit(0.0)).alias(f"r{i}") for i, s in enumerate(names)])
-        left, right, inside = self._named("l"), self._named("r"), self._named("s")
-        before = [a - b for a, b in zip(left, inside)]
-        whole = self._mass([a + b for a, b in zip(left, right)])
-        bound = F.round((self._mass(before) + self._mass(right)) / whole, DECIMALS)
-        scored = summed.select("*", self._ratio(left, right).alias("ratio"), bound.alias("bound"))
-        usable = F.when(self._size(right) > 0, F.col("ratio"))
-        return scored.withColumn("floor", F.min(usable).over(W.partitionBy("model", "node")))
-
-    def _inside(self, cells: DataFrame, doubtful: DataFrame, opened: int) -> DataFrame:
-        """Every value of the opened buckets as a threshold."""
-        names = self.stat_names
-        where = ["model", "node", "f", "bucket"]
-        offsets = doubtful.select(
-            *where, *[(F.col(f"l{i}") - F.col(s)).alias(f"o{i}") for i, s in enumerate(names)],
-            *[(F.col(f"l{i}") + F.col(f"r{i}")).alias(f"t{i}") for i in range(len(names))])
-        narrow = offsets.select(*where)
-        narrow = F.broadcast(narrow) if opened <= BROADCAST_ROWS else narrow
-        values = cells.join(narrow, where).groupBy(*where, "v").agg(*[F.sum(s).alias(s) for s in names])
-        offsets = F.broadcast(offsets) if opened <= BROADCAST_ROWS else offsets
-        upto = W.partitionBy(*where).orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow)
-        running = values.select(*where, "v", *[F.sum(s).over(upto).alias(f"c{i}") for i, s in enumerate(names)])
-        joined = running.join(offsets, where).select(
-            "model", "node", "f", "v",
-            *[(F.col(f"o{i}") + F.col(f"c{i}")).alias(f"l{i}") for i in range(len(names))],
-            *[(F.col(f"t{i}") - F.col(f"o{i}") - F.col(f"c{i}")).alias(f"r{i}") for i in range(len(names))])
-        ratio = self._ratio(self._named("l"), self._named("r"))
-        usable = joined.where(self._size(self._named("r")) > 1e-9)
-        return self._best(usable.withColumn("ratio", ratio), F.col("v"))
-
-    def _best(self, candidates: DataFrame, threshold: Column) -> DataFrame:
-        offer = F.struct("ratio", "f", threshold.alias("v"), F.array(*self._named("l")).alias("left"),
-                         F.array(*self._named("r")).alias("right"))
-        return candidates.groupBy("model", "node").agg(F.min(offer).alias("offer"))
-
-    def _smallest(self, offers: DataFrame) -> DataFrame:
-        return offers.groupBy("model", "node").agg(F.min("offer").alias("offer"))
-
-    def _record(self, grown: Grown, winners, depth: int) -> None:
-        for r in winners:
-            offer, nodes = r["offer"], grown.trees[r["model"]]
-            if not offer["ratio"] < 1:
+            for df in stored:
+                df.unpersist()
+        self._record(grown, best, depth)
+
+    def _histogram(self, cells: DataFrame, keys: list[str]) -> DataFrame:
+        """Merged statistics per part and class; part -1 is kept value by value."""
+        value = F.when(F.col("part") == -1, F.col("v"))
+        return cells.groupBy(*keys, "cls", value.alias("value")).agg(
+            F.min("v").alias("low"), F.max("v").alias("high"), *[F.sum(s).alias(s) for s in SUMS])
+
+    def _collect(self, scored: DataFrame, best: dict) -> tuple[int, float]:
+        """Keep each node's best offer; returns how many buckets stay open and the largest."""
+        opened, largest = 0, 0.0
+        summary = scored.groupBy("model", "node").agg(
+            F.min(F.when(~F.col("open"), F.struct("ratio", "f", "v", "left", "right"))).alias("offer"),
+            F.count_if("open").alias("opened"), F.max(F.when(F.col("open"), F.col("n"))).alias("largest"))
+        for r in summary.collect():
+            key, offer = (r["model"], r["node"]), r["offer"]
+            if offer is not None:
+                found = (offer["ratio"], offer["f"], offer["v"], offer["left"], offer["right"])
+                if key not in best or found[:3] < best[key][:3]:
+                    best[key] = found
+            opened, largest = opened + r["opened"], max(largest, r["largest"] or 0.0)
+        return opened, largest
+
+    def _open(self, cells, scored, best, opened, largest, kernel):
+        """The rows of the open buckets in finer parts, and those parts' offers."""
+        where = ["model", "node", "f", "part"]
+        floors = self._small([(m, i, b[0]) for (m, i), b in best.items()],
+                             "model int, node long, floor double")
+        doubtful = scored.where("open").join(floors, ["model", "node"], "left")
+        doubtful = doubtful.where(F.col("ratio") <= F.coalesce("floor", F.lit(1.0)))
+        table = doubtful.select(*where, "left", "right", F.coalesce("floor", F.lit(1.0)).alias("floor"))
+        few = opened <= BROADCAST_ROWS
+        names = table.select(*where)
+        inside = cells.join(F.broadcast(names) if few else names, where)
+        if largest <= self.values_per_group:
+            finer = inside.withColumns({"parent": F.col("part"), "part": F.lit(-1).cast("long")})
+        else:
+            probs = [i / PARTS for i in range(1, PARTS)]
+            # the smallest value is always a cut, so that every round separates something
+            cuts = inside.groupBy(*where).agg(F.array_union(
+                F.percentile_approx("v", probs, 10 * PARTS), F.array(F.min("v"))).alias("cuts"))
+            finer = inside.join(F.broadcast(cuts) if few else cuts, where)
+            place = F.size(F.filter("cuts", lambda c: c < F.col("v")))
+            finer = finer.withColumns({"parent": F.col("part"), "part": F.col("part") * (2 * PARTS) + place})
+            finer = finer.drop("cuts")
+        counts = self._histogram(finer, ["model", "node", "f", "parent", "part"])
+        by = ["model", "node", "f", "parent"]
+        sides = table.select("model", "node", "f", F.col("part").alias("parent"), "left", "right", "floor")
+        sides = sides.select(*[F.col(c).alias(c) for c in sides.columns])
+        offers = counts.select(*[F.col(c).alias(c) for c in counts.columns]).groupBy(*by).cogroup(
+            sides.groupBy(*by)).applyInArrow(kernel, OFFERS)
+        return finer.drop("parent"), offers
+
+    def _record(self, grown: Grown, best: dict, depth: int) -> None:
+        for (model, i), (ratio, feature, threshold, left, right) in best.items():
+            if not ratio < 1:
                 continue
-            node, left, right = nodes[r["node"]], list(offer["left"]), list(offer["right"])
-            node.feature, node.threshold = offer["f"], offer["v"]
+            nodes = grown.trees[model]
+            node = nodes[i]
+            node.feature, node.threshold = feature, threshold
             whole = self._mass_of([a + b for a, b in zip(left, right)])
             node.gain = whole - self._mass_of(left) - self._mass_of(right)
-            nodes[2 * r["node"]] = self._node(depth + 1, left)
-            nodes[2 * r["node"] + 1] = self._node(depth + 1, right)
+            nodes[2 * i] = self._node(depth + 1, list(left))
+            nodes[2 * i + 1] = self._node(depth + 1, list(right))
+
+
+def _masses(s: np.ndarray, classify: bool) -> np.ndarray:
+    """Node size times impurity per row of statistics: Gini, or squared error around the mean."""
+    with np.errstate(all="ignore"):
+        if classify:
+            n = s.sum(axis=-1)
+            return np.where(n > 0, n - (s * s).sum(axis=-1) / np.where(n > 0, n, 1.0), 0.0)
+        n = s[..., 0]
+        spread = s[..., 2] - s[..., 1] ** 2 / np.where(n > 0, n, 1.0)
+        return np.where(n > 0, np.maximum(spread, 0.0), 0.0)
+
+
+def _kernel(classes: int | None):
+    """The group function that scores a node's buckets (or the parts of one opened bucket).
+
+    Emits the best edge and the buckets in which a better threshold may hide. ``outer`` carries
+    the statistics left and right of the opened bucket.
+    """
+    width = classes or 3
+
+    def score(table: pa.Table, outer: pa.Table | None) -> pa.Table:
+        got = {c: table.column(c).to_numpy() for c in ("f", "part", "low", "high", "cls", *SUMS)}
+        cut = np.where(got["part"] == -1, got["low"], got["part"])
+        order = np.lexsort((cut, got["f"]))
+        got, cut = {c: v[order] for c, v in got.items()}, cut[order]
+        # one line per (feature, bucket or value); classes become columns
+        new = np.r_[True, (got["f"][1:] != got["f"][:-1]) | (cut[1:] != cut[:-1])]
+        line = np.cumsum(new) - 1
+        stats = np.zeros((line[-1] + 1, width))
+        if classes:
+            np.add.at(stats, (line, got["cls"]), got["s0"])
+        else:
+            stats[:] = np.stack([got[c] for c in SUMS], axis=1)
+        low, high = got["low"][new].copy(), got["high"][new].copy()
+        np.minimum.at(low, line, got["low"])
+        np.maximum.at(high, line, got["high"])
+        return _offers(table, outer, got["f"][new], got["part"][new], low, high, stats, bool(classes))
+
+    return score
+
+
+def _offers(table, outer, f, part, low, high, stats, classify) -> pa.Table:
+    width = stats.shape[1]
+    first = np.r_[True, f[1:] != f[:-1]]
+    running = stats.cumsum(axis=0)
+    start = np.nonzero(first)[0][np.cumsum(first) - 1]
+    left = running - running[start] + stats[start]
+    if outer is None:
+        before, after, floor = np.zeros(width), np.zeros(width), 1.0
+        whole = left[np.r_[first[1:], True]][0]
+    else:
+        before, after = (np.array(outer.column(c)[0].as_py()) for c in ("left", "right"))
+        floor = outer.column("floor")[0].as_py()
+        whole = before + left[-1] + after
+    left = left + before
+    right = whole - left
+    mass = _masses(whole, classify)
+    halves = lambda a, b: np.round((_masses(a, classify) + _masses(b, classify)) / mass, DECIMALS)
+    ratio, bound = halves(left, right), halves(left - stats, right)
+    size = (lambda s: s.sum(axis=1)) if classify else (lambda s: s[:, 0])
+    usable = np.nonzero(size(right) > 0.5)[0]
+    chosen = []
+    if len(usable):
+        chosen = [usable[np.lexsort((high[usable], f[usable], ratio[usable]))[0]]]
+        floor = min(floor, ratio[chosen[0]])
+    doubtful = np.nonzero((low < high) & (bound < 1) & (bound <= floor))[0]
+    rows = np.r_[np.array(chosen, dtype=int), doubtful]
+    is_open = np.r_[np.zeros(len(chosen), dtype=bool), np.ones(len(doubtful), dtype=bool)]
+    lefts = np.where(is_open[:, None], left[rows] - stats[rows], left[rows])
+    return pa.table({
+        "model": pa.array(np.full(len(rows), table.column("model")[0].as_py()), pa.int32()),
+        "node": pa.array(np.full(len(rows), table.column("node")[0].as_py()), pa.int64()),
+        "f": pa.array(f[rows], pa.int32()),
+        "part": pa.array(part[rows]),
+        "open": pa.array(is_open),
+        "ratio": pa.array(np.where(is_open, bound[rows], ratio[rows])),
+        "v": pa.array(high[rows]),
+        "n": pa.array(size(stats)[rows]),
+        "left": list_array(lefts),
+        "right": list_array(right[rows]),
+    })
 
 
 # --- models ------------------------------------------------------------------------------------
@@ -393,8 +489,6 @@ class TreeEnsemble(Model):
 
             @F.arrow_udf("double")
             def ensemble(xs):
-                import pyarrow as pa
-
                 x = block(xs, d)
                 return pa.array(vote(np.stack([t.predict(x) for t in trees]), task))
 

@@ -78,10 +78,14 @@ def absolute_share(weights: np.ndarray) -> list[float]:
     return (size / (size.sum() + IMPORTANCE_EPS)).tolist()
 
 
-def explode_configs(m: Matrix, scores: Column) -> DataFrame:
-    """One row per configuration from an array of per-configuration predictions."""
-    scored = m.df.select(F.col(m.fold).alias("fold"), F.col(m.label).cast("double").alias("label"),
-                         F.posexplode(scores).alias("config", "prediction"))
+def explode_configs(m: Matrix, scores: Column, k: int) -> DataFrame:
+    """One row per configuration from an array of per-configuration predictions.
+
+    Rows with a fold number of k or more only ever train.
+    """
+    held_out = m.df.where(F.col(m.fold) < k)
+    scored = held_out.select(F.col(m.fold).alias("fold"), F.col(m.label).cast("double").alias("label"),
+                             F.posexplode(scores).alias("config", "prediction"))
     return scored.select("config", "fold", "label", "prediction")
 
 

@@ -62,12 +62,10 @@ def nearest(q: np.ndarray, t: np.ndarray, k: int, metric: str):
 def _join_block(k: int, metric: str, d: int, exclude: bool):
     """The group function: k candidates per query of a chunk from one training chunk."""
     def run(queries: pa.Table, train: pa.Table) -> pa.Table:
-        out = {"qid": [], "tid": [], "dist": [], "y": []}
+        found = {"q": [], "t": [], "dist": []}
         if queries.num_rows and train.num_rows:
             q, t = block(queries.column("x"), d), block(train.column("x"), d)
-            tid = train.column("tid").to_numpy()
-            y = train.column("y").to_numpy()
-            qid = queries.column("qid").to_numpy()
+            place = np.argsort(np.argsort(train.column("tid").to_numpy(), kind="stable"))
             qf = queries.column("qf").to_numpy()
             tf = train.column("tf").to_numpy()
             for fold in np.unique(qf) if exclude else [None]:
@@ -77,25 +75,31 @@ def _join_block(k: int, metric: str, d: int, exclude: bool):
                     continue
                 for start in range(0, len(mine), 512):
                     rows = mine[start : start + 512]
-                    _append(out, q[rows], t[other], qid[rows], tid[other], y[other], k, metric)
-        arrays = {c: np.concatenate(v) if v else np.array([]) for c, v in out.items()}
-        kinds = {"qid": pa.int64(), "tid": pa.int64(), "dist": pa.float64(), "y": pa.float64()}
-        return pa.table({c: pa.array(arrays[c], kinds[c]) for c in out})
+                    _append(found, q, t, rows, other, place, k, metric)
+        at = {c: np.concatenate(v) if v else np.array([]) for c, v in found.items()}
+        mine, theirs = at["q"].astype(np.int64), at["t"].astype(np.int64)
+        return pa.table({
+            "qid": queries.column("qid").take(pa.array(mine)),
+            "tid": train.column("tid").take(pa.array(theirs)),
+            "dist": pa.array(at["dist"].astype(float)),
+            "y": train.column("y").take(pa.array(theirs)),
+        })
     return run
 
 
-def _append(out, q, t, qid, tid, y, k, metric) -> None:
+def _append(found, q, t, rows, other, place, k, metric) -> None:
+    """The k nearest of ``t[other]`` for each of ``q[rows]``, ties by training key."""
+    q, t = q[rows], t[other]
     a, b = nearest(q, t, k, metric)
     gap = q[a] - t[b]
     dist = np.abs(gap).sum(axis=1) if metric == "manhattan" else np.sqrt((gap * gap).sum(axis=1))
-    order = np.lexsort((tid[b], dist, a))
+    order = np.lexsort((place[other[b]], dist, a))
     a, b, dist = a[order], b[order], dist[order]
     starts = np.searchsorted(a, np.arange(len(q)))
     keep = np.arange(len(a)) - starts[a] < k
-    out["qid"].append(qid[a[keep]])
-    out["tid"].append(tid[b[keep]])
-    out["dist"].append(dist[keep])
-    out["y"].append(y[b[keep]])
+    found["q"].append(rows[a[keep]])
+    found["t"].append(other[b[keep]])
+    found["dist"].append(dist[keep])
 
 
 def neighbours(
@@ -104,8 +108,8 @@ def neighbours(
 ) -> DataFrame:
     """``(qid, tid, dist, y, rank)`` with rank 1..k.
 
-    ``queries`` has ``qid long, x array<double>, qf int``; ``train`` has ``tid long, x, y double,
-    tf int``. With ``exclude_fold`` a query ignores training rows of its own fold.
+    ``queries`` has ``qid, x array<double>, qf int``; ``train`` has ``tid, x, y double, tf int``;
+    the keys may be of any orderable type. With ``exclude_fold`` a query ignores training rows of its own fold.
     """
     if metric not in METRICS:
         raise ValueError(f"unknown metric {metric!r}; use one of {METRICS}")
@@ -120,9 +124,11 @@ def neighbours(
     train, queries = (_assign(df, pivots, metric, width) for df in (train, queries))
     routes = _routes(queries, train, pivots, k, metric, exclude_fold, chunk)
     pieces = _join_sides(queries, train, routes)
+    schema = (f"qid {queries.schema['qid'].dataType.simpleString()}, "
+              f"tid {train.schema['tid'].dataType.simpleString()}, dist double, y double")
     joined = pieces[0].groupBy("cell", "fold", "qc", "tc").cogroup(
         pieces[1].groupBy("cell", "fold", "qc", "tc")
-    ).applyInArrow(_join_block(k, metric, width, exclude_fold), "qid long, tid long, dist double, y double")
+    ).applyInArrow(_join_block(k, metric, width, exclude_fold), schema)
     best = W.partitionBy("qid").orderBy("dist", "tid")
     return joined.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
@@ -226,14 +232,14 @@ def _votes(found: DataFrame) -> DataFrame:
 class KNNModel(Model):
     """Keeps the training table; ``transform`` joins, so it needs the queries' key column."""
 
-    def __init__(self, df, label, features, names, key, k, metric, task):
+    def __init__(self, df, label, features, names, keys, k, metric, task):
         self.df, self.label, self.features, self.names = df, label, features, names
-        self.key, self.k, self.metric, self.task = key, k, metric, task
+        self.keys, self.k, self.metric, self.task = keys, k, metric, task
 
     def neighbours(self, df: DataFrame, **options) -> DataFrame:
-        queries = df.select(F.col(self.key).cast("long").alias("qid"),
+        queries = df.select(key_column(self.keys).alias("qid"),
                             vector(df, self.features).alias("x"), F.lit(-1).alias("qf"))
-        train = self.df.select(F.col(self.key).cast("long").alias("tid"),
+        train = self.df.select(key_column(self.keys).alias("tid"),
                                vector(self.df, self.features).alias("x"),
                                F.col(self.label).cast("double").alias("y"), F.lit(-1).alias("tf"))
         return neighbours(queries, train, self.k, self.metric, width=width_of(self.df, self.features),
@@ -244,7 +250,7 @@ class KNNModel(Model):
             F.col("qid").alias("_qid"), vote_column(F.col("labels"), self.task).alias("prediction"))
         if self.task == "classification":
             votes = votes.withColumn("prediction", F.col("prediction").cast("int"))
-        return df.join(votes, F.col(self.key).cast("long") == F.col("_qid"), "left").drop("_qid")
+        return df.join(votes, key_column(self.keys) == F.col("_qid"), "left").drop("_qid")
 
 
 class KNearestNeighbors:
@@ -253,19 +259,21 @@ class KNearestNeighbors:
             raise ValueError(f"unknown metric {metric!r}; use one of {METRICS}")
         self.k, self.metric, self.task = k, metric, task
 
-    def fit(self, df: DataFrame, label: str = "label", features="features", key: str = "row_id") -> KNNModel:
-        return KNNModel(df, label, features, names_of(df, features), key, self.k, self.metric, self.task)
+    def fit(self, df: DataFrame, label: str = "label", features="features",
+            keys: list[str] | None = None) -> KNNModel:
+        names = names_of(df, features)
+        return KNNModel(df, label, features, names, keys or ["row_id"], self.k, self.metric, self.task)
 
     @classmethod
     def fit_matrix(cls, m: Matrix, params: dict, seed: int = 42) -> KNNModel:
-        return cls(**{"task": m.task, **params}).fit(m.df, m.label, m.features, _single(m))
+        return cls(**{"task": m.task, **params}).fit(m.df, m.label, m.features, list(m.keys))
 
     @classmethod
     def out_of_fold(cls, m: Matrix, configs: list[dict], k: int, seed: int = 42) -> DataFrame:
         """One join per metric at the largest k serves all folds and every smaller k."""
         made = [cls(**{"task": m.task, **c}) for c in configs]
-        key, x, y = F.col(_single(m)).cast("long"), vector(m.df, m.features), F.col(m.label).cast("double")
-        queries = m.df.select(key.alias("qid"), x.alias("x"), F.col(m.fold).alias("qf"))
+        key, x, y = key_column(m.keys), vector(m.df, m.features), F.col(m.label).cast("double")
+        queries = m.df.where(F.col(m.fold) < k).select(key.alias("qid"), x.alias("x"), F.col(m.fold).alias("qf"))
         train = m.df.select(key.alias("tid"), x.alias("x"), y.alias("y"), F.col(m.fold).alias("tf"))
         truth = m.df.select(key.alias("qid"), F.col(m.fold).alias("fold"), y.alias("label"))
         parts = []
@@ -285,7 +293,8 @@ class KNearestNeighbors:
         return out
 
 
-def _single(m: Matrix) -> str:
-    if len(m.keys) != 1:
-        raise ValueError("nearest neighbours need one integer key column")
-    return m.keys[0]
+def key_column(keys) -> Column:
+    """The row key as one column."""
+    if len(keys) == 1:
+        return F.col(keys[0])
+    return F.concat_ws(":", *[F.col(k).cast("string") for k in keys])

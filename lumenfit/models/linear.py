@@ -69,7 +69,7 @@ class LinearRegression:
         train = [merge_all([v for g, v in per_fold.items() if g[0] != f]) for f in range(k)]
         models = [[cls(**c)._solve(train[f]) for f in range(k)] for c in configs]
         scores = linear_scores(m.df, m.features, models, m)
-        return explode_configs(m, F.array(*scores))
+        return explode_configs(m, F.array(*scores), k)
 
 
 def linear_scores(df, features, models, m: Matrix | None) -> list[Column]:
@@ -86,7 +86,7 @@ def linear_scores(df, features, models, m: Matrix | None) -> list[Column]:
     def score(xs, folds):
         x = block(xs, d)
         fold = folds.to_numpy(zero_copy_only=False)
-        out = np.empty((len(x), len(weights)))
+        out = np.full((len(x), len(weights)), np.nan)
         for f in range(k):
             rows = fold == f
             with np.errstate(all="ignore"):

@@ -133,4 +133,4 @@ class LogisticRegression:
         found = descend(m.df, m.features, m.label, F.col(m.fold), settings)
         models = [found[i * k : (i + 1) * k] for i in range(len(configs))]
         scores = linear_scores(m.df, m.features, models, m)
-        return explode_configs(m, F.array(*[(sigmoid(z) >= 0.5).cast("double") for z in scores]))
+        return explode_configs(m, F.array(*[(sigmoid(z) >= 0.5).cast("double") for z in scores]), k)

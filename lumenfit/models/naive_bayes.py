@@ -111,7 +111,7 @@ def nb_scores(df, features, models: list[list[Gaussians]], m: Matrix | None) ->
     def score(xs, folds):
         x = block(xs, d)
         fold = folds.to_numpy(zero_copy_only=False)
-        out = np.empty((len(x), len(models)))
+        out = np.full((len(x), len(models)), np.nan)
         for f in range(k):
             rows = fold == f
             for c, config in enumerate(models):
@@ -159,4 +159,4 @@ class GaussianNB:
         train = [merged(found, f) for f in range(k)]
         models = [[gaussians(train[f], cls(**c).var_smoothing) for f in range(k)] for c in configs]
         scores = nb_scores(m.df, m.features, models, m)
-        return explode_configs(m, F.array(*[s.cast("double") for s in scores]))
+        return explode_configs(m, F.array(*[s.cast("double") for s in scores]), k)

@@ -545,7 +545,7 @@ class _TreeFamily:
         for size in sorted({c.max_features or 0 for c in made}):
             members = [i for i, c in enumerate(made) if (c.max_features or 0) == size]
             ensembles = cls._grow_grid(m, [made[i] for i in members], k, seed)
-            scored = explode_configs(m, _out_of_fold_scores(m, ensembles, k))
+            scored = explode_configs(m, _out_of_fold_scores(m, ensembles, k), k)
             number = F.element_at(F.array(*[F.lit(i) for i in members]), F.col("config") + 1)
             parts.append(scored.withColumn("config", number))
         out = parts[0]
@@ -576,7 +576,7 @@ def _out_of_fold_scores(m: Matrix, ensembles, k: int) -> Column:
     def score(xs, folds):
         x = block(xs, d)
         fold = folds.to_numpy(zero_copy_only=False)
-        out = np.empty((len(x), len(ensembles)))
+        out = np.full((len(x), len(ensembles)), np.nan)
         for f in range(k):
             rows = fold == f
             if rows.any():

@@ -98,12 +98,12 @@ def by_fold(m: Matrix, k: int, expr) -> Column:
     return column
 
 
-def class_values(df: DataFrame, label: str) -> list[float]:
-    """The distinct labels in order."""
-    rows = df.select(F.col(label).cast("double").alias("y")).distinct().limit(MAX_CLASSES + 1).collect()
+def class_counts(df: DataFrame, y: str, name: str) -> dict[float, int]:
+    """Rows per distinct label."""
+    rows = df.groupBy(y).agg(F.count(F.lit(1)).alias("n")).limit(MAX_CLASSES + 1).collect()
     if len(rows) > MAX_CLASSES:
-        raise ValueError(f"'{label}' has more than {MAX_CLASSES} classes; use regression")
-    return sorted(r["y"] for r in rows)
+        raise ValueError(f"'{name}' has more than {MAX_CLASSES} classes; use regression")
+    return {r[y]: r["n"] for r in rows}
 
 
 def list_array(matrix: np.ndarray) -> pa.Array:

@@ -120,9 +120,15 @@ def neighbours(
     size = train.count()
     if not size:
         raise ValueError("no training rows")
-    pivots = _pivots(train, n_pivots or min(MAX_PIVOTS, max(1, size // ROWS_PER_PIVOT)), seed)
-    train, queries = (_assign(df, pivots, metric, width) for df in (train, queries))
-    routes = _routes(queries, train, pivots, k, metric, exclude_fold, chunk)
+    n_pivots = n_pivots or min(MAX_PIVOTS, size // ROWS_PER_PIVOT)
+    if n_pivots > 1:
+        pivots = _pivots(train, n_pivots, seed)
+        train, queries = (_assign(df, pivots, metric, width) for df in (train, queries))
+        routes = _routes(queries, train, pivots, k, metric, exclude_fold, chunk)
+    else:
+        # a single cell: nothing to rule out
+        train, queries = (df.withColumns({"cell": F.lit(0), "away": F.lit(0.0)}) for df in (train, queries))
+        routes = _one_route(queries, size, exclude_fold, chunk)
     pieces = _join_sides(queries, train, routes)
     schema = (f"qid {queries.schema['qid'].dataType.simpleString()}, "
               f"tid {train.schema['tid'].dataType.simpleString()}, dist double, y double")
@@ -140,13 +146,6 @@ def _pivots(train: DataFrame, n: int, seed: int) -> np.ndarray:
 
 def _assign(df: DataFrame, pivots: np.ndarray, metric: str, width: int) -> DataFrame:
     """Add the nearest pivot's number ``cell`` and the distance to it ``away``."""
-    if len(pivots) == 1:
-        cell = F.lit(0.0)
-        gap = F.zip_with("x", F.array(*[F.lit(float(v)) for v in pivots[0]]), lambda a, b: a - b)
-        size = F.aggregate(gap, F.lit(0.0), lambda s, g: s + (F.abs(g) if metric == "manhattan" else g * g))
-        return df.withColumns({"cell": cell.cast("int"),
-                               "away": size if metric == "manhattan" else F.sqrt(size)})
-
     @F.arrow_udf("array<double>")
     def locate(xs):
         x = block(xs, width)
@@ -189,8 +188,18 @@ def _routes(queries, train, pivots, k, metric, exclude, chunk) -> DataFrame:
         qcs = max(1, -(-a["n"] // chunk))
         tcs = max(1, -(-sum(n for *_, n in needed) // chunk))
         rows += [(cell, f, c, float(lo), float(hi), qcs, tcs) for c, lo, hi, _ in needed]
-    schema = "cell int, fold int, tcell int, lo double, hi double, qcs long, tcs long"
-    return queries.sparkSession.createDataFrame(rows, schema)
+    return queries.sparkSession.createDataFrame(rows, ROUTES)
+
+
+ROUTES = "cell int, fold int, tcell int, lo double, hi double, qcs long, tcs long"
+
+
+def _one_route(queries, size, exclude, chunk) -> DataFrame:
+    fold = F.col("qf") if exclude else F.lit(-1)
+    asked = queries.groupBy(fold.alias("fold")).agg(F.count(F.lit(1)).alias("n")).collect()
+    chunks = lambda n: max(1, -(-n // chunk))
+    rows = [(0, a["fold"], 0, -1.0, 1.0, chunks(a["n"]), chunks(size)) for a in asked]
+    return queries.sparkSession.createDataFrame(rows, ROUTES)
 
 
 def _join_sides(queries, train, routes):

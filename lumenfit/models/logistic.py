@@ -3,8 +3,9 @@
 Unlike squared error, this gradient needs the rows at every epoch. Three things keep that cheap:
 rows are packed once into binary blocks, so an epoch moves bytes and not cells; identical rows are
 merged with a weight when that pays; and every configuration and fold is a row of one weight
-matrix, so all of them advance in the same pass. Only that matrix lives on the driver, and each
-epoch is a separate job over the stored blocks, so no lineage builds up.
+matrix, so all of them (and the final model of all rows) advance in the same pass. Only that matrix
+lives on the driver, and each epoch is a separate job over the stored blocks, so no lineage builds
+up.
 """
 
 from __future__ import annotations
@@ -14,18 +15,23 @@ import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.scalar import columns_of, names_of, sigmoid, vector
+from ..functions.scalar import names_of, sigmoid, vector, width_of
 from ..operators.linalg import block
 from .base import Matrix, Model, absolute_share, explode_configs
 from .linear import linear_scores
 
 # Rows are merged when a sketch says that at most this share of them is distinct.
 MERGE_SHARE = 0.25
+# Rows per task. A table of at most this many (merged) rows is a single task's work anyway, and
+# then all epochs run in that task; every larger table costs one distributed pass per epoch.
 ROWS_PER_TASK = 50_000
 
 
-def _pack(df: DataFrame, x: Column, y: Column, fold: Column, d: int) -> DataFrame:
-    """Blocks ``(x, y, w, fold)`` of packed doubles; identical rows become one with a weight."""
+def _pack(df: DataFrame, x: Column, y: Column, fold: Column, d: int) -> tuple[DataFrame, int]:
+    """Blocks ``(x, y, w, fold)`` of packed doubles, and the number of rows in them.
+
+    Identical rows become one row with a weight when a sketch says it pays.
+    """
     rows = df.select(x.alias("x"), y.cast("double").alias("y"), fold.cast("double").alias("fold"))
     n, distinct = rows.agg(
         F.count(F.lit(1)), F.approx_count_distinct(F.xxhash64("x", "y", "fold"))
@@ -34,10 +40,10 @@ def _pack(df: DataFrame, x: Column, y: Column, fold: Column, d: int) -> DataFram
         raise ValueError("the table has no rows")
     if distinct <= MERGE_SHARE * n:
         rows = rows.groupBy("x", "y", "fold").agg(F.count(F.lit(1)).cast("double").alias("w"))
-        n = distinct
+        n = int(1.1 * distinct)
     else:
         rows = rows.withColumn("w", F.lit(1.0))
-    tasks = max(1, -(-n // ROWS_PER_TASK))
+    tasks = -(-n // ROWS_PER_TASK)
     if tasks < rows.rdd.getNumPartitions():
         rows = rows.coalesce(tasks)
 
@@ -50,54 +56,90 @@ def _pack(df: DataFrame, x: Column, y: Column, fold: Column, d: int) -> DataFram
                     cells[name] = batch.column(name).to_numpy(zero_copy_only=False).tobytes()
                 yield pa.record_batch({c: pa.array([v], pa.binary()) for c, v in cells.items()})
 
-    return rows.mapInArrow(pack, "x binary, y binary, w binary, fold binary")
+    return rows.mapInArrow(pack, "x binary, y binary, w binary, fold binary"), n
+
+
+def _unpack(batches, d: int):
+    """The (x, y, w, fold) arrays of every block."""
+    for batch in batches:
+        for raw in zip(*(batch.column(c).to_pylist() for c in ("x", "y", "w", "fold"))):
+            x, y, w, fold = (np.frombuffer(b) for b in raw)
+            yield x.reshape(-1, d), y, w, fold
+
+
+def _sums(blocks, weights: np.ndarray, held_out: np.ndarray, d: int) -> np.ndarray:
+    """Per model: the summed gradient (features, then bias) and the number of training rows."""
+    total = np.zeros((len(weights), d + 2))
+    for x, y, w, fold in blocks:
+        z = np.clip(x @ weights[:, :d].T + weights[:, d], -500.0, 500.0)
+        use = (fold[:, None] != held_out) * w[:, None]
+        error = (1.0 / (1.0 + np.exp(-z)) - y[:, None]) * use
+        total[:, :d] += error.T @ x
+        total[:, d] += error.sum(axis=0)
+        total[:, d + 1] += use.sum(axis=0)
+    return total
+
+
+class _Descent:
+    """Weights of all models and the step that moves them."""
+
+    def __init__(self, settings, d: int):
+        self.rates = np.array([s[0] for s in settings], dtype=float)
+        self.epochs = np.array([s[1] for s in settings])
+        self.held_out = np.array([s[2] for s in settings], dtype=float)
+        self.weights = np.zeros((len(settings), d + 1))
+        self.d = d
+
+    def run(self, sums) -> np.ndarray:
+        """``sums(weights, held_out)`` gives the gradient sums of the models still training."""
+        for epoch in range(int(self.epochs.max())):
+            live = self.epochs > epoch
+            found = sums(self.weights[live], self.held_out[live])
+            self.weights[live] -= self.rates[live, None] * found[:, :-1] / found[:, -1:]
+        return self.weights
 
 
 def descend(df: DataFrame, features, label: str, fold: Column, settings) -> list[tuple[np.ndarray, float]]:
     """Train one model per ``(lr, epochs, held_out_fold)`` in shared passes."""
-    d = len(columns_of(df, features))
-    blocks = _pack(df, vector(df, features), F.col(label), fold, d).persist(StorageLevel.MEMORY_AND_DISK)
-    rates = np.array([s[0] for s in settings])
-    epochs = np.array([s[1] for s in settings])
-    held_out = np.array([s[2] for s in settings], dtype=float)
-    weights = np.zeros((len(settings), d + 1))
-    single = blocks.rdd.getNumPartitions() == 1
-    try:
-        for epoch in range(int(epochs.max())):
-            live = epochs > epoch
-            sums = _gradient(blocks, weights[live], held_out[live], d, single)
-            weights[live] -= rates[live, None] * sums[:, :-1] / sums[:, -1:]
-    finally:
-        blocks.unpersist()
+    d = width_of(df, features)
+    blocks, n = _pack(df, vector(df, features), F.col(label), fold, d)
+    descent = _Descent(settings, d)
+    if n <= ROWS_PER_TASK:
+        weights = _in_one_task(blocks, descent)
+    else:
+        blocks = blocks.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            weights = descent.run(lambda w, out: _distributed_sums(blocks, w, out, d))
+        finally:
+            blocks.unpersist()
     return [(w[:d], float(w[d])) for w in weights]
 
 
-def _gradient(blocks: DataFrame, weights, held_out, d: int, single: bool) -> np.ndarray:
-    """Per model: the summed gradient (features, then bias) and the number of training rows."""
+def _in_one_task(blocks: DataFrame, descent: _Descent) -> np.ndarray:
+    """A table whose size was checked: all epochs in the one task that holds it."""
+    d = descent.d
+
+    def train(batches):
+        held = list(_unpack(batches, d))
+        weights = descent.run(lambda w, out: _sums(held, w, out, d))
+        yield pa.record_batch({"s": pa.array([weights.ravel().tolist()], pa.list_(pa.float64()))})
+
+    (row,) = blocks.coalesce(1).mapInArrow(train, "s array<double>").collect()
+    return np.array(row["s"]).reshape(-1, d + 1)
+
+
+def _distributed_sums(blocks: DataFrame, weights, held_out, d: int) -> np.ndarray:
+    """One pass: partial sums per task, added up by an aggregate."""
     def partial(batches):
-        total = np.zeros((len(weights), d + 2))
-        for batch in batches:
-            for raw in zip(*(batch.column(c).to_pylist() for c in ("x", "y", "w", "fold"))):
-                x, y, w, fold = (np.frombuffer(b) for b in raw)
-                x = x.reshape(-1, d)
-                z = np.clip(x @ weights[:, :d].T + weights[:, d], -500.0, 500.0)
-                use = (fold[:, None] != held_out) * w[:, None]
-                error = (1.0 / (1.0 + np.exp(-z)) - y[:, None]) * use
-                total[:, :d] += error.T @ x
-                total[:, d] += error.sum(axis=0)
-                total[:, d + 1] += use.sum(axis=0)
+        total = _sums(_unpack(batches, d), weights, held_out, d)
         yield pa.record_batch({"s": pa.array([total.ravel().tolist()], pa.list_(pa.float64()))})
 
     parts = blocks.mapInArrow(partial, "s array<double>")
-    cells = len(weights) * (d + 2)
-    if single:
-        summed = parts.collect()[0]["s"]  # read to the end, so that the Python worker is reused
-    else:
-        rows = parts.select(F.posexplode("s").alias("i", "v")).groupBy("i").agg(F.sum("v").alias("v"))
-        summed = np.zeros(cells)
-        for r in rows.collect():
-            summed[r["i"]] = r["v"]
-    return np.array(summed).reshape(len(weights), d + 2)
+    rows = parts.select(F.posexplode("s").alias("i", "v")).groupBy("i").agg(F.sum("v").alias("v"))
+    summed = np.zeros(len(weights) * (d + 2))
+    for r in rows.collect():
+        summed[r["i"]] = r["v"]
+    return summed.reshape(len(weights), d + 2)
 
 
 class LogisticModel(Model):
@@ -118,6 +160,10 @@ class LogisticRegression:
     def __init__(self, lr: float = 0.01, epochs: int = 200):
         self.lr, self.epochs = lr, epochs
 
+    @classmethod
+    def _settings(cls, params: dict) -> dict:
+        return vars(cls(**params))
+
     def fit(self, df: DataFrame, label: str = "label", features="features") -> LogisticModel:
         (w, b), = descend(df, features, label, F.lit(0), [(self.lr, self.epochs, -1)])
         return LogisticModel(features, names_of(df, features), w, b)
@@ -127,10 +173,15 @@ class LogisticRegression:
         return cls(**params).fit(m.df, m.label, m.features)
 
     @classmethod
-    def out_of_fold(cls, m: Matrix, configs: list[dict], k: int, seed: int = 42) -> DataFrame:
-        made = [cls(**c) for c in configs]
-        settings = [(c.lr, c.epochs, f) for c in made for f in range(k)]
+    def out_of_fold(cls, m: Matrix, configs: list[dict], k: int, seed: int = 42,
+                    full: dict | None = None) -> DataFrame:
+        """``full`` receives the models of all rows, trained in the same passes."""
+        folds = [*range(k)] + ([-1] if full is not None else [])
+        settings = [(c["lr"], c["epochs"], f) for c in map(cls._settings, configs) for f in folds]
         found = descend(m.df, m.features, m.label, F.col(m.fold), settings)
-        models = [found[i * k : (i + 1) * k] for i in range(len(configs))]
+        models = [found[i * len(folds) :][:k] for i in range(len(configs))]
+        if full is not None:
+            for i in range(len(configs)):
+                full[i] = LogisticModel(m.features, names_of(m.df, m.features), *found[i * len(folds) + k])
         scores = linear_scores(m.df, m.features, models, m)
         return explode_configs(m, F.array(*[(sigmoid(z) >= 0.5).cast("double") for z in scores]), k)

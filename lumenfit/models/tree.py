@@ -32,8 +32,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalar import columns_of, names_of, vector, width_of
 from ..operators.linalg import block
-from ..operators.split import bootstrap_weight, feature_subset
-from .base import Matrix, Model, class_values, explode_configs, list_array
+from ..operators.split import bootstrap_weights, feature_subset
+from .base import Matrix, Model, class_counts, explode_configs, list_array
 
 # Impurities are compared relative to their node, at this many decimals, so that the order of
 # summation does not decide ties.
@@ -45,6 +45,9 @@ EXPRESSION_DEPTH = 6
 VALUES_PER_GROUP = 500_000
 PARTS = 256
 SUMS = ["s0", "s1", "s2"]
+# Small nodes are scored together in groups of about this many cells.
+CELLS_PER_TEAM = 50_000
+TEAMS = "team int, model int, node long, subset array<int>, small boolean"
 OFFERS = ("model int, node long, f int, part long, open boolean, ratio double, v double, n double, "
           "left array<double>, right array<double>")
 
@@ -163,17 +166,36 @@ class _Grower:
 
     def _base(self) -> DataFrame:
         m = self.m
-        n, centre = m.df.agg(F.count(F.lit(1)), F.avg(F.col(m.label).cast("double"))).first()
+        n = self._survey()
+        cells = [vector(m.df, m.features).alias("x"), F.col(m.label).cast("double").alias("y")]
+        cells.append(F.col(m.fold).alias("fold") if self.folds != [None] else F.lit(-1).alias("fold"))
+        draws = F.array(F.lit(1))
+        if self.n_trees:
+            draws = bootstrap_weights([F.col(k) for k in m.keys], self.seed, self.n_trees)
+        base = m.df.select(*cells, draws.alias("draws"))
+        if 2 * n * self.d <= self.values_per_group:
+            # every node will be searched value by value, so there is nothing to cut
+            return base.withColumn("b", F.array().cast("array<int>"))
+        return base.withColumn("b", self._bucket(n)("x"))
+
+    def _survey(self) -> int:
+        """Number of rows; notes the classes or the label's mean."""
+        y = self.m.df.select(F.col(self.m.label).cast("double").alias("y"))
+        if self.classify:
+            counts = class_counts(y, "y", self.m.label)
+            self.classes, n = sorted(counts), sum(counts.values())
+        else:
+            n, self.centre = y.agg(F.count(F.lit(1)), F.avg("y")).first()
         if not n:
             raise ValueError("the table has no rows")
+        return n
+
+    def _bucket(self, n: int):
+        """A function from the feature vector to its bucket numbers, by quantile cuts."""
         bins = self.bins or (64 if n < 10_000_000 else 256 if n < 1_000_000_000 else 2048)
-        if self.classify:
-            self.classes = class_values(m.df, m.label)
-        else:
-            self.centre = centre
         probs = [i / bins for i in range(1, bins)]
-        x = columns_of(m.df, m.features)
-        row = m.df.agg(*[F.percentile_approx(c, probs, 10 * bins) for c in x]).first()
+        x = columns_of(self.m.df, self.m.features)
+        row = self.m.df.agg(*[F.percentile_approx(c, probs, 10 * bins) for c in x]).first()
         cuts = [np.unique(np.array(q or [])) for q in row]
         d = self.d
 
@@ -183,15 +205,7 @@ class _Grower:
             codes = [np.searchsorted(cuts[j], x[:, j], side="left") for j in range(d)]
             return list_array(np.stack(codes, axis=1).astype(np.int32))
 
-        cells = [vector(m.df, m.features).alias("x"), F.col(m.label).cast("double").alias("y")]
-        cells.append(F.col(m.fold).alias("fold") if self.folds != [None] else F.lit(-1).alias("fold"))
-        keys = [F.col(k) for k in m.keys]
-        if self.n_trees:
-            draws = [bootstrap_weight(keys, self.seed, F.lit(t)) for t in range(self.n_trees)]
-            cells.append(F.array(*draws).alias("draws"))
-        else:
-            cells.append(F.array(F.lit(1)).alias("draws"))
-        return m.df.select(*cells).withColumn("b", buckets("x"))
+        return buckets
 
     def _rows(self, base: DataFrame) -> DataFrame:
         """One row per (row, model that trains on it), with the row's statistics."""
@@ -268,27 +282,38 @@ class _Grower:
     def _routed(self, rows: DataFrame, grown: Grown, depth: int, active) -> DataFrame:
         """Rows at the active nodes of a level, one per candidate feature.
 
-        Every level replays the few splits above it; rows that ended in a leaf drop out.
+        Every level replays the few splits above it; rows that ended in a leaf drop out. All
+        levels look into the same small table, which is therefore sent once.
         """
-        for level in range(depth):
-            splits = [
+        if depth:
+            table = self._small([
                 (model, i, node.feature, node.threshold)
                 for model, nodes in grown.trees.items() for i, node in nodes.items()
-                if node.depth == level and node.feature is not None
-            ]
-            table = self._small(splits, "model int, node long, sf int, st double")
+                if node.feature is not None
+            ], "model int, node long, sf int, st double")
+        for _ in range(depth):
             right = (F.get("x", F.col("sf")) > F.col("st")).cast("long")
             rows = rows.join(table, ["model", "node"]).withColumn("node", F.col("node") * 2 + right)
             rows = rows.select("model", "node", "x", "b", "cls", *SUMS)
-        subset = {model: self._features_of(model) for model, _ in active}
-        table = self._small([(m, i, subset[m], self._is_small(grown, m, i)) for m, i in active],
-                            "model int, node long, subset array<int>, small boolean")
-        cells = rows.join(table, ["model", "node"]).select(
-            "model", "node", "small", "x", "b", "cls", *SUMS, F.explode("subset").alias("f"))
+        cells = rows.join(self._small(self._teams(grown, active), TEAMS), ["model", "node"]).select(
+            "team", "model", "node", "small", "x", "b", "cls", *SUMS, F.explode("subset").alias("f"))
         part = F.when(F.col("small"), F.lit(-1)).otherwise(F.get("b", F.col("f"))).cast("long")
-        return cells.select("model", "node", "f", F.get("x", F.col("f")).alias("v"),
+        return cells.select("team", "model", "node", "f", F.get("x", F.col("f")).alias("v"),
                             part.alias("part"), "cls", *SUMS)
 
+    def _teams(self, grown: Grown, active) -> list[tuple]:
+        """Candidate features per node, and the group that scores it: small nodes share one."""
+        rows, team, filled = [], 0, 0.0
+        subset = {model: self._features_of(model) for model, _ in active}
+        for model, i in active:
+            small = self._is_small(grown, model, i)
+            cells = grown.trees[model][i].n * len(subset[model])
+            if filled and (not small or filled + cells > CELLS_PER_TEAM):
+                team, filled = team + 1, 0.0
+            rows.append((team, model, i, subset[model], small))
+            filled += cells
+        return rows
+
     def _is_small(self, grown: Grown, model: int, node: int) -> bool:
         """Whether all cells of a node fit one group, which then skips the buckets."""
         cells = grown.trees[model][node].n * len(self._features_of(model))
@@ -297,8 +322,8 @@ class _Grower:
     def _split(self, grown: Grown, cells: DataFrame, depth: int, active) -> None:
         """Find and record the best split of every active node."""
         kernel = _kernel(len(self.classes) if self.classify else None)
-        counts = self._histogram(cells, ["model", "node", "f", "part"])
-        scored = counts.groupBy("model", "node").applyInArrow(lambda t: kernel(t, None), OFFERS)
+        counts = self._histogram(cells, ["team", "model", "node", "f", "part"])
+        scored = counts.groupBy("team").applyInArrow(lambda t: kernel(t, None), OFFERS)
         best: dict[tuple, tuple] = {}
         if all(self._is_small(grown, *a) for a in active):
             for r in scored.collect():
@@ -402,12 +427,14 @@ def _kernel(classes: int | None):
     width = classes or 3
 
     def score(table: pa.Table, outer: pa.Table | None) -> pa.Table:
-        got = {c: table.column(c).to_numpy() for c in ("f", "part", "low", "high", "cls", *SUMS)}
+        columns = ("model", "node", "f", "part", "low", "high", "cls", *SUMS)
+        got = {c: table.column(c).to_numpy() for c in columns}
         cut = np.where(got["part"] == -1, got["low"], got["part"])
-        order = np.lexsort((cut, got["f"]))
+        order = np.lexsort((cut, got["f"], got["node"], got["model"]))
         got, cut = {c: v[order] for c, v in got.items()}, cut[order]
-        # one line per (feature, bucket or value); classes become columns
-        new = np.r_[True, (got["f"][1:] != got["f"][:-1]) | (cut[1:] != cut[:-1])]
+        # one line per (node, feature, bucket or value); classes become columns
+        step = lambda *names: np.any([got[c][1:] != got[c][:-1] for c in names], axis=0)
+        new = np.r_[True, step("model", "node", "f") | (cut[1:] != cut[:-1])]
         line = np.cumsum(new) - 1
         stats = np.zeros((line[-1] + 1, width))
         if classes:
@@ -417,12 +444,19 @@ def _kernel(classes: int | None):
         low, high = got["low"][new].copy(), got["high"][new].copy()
         np.minimum.at(low, line, got["low"])
         np.maximum.at(high, line, got["high"])
-        return _offers(table, outer, got["f"][new], got["part"][new], low, high, stats, bool(classes))
+        got = {c: got[c][new] for c in ("model", "node", "f", "part")}
+        starts = np.nonzero(np.r_[True, step("model", "node")])[0]
+        found = []
+        for a, b in zip(starts, np.r_[starts[1:], len(low)]):
+            key = (got["model"][a], got["node"][a])
+            found.append(_offers(key, outer, got["f"][a:b], got["part"][a:b], low[a:b], high[a:b],
+                                 stats[a:b], bool(classes)))
+        return pa.concat_tables(found)
 
     return score
 
 
-def _offers(table, outer, f, part, low, high, stats, classify) -> pa.Table:
+def _offers(key, outer, f, part, low, high, stats, classify) -> pa.Table:
     width = stats.shape[1]
     first = np.r_[True, f[1:] != f[:-1]]
     running = stats.cumsum(axis=0)
@@ -451,8 +485,8 @@ def _offers(table, outer, f, part, low, high, stats, classify) -> pa.Table:
     is_open = np.r_[np.zeros(len(chosen), dtype=bool), np.ones(len(doubtful), dtype=bool)]
     lefts = np.where(is_open[:, None], left[rows] - stats[rows], left[rows])
     return pa.table({
-        "model": pa.array(np.full(len(rows), table.column("model")[0].as_py()), pa.int32()),
-        "node": pa.array(np.full(len(rows), table.column("node")[0].as_py()), pa.int64()),
+        "model": pa.array(np.full(len(rows), key[0]), pa.int32()),
+        "node": pa.array(np.full(len(rows), key[1]), pa.int64()),
         "f": pa.array(f[rows], pa.int32()),
         "part": pa.array(part[rows]),
         "open": pa.array(is_open),
@@ -538,13 +572,19 @@ class _TreeFamily:
         return cls(**{"task": m.task, **params}).fit(m.df, m.label, m.features, list(m.keys), seed)
 
     @classmethod
-    def out_of_fold(cls, m: Matrix, configs: list[dict], k: int, seed: int = 42) -> DataFrame:
+    def out_of_fold(cls, m: Matrix, configs: list[dict], k: int, seed: int = 42,
+                    full: dict | None = None) -> DataFrame:
+        """``full`` receives the models of all rows, grown along with the folds'."""
         made = [cls(**{"task": m.task, **c}) for c in configs]
         parts = []
         # one growth per feature-subset size; every other setting is read off the same trees
         for size in sorted({c.max_features or 0 for c in made}):
             members = [i for i, c in enumerate(made) if (c.max_features or 0) == size]
-            ensembles = cls._grow_grid(m, [made[i] for i in members], k, seed)
+            ensembles, complete = cls._grow_grid(m, [made[i] for i in members], k, seed, full is not None)
+            if full is not None:
+                names = names_of(m.df, m.features)
+                full.update({i: TreeEnsemble(m.features, names, m.task, trees)
+                             for i, trees in zip(members, complete)})
             scored = explode_configs(m, _out_of_fold_scores(m, ensembles, k), k)
             number = F.element_at(F.array(*[F.lit(i) for i in members]), F.col("config") + 1)
             parts.append(scored.withColumn("config", number))
@@ -554,19 +594,22 @@ class _TreeFamily:
         return out
 
     @staticmethod
-    def _grow_grid(m: Matrix, made: list, k: int, seed: int) -> list[list[list[Tree]]]:
-        """``[config][fold] -> trees`` from one growth at the largest settings."""
+    def _grow_grid(m: Matrix, made: list, k: int, seed: int, full: bool):
+        """``[config][fold] -> trees`` (and ``[config] -> trees`` of all rows) from one growth at
+        the largest settings."""
         first = made[0]
         most = max(c.n_trees or 0 for c in made) or None
-        grower = _Grower(m, list(range(k)), most, max(c.max_depth for c in made),
+        folds = [*range(k)] + ([None] if full else [])
+        grower = _Grower(m, folds, most, max(c.max_depth for c in made),
                          min(c.min_samples_split for c in made), first.max_features, seed, first.bins)
         grown = grower.grow()
-        return [
-            [[grown.cut(grower.model(f, t), c.max_depth, c.min_samples_split)
-              for t in range(c.n_trees or 1) if grower.model(f, t) in grown.trees]
-             for f in range(k)]
-            for c in made
-        ]
+
+        def trees(c, position):
+            numbers = [grower.model(position, t) for t in range(c.n_trees or 1)]
+            return [grown.cut(i, c.max_depth, c.min_samples_split) for i in numbers if i in grown.trees]
+
+        return ([[trees(c, f) for f in range(k)] for c in made],
+                [trees(c, k) for c in made] if full else [])
 
 
 def _out_of_fold_scores(m: Matrix, ensembles, k: int) -> Column:

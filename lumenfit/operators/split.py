@@ -165,30 +165,29 @@ def _first_by_key(df, keys, size) -> Column:
 
 # --- resampling --------------------------------------------------------------------------------
 
-def _uniform(keys: list[Column], seed: int, stream: Column) -> Column:
-    """A number in [0, 1) that depends only on seed, stream and row key."""
-    h = F.xxhash64(F.lit(seed), stream, *keys)
-    return F.shiftrightunsigned(h, 11).cast("double") / F.lit(float(1 << 53))
+def bootstrap_weights(keys: list[Column], seed: int, n_trees: int) -> Column:
+    """How often a row is drawn for each tree: Poisson(1), so a sample has n rows on average.
 
-
-def bootstrap_weight(keys: list[Column], seed: int, tree: Column) -> Column:
-    """How often a row is drawn for a tree: Poisson(1), so the sample has n rows on average."""
-    u, weight = _uniform(keys, seed, tree), F.lit(12)
-    density, cumulative, steps = 0.36787944117144233, 0.0, []
+    The draws depend on seed, row key and tree number only.
+    """
+    steps, density, cumulative = [], 0.36787944117144233, 0.0  # exp(-1)
     for count in range(12):
         cumulative += density
         steps.append(cumulative)
         density /= count + 1
-    for count in reversed(range(12)):
-        weight = F.when(u < F.lit(steps[count]), F.lit(count)).otherwise(weight)
-    return weight.cast("int")
+    unit = F.lit(float(1 << 53))
+    hashes = F.transform(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: F.xxhash64(F.lit(seed), t, *keys))
+
+    def draw(h: Column) -> Column:
+        u = F.shiftrightunsigned(h, 11).cast("double") / unit
+        return F.size(F.filter(F.lit(steps), lambda c: c <= u))
+
+    return F.transform(hashes, draw)
 
 
 def bootstrap(df: DataFrame, keys: list[str], n_trees: int, seed: int = 42) -> DataFrame:
     """Add ``weights``: the row's draw count for every tree."""
-    columns = [F.col(k) for k in keys]
-    draws = [bootstrap_weight(columns, seed, F.lit(t)) for t in range(n_trees)]
-    return df.withColumn("weights", F.array(*draws))
+    return df.withColumn("weights", bootstrap_weights([F.col(k) for k in keys], seed, n_trees))
 
 
 def feature_subset(n_features: int, size: int | None, seed: int, tree: int) -> list[int]:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -64,12 +66,14 @@ def autofit(
     keys: list[str] | None = None, features: list[str] | None = None, metric: Metric | None = None,
     families: dict | None = None, grids: dict | None = None, imputer_strategy: str = "mean",
     scaler: str = "standard", fit_per_fold: bool = False, max_width: int = 1_000, seed: int = 42,
+    parallelism: int = 3,
 ) -> AutofitResult:
     """Find, refit and explain the best model for ``target``.
 
     ``source`` is a DataFrame, a path or a table name. ``keys`` name the columns that identify a
     row (they are not features); without them rows are keyed by content. ``fit_per_fold`` fits
-    the preparation on each fold's training rows only.
+    the preparation on each fold's training rows only. ``parallelism`` families are searched at a
+    time, as independent Spark jobs; with 1 the budget is checked strictly between families.
     """
     start = time.time()
     if task_type not in ("auto", "classification", "regression"):
@@ -98,7 +102,7 @@ def autofit(
         per_fold = _matrices_per_fold(prepare, labelled, features, matrix, cv_folds)
 
     search = _search_families(matrix, per_fold, task, cv_folds, time_budget, use_random_search,
-                              metric, families, grids, seed)
+                              metric, families, grids, seed, parallelism)
     best, lines = search
     model = best.refit(matrix)
     model.names = fitted.feature_names
@@ -138,23 +142,32 @@ class _PerFold:
         return self.family.fit_matrix(m, params, seed)
 
 
-def _search_families(matrix, per_fold, task, k, time_budget, use_random, metric, families, grids, seed):
-    """Search family after family until the budget is spent; a failing family is skipped."""
+def _search_families(matrix, per_fold, task, k, time_budget, use_random, metric, families, grids, seed,
+                     parallelism):
+    """Search the families, several at a time; none starts once the budget is spent, and a
+    failing family is skipped. The first of equally good families wins."""
     chosen = metric or SEARCH_METRIC[task]
-    lines, best, start = [], None, time.time()
-    for name, family in (families or FAMILIES[task]).items():
+    maker = RandomSearch if use_random else GridSearch
+    start = time.time()
+
+    def run(name, family):
         if time.time() - start > time_budget:
-            lines.append(Scored(name, {}, {}, 0.0, "skipped: time budget reached"))
-            continue
-        if per_fold is not None:
-            family = _PerFold(family, per_fold)
-        grid = (grids or {}).get(name, default_grid(name))
-        maker = RandomSearch if use_random else GridSearch
-        search = maker(family, grid, k, chosen, seed, name)
+            return Scored(name, {}, {}, 0.0, "skipped: time budget reached")
+        family = family if per_fold is None else _PerFold(family, per_fold)
+        search = maker(family, (grids or {}).get(name, default_grid(name)), k, chosen, seed, name)
         try:
-            search.fit(matrix, refit=False)
+            return search.fit(matrix, refit=False)
         except (ValueError, ArithmeticError, PySparkException) as problem:
-            lines.append(Scored(name, {}, {}, 0.0, f"skipped: {str(problem)[:300]}"))
+            return Scored(name, {}, {}, 0.0, f"skipped: {str(problem)[:300]}")
+
+    with ThreadPoolExecutor(max(1, parallelism)) as pool:
+        jobs = [pool.submit(inheritable_thread_target(run), name, family)
+                for name, family in (families or FAMILIES[task]).items()]
+        found = [job.result() for job in jobs]
+    lines, best = [], None
+    for search in found:
+        if isinstance(search, Scored):
+            lines.append(search)
             continue
         lines += search.lines
         if search.best_params is not None and better(chosen, search.best_score, best and best.best_score):

@@ -7,6 +7,7 @@ so configurations are compared on the same splits.
 
 from __future__ import annotations
 
+import inspect
 import itertools
 import math
 import random
@@ -79,10 +80,16 @@ def generic_out_of_fold(family, m: Matrix, configs: list[dict], k: int) -> DataF
     return out
 
 
-def out_of_fold(family, m: Matrix, configs: list[dict], k: int, seed: int = 42) -> DataFrame:
-    if hasattr(family, "out_of_fold"):
-        return family.out_of_fold(m, configs, k, seed)
-    return generic_out_of_fold(family, m, configs, k)
+def out_of_fold(family, m: Matrix, configs: list[dict], k: int, seed: int = 42,
+                full: dict | None = None) -> DataFrame:
+    """Out-of-fold predictions. Families that train in passes over the rows also put the models
+    of all rows, by configuration number, into ``full``: they come almost for free."""
+    method = getattr(family, "out_of_fold", None)
+    if method is None:
+        return generic_out_of_fold(family, m, configs, k)
+    if full is not None and "full" in inspect.signature(method).parameters:
+        return method(m, configs, k, seed, full=full)
+    return method(m, configs, k, seed)
 
 
 def fold_metrics(predictions: DataFrame, metrics: list[Metric]) -> DataFrame:
@@ -148,7 +155,9 @@ class _Search:
     best_score: float | None = None
     best_scores: dict = field(default_factory=dict)
     best_estimator: Model | None = None
+    best_config: int | None = None
     lines: list[Scored] = field(default_factory=list)
+    complete: dict[int, Model] = field(default_factory=dict)
 
     def configs(self) -> list[dict]:
         raise NotImplementedError
@@ -157,7 +166,8 @@ class _Search:
         metric = self.metric or SEARCH_METRIC[m.task]
         wanted, configs = usable_metrics(m.task, metric), self.configs()
         start = time.time()
-        folds = fold_metrics(out_of_fold(self.family, m, configs, self.k, self.seed), wanted)
+        predictions = out_of_fold(self.family, m, configs, self.k, self.seed, self.complete)
+        folds = fold_metrics(predictions, wanted)
         rows = folds.collect()  # configurations times folds
         seconds = time.time() - start
         for i, params in enumerate(configs):
@@ -167,13 +177,15 @@ class _Search:
                                      seconds / len(configs)))
             if better(metric, scores[metric.name], self.best_score):
                 self.best_params, self.best_score = params, scores[metric.name]
-                self.best_scores = scores
+                self.best_scores, self.best_config = scores, i
         if refit and self.best_params is not None:
             self.best_estimator = self.refit(m)
         return self
 
     def refit(self, m: Matrix) -> Model:
         """The best configuration on all rows."""
+        if self.best_config in self.complete:
+            return self.complete[self.best_config]
         if hasattr(self.family, "fit_matrix"):
             return self.family.fit_matrix(m, self.best_params, self.seed)
         return self.family(**self.best_params).fit(m.df, m.label, m.features)

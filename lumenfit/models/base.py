@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.metrics import accuracy, r2_plain
 from ..functions.scalar import IMPORTANCE_EPS
+from ..session import partition_count, with_partition
 
 # Expressions up to this many terms stay column expressions; larger ones score Arrow batches.
 EXPRESSION_TERMS = 200
@@ -98,12 +99,13 @@ def by_fold(m: Matrix, k: int, expr) -> Column:
     return column
 
 
-def class_counts(df: DataFrame, y: str, name: str) -> dict[float, int]:
-    """Rows per distinct label."""
-    rows = df.groupBy(y).agg(F.count(F.lit(1)).alias("n")).limit(MAX_CLASSES + 1).collect()
+def class_counts(df: DataFrame, y: str, name: str) -> tuple[dict[float, int], int]:
+    """Rows per distinct label, and the table's number of partitions."""
+    counts = with_partition(df).groupBy(y).agg(F.count(F.lit(1)).alias("n"), partition_count())
+    rows = counts.limit(MAX_CLASSES + 1).collect()
     if len(rows) > MAX_CLASSES:
         raise ValueError(f"'{name}' has more than {MAX_CLASSES} classes; use regression")
-    return {r[y]: r["n"] for r in rows}
+    return {r[y]: r["n"] for r in rows}, max([r["partitions"] for r in rows], default=1)
 
 
 def list_array(matrix: np.ndarray) -> pa.Array:

@@ -17,14 +17,18 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalar import names_of, sigmoid, vector, width_of
 from ..operators.linalg import block
+from ..session import ROWS_PER_TASK, partition_count, spread, with_partition
 from .base import Matrix, Model, absolute_share, explode_configs
 from .linear import linear_scores
 
 # Rows are merged when a sketch says that at most this share of them is distinct.
 MERGE_SHARE = 0.25
-# Rows per task. A table of at most this many (merged) rows is a single task's work anyway, and
-# then all epochs run in that task; every larger table costs one distributed pass per epoch.
-ROWS_PER_TASK = 50_000
+# A table of at most this many packed numbers (32 MB, a fraction of one input split) is a single
+# task's work anyway, and then all epochs run in that task; every larger table costs one
+# distributed pass per epoch.
+ONE_TASK_CELLS = 4_000_000
+# Partial sums up to this many numbers are added up by the driver, more by an aggregate.
+DRIVER_CELLS = 1_000_000
 
 
 def _pack(df: DataFrame, x: Column, y: Column, fold: Column, d: int) -> tuple[DataFrame, int]:
@@ -33,8 +37,8 @@ def _pack(df: DataFrame, x: Column, y: Column, fold: Column, d: int) -> tuple[Da
     Identical rows become one row with a weight when a sketch says it pays.
     """
     rows = df.select(x.alias("x"), y.cast("double").alias("y"), fold.cast("double").alias("fold"))
-    n, distinct = rows.agg(
-        F.count(F.lit(1)), F.approx_count_distinct(F.xxhash64("x", "y", "fold"))
+    n, distinct, partitions = with_partition(rows).agg(
+        F.count(F.lit(1)), F.approx_count_distinct(F.xxhash64("x", "y", "fold")), partition_count()
     ).first()
     if not n:
         raise ValueError("the table has no rows")
@@ -42,10 +46,8 @@ def _pack(df: DataFrame, x: Column, y: Column, fold: Column, d: int) -> tuple[Da
         rows = rows.groupBy("x", "y", "fold").agg(F.count(F.lit(1)).cast("double").alias("w"))
         n = int(1.1 * distinct)
     else:
-        rows = rows.withColumn("w", F.lit(1.0))
-    tasks = -(-n // ROWS_PER_TASK)
-    if tasks < rows.rdd.getNumPartitions():
-        rows = rows.coalesce(tasks)
+        rows = spread(rows.withColumn("w", F.lit(1.0)), n, partitions)
+    rows = rows.coalesce(-(-n // ROWS_PER_TASK))  # never raises the number of partitions
 
     def pack(batches):
         for batch in batches:
@@ -103,13 +105,14 @@ def descend(df: DataFrame, features, label: str, fold: Column, settings) -> list
     """Train one model per ``(lr, epochs, held_out_fold)`` in shared passes."""
     d = width_of(df, features)
     blocks, n = _pack(df, vector(df, features), F.col(label), fold, d)
+    tasks = -(-n // ROWS_PER_TASK)
     descent = _Descent(settings, d)
-    if n <= ROWS_PER_TASK:
+    if n * (d + 3) <= ONE_TASK_CELLS:
         weights = _in_one_task(blocks, descent)
     else:
         blocks = blocks.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            weights = descent.run(lambda w, out: _distributed_sums(blocks, w, out, d))
+            weights = descent.run(lambda w, out: _distributed_sums(blocks, w, out, d, tasks))
         finally:
             blocks.unpersist()
     return [(w[:d], float(w[d])) for w in weights]
@@ -128,17 +131,21 @@ def _in_one_task(blocks: DataFrame, descent: _Descent) -> np.ndarray:
     return np.array(row["s"]).reshape(-1, d + 1)
 
 
-def _distributed_sums(blocks: DataFrame, weights, held_out, d: int) -> np.ndarray:
+def _distributed_sums(blocks: DataFrame, weights, held_out, d: int, tasks: int) -> np.ndarray:
     """One pass: partial sums per task, added up by an aggregate."""
     def partial(batches):
         total = _sums(_unpack(batches, d), weights, held_out, d)
         yield pa.record_batch({"s": pa.array([total.ravel().tolist()], pa.list_(pa.float64()))})
 
     parts = blocks.mapInArrow(partial, "s array<double>")
-    rows = parts.select(F.posexplode("s").alias("i", "v")).groupBy("i").agg(F.sum("v").alias("v"))
-    summed = np.zeros(len(weights) * (d + 2))
-    for r in rows.collect():
-        summed[r["i"]] = r["v"]
+    cells = len(weights) * (d + 2)
+    if tasks * cells <= DRIVER_CELLS:
+        summed = np.sum([r["s"] for r in parts.collect()], axis=0)
+    else:
+        rows = parts.select(F.posexplode("s").alias("i", "v")).groupBy("i").agg(F.sum("v").alias("v"))
+        summed = np.zeros(cells)
+        for r in rows.collect():
+            summed[r["i"]] = r["v"]
     return summed.reshape(len(weights), d + 2)
 
 

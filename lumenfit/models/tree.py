@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.scalar import columns_of, names_of, vector, width_of
 from ..operators.linalg import block
 from ..operators.split import bootstrap_weights, feature_subset
+from ..session import partition_count, spread, with_partition
 from .base import Matrix, Model, class_counts, explode_configs, list_array
 
 # Impurities are compared relative to their node, at this many decimals, so that the order of
@@ -166,29 +167,30 @@ class _Grower:
 
     def _base(self) -> DataFrame:
         m = self.m
-        n = self._survey()
+        n, partitions = self._survey()
         cells = [vector(m.df, m.features).alias("x"), F.col(m.label).cast("double").alias("y")]
         cells.append(F.col(m.fold).alias("fold") if self.folds != [None] else F.lit(-1).alias("fold"))
         draws = F.array(F.lit(1))
         if self.n_trees:
             draws = bootstrap_weights([F.col(k) for k in m.keys], self.seed, self.n_trees)
-        base = m.df.select(*cells, draws.alias("draws"))
+        base = spread(m.df.select(*cells, draws.alias("draws")), n, partitions)
         if 2 * n * self.d <= self.values_per_group:
             # every node will be searched value by value, so there is nothing to cut
             return base.withColumn("b", F.array().cast("array<int>"))
         return base.withColumn("b", self._bucket(n)("x"))
 
-    def _survey(self) -> int:
-        """Number of rows; notes the classes or the label's mean."""
+    def _survey(self) -> tuple[int, int]:
+        """Number of rows and of partitions; notes the classes or the label's mean."""
         y = self.m.df.select(F.col(self.m.label).cast("double").alias("y"))
         if self.classify:
-            counts = class_counts(y, "y", self.m.label)
+            counts, partitions = class_counts(y, "y", self.m.label)
             self.classes, n = sorted(counts), sum(counts.values())
         else:
-            n, self.centre = y.agg(F.count(F.lit(1)), F.avg("y")).first()
+            n, self.centre, partitions = with_partition(y).agg(
+                F.count(F.lit(1)), F.avg("y"), partition_count()).first()
         if not n:
             raise ValueError("the table has no rows")
-        return n
+        return n, partitions
 
     def _bucket(self, n: int):
         """A function from the feature vector to its bucket numbers, by quantile cuts."""

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.scalar import EPS, as_column
-from .quantiles import SMALL, approx_percentiles, exact_percentiles
+from .quantiles import (SMALL, approx_percentiles, exact_percentiles, interpolate, rank_hits,
+                        wanted_ranks)
 from .typing import (BOOLEAN, CATEGORICAL, NUMERICAL, detect_column_types, is_missing, typed)
 
+QUARTILES = [0.25, 0.5, 0.75]
 PROFILE_SCHEMA = (
     "column string, kind string, mean double, median double, mode string, std double, "
     "skew double, kurtosis double, n_unique bigint, missing bigint, lower double, upper double, "
@@ -59,20 +61,25 @@ def kurtosis(c) -> Column:
     return F.when(s > 0, plain).when(s == 0, F.lit(0.0))
 
 
-def mode_table(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column, mode, n_unique) per column of one common type.
+def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, value, n) for columns of one common type.
 
-    Values are counted under (column, value), so a value that fills a third of the table is
-    merged on the map side and no group is ever held in one buffer.
+    A value that fills a third of the table is merged on the map side.
     """
     cells = df.select([F.col(f"`{c}`") for c in columns]).unpivot([], list(columns), "column", "value")
-    counts = cells.where(F.col("value").isNotNull()).groupBy("column", "value").agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    return counts.groupBy("column").agg(
-        F.min_by("value", F.struct((-F.col("n")).alias("n"), F.col("value"))).alias("mode"),
-        F.count(F.lit(1)).alias("n_unique"),
-    )
+    return cells.where(F.col("value").isNotNull()).groupBy("column", "value").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+def _mode_cells() -> list[Column]:
+    """Most frequent value (the smallest on a tie) and number of values, from value counts."""
+    rank = F.struct((-F.col("n")).alias("n"), F.col("value"))
+    return [F.min_by("value", rank).alias("mode"), F.count(F.lit(1)).alias("n_unique")]
+
+
+def mode_table(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, mode, n_unique): no group is ever held in one buffer."""
+    return value_counts(df, columns).groupBy("column").agg(*_mode_cells())
 
 
 # --- profile -----------------------------------------------------------------------------------
@@ -87,7 +94,8 @@ def profile(
     no outliers for it. ``approximate=True`` uses sketches for percentiles and distinct counts.
 
     Scans: typing (text columns only), moments, percentiles, outlier counts, value counts. Only
-    the last shuffles, and it shuffles merged value counts.
+    the last shuffles, and it shuffles merged value counts. Up to ``small`` rows the percentiles
+    are read off the value counts as well.
     """
     if nan_policy not in ("skip", "propagate"):
         raise ValueError("nan_policy must be 'skip' or 'propagate'")
@@ -98,13 +106,18 @@ def profile(
     flags = [c for c in columns if kinds[c] == BOOLEAN]
     text = [c for c in columns if kinds[c] == CATEGORICAL]
 
-    moments = _moments(data, numeric, flags, text)
-    percentiles = approx_percentiles if approximate else exact_percentiles
-    options = {} if approximate else {"small": small}
-    cuts = percentiles(data, numeric, [0.25, 0.5, 0.75], **options)
+    moments, n = _moments(data, numeric, flags, text)
+    if approximate:
+        cuts = approx_percentiles(data, numeric, QUARTILES)
+        modes = _rough_counts(data, columns)
+    elif n <= small:
+        cuts, modes = _value_statistics(data, moments, numeric)
+        modes.update(_modes(data, flags, text))
+    else:
+        cuts = exact_percentiles(data, numeric, QUARTILES, small)
+        modes = _modes(data, numeric, flags, text)
     fences = {c: _fence(q) for c, q in cuts.items()}
     outliers = _outlier_counts(data, fences)
-    modes = _modes(data, numeric, flags, text, approximate)
 
     rows = []
     for c in columns:
@@ -131,12 +144,13 @@ def _fence(q):
     return q[0] - 1.5 * width, q[2] + 1.5 * width
 
 
-def _moments(data, numeric, flags, text) -> dict[str, dict]:
+def _moments(data, numeric, flags, text) -> tuple[dict[str, dict], int]:
+    """Moments and missing cells per column, and the number of rows; one pass."""
     cells = []
     for c in numeric:
         x = F.col(f"`{c}`")
         cells.append(F.struct(
-            F.count_if(x.isNull()).alias("missing"), F.avg(x).alias("mean"), std(x).alias("std"),
+            F.count_if(x.isNull()).alias("missing"), F.count(x).alias("n"), F.avg(x).alias("mean"), std(x).alias("std"),
             skewness(x).alias("skew"), kurtosis(x).alias("kurtosis"),
         ).alias(c))
     for c in flags:
@@ -145,8 +159,8 @@ def _moments(data, numeric, flags, text) -> dict[str, dict]:
                               F.avg(x.cast("int")).alias("mean")).alias(c))
     for c in text:
         cells.append(F.struct(F.count_if(F.col(f"`{c}`").isNull()).alias("missing")).alias(c))
-    row = data.agg(*cells).first()
-    return {c: row[c].asDict() for c in numeric + flags + text}
+    row = data.agg(*cells, F.count(F.lit(1)).alias("#rows")).first()
+    return {c: row[c].asDict() for c in numeric + flags + text}, row["#rows"]
 
 
 def _outlier_counts(data, fences) -> dict[str, int]:
@@ -157,20 +171,42 @@ def _outlier_counts(data, fences) -> dict[str, int]:
     return data.agg(*cells).first().asDict() if cells else {}
 
 
-def _modes(data, numeric, flags, text, approximate) -> dict[str, tuple]:
+def _modes(data, *groups) -> dict[str, tuple]:
+    """(mode, distinct values) per column; each group of columns has one type.
+    Booleans count as 0 and 1."""
     found = {}
-    for group in (numeric, flags, text):
-        if not group:
-            continue
-        if approximate:
-            cells = [F.approx_count_distinct(F.col(f"`{c}`")).alias(c) for c in group]
-            found.update({c: (None, n) for c, n in data.agg(*cells).first().asDict().items()})
-        else:
+    flags = [c for group in groups for c in group if data.schema[c].dataType.simpleString() == "boolean"]
+    data = data.withColumns({c: F.col(f"`{c}`").cast("double") for c in flags}) if flags else data
+    for group in groups:
+        if group:
             for r in mode_table(data, group).collect():
                 found[r["column"]] = (r["mode"], r["n_unique"])
     return found
 
 
+def _value_statistics(data, moments, numeric) -> tuple[dict, dict]:
+    """Quartiles, modes and distinct counts of a table of bounded size from one value count."""
+    sizes = {c: moments[c]["n"] for c in numeric}
+    ranks, values, modes = wanted_ranks(sizes, QUARTILES), {}, {}
+    if numeric:
+        order = W.partitionBy("column").orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
+        counts = value_counts(data, numeric).withColumn("upto", F.sum("n").over(order))
+        hit = rank_hits(ranks, F.col("column"), F.col("upto"), F.col("n"))
+        at = F.collect_list(F.when(hit, F.struct("upto", "n", "value"))).alias("at")
+        for r in counts.groupBy("column").agg(at, *_mode_cells()).collect():
+            modes[r["column"]] = (r["mode"], r["n_unique"])
+            for c, rank in ranks:
+                if c == r["column"]:
+                    values[(c, rank)] = next(
+                        v["value"] for v in r["at"] if v["upto"] - v["n"] <= rank < v["upto"])
+    return interpolate(sizes, QUARTILES, values), modes
+
+
+def _rough_counts(data, columns) -> dict[str, tuple]:
+    cells = [F.approx_count_distinct(F.col(f"`{c}`")).alias(c) for c in columns]
+    return {c: (None, n) for c, n in data.agg(*cells).first().asDict().items()}
+
+
 def profile_summary(profiled: DataFrame) -> DataFrame:
     """Column lists by kind and the totals of a profile, as one row."""
     named = lambda kind: F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.col("column"))))

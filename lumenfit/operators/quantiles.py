@@ -28,26 +28,43 @@ def exact_percentiles(
     if max(counts) <= small:
         row = df.agg(*[F.percentile(F.col(f"`{c}`"), probs).alias(c) for c in columns]).first()
         return {c: list(row[c]) if row[c] is not None else [None] * len(probs) for c in columns}
-    wanted: dict[tuple[str, int], float | None] = {}
-    for c in columns:
-        for p in probs:
-            position = p * (counts[c] - 1)
-            wanted[(c, math.floor(position))] = wanted[(c, math.ceil(position))] = None
-    wanted = _order_statistics(df, wanted, counts.asDict(), small, accuracy)
+    ranks = wanted_ranks(counts.asDict(), probs)
+    found = _order_statistics(df, dict.fromkeys(ranks), counts.asDict(), small, accuracy)
+    return interpolate(counts.asDict(), probs, found)
+
+
+def wanted_ranks(counts: dict[str, int], probs: list[float]) -> list[tuple[str, int]]:
+    """The 0-based ranks whose values the percentiles lie between."""
+    ranks = []
+    for c, n in counts.items():
+        for p in probs if n else []:
+            position = p * (n - 1)
+            ranks += [(c, math.floor(position)), (c, math.ceil(position))]
+    return list(dict.fromkeys(ranks))
+
+
+def interpolate(counts: dict[str, int], probs: list[float], values: dict) -> dict[str, list]:
     result = {}
-    for c in columns:
+    for c, n in counts.items():
         result[c] = []
         for p in probs:
-            if counts[c] == 0:
+            if not n:
                 result[c].append(None)
                 continue
-            position = p * (counts[c] - 1)
-            low, high = math.floor(position), math.ceil(position)
-            a, b = wanted[(c, low)], wanted[(c, high)]
-            result[c].append(a + (b - a) * (position - low))
+            position = p * (n - 1)
+            low, high = values[(c, math.floor(position))], values[(c, math.ceil(position))]
+            result[c].append(low + (high - low) * (position - math.floor(position)))
     return result
 
 
+def rank_hits(ranks: list[tuple[str, int]], name: Column, upto: Column, n: Column) -> Column:
+    """Whether a counted value (n copies, running total ``upto``) sits at one of the ranks."""
+    hit = F.lit(False)
+    for key, rank in ranks:
+        hit = hit | ((name == F.lit(key)) & (upto > rank) & (upto - n <= rank))
+    return hit
+
+
 def approx_percentiles(df, columns, probs, accuracy: int = ACCURACY) -> dict[str, list]:
     """The opt-in sketch: one pass, rank error of at most ``rows / accuracy``."""
     if not columns:
@@ -149,8 +166,6 @@ def _rank_inside(df, states):
     running = W.partitionBy("i").orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow)
     ranked = values.withColumn("upto", F.sum("n").over(running))
     keys = list(states)
-    hit = F.lit(False)
-    for i, key in enumerate(keys):
-        rank = key[1] - states[key]["below"]
-        hit = hit | ((F.col("i") == i) & (F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank))
-    return {keys[r["i"]]: r["v"] for r in ranked.where(hit).collect()}
+    ranks = [(i, key[1] - states[key]["below"]) for i, key in enumerate(keys)]
+    hits = ranked.where(rank_hits(ranks, F.col("i"), F.col("upto"), F.col("n")))
+    return {keys[r["i"]]: r["v"] for r in hits.collect()}

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 def local_session(cpus: int | str = 8, app: str = "lumenfit", **conf: str) -> SparkSession:
@@ -54,3 +54,27 @@ def durable(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark).rstrip('/')}/lumenfit-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+# Rows one task should have before a table is worth spreading over more of them.
+ROWS_PER_TASK = 50_000
+
+
+def with_partition(df: DataFrame) -> DataFrame:
+    """Add the number of the partition a row arrives in, for ``partition_count``."""
+    return df.withColumn("_partition", F.spark_partition_id())
+
+
+def partition_count() -> Column:
+    """The number of partitions, as an aggregate for passes that run anyway."""
+    return (F.max("_partition") + 1).alias("partitions")
+
+
+def spread(df: DataFrame, rows: int, partitions: int) -> DataFrame:
+    """Use all cores for a table that arrives in few partitions, such as one small file.
+
+    Tables of a size that matters arrive in many partitions and are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    wanted = min(cores, -(-rows // ROWS_PER_TASK))
+    return df.repartition(wanted) if wanted > partitions else df

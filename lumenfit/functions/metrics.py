@@ -35,8 +35,8 @@ def r2_score(y, p) -> Column:
 def r2_plain(y, p) -> Column:
     """R2 without the guard; null when the target is constant."""
     y, p = as_column(y), as_column(p)
-    spread = F.var_pop(y) * F.count(y)
-    return F.lit(1.0) - F.sum((y - p) * (y - p)) / F.nullif(spread, F.lit(0.0))
+    spread = F.when(F.min(y) < F.max(y), F.var_pop(y) * F.count(y))
+    return F.lit(1.0) - F.sum((y - p) * (y - p)) / spread
 
 
 def accuracy(y, p) -> Column:

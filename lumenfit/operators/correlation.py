@@ -18,16 +18,24 @@ def _parts(x: Column, y: Column):
     return (n, F.covar_pop(x, y) * n, F.var_pop(F.when(both, x)) * n, F.var_pop(F.when(both, y)) * n)
 
 
+def _constant(x: Column, y: Column) -> Column:
+    """Whether either column is constant. Merged moments are not exactly zero then, so the range
+    decides."""
+    return (F.min(x) == F.max(x)) | (F.min(y) == F.max(y))
+
+
 def pearson_correlation(x, y) -> Column:
     """Guarded correlation as an aggregate; 0 when either column is constant."""
-    _, sxy, sxx, syy = _parts(as_column(x), as_column(y))
-    return sxy / (F.sqrt(sxx * syy) + F.lit(EPS))
+    x, y = as_column(x), as_column(y)
+    _, sxy, sxx, syy = _parts(x, y)
+    return F.when(_constant(x, y), F.lit(0.0)).otherwise(sxy / (F.sqrt(sxx * syy) + F.lit(EPS)))
 
 
 def plain_correlation(x, y) -> Column:
     """Correlation without the guard; null when either column is constant."""
-    _, sxy, sxx, syy = _parts(as_column(x), as_column(y))
-    return sxy / F.nullif(F.sqrt(sxx * syy), F.lit(0.0))
+    x, y = as_column(x), as_column(y)
+    _, sxy, sxx, syy = _parts(x, y)
+    return F.when(~_constant(x, y), sxy / F.nullif(F.sqrt(sxx * syy), F.lit(0.0)))
 
 
 def correlation_matrix(df: DataFrame, columns: list[str], guarded: bool = True) -> DataFrame:

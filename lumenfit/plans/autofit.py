@@ -161,7 +161,7 @@ def _search_families(matrix, per_fold, task, k, time_budget, use_random, metric,
             return Scored(name, {}, {}, 0.0, f"skipped: {str(problem)[:300]}")
 
     with ThreadPoolExecutor(max(1, parallelism)) as pool:
-        jobs = [pool.submit(inheritable_thread_target(run), name, family)
+        jobs = [pool.submit(inheritable_thread_target(matrix.df.sparkSession)(run), name, family)
                 for name, family in (families or FAMILIES[task]).items()]
         found = [job.result() for job in jobs]
     lines, best = [], None

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import distance, scalar
-from ..operators import correlation, linalg, outliers, profile, typing
+from ..operators import correlation, linalg, outliers, profile, quantiles, typing
 from .common import embeddings, rounded, table
 
 NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -55,12 +55,21 @@ def profile_summary(spark, sf):
 
 
 def single_statistics(spark, sf):
+    """The statistics one by one, per event type: each type's values become a column, so the exact
+    median and mode come from narrowing and merged counts, not from a buffer per type."""
+    events = table(spark, sf, "events").select("event_type", "value")
+    types = sorted(r[0] for r in events.select("event_type").distinct().limit(1000).collect())
+    wide = events.select([F.when(F.col("event_type") == t, F.col("value")).alias(t) for t in types])
+    medians = quantiles.exact_percentiles(wide, types, [0.5])
+    modes = {r["column"]: r for r in profile.mode_table(wide, types).collect()}
+    rows = [(t, medians[t][0], modes[t]["mode"], modes[t]["n_unique"]) for t in types]
+    exact = spark.createDataFrame(rows, "event_type string, median double, mode double, n_unique long")
     x = F.col("value")
-    return table(spark, sf, "events").groupBy("event_type").agg(
-        rounded(profile.mean(x)).alias("mean"), rounded(profile.median(x)).alias("median"),
-        profile.mode(x).alias("mode"), rounded(profile.variance(x), 4).alias("variance"),
+    found = events.groupBy("event_type").agg(
+        rounded(profile.mean(x)).alias("mean"), rounded(profile.variance(x), 4).alias("variance"),
         rounded(profile.std(x)).alias("std"), rounded(profile.skewness(x)).alias("skew"),
-        rounded(profile.kurtosis(x)).alias("kurtosis"), F.count_distinct(x).alias("n_unique"))
+        rounded(profile.kurtosis(x)).alias("kurtosis"))
+    return found.join(F.broadcast(exact), "event_type").withColumn("median", rounded("median"))
 
 
 def column_types(spark, sf):

@@ -12,7 +12,7 @@ from ..session import durable
 from .typing import is_missing
 
 LITERAL_CATEGORIES = 500
-BROADCAST_CATEGORIES = 1_000_000
+BROADCAST_BYTES = 64 << 20
 SORTED_IN_ONE_TASK = 100_000
 MAX_WIDTH = 1_000
 
@@ -49,7 +49,7 @@ class LabelEncoder:
 
     def __init__(self, categories: list[str] | None = None):
         self.given = list(categories) if categories is not None else None
-        self.size = 0
+        self.size, self.small = 0, False
         self.mapping: dict[str, int] | None = None
         self.table: DataFrame | None = None
 
@@ -63,7 +63,8 @@ class LabelEncoder:
         if len(few) <= LITERAL_CATEGORIES:
             self.size, self.mapping = len(few), {c: i for i, c in enumerate(sorted(few, key=_bytes))}
         else:
-            self.size = found.count()
+            self.size, text = found.agg(F.count(F.lit(1)), F.sum(F.octet_length("category"))).first()
+            self.small = text + 16 * self.size <= BROADCAST_BYTES
             self.table = durable(numbered(found, self.size))
         return self
 
@@ -91,7 +92,7 @@ class LabelEncoder:
         if self.table is None:
             return df.withColumn(name, self.code(F.col(f"`{column}`")))
         lookup = self.table.select(F.col("category").alias("_category"), F.col("code").alias("_code"))
-        if self.size <= BROADCAST_CATEGORIES:
+        if self.small:
             lookup = F.broadcast(lookup)
         joined = df.join(lookup, F.col(f"`{column}`").cast("string") == F.col("_category"), "left")
         coded = joined.withColumn(name, F.coalesce(F.col("_code"), F.lit(-1)).cast("long"))

@@ -73,13 +73,18 @@ def _pick(df, keys, seed, by, wanted) -> dict:
     hashed = df.select(*([by] if by else []), row_hash(keys, seed).alias("h"))
     hashed = hashed.withColumn("p", F.substring("h", 1, PREFIX))
     hashed = hashed.where(F.col("p").isin(sorted({p for _, p in wanted})))
-    order = W.partitionBy(*([by] if by else []), "p").orderBy("h")
-    numbered = hashed.withColumn("position", F.row_number().over(order))
+    group = [by] if by else []
+    # keys should be unique; copies of one key are merged before they meet in a task
+    counted = hashed.groupBy(*group, "p", "h").agg(F.count(F.lit(1)).alias("n"))
+    order = W.partitionBy(*group, "p").orderBy("h").rowsBetween(W.unboundedPreceding, W.currentRow)
+    running = counted.withColumn("upto", F.sum("n").over(order))
     places = sorted({position for hits in wanted.values() for _, position in hits})
-    picked = numbered.where(F.col("position").isin(places)).collect()
-    at = {((r[by] if by else None), r["p"], r["position"]): r["h"] for r in picked}
+    hit = F.exists(F.lit(places), lambda p: (p <= F.col("upto")) & (p > F.col("upto") - F.col("n")))
+    picked: dict = {}
+    for r in running.where(hit).collect():
+        picked.setdefault((r[by] if by else None, r["p"]), []).append((r["upto"], r["h"]))
     return {
-        (g, rank): at[(g, p, position)]
+        (g, rank): next(h for upto, h in sorted(picked[(g, p)]) if upto >= position)
         for (g, p), hits in wanted.items() for rank, position in hits
     }
 

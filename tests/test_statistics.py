@@ -172,3 +172,15 @@ def test_correlation(spark):
     assert correlation.correlation_matrix(df, ["x"], guarded=False).count() == 0
     pairs = correlation.correlated_pairs(df, list("xyzk")).collect()
     assert [(r["col_i"], r["col_j"]) for r in pairs] == [("x", "z")]
+
+
+def test_wide_correlation(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    rows = [(float(a), None if i % 5 == 0 else float(a + b), float(b), 7.0) for i, (a, b) in enumerate(rng.normal(size=(90, 2)))]
+    df = spark.createDataFrame(rows, "x double, y double, z double, k double").repartition(3)
+    for guarded in (True, False):
+        read = lambda: {(r["col_i"], r["col_j"]): r["r"] for r in correlation.correlation_matrix(df, list("xyzk"), guarded).collect()}
+        monkeypatch.setattr(correlation, "WIDE", 24)
+        narrow = read()
+        monkeypatch.setattr(correlation, "WIDE", 2)
+        assert read() == {k: v if v is None else pytest.approx(v, abs=1e-9) for k, v in narrow.items()}

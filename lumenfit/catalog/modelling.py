@@ -206,8 +206,10 @@ def tree_regress(spark, sf):
     return _tree_columns(model, spark)
 
 
-def _tree_sql(source: str, features: list[str], depth: int, classify: bool) -> str:
-    """An exhaustive tree in SQL: every distinct value of every feature, level by level."""
+def _tree_sql(source: str, features: list[str], depth: int, classify: bool, want: str = "nodes") -> str:
+    """An exhaustive tree in SQL: every distinct value of every feature, level by level.
+
+    ``want`` is "nodes", "importance" or the key column of the predictions."""
     def mass(n, s, q):
         if classify:
             return f"({n} - (({s}) * ({s}) + ({n} - ({s})) * ({n} - ({s}))) / ({n}))"
@@ -223,8 +225,8 @@ def _tree_sql(source: str, features: list[str], depth: int, classify: bool) -> s
             from (select node, f, v, count(*)::double cn, sum(y)::double cs, sum(y * y)::double cq
                   from r{level} join c using (id) join d using (id) group by all)
             window w as (partition by node, f order by v rows unbounded preceding))""")
-        parts.append(f"""s{level} as materialized (select node, f, v from (
-            select node, f, v, round(({left} + {right}) / ({whole}), 12) as ratio,
+        parts.append(f"""s{level} as materialized (select node, f, v, gain from (
+            select node, f, v, {whole} - {left} - {right} as gain, round(({left} + {right}) / ({whole}), 12) as ratio,
                    row_number() over (partition by node order by round(({left} + {right}) / ({whole}), 12), f, v) rn
             from p{level} where n > ln and {whole} > 1e-9 and n >= 2) where rn = 1 and ratio < 1)""")
         parts.append(f"""r{level + 1} as materialized (select id, node * 2 + (c.v > s{level}.v)::int as node
@@ -232,6 +234,19 @@ def _tree_sql(source: str, features: list[str], depth: int, classify: bool) -> s
     names = "case f " + " ".join(f"when {i} then '{x}'" for i, x in enumerate(features)) + " end"
     value = "(case when 2 * sum(y) > count(*) then 1 else 0 end)::double" if classify else "avg(y)"
     rows = []
+    if want == "importance":
+        gains = " union all ".join(f"select f, gain from s{level}" for level in range(depth))
+        return "with " + ", ".join(parts) + f""", g as (select f, sum(gain) as g from ({gains}) group by f),
+            a as (select k.f, coalesce(g, 0) / (select sum(g) from g) as share
+                  from (select unnest({list(range(len(features)))}) as f) k left join g on g.f = k.f)
+            select {names} as feature, round(share / (1 + 1e-10), 6) + 0.0 as importance from a"""
+    if want != "nodes":
+        leaf = "(case when 2 * sum(y) > count(*) then 1 else 0 end)::int" if classify else "avg(y)"
+        for level in range(depth + 1):
+            stay = f"where node not in (select node from s{level})" if level < depth else ""
+            rows.append(f"""select {want}, prediction from r{level} join d using (id) join (
+                select node, {leaf} as prediction from r{level} join d using (id) group by node) using (node) {stay}""")
+        return "with " + ", ".join(parts) + " " + " union all ".join(rows)
     for level in range(depth + 1):
         join = f"left join s{level} using (node)" if level < depth else ""
         pick = f"{names} as feature, round(s{level}.v, 4) + 0.0 as threshold" if level < depth else "null as feature, null::double as threshold"
@@ -247,7 +262,8 @@ def tree_predict(spark, sf):
 
 
 def tree_importance(spark, sf):
-    return DecisionTree(5).fit(_docs(spark, sf), "quality", ["n_chars", "toxic"]).importance_table(spark)
+    model = DecisionTree(3).fit(_docs(spark, sf), "quality", ["n_chars", "toxic"])
+    return model.importance_table(spark).select("feature", rounded("importance").alias("importance"))
 
 
 def forest_fit(spark, sf):
@@ -370,6 +386,10 @@ ORACLES = {
                                ["n_chars", "toxic"], 3, True),
     "tree_regress": _tree_sql("(select *, l_extendedprice / 100000 as y from lineitem)",
                               ["l_quantity", "l_discount", "l_tax"], 3, False),
+    "tree_predict": _tree_sql("(select doc_id, n_chars, toxic, quality as y from documents join labels using (doc_id))",
+                              ["n_chars", "toxic"], 3, True, "doc_id"),
+    "tree_importance": _tree_sql("(select n_chars, toxic, quality as y from documents join labels using (doc_id))",
+                                 ["n_chars", "toxic"], 3, True, "importance"),
     "metrics_classification": """with c as (select count(*) filter (quality = 1 and toxic = 1)::double tp,
             count(*) filter (quality = 0 and toxic = 1) fp, count(*) filter (quality = 1 and toxic = 0) fn,
             avg((quality = toxic)::int) acc from labels),

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from ..functions.scalar import names_of, vector, width_of
 from ..operators.linalg import block
 from ..operators.split import row_hash
+from ..session import durable
 from .base import Matrix, Model, list_array
 
 CHUNK = 8_192
@@ -115,21 +116,19 @@ def neighbours(
         raise ValueError(f"unknown metric {metric!r}; use one of {METRICS}")
     if k < 1:
         raise ValueError("k must be at least 1")
-    copies = W.partitionBy("x", "tf").orderBy("tid") if exclude_fold else W.partitionBy("x").orderBy("tid")
-    train = train.withColumn("_c", F.row_number().over(copies)).where(F.col("_c") <= k).drop("_c")
     size = train.count()
     if not size:
         raise ValueError("no training rows")
     n_pivots = n_pivots or min(MAX_PIVOTS, size // ROWS_PER_PIVOT)
     if n_pivots > 1:
         pivots = _pivots(train, n_pivots, seed)
-        train, queries = (_assign(df, pivots, metric, width) for df in (train, queries))
-        routes = _routes(queries, train, pivots, k, metric, exclude_fold, chunk)
+        queries = _assign(queries, pivots, metric, width)
+        # several small aggregates and the join read the reduced training rows
+        train = durable(_without_copies(_assign(train, pivots, metric, width), k, exclude_fold))
+        pieces = _join_sides(queries, train, _routes(queries, train, pivots, k, metric, exclude_fold, chunk))
     else:
-        # a single cell: nothing to rule out
-        train, queries = (df.withColumns({"cell": F.lit(0), "away": F.lit(0.0)}) for df in (train, queries))
-        routes = _one_route(queries, size, exclude_fold, chunk)
-    pieces = _join_sides(queries, train, routes)
+        train = _without_copies(train, k, exclude_fold)
+        pieces = _one_cell_sides(queries, train, size, exclude_fold, chunk)
     schema = (f"qid {queries.schema['qid'].dataType.simpleString()}, "
               f"tid {train.schema['tid'].dataType.simpleString()}, dist double, y double")
     joined = pieces[0].groupBy("cell", "fold", "qc", "tc").cogroup(
@@ -139,9 +138,17 @@ def neighbours(
     return joined.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
 
+def _without_copies(train: DataFrame, k: int, exclude: bool) -> DataFrame:
+    """Of equal vectors (within a fold) only the k smallest keys can be anyone's neighbour."""
+    copies = W.partitionBy("x", "tf") if exclude else W.partitionBy("x")
+    numbered = train.withColumn("_c", F.row_number().over(copies.orderBy("tid")))
+    return numbered.where(F.col("_c") <= k).drop("_c")
+
+
 def _pivots(train: DataFrame, n: int, seed: int) -> np.ndarray:
-    rows = train.select("x", row_hash(["tid"], seed).alias("h")).orderBy("h").limit(n).collect()
-    return np.array([r["x"] for r in rows], dtype=float)
+    """Up to n different vectors, drawn by key hash."""
+    rows = train.select("x", row_hash(["tid"], seed).alias("h")).orderBy("h").limit(4 * n).collect()
+    return np.array(list(dict.fromkeys(tuple(r["x"]) for r in rows))[:n], dtype=float)
 
 
 def _assign(df: DataFrame, pivots: np.ndarray, metric: str, width: int) -> DataFrame:
@@ -194,12 +201,23 @@ def _routes(queries, train, pivots, k, metric, exclude, chunk) -> DataFrame:
 ROUTES = "cell int, fold int, tcell int, lo double, hi double, qcs long, tcs long"
 
 
-def _one_route(queries, size, exclude, chunk) -> DataFrame:
+def _one_cell_sides(queries, train, size, exclude, chunk):
+    """Both sides when there is a single cell and nothing to rule out: chunk counts are literals."""
     fold = F.col("qf") if exclude else F.lit(-1)
     asked = queries.groupBy(fold.alias("fold")).agg(F.count(F.lit(1)).alias("n")).collect()
-    chunks = lambda n: max(1, -(-n // chunk))
-    rows = [(0, a["fold"], 0, -1.0, 1.0, chunks(a["n"]), chunks(size)) for a in asked]
-    return queries.sparkSession.createDataFrame(rows, ROUTES)
+    chunks = lambda n: F.lit(max(1, -(-n // chunk))).cast("long")
+    tcs = chunks(size)
+    routes = F.array(*[F.struct(F.lit(a["fold"]).alias("fold"), chunks(a["n"]).alias("qcs")) for a in asked])
+    mine = F.filter(routes, lambda r: (r["fold"] == -1) | (r["fold"] == F.col("qf")))
+    other = F.filter(routes, lambda r: (r["fold"] == -1) | (r["fold"] != F.col("tf")))
+    numbers = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+    left = queries.select("*", F.inline(mine)).select(
+        F.lit(0).alias("cell"), "fold", F.pmod(F.xxhash64("qid"), "qcs").alias("qc"), "qid", "x", "qf",
+        numbers(tcs).alias("tc"))
+    right = train.select("*", F.inline(other)).select(
+        F.lit(0).alias("cell"), "fold", numbers(F.col("qcs")).alias("qc"),
+        F.pmod(F.xxhash64("tid"), tcs).alias("tc"), "tid", "x", "y", "tf")
+    return left, right
 
 
 def _join_sides(queries, train, routes):

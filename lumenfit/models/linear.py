@@ -2,7 +2,8 @@
 
 The squared-error gradient depends on the table only through ``X'X``, ``X'y`` and the column sums,
 so one pass over the table serves every learning rate and number of epochs, and per-fold moments
-serve every cross-validation split: training moments are the merge of the other folds.
+serve every cross-validation split: training moments are the merge of the other folds. Only tables
+with very many features, whose squared width outgrows their rows, are descended pass by pass.
 """
 
 from __future__ import annotations
@@ -12,10 +13,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalar import columns_of, linear, names_of, vector, width_of
 from ..operators.linalg import Moments, block, merge_all, moments, solve_moments
+from . import descent
 from .base import (EXPRESSION_TERMS, Matrix, Model, absolute_share, by_fold, explode_configs,
                    list_array)
 
 
+# Beyond this many features the co-moments cost more than passes over the rows.
+MANY_FEATURES = 300
+
+
 def descend(m: Moments, lr: float, epochs: int) -> tuple[np.ndarray, float]:
     """Full-batch descent from zero; ``m`` holds the moments of (features, label)."""
     d = len(m.mean) - 1
@@ -51,7 +57,14 @@ class LinearRegression:
     def _solve(self, m: Moments):
         return solve_moments(m) if self.solver == "normal" else descend(m, self.lr, self.epochs)
 
+    def _by_passes(self, df: DataFrame, features) -> bool:
+        return self.solver != "normal" and width_of(df, features) > MANY_FEATURES
+
     def fit(self, df: DataFrame, label: str = "label", features="features") -> LinearModel:
+        if self._by_passes(df, features):
+            settings = [(2 * self.lr, self.epochs, -1)]
+            (found,) = descent.descend(df, features, label, F.lit(0), settings, False)
+            return LinearModel(features, names_of(df, features), *found)
         columns = columns_of(df, features) + [F.col(label).cast("double")]
         found = moments(df, columns)
         if not found:
@@ -65,9 +78,15 @@ class LinearRegression:
 
     @classmethod
     def out_of_fold(cls, m: Matrix, configs: list[dict], k: int, seed: int = 42) -> DataFrame:
-        per_fold = moments(m.df, columns_of(m.df, m.features) + [F.col(m.label).cast("double")], [m.fold])
-        train = [merge_all([v for g, v in per_fold.items() if g[0] != f]) for f in range(k)]
-        models = [[cls(**c)._solve(train[f]) for f in range(k)] for c in configs]
+        made = [cls(**c) for c in configs]
+        if all(c._by_passes(m.df, m.features) for c in made):
+            settings = [(2 * c.lr, c.epochs, f) for c in made for f in range(k)]
+            found = descent.descend(m.df, m.features, m.label, F.col(m.fold), settings, False)
+            models = [found[i * k : (i + 1) * k] for i in range(len(made))]
+        else:
+            per_fold = moments(m.df, columns_of(m.df, m.features) + [F.col(m.label).cast("double")], [m.fold])
+            train = [merge_all([v for g, v in per_fold.items() if g[0] != f]) for f in range(k)]
+            models = [[c._solve(train[f]) for f in range(k)] for c in made]
         scores = linear_scores(m.df, m.features, models, m)
         return explode_configs(m, F.array(*scores), k)
 

@@ -9,10 +9,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalar import columns_of, names_of, total, vector, width_of
-from ..operators.linalg import block
+from ..operators.linalg import WIDE, block
 from .base import EXPRESSION_TERMS, Matrix, Model, by_fold, explode_configs, list_array
 
 # Driver-side statistics are kept per class and fold; beyond this many groups fitting fails.
@@ -42,6 +43,8 @@ class Gaussians:
 
 def class_moments(df: DataFrame, label: str, features, by: list[str]) -> dict[tuple, ClassMoments]:
     """``{(class, *group): moments}``; every class and group is a merged aggregate."""
+    if width_of(df, features) > WIDE:
+        return _class_moments_by_block(df, label, features, by)
     columns = columns_of(df, features)
     named = df.select(F.col(label).cast("int").alias("_class"), *by,
                       *[c.alias(f"x{i}") for i, c in enumerate(columns)])
@@ -58,6 +61,50 @@ def class_moments(df: DataFrame, label: str, features, by: list[str]) -> dict[tu
     }
 
 
+def _class_moments_by_block(df, label, features, by) -> dict[tuple, ClassMoments]:
+    """Many features: each task reduces its Arrow batches to moments per group, and the partial
+    moments of a group are merged in a second, small step."""
+    d, merge = width_of(df, features), ClassMoments.merge
+    group = F.concat_ws(":", F.col(label).cast("int").cast("string"), *[F.col(b).cast("string") for b in by])
+    packed = df.select(group.alias("g"), vector(df, features).alias("x"))
+
+    def as_batch(found):
+        return pa.table({
+            "g": pa.array(list(found)), "n": pa.array([m.n for m in found.values()], pa.int64()),
+            "mean": list_array(np.array([m.mean for m in found.values()])),
+            "m2": list_array(np.array([m.m2 for m in found.values()]))})
+
+    def partial(batches):
+        found: dict[str, ClassMoments] = {}
+        for batch in batches:
+            x, g = block(batch.column("x"), d), np.array(batch.column("g").to_pylist(), dtype=object)
+            for name in set(g):
+                rows = x[g == name]
+                mean = rows.mean(axis=0)
+                part = ClassMoments(len(rows), mean, ((rows - mean) ** 2).sum(axis=0))
+                found[name] = merge(found[name], part) if name in found else part
+        if found:
+            yield from as_batch(found).to_batches()
+
+    def merged_group(table):
+        means, m2 = block(table.column("mean"), d), block(table.column("m2"), d)
+        whole = None
+        for n, mean, square in zip(table.column("n").to_pylist(), means, m2):
+            part = ClassMoments(n, mean, square)
+            whole = part if whole is None else merge(whole, part)
+        return as_batch({table.column("g")[0].as_py(): whole})
+
+    schema = "g string, n long, mean array<double>, m2 array<double>"
+    rows = packed.mapInArrow(partial, schema).groupBy("g").applyInArrow(merged_group, schema)
+    rows = rows.limit(MAX_GROUPS + 1).collect()
+    if len(rows) > MAX_GROUPS:
+        raise ValueError(f"'{label}' has too many classes; use regression")
+    return {
+        tuple(int(v) for v in r["g"].split(":")): ClassMoments(r["n"], np.array(r["mean"]), np.array(r["m2"]))
+        for r in rows
+    }
+
+
 def gaussians(moments: dict[int, ClassMoments], smoothing: float) -> Gaussians:
     classes = sorted(moments)
     n = sum(moments[c].n for c in classes)

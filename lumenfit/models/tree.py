@@ -43,7 +43,7 @@ BROADCAST_ROWS = 200_000
 EXPRESSION_DEPTH = 6
 # A node (rows times features) or an opened bucket is searched value by value up to this size;
 # beyond it, by buckets that are cut in PARTS again.
-VALUES_PER_GROUP = 500_000
+VALUES_PER_GROUP = 2_000_000
 PARTS = 256
 SUMS = ["s0", "s1", "s2"]
 # Small nodes are scored together in groups of about this many cells.
@@ -144,7 +144,7 @@ class _Grower:
         self.classify = m.task == "classification"
         self.spark = m.df.sparkSession
         self.centre, self.classes = 0.0, []
-        self.values_per_group = VALUES_PER_GROUP
+        self.values_per_group, self.bucketed = VALUES_PER_GROUP, True
 
     def model(self, fold_position: int, tree: int) -> int:
         return fold_position * (self.n_trees or 1) + tree
@@ -173,8 +173,10 @@ class _Grower:
         draws = F.array(F.lit(1))
         if self.n_trees:
             draws = bootstrap_weights([F.col(k) for k in m.keys], self.seed, self.n_trees)
-        base = spread(m.df.select(*cells, draws.alias("draws")), n, partitions)
-        if 2 * n * self.d <= self.values_per_group:
+        work = n * self.d * len(self.folds) // 10  # a cell is a tenth of a row's work
+        base = spread(m.df.select(*cells, draws.alias("draws")), max(n, work), partitions)
+        self.bucketed = 1.25 * n * self.d > self.values_per_group
+        if not self.bucketed:
             # every node will be searched value by value, so there is nothing to cut
             return base.withColumn("b", F.array().cast("array<int>"))
         return base.withColumn("b", self._bucket(n)("x"))
@@ -319,7 +321,7 @@ class _Grower:
     def _is_small(self, grown: Grown, model: int, node: int) -> bool:
         """Whether all cells of a node fit one group, which then skips the buckets."""
         cells = grown.trees[model][node].n * len(self._features_of(model))
-        return cells <= self.values_per_group
+        return not self.bucketed or cells <= self.values_per_group
 
     def _split(self, grown: Grown, cells: DataFrame, depth: int, active) -> None:
         """Find and record the best split of every active node."""

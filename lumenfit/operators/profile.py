@@ -71,15 +71,17 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
         F.count(F.lit(1)).alias("n"))
 
 
-def _mode_cells() -> list[Column]:
-    """Most frequent value (the smallest on a tie) and number of values, from value counts."""
-    rank = F.struct((-F.col("n")).alias("n"), F.col("value"))
-    return [F.min_by("value", rank).alias("mode"), F.count(F.lit(1)).alias("n_unique")]
+def mode_table(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, mode, n_unique): the most frequent value, the smallest on a tie."""
+    return modes_of(value_counts(df, columns))
 
 
-def mode_table(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column, mode, n_unique): no group is ever held in one buffer."""
-    return value_counts(df, columns).groupBy("column").agg(*_mode_cells())
+def modes_of(counts: DataFrame) -> DataFrame:
+    """Modes from value counts by hash aggregates only: the highest count per column is found first
+    and sent back (one row per column), so the counted values are never sorted."""
+    top = counts.groupBy("column").agg(F.max("n").alias("top"), F.count(F.lit(1)).alias("n_unique"))
+    hits = counts.join(F.broadcast(top), "column").where(F.col("n") == F.col("top"))
+    return hits.groupBy("column").agg(F.min("value").alias("mode"), F.max("n_unique").alias("n_unique"))
 
 
 # --- profile -----------------------------------------------------------------------------------
@@ -185,20 +187,18 @@ def _modes(data, *groups) -> dict[str, tuple]:
 
 
 def _value_statistics(data, moments, numeric) -> tuple[dict, dict]:
-    """Quartiles, modes and distinct counts of a table of bounded size from one value count."""
+    """Quartiles, modes and distinct counts of a table of bounded size, from value counts."""
     sizes = {c: moments[c]["n"] for c in numeric}
     ranks, values, modes = wanted_ranks(sizes, QUARTILES), {}, {}
     if numeric:
         order = W.partitionBy("column").orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
         counts = value_counts(data, numeric).withColumn("upto", F.sum("n").over(order))
         hit = rank_hits(ranks, F.col("column"), F.col("upto"), F.col("n"))
-        at = F.collect_list(F.when(hit, F.struct("upto", "n", "value"))).alias("at")
-        for r in counts.groupBy("column").agg(at, *_mode_cells()).collect():
-            modes[r["column"]] = (r["mode"], r["n_unique"])
+        for r in counts.where(hit).collect():
             for c, rank in ranks:
-                if c == r["column"]:
-                    values[(c, rank)] = next(
-                        v["value"] for v in r["at"] if v["upto"] - v["n"] <= rank < v["upto"])
+                if c == r["column"] and r["upto"] - r["n"] <= rank < r["upto"]:
+                    values[(c, rank)] = r["value"]
+        modes = _modes(data, numeric)
     return interpolate(sizes, QUARTILES, values), modes
 
 

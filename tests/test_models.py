@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lumenfit.functions.metrics import METRICS, Metric
-from lumenfit.models import knn, logistic, tree
+from lumenfit.models import descent, knn, linear, naive_bayes, tree
 from lumenfit.models.base import Matrix
 from lumenfit.models.knn import KNearestNeighbors
 from lumenfit.models.linear import LinearRegression
@@ -55,7 +55,9 @@ def descend(x, y, lr, epochs, link, factor):
 SIGMOID = lambda z: 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
-def test_linear_equals_row_descent(data):
+@pytest.mark.parametrize("many", [300, 1])
+def test_linear_equals_row_descent(data, monkeypatch, many):
+    monkeypatch.setattr(linear, "MANY_FEATURES", many)  # moments, or passes over the rows
     x, _, z, fold, df = data
     model = LinearRegression(0.05, 150).fit(df, "z", ["a", "b", "c"])
     w, b = descend(x, z, 0.05, 150, lambda v: v, 2)
@@ -76,10 +78,10 @@ def test_normal_solver(spark):
     assert model.score(houses, "Price") > 0.999999
 
 
-@pytest.mark.parametrize("cells", [logistic.ONE_TASK_CELLS, 0])
+@pytest.mark.parametrize("cells", [descent.ONE_TASK_CELLS, 0])
 def test_logistic_equals_row_descent(data, monkeypatch, cells):
-    monkeypatch.setattr(logistic, "ONE_TASK_CELLS", cells)
-    monkeypatch.setattr(logistic, "DRIVER_CELLS", cells)
+    monkeypatch.setattr(descent, "ONE_TASK_CELLS", cells)
+    monkeypatch.setattr(descent, "DRIVER_CELLS", cells)
     x, y, _, fold, df = data
     epochs = 60 if cells else 4
     model = LogisticRegression(0.1, epochs).fit(df, "y", ["a", "b", "c"])
@@ -117,9 +119,8 @@ def bayes(x, y, q, eps):
 
 @pytest.mark.parametrize("terms", [0, 10_000])
 def test_naive_bayes(data, monkeypatch, terms):
-    from lumenfit.models import naive_bayes
-
     monkeypatch.setattr(naive_bayes, "EXPRESSION_TERMS", terms)  # Arrow batches or expressions
+    monkeypatch.setattr(naive_bayes, "WIDE", 24 if terms else 1)
     x, y, _, fold, df = data
     model = GaussianNB().fit(df, "y", ["a", "b", "c"])
     assert (predictions(model, df) == bayes(x, y, x, 1e-9)).all()

@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.scalar import normalize
+from ..functions.scalar import EPS, normalize
 from .encode import MAX_WIDTH, LabelEncoder, OneHotEncoder, _bytes
 from .profile import mode_table
 from .quantiles import exact_percentiles
@@ -21,47 +21,92 @@ from .typing import (BOOLEAN, CATEGORICAL, NUMERICAL, detect_column_types, is_mi
                      numeric_cell, require_column, typed)
 
 
-@dataclass
-class _Output:
-    """One feature of the prepared table: how to compute it and its mean and deviation."""
+# Indicators of a column with more categories than this are computed as one array.
+FEW_CATEGORIES = 8
+
 
-    name: str
-    expr: Column
-    mean: float
-    std: float
-    encoded: bool
+@dataclass
+class _Piece:
+    """The features one source column gives: names, means and deviations, and how to compute them."""
+
+    source: str
+    names: list[str]
+    means: list[float]
+    stds: list[float]
+    kind: str
+    fill: object
+    categories: list[str] = field(default_factory=list)
+
+    def value(self) -> Column:
+        """The source cell, filled."""
+        x = F.col(f"`{self.source}`")
+        if self.kind == CATEGORICAL:
+            return F.coalesce(x, F.lit(self.fill))
+        return F.coalesce(x.cast("double"), F.lit(float(self.fill)))
+
+    @property
+    def one_hot(self) -> bool:
+        return self.kind == CATEGORICAL and len(self.names) > 1
+
+    def code(self) -> Column:
+        encoder = LabelEncoder()
+        encoder.mapping = {c: i for i, c in enumerate(self.categories)}
+        return encoder.code(self.value())
+
+    def columns(self, scale: bool) -> list[Column]:
+        if self.one_hot:
+            encoder = OneHotEncoder()
+            encoder.categories = self.categories
+            cells = [c.cast("double") for c in encoder.indicators(self.value())]
+        else:
+            cells = [self.code().cast("double") if self.kind == CATEGORICAL else self.value()]
+        if not scale:
+            return cells
+        return [normalize(c, m, s) for c, m, s in zip(cells, self.means, self.stds)]
+
+    def array(self, scale: bool) -> Column:
+        """The features as an array. Wide indicators differ from a constant array in one place."""
+        if len(self.names) <= FEW_CATEGORIES:
+            return F.array(*self.columns(scale))
+        off, on = [0.0] * len(self.names), [1.0] * len(self.names)
+        if scale:
+            off = [(0.0 - m) / (s + EPS) for m, s in zip(self.means, self.stds)]
+            on = [(1.0 - m) / (s + EPS) for m, s in zip(self.means, self.stds)]
+        code, hot = self.code(), F.lit(on)
+        return F.transform(F.lit(off), lambda v, i: F.when(i == code, F.get(hot, i)).otherwise(v))
 
 
 @dataclass
 class FittedPreprocessor:
+    """The frozen transform: a projection of column expressions."""
+
     kinds: dict[str, str]
-    fills: dict[str, object]
-    encoders: dict[str, object]
-    outputs: list[_Output]
+    pieces: list[_Piece]
     scale: bool
     scale_encoded: bool
-    feature_names: list[str] = field(default_factory=list)
 
-    def features(self, df: DataFrame) -> list[Column]:
-        columns = []
-        for o in self.outputs:
-            c = o.expr.cast("double")
-            if self.scale and (self.scale_encoded or not o.encoded):
-                c = normalize(c, o.mean, o.std)
-            columns.append(c.alias(o.name))
-        return columns
+    @property
+    def feature_names(self) -> list[str]:
+        return [n for p in self.pieces for n in p.names]
+
+    @property
+    def fills(self) -> dict[str, object]:
+        return {p.source: p.fill for p in self.pieces}
+
+    def _scaled(self, piece: _Piece) -> bool:
+        return self.scale and (self.scale_encoded or piece.kind != CATEGORICAL)
 
     def transform(self, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
         """Keep the given columns and add one double column per feature."""
-        data = typed(df, self.kinds)
-        return data.select(*[F.col(f"`{c}`") for c in keep or []], *self.features(data))
+        cells = [c.alias(n) for p in self.pieces for n, c in zip(p.names, p.columns(self._scaled(p)))]
+        return typed(df, self.kinds).select(*[F.col(f"`{c}`") for c in keep or []], *cells)
 
     def matrix(self, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
         """Keep the given columns and add the features as one array column ``features``."""
-        data = typed(df, self.kinds)
-        meta = {"width": len(self.outputs), "names": self.feature_names}
-        vector = F.array(*self.features(data)).alias("features", metadata=meta)
-        return data.select(*[F.col(f"`{c}`") for c in keep or []], vector)
+        names = self.feature_names
+        vector = F.concat(*[p.array(self._scaled(p)) for p in self.pieces])
+        vector = vector.alias("features", metadata={"width": len(names), "names": names})
+        return typed(df, self.kinds).select(*[F.col(f"`{c}`") for c in keep or []], vector)
 
 
 class Preprocessor:
@@ -84,14 +129,11 @@ class Preprocessor:
         text = [c for c in columns if kinds[c] == CATEGORICAL]
         numbers = self._numeric_statistics(data, kinds, numeric)
         counts, rows = self._category_counts(data, text, numbers)
-        fitted = FittedPreprocessor(kinds, {}, {}, [], self.scaler == "standard", self.scale_encoded)
-        for c in columns:
-            if kinds[c] == CATEGORICAL:
-                self._add_category(fitted, c, counts[c], rows)
-            else:
-                self._add_number(fitted, c, numbers[c], kinds[c])
-        fitted.feature_names = [o.name for o in fitted.outputs]
-        return fitted
+        pieces = [
+            self._category(c, counts[c], rows) if kinds[c] == CATEGORICAL
+            else self._number(c, numbers[c], kinds[c]) for c in columns
+        ]
+        return FittedPreprocessor(kinds, pieces, self.scaler == "standard", self.scale_encoded)
 
     def fit_transform(self, df: DataFrame, columns: list[str], keep: list[str] | None = None) -> DataFrame:
         return self.fit(df, columns).transform(df, keep)
@@ -110,20 +152,19 @@ class Preprocessor:
             ).alias(c))
         row = data.agg(*cells).first()
         found = {c: row[c].asDict() for c in numeric}
-        holes = [c for c in numeric if found[c]["n"] < found[c]["rows"]]
-        fills = {c: found[c]["mean"] for c in holes if kinds[c] == NUMERICAL}
-        by_mode = [c for c in holes if kinds[c] == BOOLEAN]
-        if self.strategy == "median":
-            cuts = exact_percentiles(data, list(fills), [0.5])
-            fills = {c: q[0] for c, q in cuts.items()}
-        elif self.strategy != "mean":
-            by_mode, fills = holes, {}
-        if by_mode:
-            as_numbers = data.select([F.col(f"`{c}`").cast("double").alias(c) for c in by_mode])
-            fills.update({r["column"]: r["mode"] for r in mode_table(as_numbers, by_mode).collect()})
-        for c in holes:
-            if fills.get(c) is None:
+        for c in numeric:
+            if not found[c]["n"]:
                 raise ValueError(f"column '{c}' has no value to impute from")
+        # new rows may lack what the fitted rows had, so every column gets its fill
+        plain = [c for c in numeric if kinds[c] == NUMERICAL]
+        fills = {c: float(found[c]["mean"] > 0.5) for c in numeric if kinds[c] == BOOLEAN}
+        if self.strategy == "mean":
+            fills.update({c: found[c]["mean"] for c in plain})
+        elif self.strategy == "median":
+            fills.update({c: q[0] for c, q in exact_percentiles(data, plain, [0.5]).items()})
+        elif plain:
+            fills.update({r["column"]: r["mode"] for r in mode_table(data, plain).collect()})
+        for c in numeric:
             found[c]["fill"] = fills[c]
         return found
 
@@ -151,45 +192,28 @@ class Preprocessor:
         return ValueError(f"column '{c}' has more than {self.max_width} categories; drop it, "
                           "label-encode it or raise max_width")
 
-    def _add_number(self, fitted, c, s, kind) -> None:
-        if not s["n"]:
-            raise ValueError(f"column '{c}' has no value to impute from")
-        x, mean, var = F.col(f"`{c}`").cast("double"), s["mean"], s["var"]
-        if "fill" in s:
-            fitted.fills[c] = s["fill"]
-            x = F.coalesce(x, F.lit(float(s["fill"])))
-            share = s["n"] / s["rows"]
-            whole = share * mean + (1 - share) * s["fill"]
-            var = share * (var + (mean - whole) ** 2) + (1 - share) * (s["fill"] - whole) ** 2
-            mean = whole
-        fitted.outputs.append(_Output(c, x, mean, math.sqrt(var), False))
-
-    def _add_category(self, fitted, c, counts, rows) -> None:
+    def _number(self, c, s, kind) -> _Piece:
+        mean, var, fill, share = s["mean"], s["var"], s["fill"], s["n"] / s["rows"]
+        whole = share * mean + (1 - share) * fill
+        var = share * (var + (mean - whole) ** 2) + (1 - share) * (fill - whole) ** 2
+        return _Piece(c, [c], [whole], [math.sqrt(var)], kind, fill)
+
+    def _category(self, c, counts, rows) -> _Piece:
         present = {v: n for v, n in counts.items() if v is not None}
         if not present:
             raise ValueError(f"column '{c}' has no value to impute from")
         if len(present) > self.max_width and self.encoding != "ordinal":
             raise self._too_wide(c)
-        x = F.col(f"`{c}`")
-        if None in counts:
-            fill = min(present, key=lambda v: (-present[v], _bytes(v)))
-            present[fill] += counts[None]
-            fitted.fills[c] = fill
-            x = F.coalesce(x, F.lit(fill))
+        fill = min(present, key=lambda v: (-present[v], _bytes(v)))
+        present[fill] += counts.get(None, 0)
         names = sorted(present, key=_bytes)
         shares = [present[v] / rows for v in names]
-        if len(names) <= 2 or self.encoding == "ordinal":
-            encoder = LabelEncoder()
-            encoder.size, encoder.mapping = len(names), {v: i for i, v in enumerate(names)}
-            mean = sum(i * p for i, p in enumerate(shares))
-            var = sum(p * (i - mean) ** 2 for i, p in enumerate(shares))
-            fitted.outputs.append(_Output(c, encoder.code(x), mean, math.sqrt(var), True))
-        else:
-            encoder = OneHotEncoder(self.max_width)
-            encoder.categories = names
-            for name, cell, p in zip(encoder.names(c), encoder.indicators(x), shares):
-                fitted.outputs.append(_Output(name, cell, p, math.sqrt(p * (1 - p)), True))
-        fitted.encoders[c] = encoder
+        if len(names) > 2 and self.encoding != "ordinal":
+            return _Piece(c, [f"{c}_{v}" for v in names], shares, [math.sqrt(p * (1 - p)) for p in shares],
+                          CATEGORICAL, fill, names)
+        mean = sum(i * p for i, p in enumerate(shares))
+        var = sum(p * (i - mean) ** 2 for i, p in enumerate(shares))
+        return _Piece(c, [c], [mean], [math.sqrt(var)], CATEGORICAL, fill, names)
 
 
 def clean_target(df: DataFrame, target: str) -> tuple[DataFrame, LabelEncoder | None]:

@@ -81,7 +81,7 @@ def autofit(
     spark = spark or (source.sparkSession if isinstance(source, DataFrame) else SparkSession.active())
     df = read_table(spark, source, target)
     if not keys:
-        df, keys = with_row_key(df), ["row_id"]
+        df, keys = durable(with_row_key(df)), ["row_id"]  # every later pass would repeat the shuffle
     features = features or [c for c in df.columns if c != target and c not in keys]
     if not features:
         raise ValueError("there are no feature columns")

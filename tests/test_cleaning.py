@@ -158,3 +158,15 @@ def test_bootstrap(spark):
     assert abs(none - np.exp(-1)) < 0.03
     assert split.feature_subset(10, None, 42, 0) == split.feature_subset(10, None, 42, 0)
     assert len(split.feature_subset(10, None, 42, 1)) == 3
+
+
+def test_matrix_equals_columns(spark):
+    rows = [(float(i % 7), f"c{i % 12:02d}" if i % 5 else None, f"s{i % 3}") for i in range(60)]
+    df = spark.createDataFrame(rows, "x double, wide string, few string")
+    new = df.unionByName(spark.createDataFrame([(None, "zz", "zz")], df.schema))
+    for options in ({}, {"scaler": None}, {"scale_encoded": False}):
+        fitted = prepare.Preprocessor(**options).fit(df, ["x", "wide", "few"])
+        assert len(fitted.feature_names) == 16
+        columns = np.array([list(r) for r in fitted.transform(new).collect()])
+        vectors = np.array([r["features"] for r in fitted.matrix(new).collect()])
+        np.testing.assert_allclose(vectors, columns, rtol=1e-12)

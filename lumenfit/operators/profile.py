@@ -191,14 +191,19 @@ def _value_statistics(data, moments, numeric) -> tuple[dict, dict]:
     sizes = {c: moments[c]["n"] for c in numeric}
     ranks, values, modes = wanted_ranks(sizes, QUARTILES), {}, {}
     if numeric:
-        order = W.partitionBy("column").orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
-        counts = value_counts(data, numeric).withColumn("upto", F.sum("n").over(order))
-        hit = rank_hits(ranks, F.col("column"), F.col("upto"), F.col("n"))
-        for r in counts.where(hit).collect():
-            for c, rank in ranks:
-                if c == r["column"] and r["upto"] - r["n"] <= rank < r["upto"]:
-                    values[(c, rank)] = r["value"]
-        modes = _modes(data, numeric)
+        counts = value_counts(data, numeric).persist()
+        try:
+            order = W.partitionBy("column").orderBy("value")
+            ranked = counts.withColumn(
+                "upto", F.sum("n").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)))
+            hit = rank_hits(ranks, F.col("column"), F.col("upto"), F.col("n"))
+            for r in ranked.where(hit).collect():
+                for c, rank in ranks:
+                    if c == r["column"] and r["upto"] - r["n"] <= rank < r["upto"]:
+                        values[(c, rank)] = r["value"]
+            modes = {r["column"]: (r["mode"], r["n_unique"]) for r in modes_of(counts).collect()}
+        finally:
+            counts.unpersist()
     return interpolate(sizes, QUARTILES, values), modes
 
 

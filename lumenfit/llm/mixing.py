@@ -110,33 +110,47 @@ def mix(docs: DataFrame, by: str = "source", weights=(1, 2, 3), cap: float = 3.0
     cell = cell.withColumn("_i", place.cast("long"))
     u = _uniform(F.col(by), F.col("_cell"))
     copies = F.floor(F.col("rate") * F.col("_i") + u) - F.floor(F.col("rate") * (F.col("_i") - 1) + u)
+    # A unit that alone would move its source by more than a twentieth of its target is left to the repair.
+    copies = F.when(F.col("_mass") * 20 > F.col("target"), F.floor(F.col("rate"))).otherwise(copies)
     limit = int(cap)
     cell = durable(cell.withColumn("copies", F.greatest(F.lit(0), F.least(F.lit(limit), copies)).cast("long")))
 
+    for flip in (False, True, False):
+        cell = durable(_repaired(cell, by, key, limit, spare, flip))
+    final = cell
+    final = final.withColumn("_each", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_m"))))
+    return final.select(key, by, "size", F.col("group_size").alias("source_size"), "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def _repaired(cell: DataFrame, by: str, key: str, limit: int, spare: int, flip: bool) -> DataFrame:
+    """Change the copies of a few units by one each to close the gaps to the targets.
+
+    Of each size class ``spare`` units are offered; larger first, a unit is taken while it does not exceed what is
+    left or, with ``flip``, while it brings the rest nearer to zero.
+    """
     gaps = cell.groupBy(by).agg(F.first("target").alias("_target"), F.sum(F.col("_mass") * F.col("copies")).alias("_taken"))
     gaps = gaps.select(F.col(by).alias("_k"), (F.col("_target") - F.col("_taken")).alias("_gap"))
-    offered = cell.join(gaps, F.col(by).eqNullSafe(F.col("_k"))).where(F.col("size") > 0)
+    offered = cell.join(gaps, F.col(by).eqNullSafe(F.col("_k"))).where((F.col("size") > 0) & (F.col("_mass") < 2 * F.abs("_gap")))
     offered = offered.where(F.when(F.col("_gap") > 0, F.col("copies") < limit).otherwise(F.col("copies") > 0))
-    level = F.floor(F.log2(F.col("_mass").cast("double")))
-    offered = offered.where(F.col("_mass") <= F.abs("_gap")).withColumn("_level", level)
-    first = F.row_number().over(Window.partitionBy(by, "_level").orderBy(F.xxhash64(F.col(key), F.lit(2)), F.col("_cell"), F.col("_i")))
+    offered = offered.withColumn("_level", F.floor(F.log2(F.col("_mass").cast("double"))))
+    first = F.row_number().over(Window.partitionBy(by, "_level").orderBy(F.xxhash64(F.col(key), F.lit(2 + flip)), F.col("_cell"), F.col("_i")))
     offered = offered.withColumn("_turn", first).where(F.col("_turn") <= spare)
     lists = offered.groupBy("_k").agg(F.first("_gap").alias("_gap"), F.sort_array(F.collect_list(F.struct("_mass", "_cell", "_i")), asc=False).alias("_offer"))
     start = F.struct(F.abs(F.col("_gap")).alias("left"), F.array().cast("array<struct<c:bigint,i:bigint>>").alias("took"))
     take = F.aggregate("_offer", start, lambda s, x: F.when(
-        x["_mass"] <= s["left"], F.struct((s["left"] - x["_mass"]).alias("left"), F.concat(s["took"], F.array(F.struct(x["_cell"].alias("c"), x["_i"].alias("i")))).alias("took"))).otherwise(s))
+        x["_mass"] < 2 * s["left"] if flip else x["_mass"] <= s["left"],
+        F.struct((s["left"] - x["_mass"]).alias("left"), F.concat(s["took"], F.array(F.struct(x["_cell"].alias("c"), x["_i"].alias("i")))).alias("took"))).otherwise(s))
     changes = lists.select("_k", F.signum("_gap").cast("long").alias("_sign"), F.explode(take["took"]).alias("_u")).select("_k", "_sign", F.col("_u.c").alias("_c"), F.col("_u.i").alias("_j"))
     final = cell.join(changes, F.col(by).eqNullSafe(F.col("_k")) & (F.col("_cell") == F.col("_c")) & (F.col("_i") == F.col("_j")), "left")
-    final = final.withColumn("copies", F.col("copies") + F.coalesce(F.col("_sign"), F.lit(0)))
-    final = final.withColumn("_each", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_m"))))
-    return final.select(key, by, "size", F.col("group_size").alias("source_size"), "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    return final.withColumn("copies", F.col("copies") + F.coalesce(F.col("_sign"), F.lit(0))).drop("_k", "_c", "_j", "_sign")
 
 
 def mixed_documents(docs: DataFrame, by: str = "source", key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as :func:`mix` decides, with all its columns."""
     plan = mix(docs, by=by, key=key, text=text, **options)
     plan = plan.groupBy(F.col(key).alias("_key"), F.col(by).alias("_by"), F.col("size").alias("_size")).agg(F.max("copies").alias("_copies"))
-    sized = docs.withColumn("_n", word_count(F.col(text)))
-    same = sized[key].eqNullSafe(F.col("_key")) & sized[by].eqNullSafe(F.col("_by")) & (F.col("_n") == F.col("_size"))
+    # The columns of a document travel as one, so their names may be anything.
+    sized = docs.select(F.struct("*").alias("_row"), F.col(key).alias("_k"), F.col(by).alias("_b"), word_count(F.col(text)).alias("_n"))
+    same = F.col("_k").eqNullSafe(F.col("_key")) & F.col("_b").eqNullSafe(F.col("_by")) & (F.col("_n") == F.col("_size"))
     kept = sized.join(plan.where(F.col("_copies") > 0), same)
-    return kept.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*[sized[f"`{c}`"] for c in docs.columns])
+    return kept.select("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select("_row.*")

@@ -117,7 +117,7 @@ def shard_answers(ids: np.ndarray, vectors: np.ndarray, queries: tuple, k: int,
                 who, members = active[leaf == number], tree.leaves[number]
                 scores = q_vectors[part][who] @ vectors[members].T
                 scores[q_ids[part][who][:, None] == ids[members][None, :]] = -np.inf
-                good = scores >= (floor[who] - slack[part][who])[:, None]
+                good = (scores >= (floor[who] - slack[part][who])[:, None]) & (scores > -np.inf)
                 if good.any():
                     a, b = np.nonzero(good)
                     hits.append((who[a], members[b], scores[a, b]))
@@ -177,7 +177,7 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, key: str = "vec_id
     # A first bound: the k-th best of a bounded sample of rows. Never above the true k-th best.
     share = min(1.0, SAMPLE / max(n, 1))
     sample = rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30))).toPandas().sort_values("id")
-    s_ids, s_vectors = sample["id"].to_numpy(np.int64), np.array(sample["v"].tolist(), float).reshape(-1, width)
+    s_ids, s_vectors = sample["id"].to_numpy(np.int64), np.array(sample["v"].tolist(), float).reshape(len(sample), width)
     asked = rows.where(F.pmod("id", F.lit(every)) == 0)
     blocks = max(1, -(-row_count(asked) // BLOCK))
     shards = max(1, -(-n // SHARD))
@@ -185,7 +185,7 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, key: str = "vec_id
     merged = None
     for b in range(blocks):
         table = asked.where(F.pmod(F.xxhash64("id", F.lit(4)), F.lit(blocks)) == b).toPandas().sort_values("id")
-        q_ids, q_vectors = table["id"].to_numpy(np.int64), np.array(table["v"].tolist(), float).reshape(-1, width)
+        q_ids, q_vectors = table["id"].to_numpy(np.int64), np.array(table["v"].tolist(), float).reshape(len(table), width)
         scores = q_vectors @ s_vectors.T if len(q_ids) else np.zeros((0, len(s_ids)))
         scores[q_ids[:, None] == s_ids[None, :]] = -np.inf
         bound = np.sort(scores, axis=1)[:, -k] if scores.shape[1] >= k else np.full(len(q_ids), -np.inf)

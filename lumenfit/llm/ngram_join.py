@@ -25,13 +25,12 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from ..session import durable
 from .common import LANES, NOT_SPACE, chained, list_array, mixed, row_count, signed, slices, texts, words
 
-BITS = 2048
 NODE = 256
 FAN = 8
 # Nodes of one token that meet in one group; more are dealt over pairs of chunks.
 BLOCK = 10_000
-# Vertices whose 16-byte names may be broadcast to filter the documents (32 MB); more are joined by shuffle.
-BROADCAST_ROWS = 2_000_000
+# Rows of a table of a few longs that may be broadcast (some 50 MB in memory); a longer one is joined by shuffle.
+BROADCAST_ROWS = 1_000_000
 
 
 def least_overlap(n, percent: int):
@@ -86,29 +85,55 @@ def vertices(docs: DataFrame, key: str, text: str, k: int, percent: int) -> Data
     return docs.mapInArrow(shingled, T.StructType([docs.schema[key], T.StructField("text_hash", long), T.StructField("n", long), T.StructField("h", long), T.StructField("prefix", T.ArrayType(long))]))
 
 
-def full_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, k: int) -> DataFrame:
-    """``(h, n, first, tokens)`` of the wanted vertices, read from one document each."""
-    if row_count(wanted) <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
+def full_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, k: int, percent: int) -> DataFrame:
+    """``(h, n, first, tokens, bits, width, prefix)`` of the wanted vertices, read from one document each.
+
+    ``bits`` is the signature of ``2^width`` bits; ``prefix`` are the hashes of which a link shares at least one.
+    """
     rows = docs.select(key, F.xxhash64(text).alias("text_hash"), text)
-    rows = rows.join(wanted.select(F.col("label.key").alias("_k"), F.col("label.text_hash").alias("_t")), (F.col("text_hash") == F.col("_t")) & F.col(key).eqNullSafe(F.col("_k"))).select(text)
+    rows = rows.join(small(wanted.select(F.col("label.key").alias("_k"), F.col("label.text_hash").alias("_t"))), (F.col("text_hash") == F.col("_t")) & F.col(key).eqNullSafe(F.col("_k"))).select(text)
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, text):
                 found = [s for s in sets(*texts(part.column(text)), k) if len(s)]
+                marks = [signature(s, width(len(s))) for s in found]
+                length = np.array([len(s) - least_overlap(len(s), percent) + 1 for s in found], int)
+                flat = np.concatenate([s[:m] for s, m in zip(found, length)]) if found else np.zeros(0, np.uint64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([_name(s) for s in found], pa.int64()), pa.array([len(s) for s in found], pa.int64()),
-                     pa.array([int(signed(s[:1])[0]) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], ["h", "n", "first", "tokens"])
+                     pa.array([int(signed(s[:1])[0]) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary()),
+                     pa.array([m.tobytes() for m in marks], pa.binary()), pa.array([width(len(s)) for s in found], pa.int64()), list_array(signed(flat), length, pa.int64())],
+                    ["h", "n", "first", "tokens", "bits", "width", "prefix"])
+
+    return rows.mapInArrow(shingled, "h long, n long, first long, tokens binary, bits binary, width long, prefix array<long>")
+
+
+def small(df: DataFrame) -> DataFrame:
+    """``df``, to be broadcast if it has been counted to be short enough."""
+    return F.broadcast(df) if row_count(df) <= BROADCAST_ROWS else df
+
+
+def width(n: int) -> int:
+    """Logarithm of the number of bits for a set of ``n``: two to four bits per token."""
+    return max(10, int(2 * n - 1).bit_length())
 
-    return rows.mapInArrow(shingled, "h long, n long, first long, tokens binary")
 
+def signature(tokens: np.ndarray, log_bits: int) -> np.ndarray:
+    """Bitmap of a set. Half the bits give the OR of the two halves, see :func:`halved`."""
+    bits = np.zeros(1 << log_bits, bool)
+    bits[(tokens >> np.uint64(20)) & np.uint64((1 << log_bits) - 1)] = True
+    return np.packbits(bits).view(np.uint64)
 
-def signature(tokens: np.ndarray) -> tuple[np.ndarray, int]:
-    """Bitmap of a set and the number of tokens that share a bit with another one."""
-    bits = np.zeros(BITS, bool)
-    bits[(tokens >> np.uint64(20)) % np.uint64(BITS)] = True
-    return np.packbits(bits).view(np.uint64), len(tokens) - int(bits.sum())
+
+def halved(bitmaps: np.ndarray) -> np.ndarray:
+    half = bitmaps.shape[1] // 2
+    return bitmaps[:, :half] | bitmaps[:, half:]
+
+
+def hidden_tokens(bitmaps: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """How many tokens of each set share a bit with another one of it."""
+    return sizes - np.bitwise_count(bitmaps).sum(1, dtype=np.int64)
 
 
 class Tree:
@@ -121,10 +146,10 @@ class Tree:
             at = np.arange(0, len(low), FAN)
             self.levels.append((np.bitwise_or.reduceat(bitmaps, at), np.minimum.reduceat(low, at), np.maximum.reduceat(high, at), np.maximum.reduceat(hidden, at)))
 
-    def pairs(self, percent: int, roots: Callable[[], np.ndarray], own: bool = False, batch: int = 2048) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs of leaves ``i <= j`` (``i < j`` unless ``own``) that may hold a link, in batches.
+    def pairs(self, percent: int, roots: Callable[[], np.ndarray], batch: int = 2048) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of leaves ``i < j`` that may hold a link, in batches.
 
-        ``roots`` gives a component per leaf (-1: several) as it stands now; pairs within one component are pruned.
+        ``roots`` gives a component per leaf as it stands now; pairs within one component are pruned.
         """
         top = len(self.levels) - 1
         n = len(self.levels[top][1])
@@ -139,7 +164,7 @@ class Tree:
             keep = (high[i] * 100 >= low[j] * percent) & (high[j] * 100 >= low[i] * percent)
             one = self._uniform(level, roots())
             keep &= ~((one[i] == one[j]) & (one[i] != -1))
-            if level == 0 and not own:
+            if level == 0:
                 keep &= i != j
             i, j = i[keep], j[keep]
             common = np.bitwise_count(bitmaps[i] & bitmaps[j]).sum(1, dtype=np.int64) + np.minimum(hidden[i], hidden[j])
@@ -191,9 +216,9 @@ def links(names: np.ndarray, tokens: list[np.ndarray], components: np.ndarray, p
     if len(order) < 2:
         return []
     names, tokens, components = names[order], [tokens[i] for i in order], components[order]
-    marks = [signature(t) for t in tokens]
     sizes = np.array([len(t) for t in tokens], np.int64)
-    tree = Tree(np.stack([m[0] for m in marks]), sizes, sizes, np.array([m[1] for m in marks], np.int64))
+    marks = np.stack([signature(t, width(int(sizes.max()))) for t in tokens])
+    tree = Tree(marks, sizes, sizes, hidden_tokens(marks, sizes))
     # Exact overlaps come from bitmaps over the group's own repeated tokens, made when the first pair asks.
     union, out, local = Union(components), [], None
     for i, j in tree.pairs(percent, union.roots):
@@ -231,11 +256,12 @@ def _local_bitmaps(tokens: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _linked(rows: DataFrame, by: list[str], percent: int) -> DataFrame:
-    """Edges found inside groups of rows ``(by..., h, component, tokens)``. Small groups share a task's call."""
-    count, size = rows.agg(F.count(F.lit(1)), F.sum(F.octet_length("tokens"))).first()
+def _linked(rows: DataFrame, by: list[str], full: DataFrame, percent: int) -> DataFrame:
+    """Edges found inside groups of rows ``(by..., h, n, component)``; the sets join in last. Small groups share a call."""
+    count, size = rows.agg(F.count(F.lit(1)), F.sum("n") * 8).first()
     n = max(1, count // 2000, (size or 0) >> 24)
-    rows = rows.withColumn("_bucket", F.pmod(F.xxhash64(*by), F.lit(n)))
+    rows = small(rows.select(F.pmod(F.xxhash64(*by), F.lit(n)).alias("_bucket"), *by, F.col("h").alias("_h"), "component"))
+    rows = full.select("h", "tokens").join(rows, F.col("h") == F.col("_h"))
 
     def link(group: pa.Table) -> pa.Table:
         names, components = (np.asarray(group.column(c)) for c in ("h", "component"))
@@ -271,13 +297,7 @@ def components(edges: DataFrame, start: DataFrame | None = None) -> DataFrame:
 def _with_component(rows: DataFrame, found: DataFrame | None) -> DataFrame:
     if found is None:
         return rows.withColumn("component", F.col("h"))
-    return rows.join(found, "h", "left").withColumn("component", F.coalesce("component", "h"))
-
-
-def _grow(edges: DataFrame | None, more: DataFrame) -> tuple[DataFrame, bool]:
-    more = durable(more)
-    some = bool(more.limit(1).count())
-    return (more if edges is None else edges.union(more)), some
+    return rows.join(small(found), "h", "left").withColumn("component", F.coalesce("component", "h"))
 
 
 def _salt(column: str, count: Column, size: int) -> Column:
@@ -286,94 +306,103 @@ def _salt(column: str, count: Column, size: int) -> Column:
 
 def graph(full: DataFrame, percent: int) -> DataFrame:
     """Spanning links of all vertices in ``full``, as ``(a, b)``."""
-    edges, found = None, None
-    # Quick rounds: vertices with the same least hash, one per component and chunk; then the chunks' components meet.
-    for turn in range(4):
-        rows = _with_component(full, found).dropDuplicates(["first", "component"]) if turn else _with_component(full, None)
-        sizes = rows.groupBy("first").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-        rows = rows.join(sizes.withColumnRenamed("first", "_f"), F.col("first") == F.col("_f")).withColumn("chunk", _salt("h", F.col("_n"), NODE))
-        more = sizes.where(F.col("_n") > NODE).limit(1).count()
-        edges, some = _grow(edges, _linked(rows, ["first", "chunk"], percent))
-        if some:
-            found = components(edges)
-        if not (some and more):
+    vertex = full.select("h", "n", "first", "width").dropDuplicates(["h"])
+    sizes = durable(vertex.groupBy(F.col("first").alias("_f")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"))
+    # Quick rounds: vertices with the same least hash by chunks; where these are several, one of each component again.
+    near = durable(vertex.join(small(sizes), F.col("first") == F.col("_f")).drop("_f"))
+    edges = durable(_linked(near.withColumn("component", F.col("h")).withColumn("chunk", _salt("h", F.col("_n"), NODE)), ["first", "chunk"], full, percent))
+    found = durable(components(edges))
+    hot = near.where(F.col("_n") > NODE)
+    while hot.limit(1).count():
+        one = _with_component(hot, found).groupBy("first", "component").agg(F.min(F.struct("h", "n")).alias("_v"))
+        left = one.groupBy(F.col("first").alias("_f")).agg(F.count(F.lit(1)).alias("_m")).where("_m > 1")
+        one = durable(one.join(left, F.col("first") == F.col("_f")).select("first", "_m", "component", F.col("_v.h").alias("h"), F.col("_v.n").alias("n")))
+        more = durable(_linked(one.withColumn("chunk", _salt("h", F.col("_m"), NODE)), ["first", "chunk"], full, percent))
+        if not more.limit(1).count():
             break
-    edges, _ = _grow(edges, _across(_with_component(full, found), percent))
-    return edges
+        edges = edges.union(more)
+        found = durable(components(edges))
+        hot = hot.join(one.where(F.col("_m") > NODE).select(F.col("first").alias("_f")).distinct(), F.col("first") == F.col("_f"), "left_semi")
+    return edges.union(durable(_across(vertex, found, full, percent)))
 
 
-def _across(full: DataFrame, percent: int) -> DataFrame:
+def _across(vertex: DataFrame, found: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """Links between vertices of different components, exact: every pair that shares a prefix token is covered."""
-    # Members of large components have nodes of their own, so that these are uniform and prune each other.
-    sizes = full.groupBy("first", "component").agg(F.count(F.lit(1)).alias("_n"))
-    small = sizes.where(F.col("_n") < NODE // 4).groupBy("first").agg(F.sum("_n").alias("_s")).withColumnRenamed("first", "_f")
-    named = full.join(sizes.select(F.col("first").alias("_f1"), F.col("component").alias("_c1"), "_n"), (F.col("first") == F.col("_f1")) & (F.col("component") == F.col("_c1")))
-    named = named.join(small, F.col("first") == F.col("_f"), "left")
-    own = F.xxhash64("first", "component", _salt("h", F.col("_n"), NODE))
-    shared = F.xxhash64("first", F.lit(-1), _salt("component", F.coalesce("_s", F.lit(1)), NODE))
-    named = durable(named.select("h", "n", "tokens", "component", F.when(F.col("_n") >= NODE // 4, own).otherwise(shared).alias("node")))
+    # A node is a component or, beyond ``NODE`` vertices, a chunk of one: its bitmap stays tight.
+    placed = _with_component(vertex, found)
+    sizes = placed.groupBy(F.col("component").alias("_c")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > NODE)
+    placed = placed.join(small(durable(sizes)), F.col("component") == F.col("_c"), "left")
+    chunk = F.coalesce(_salt("h", F.col("_n"), NODE), F.lit(0))
+    placed = durable(placed.select("h", "n", "component", F.xxhash64("component", chunk, F.col("width")).alias("node")))
 
     # Prefix tokens of nodes, each node once per token with its OR-combined bitmap.
-    n_groups = max(1, row_count(named) // 2000)
+    n_groups = max(1, row_count(placed) // 5000)
 
     def summarised(group: pa.Table) -> pa.Table:
-        node, n, component = (np.asarray(group.column(c)) for c in ("node", "n", "component"))
+        node, n, component, log_bits = (np.asarray(group.column(c)) for c in ("node", "n", "component", "width"))
         order = np.argsort(node, kind="stable")
-        blob = group.column("tokens")
-        out = {c: [] for c in ("node", "bits", "low", "high", "hidden", "component", "prefix")}
+        bits, prefixes = group.column("bits"), group.column("prefix")
+        out = {c: [] for c in ("node", "width", "bits", "low", "high", "hidden", "component", "size", "prefix")}
         for part in np.split(order, np.flatnonzero(np.diff(node[order])) + 1):
-            tokens = [np.frombuffer(blob[int(i)].as_py(), np.uint64) for i in part]
-            marks = [signature(t) for t in tokens]
-            prefix = np.unique(np.concatenate([t[:len(t) - least_overlap(len(t), percent) + 1] for t in tokens]))
-            same = component[part].min() == component[part].max()
-            values = (int(node[part[0]]), np.bitwise_or.reduce(np.stack([m[0] for m in marks])).tobytes(), int(n[part].min()), int(n[part].max()), max(m[1] for m in marks),
-                      int(component[part[0]]) if same else None, signed(prefix).tolist())
-            for c, v in zip(out, values):
-                out[c].append(v)
-        kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
+            prefix = np.unique(np.concatenate([np.asarray(prefixes[int(i)].values) for i in part]))
+            marks = np.frombuffer(b"".join(bits[int(i)].as_py() for i in part), np.uint64).reshape(len(part), -1)
+            low, log = int(n[part].min()), int(log_bits[part[0]])
+            # A node meets others at its own width and, if partners of its members may be narrower, at half of it.
+            while True:
+                values = (int(node[part[0]]), log, np.bitwise_or.reduce(marks).tobytes(), low, int(n[part].max()), int(hidden_tokens(marks, n[part]).max()), int(component[part[0]]), len(part), prefix)
+                for c, v in zip(out, values):
+                    out[c].append(v)
+                if width(int(least_overlap(low, percent))) == log:
+                    break
+                marks, log = halved(marks), log - 1
+        kinds = (pa.int64(), pa.int64(), pa.binary(), *[pa.int64()] * 5, pa.list_(pa.int64()))
         return pa.table({c: pa.array(v, k) for (c, v), k in zip(out.items(), kinds)})
 
-    nodes = durable(named.withColumn("_g", F.pmod(F.xxhash64("node"), F.lit(n_groups))).groupBy("_g").applyInArrow(
-        summarised, "node long, bits binary, low long, high long, hidden long, component long, prefix array<long>"))
-    member = nodes.select("node", "component", F.explode("prefix").alias("token"))
-    # A token matters where it meets two nodes that are not of one component.
-    token = member.groupBy("token").agg(F.count(F.lit(1)).alias("_n"), F.min("component").alias("_lo"), F.max("component").alias("_hi"), F.count("component").alias("_u"))
-    token = token.where((F.col("_n") > 1) & ((F.col("_u") < F.col("_n")) | (F.col("_lo") < F.col("_hi")))).withColumn("_q", F.ceil(F.col("_n") / BLOCK)).select("token", "_q")
-    met = member.select("node", "token").join(token, "token").withColumn("_i", F.pmod(F.xxhash64("node"), F.col("_q")))
+    rows = full.select("h", "bits", "width", "prefix").join(small(placed.withColumnRenamed("h", "_h")), F.col("h") == F.col("_h"))
+    nodes = durable(rows.withColumn("_g", F.pmod(F.xxhash64("node"), F.lit(n_groups))).groupBy("_g").applyInArrow(
+        summarised, "node long, width long, bits binary, low long, high long, hidden long, component long, size long, prefix array<long>"))
+    member = nodes.select("node", "width", "component", F.explode("prefix").alias("token"))
+    # A token matters where it meets two components.
+    token = member.groupBy("token", "width").agg(F.count(F.lit(1)).alias("_n"), F.min("component").alias("_lo"), F.max("component").alias("_hi"))
+    token = durable(token.where(F.col("_lo") < F.col("_hi")).withColumn("_q", F.ceil(F.col("_n") / BLOCK)).select("token", "width", "_q"))
+    met = member.select("node", "width", "token").join(small(token), ["token", "width"]).withColumn("_i", F.pmod(F.xxhash64("node"), F.col("_q")))
     met = met.withColumn("_j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_q") - 1)))
-    met = met.select("token", "node", F.least("_i", "_j").alias("_a"), F.greatest("_i", "_j").alias("_b"))
-    met = durable(met.join(nodes.drop("prefix"), "node"))
-    n_met = max(1, row_count(met) // 20_000)
+    met = durable(met.select("token", "width", "node", F.least("_i", "_j").alias("_a"), F.greatest("_i", "_j").alias("_b")))
+    # Some 16 MB of bitmaps for a call.
+    n_met = max(1, (met.agg(F.sum(F.expr("shiftleft(1L, cast(width - 3 as int)) + 64L"))).first()[0] or 0) >> 24)
 
     def survivors(group: pa.Table) -> pa.Table:
-        keys = [np.asarray(group.column(c)) for c in ("token", "_a", "_b")]
+        keys = [np.asarray(group.column(c)) for c in ("token", "width", "_a", "_b")]
         order = np.lexsort(keys)
         change = np.zeros(len(order), bool)
         for key in keys:
             change[1:] |= key[order][1:] != key[order][:-1]
-        node, low, high, hidden = (np.asarray(group.column(c)) for c in ("node", "low", "high", "hidden"))
-        uniform = np.asarray(group.column("component").combine_chunks().is_valid())
-        component = np.asarray(group.column("component").combine_chunks().fill_null(0))
-        bits = np.frombuffer(b"".join(group.column("bits").to_pylist()), np.uint64).reshape(-1, BITS // 64)
-        found = set()
+        node, low, high, hidden, component, size = (np.asarray(group.column(c)) for c in ("node", "low", "high", "hidden", "component", "size"))
+        bits, found = group.column("bits"), set()
         for part in np.split(order, np.flatnonzero(change)):
             if len(part) < 2:
                 continue
             part = part[np.lexsort((low[part], component[part]))]
-            _, code = np.unique(component[part], return_inverse=True)
-            roots = np.where(uniform[part], code.ravel(), -1)
-            tree = Tree(bits[part], low[part], high[part], hidden[part])
+            roots = np.unique(component[part], return_inverse=True)[1].ravel()
+            marks = np.frombuffer(b"".join(bits[int(i)].as_py() for i in part), np.uint64).reshape(len(part), -1)
+            tree = Tree(marks, low[part], high[part], hidden[part])
             for i, j in tree.pairs(percent, lambda: roots):
-                a, b = node[part[i]], node[part[j]]
-                found.update(zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist()))
+                a, b = part[i], part[j]
+                swap = (size[a] > size[b]) | ((size[a] == size[b]) & (node[a] > node[b]))
+                found.update(zip(node[np.where(swap, b, a)].tolist(), node[np.where(swap, a, b)].tolist()))
         found = sorted(found)
         return pa.table({"x": pa.array([f[0] for f in found], pa.int64()), "y": pa.array([f[1] for f in found], pa.int64())})
 
-    pairs = met.withColumn("_g", F.pmod(F.xxhash64("token", "_a", "_b"), F.lit(n_met))).groupBy("_g").applyInArrow(survivors, "x long, y long").distinct()
-    alone = nodes.where(F.col("component").isNull()).select(F.col("node").alias("x"), F.col("node").alias("y"))
-    pairs = durable(pairs.union(alone))
-    sides = pairs.select("x", "y", F.col("x").alias("node")).union(pairs.where("x <> y").select("x", "y", F.col("y").alias("node")))
-    return _linked(sides.join(named, "node"), ["x", "y"], percent)
+    met = nodes.select(F.col("node").alias("_node"), F.col("width").alias("_width"), "bits", "low", "high", "hidden", "component", "size").join(
+        small(met), (F.col("_node") == F.col("node")) & (F.col("_width") == F.col("width")))
+    pairs = met.withColumn("_g", F.pmod(F.xxhash64("token", "width", "_a", "_b"), F.lit(n_met))).groupBy("_g").applyInArrow(survivors, "x long, y long").distinct()
+    # The larger node of a pair, y, meets all its partners together, or so many chunks of them.
+    pairs = durable(pairs)
+    partners = pairs.groupBy(F.col("y").alias("_y")).agg(F.ceil(F.count(F.lit(1)) / NODE).alias("_q"))
+    pairs = durable(pairs.join(small(durable(partners)), F.col("y") == F.col("_y")).select("x", "y", F.pmod(F.xxhash64("x"), F.col("_q")).alias("part")))
+    sides = pairs.select("y", "part", F.col("x").alias("_node")).union(pairs.select("y", "part", F.col("y").alias("_node")).distinct())
+    sides = durable(sides.join(small(placed), F.col("_node") == F.col("node")).select("y", "part", "h", "n", "component"))
+    return _linked(sides, ["y", "part"], full, percent)
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
@@ -394,7 +423,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     a = F.floor((F.col("n") * percent + 99) / 100)
     need = 1 + F.floor(a * (100 - percent) / 300)
     suspects = durable(sets_.join(hits, "h").where(F.col("_c") >= need * F.col("copies")).select("h", "label"))
-    edges = graph(durable(full_sets(docs, suspects, key, text, k)), percent)
+    edges = graph(durable(full_sets(docs, suspects, key, text, k, percent)), percent)
     least = some.groupBy("h").agg(F.min(key).alias("_key"))
     found = components(edges)
     least = least.join(found, "h", "left").withColumn("component", F.coalesce("component", "h"))
@@ -409,4 +438,5 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", k: in
     """One row of each component, the one with the least key, with all columns; texts without words all stay."""
     groups = jaccard_components(docs, key, text, k, percent)
     gone = groups.where((F.col("n_shingles") > 0) & (F.col(key) != F.col("component_id"))).select(F.col(key).alias("_gone")).distinct()
-    return docs.join(gone, docs[key] == F.col("_gone"), "left_anti")
+    rows = docs.select(F.struct("*").alias("_row"), F.col(key).alias("_k"))
+    return rows.join(gone, F.col("_k") == F.col("_gone"), "left_anti").select("_row.*")

@@ -29,7 +29,8 @@ from .common import mixed, slices, worker_state
 END = 2
 SHARD_BYTES = 24 << 20
 BUCKET_KEYS = 8192
-CACHE_WORDS = 300_000
+# Words of one generation of the cache; the generation before is kept beside it.
+CACHE_WORDS = 500_000
 MAGIC = 0x31535F534449
 
 # ByteLevel's printable stand-ins for bytes: printable Latin-1 stays, the others follow from 256 on.
@@ -50,6 +51,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @classmethod
     def of(cls, path: str) -> "Encoder":
@@ -67,17 +69,21 @@ class Encoder:
     def _letters(self, word: str) -> bytes:
         return self._raw([t.id for t in self.tokenizer.model.tokenize(word.encode().decode("latin-1").translate(_BYTES))])
 
+    def _known(self, word: str, make) -> bytes:
+        ids = self.cache.get(word)
+        if ids is None:
+            ids = self.cache[word] = self.older.get(word) or make(word)
+        return ids
+
     def _word(self, word: str, lowered: bool) -> bytes:
         if not lowered:
             return self._full(word)
         core = word.rstrip(".,;:!?|%$&*#()")
         if not core.isalpha():
             return self._full(word)
-        ids = self.cache.get(core) or self._letters(core)
         if len(core) == len(word):
-            return ids
-        tail = word[len(core):]
-        return ids + (self.cache.get(tail) or self._full(tail))
+            return self._letters(word)
+        return self._known(core, self._letters) + self._known(word[len(core):], self._full)
 
     def encode(self, text: str) -> bytes:
         if any(c in text for c in "\x1c\x1d\x1e\x1f"):
@@ -92,10 +98,10 @@ class Encoder:
             return b"".join(map(self.cache.get, words))
         except TypeError:
             if len(self.cache) > CACHE_WORDS:
-                self.cache.clear()
-            for word in set(words):
+                self.cache, self.older = {}, self.cache
+            for word in words:
                 if word not in self.cache:
-                    self.cache[word] = self._word(word, lowered)
+                    self._known(word, lambda w: self._word(w, lowered))
             return b"".join(map(self.cache.get, words))
 
 

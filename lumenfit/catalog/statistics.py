@@ -50,26 +50,26 @@ PROFILE_SQL = " union all ".join([_profile_number(c) for c in NUMBERS] + [_profi
 
 
 def profile_summary(spark, sf):
-    found = profile.profile_summary(profile.profile(table(spark, sf, "customer").drop("c_name")))
+    found = profile.profile_summary(profile.profile(table(spark, sf, "customer")))
     return found.withColumns({c: F.array_join(c, ",") for c in ("numeric_cols", "categorical_cols")})
 
 
 def single_statistics(spark, sf):
-    """The statistics one by one, per event type: each type's values become a column, so the exact
-    median and mode come from narrowing and merged counts, not from a buffer per type."""
+    """The statistics one by one, per event type, for any number of types: the exact median by narrowing, the mode
+    from merged value counts."""
     events = table(spark, sf, "events").select("event_type", "value")
-    types = sorted(r[0] for r in events.select("event_type").distinct().limit(1000).collect())
-    wide = events.select([F.when(F.col("event_type") == t, F.col("value")).alias(t) for t in types])
-    medians = quantiles.exact_percentiles(wide, types, [0.5])
-    modes = {r["column"]: r for r in profile.mode_table(wide, types).collect()}
-    rows = [(t, medians[t][0], modes[t]["mode"], modes[t]["n_unique"]) for t in types]
-    exact = spark.createDataFrame(rows, "event_type string, median double, mode double, n_unique long")
+    medians = quantiles.group_medians(events, "event_type", "value").withColumnRenamed("event_type", "_m")
+    counts = events.where("value is not null and not isnan(value)").groupBy("event_type", "value").agg(F.count(F.lit(1)).alias("n"))
+    modes = counts.groupBy(F.col("event_type").alias("_k")).agg(
+        (-F.max(F.struct("n", (-F.col("value")).alias("v")))["v"]).alias("mode"), F.count(F.lit(1)).alias("n_unique"))
     x = F.col("value")
     found = events.groupBy("event_type").agg(
         rounded(profile.mean(x)).alias("mean"), rounded(profile.variance(x), 4).alias("variance"),
         rounded(profile.std(x)).alias("std"), rounded(profile.skewness(x)).alias("skew"),
         rounded(profile.kurtosis(x)).alias("kurtosis"))
-    return found.join(F.broadcast(exact), "event_type").withColumn("median", rounded("median"))
+    found = found.join(medians, F.col("event_type").eqNullSafe(F.col("_m")), "left").drop("_m")
+    found = found.join(modes, F.col("event_type").eqNullSafe(F.col("_k")), "left").drop("_k")
+    return found.withColumn("median", rounded("median")).withColumn("n_unique", F.coalesce("n_unique", F.lit(0)))
 
 
 def column_types(spark, sf):
@@ -270,8 +270,8 @@ ORACLES = {
                           quantile_cont(c_custkey::double, 0.25) k1, quantile_cont(c_custkey::double, 0.75) k3,
                           quantile_cont(c_nationkey::double, 0.25) n1, quantile_cont(c_nationkey::double, 0.75) n3
                    from customer)
-        select 4::bigint as n_cols, 'c_acctbal,c_custkey,c_nationkey' as numeric_cols,
-               'c_mktsegment' as categorical_cols,
+        select 5::bigint as n_cols, 'c_acctbal,c_custkey,c_nationkey' as numeric_cols,
+               'c_name,c_mktsegment' as categorical_cols,
                (select count(*) filter (c_acctbal < a1 - 1.5 * (a3 - a1) or c_acctbal > a3 + 1.5 * (a3 - a1))
                      + count(*) filter (c_custkey < k1 - 1.5 * (k3 - k1) or c_custkey > k3 + 1.5 * (k3 - k1))
                      + count(*) filter (c_nationkey < n1 - 1.5 * (n3 - n1) or c_nationkey > n3 + 1.5 * (n3 - n1))

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.scalar import names_of, vector, width_of
@@ -66,7 +67,7 @@ def _join_block(k: int, metric: str, d: int, exclude: bool):
         found = {"q": [], "t": [], "dist": []}
         if queries.num_rows and train.num_rows:
             q, t = block(queries.column("x"), d), block(train.column("x"), d)
-            place = np.argsort(np.argsort(train.column("tid").to_numpy(), kind="stable"))
+            place = key_places(train.column("tid"))
             qf = queries.column("qf").to_numpy()
             tf = train.column("tf").to_numpy()
             for fold in np.unique(qf) if exclude else [None]:
@@ -321,7 +322,18 @@ class KNearestNeighbors:
 
 
 def key_column(keys) -> Column:
-    """The row key as one column."""
+    """The row key as one orderable column: composite keys are structs, so different keys never meet."""
     if len(keys) == 1:
         return F.col(keys[0])
-    return F.concat_ws(":", *[F.col(k).cast("string") for k in keys])
+    return F.struct(*[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keys)])
+
+
+def key_places(keys: pa.ChunkedArray) -> np.ndarray:
+    """The place of each key in key order, null first as in Spark."""
+    keys = keys.combine_chunks()
+    parts = keys.flatten() if pa.types.is_struct(keys.type) else [keys]
+    table = pa.table({f"k{i}": part for i, part in enumerate(parts)})
+    order = pc.sort_indices(table, sort_keys=[(name, "ascending") for name in table.column_names], null_placement="at_start").to_numpy()
+    places = np.empty(len(order), np.int64)
+    places[order] = np.arange(len(order))
+    return places

@@ -83,9 +83,9 @@ class LabelEncoder:
     def code(self, c: Column) -> Column:
         """The code as a column expression (few categories)."""
         if not self.mapping:
-            return F.lit(-1).cast("int")
+            return F.lit(-1).cast("long")
         literal = F.create_map(*[F.lit(v) for pair in self.mapping.items() for v in pair])
-        return F.coalesce(F.try_element_at(literal, c.cast("string")), F.lit(-1)).cast("int")
+        return F.coalesce(F.try_element_at(literal, c.cast("string")), F.lit(-1)).cast("long")
 
     def transform(self, df: DataFrame, column: str, name: str | None = None) -> DataFrame:
         name = name or column
@@ -139,7 +139,7 @@ def Encoding(category_type: str, categories: list[str] | None = None):
         return LabelEncoder(categories)
     if category_type == "nominal":
         return OneHotEncoder()
-    raise ValueError("Invalid category type. Use 'ordinal' or 'nominal'.")
+    raise ValueError(f"no encoder for {category_type!r} categories: they are 'ordinal' or 'nominal'")
 
 
 def _bytes(s: str) -> bytes:

@@ -36,6 +36,8 @@ class _Piece:
     kind: str
     fill: object
     categories: list[str] = field(default_factory=list)
+    # Codes of a column with more categories than a literal should hold: joined, not looked up.
+    encoder: LabelEncoder | None = None
 
     def value(self) -> Column:
         """The source cell, filled."""
@@ -48,7 +50,13 @@ class _Piece:
     def one_hot(self) -> bool:
         return self.kind == CATEGORICAL and len(self.names) > 1
 
+    @property
+    def joined(self) -> str:
+        return f"_code of {self.source}"
+
     def code(self) -> Column:
+        if self.encoder is not None:
+            return F.col(f"`{self.joined}`")
         encoder = LabelEncoder()
         encoder.mapping = {c: i for i, c in enumerate(self.categories)}
         return encoder.code(self.value())
@@ -72,8 +80,11 @@ class _Piece:
         if scale:
             off = [(0.0 - m) / (s + EPS) for m, s in zip(self.means, self.stds)]
             on = [(1.0 - m) / (s + EPS) for m, s in zip(self.means, self.stds)]
-        code, hot = self.code(), F.lit(on)
-        return F.transform(F.lit(off), lambda v, i: F.when(i == code, F.get(hot, i)).otherwise(v))
+        # One lookup per row: the constant array with one place exchanged.
+        hot = F.transform(F.array(self.code()), lambda code: F.when(code < 0, F.lit(off)).otherwise(F.concat(
+            F.slice(F.lit(off), F.lit(1), code.cast("int")), F.array(F.get(F.lit(on), code.cast("int"))),
+            F.slice(F.lit(off), code.cast("int") + 2, F.lit(len(off))))))
+        return F.get(hot, 0)
 
 
 @dataclass
@@ -93,20 +104,32 @@ class FittedPreprocessor:
     def fills(self) -> dict[str, object]:
         return {p.source: p.fill for p in self.pieces}
 
+    @property
+    def wide(self) -> list[str]:
+        """Columns whose codes are joined from a table."""
+        return [p.source for p in self.pieces if p.encoder is not None]
+
+    def _coded(self, df: DataFrame) -> DataFrame:
+        for piece in self.pieces:
+            if piece.encoder is not None:
+                filled = df.withColumn(piece.joined, piece.value())
+                df = piece.encoder.transform(filled, piece.joined)
+        return df
+
     def _scaled(self, piece: _Piece) -> bool:
         return self.scale and (self.scale_encoded or piece.kind != CATEGORICAL)
 
     def transform(self, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
         """Keep the given columns and add one double column per feature."""
         cells = [c.alias(n) for p in self.pieces for n, c in zip(p.names, p.columns(self._scaled(p)))]
-        return typed(df, self.kinds).select(*[F.col(f"`{c}`") for c in keep or []], *cells)
+        return self._coded(typed(df, self.kinds)).select(*[F.col(f"`{c}`") for c in keep or []], *cells)
 
     def matrix(self, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
         """Keep the given columns and add the features as one array column ``features``."""
         names = self.feature_names
         vector = F.concat(*[p.array(self._scaled(p)) for p in self.pieces])
         vector = vector.alias("features", metadata={"width": len(names), "names": names})
-        return typed(df, self.kinds).select(*[F.col(f"`{c}`") for c in keep or []], vector)
+        return self._coded(typed(df, self.kinds)).select(*[F.col(f"`{c}`") for c in keep or []], vector)
 
 
 class Preprocessor:
@@ -114,11 +137,16 @@ class Preprocessor:
 
     Numbers pass, at most two categories become a code, more become indicators, and everything
     is standardised (``scale_encoded=False`` leaves codes and indicators alone). A ``scaler``
-    other than "standard" scales nothing. ``encoding="ordinal"`` gives codes to all text.
+    other than "standard" scales nothing. ``encoding="ordinal"`` gives codes to all text, whatever
+    its width. Text of more than ``max_width`` categories gets codes as well (``wide="ordinal"``,
+    named by ``wide`` of the result) or is refused (``wide="error"``); its codes are joined.
     """
 
     def __init__(self, scaler: str | None = "standard", imputer_strategy: str = "mean",
-                 encoding: str = "auto", scale_encoded: bool = True, max_width: int = MAX_WIDTH):
+                 encoding: str = "auto", scale_encoded: bool = True, max_width: int = MAX_WIDTH, wide: str = "ordinal"):
+        if wide not in ("ordinal", "error"):
+            raise ValueError("wide must be 'ordinal' or 'error'")
+        self.wide = wide
         self.scaler, self.strategy = scaler, imputer_strategy
         self.encoding, self.scale_encoded, self.max_width = encoding, scale_encoded, max_width
 
@@ -128,10 +156,11 @@ class Preprocessor:
         numeric = [c for c in columns if kinds[c] != CATEGORICAL]
         text = [c for c in columns if kinds[c] == CATEGORICAL]
         numbers = self._numeric_statistics(data, kinds, numeric)
-        counts, rows = self._category_counts(data, text, numbers)
+        wide = self._wide_columns(data, text)
+        counts, rows = self._category_counts(data, [c for c in text if c not in wide])
         pieces = [
-            self._category(c, counts[c], rows) if kinds[c] == CATEGORICAL
-            else self._number(c, numbers[c], kinds[c]) for c in columns
+            self._number(c, numbers[c], kinds[c]) if kinds[c] != CATEGORICAL
+            else self._wide_category(data, c) if c in wide else self._category(c, counts[c], rows) for c in columns
         ]
         return FittedPreprocessor(kinds, pieces, self.scaler == "standard", self.scale_encoded)
 
@@ -168,26 +197,38 @@ class Preprocessor:
             found[c]["fill"] = fills[c]
         return found
 
-    def _category_counts(self, data, text, numbers):
-        """Counts per category, for columns whose width has been checked first."""
+    def _wide_columns(self, data, text) -> set[str]:
+        """Text columns with more than ``max_width`` categories, counted no further than that."""
+        found = {c for c in text if data.select(F.col(f"`{c}`")).where(F.col(f"`{c}`").isNotNull()).distinct().limit(self.max_width + 1).count() > self.max_width}
+        if found and self.wide == "error" and self.encoding != "ordinal":
+            raise self._too_wide(", ".join(sorted(found)))
+        return found
+
+    def _category_counts(self, data, text):
+        """Counts per category of columns whose width has been checked."""
         if not text:
             return {}, None
-        if self.encoding != "ordinal":
-            rough = data.agg(*[F.approx_count_distinct(F.col(f"`{c}`")).alias(c) for c in text]).first()
-            for c in text:
-                if rough[c] > 1.2 * self.max_width:
-                    raise self._too_wide(c)
         cells = data.select([F.col(f"`{c}`") for c in text]).unpivot([], text, "column", "value")
-        found = cells.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-        limit = 2 * self.max_width * len(text)
-        collected = found.limit(limit + 1).collect()
-        if len(collected) > limit:
-            raise self._too_wide(", ".join(text))
         counts: dict[str, dict] = {c: {} for c in text}
-        for r in collected:
+        # at most max_width categories of each column
+        for r in cells.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")).collect():
             counts[r["column"]][r["value"]] = r["n"]
         return counts, sum(counts[text[0]].values())
 
+    def _wide_category(self, data, c) -> _Piece:
+        """Codes in sorted order from a joined table; the scaler's statistics are aggregates over (code, n)."""
+        encoder = LabelEncoder().fit(data, c)
+        x = F.col(f"`{c}`")
+        counts = data.groupBy(x.alias("category")).agg(F.count(F.lit(1)).alias("n"))
+        present = counts.where("category is not null")
+        fill = present.orderBy(F.desc("n"), "category").first()["category"]
+        filled = counts.withColumn("category", F.coalesce("category", F.lit(fill))).groupBy("category").agg(F.sum("n").alias("n"))
+        coded = filled.join(encoder.to_table(data.sparkSession), "category")
+        mean = F.sum(F.col("code") * F.col("n")) / F.sum("n")
+        whole = coded.agg(mean.alias("m")).first()["m"]
+        var = coded.agg((F.sum(F.col("n") * F.pow(F.col("code") - whole, 2)) / F.sum("n")).alias("v")).first()["v"]
+        return _Piece(c, [c], [whole], [math.sqrt(var)], CATEGORICAL, fill, encoder=encoder)
+
     def _too_wide(self, c):
         return ValueError(f"column '{c}' has more than {self.max_width} categories; drop it, "
                           "label-encode it or raise max_width")
@@ -202,8 +243,6 @@ class Preprocessor:
         present = {v: n for v, n in counts.items() if v is not None}
         if not present:
             raise ValueError(f"column '{c}' has no value to impute from")
-        if len(present) > self.max_width and self.encoding != "ordinal":
-            raise self._too_wide(c)
         fill = min(present, key=lambda v: (-present[v], _bytes(v)))
         present[fill] += counts.get(None, 0)
         names = sorted(present, key=_bytes)

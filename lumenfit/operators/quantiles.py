@@ -169,3 +169,28 @@ def _rank_inside(df, states):
     ranks = [(i, key[1] - states[key]["below"]) for i, key in enumerate(keys)]
     hits = ranked.where(rank_hits(ranks, F.col("i"), F.col("upto"), F.col("n")))
     return {keys[r["i"]]: r["v"] for r in hits.collect()}
+
+
+def group_medians(df: DataFrame, by: str, column: str) -> DataFrame:
+    """``(by, median)`` of every group, exact, null-safe in ``by``; missing values do not count.
+
+    Value counts are merged on the map side. A sketch per group bounds the middle ranks; what lies below the bounds
+    is only counted, and the few values between them are ranked. No limit on groups.
+    """
+    x = F.col(column).cast("double")
+    rows = df.where(x.isNotNull() & ~F.isnan(x)).select(F.col(by).alias("_g"), x.alias("_x"))
+    counts = rows.groupBy("_g", "_x").agg(F.count(F.lit(1)).alias("_n"))
+    margin, accuracy = 5e-5, 50_000
+    bounds = rows.groupBy("_g").agg(F.percentile_approx("_x", [0.5 - margin, 0.5 + margin], accuracy).alias("_b"), F.count(F.lit(1)).alias("_all"))
+    bounds = bounds.select(F.col("_g").alias("_k"), F.col("_b")[0].alias("_lo"), F.col("_b")[1].alias("_hi"), "_all")
+    placed = counts.join(bounds, F.col("_g").eqNullSafe(F.col("_k")))
+    # Of an even number of values the upper middle one may be the first above the bound.
+    beside = placed.groupBy("_k").agg(F.sum(F.when(F.col("_x") < F.col("_lo"), F.col("_n"))).alias("_below"), F.min(F.when(F.col("_x") > F.col("_hi"), F.col("_x"))).alias("_next"))
+    inside = placed.drop("_k").join(beside, F.col("_g").eqNullSafe(F.col("_k")))
+    inside = inside.where(F.col("_x").between(F.col("_lo"), F.coalesce("_next", "_hi")))
+    upto = F.coalesce("_below", F.lit(0)) + F.sum("_n").over(W.partitionBy("_g").orderBy("_x").rowsBetween(W.unboundedPreceding, W.currentRow))
+    inside = inside.withColumn("_upto", upto)
+    lower, upper = F.floor((F.col("_all") + 1) / 2), F.floor((F.col("_all") + 2) / 2)
+    holds = lambda rank: (rank <= F.col("_upto")) & (rank > F.col("_upto") - F.col("_n"))
+    ends = inside.groupBy("_g").agg(F.max(F.when(holds(lower), F.col("_x"))).alias("_a"), F.max(F.when(holds(upper), F.col("_x"))).alias("_z"))
+    return ends.select(F.col("_g").alias(by), ((F.col("_a") + F.col("_z")) / 2).alias("median"))

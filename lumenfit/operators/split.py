@@ -13,11 +13,17 @@ import random
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from ..session import durable
+
 PREFIX = 4  # hex digits: 65,536 prefixes
 
 
 def row_hash(keys: list[str], seed: int) -> Column:
+    """``md5(seed:key)``; the cells of a composite key are escaped, so different keys stay different."""
     cells = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
+    if len(keys) > 1:
+        escaped = [F.replace(F.replace(F.col(k).cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit(":"), F.lit("\\:")) for k in keys]
+        cells = [F.coalesce(c, F.lit("\\0")) for c in escaped]
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *cells))
 
 
@@ -154,18 +160,26 @@ def train_test_mark(df, keys, test_size=0.2, shuffle=True, seed=42) -> DataFrame
 
 
 def _first_by_key(df, keys, size) -> Column:
-    """Unshuffled split: rows up to the key value at the cut, in key order."""
-    from .quantiles import exact_percentiles
-
-    if len(keys) != 1:
-        raise ValueError("an unshuffled split needs one numeric key")
-    n = df.count()
-    cut = size(n)
-    if cut == 0 or n == 1:
-        return F.lit(cut > 0)
-    place = (cut - 1) / (n - 1)
-    value = exact_percentiles(df.select(F.col(keys[0]).cast("double").alias("k")), ["k"], [place])
-    return F.col(keys[0]).cast("double") <= F.lit(round(value["k"][0]))
+    """Unshuffled split: rows up to the key at the cut, in key order (null first), whatever the keys' types.
+
+    The keys are range-partitioned and sorted; with the sizes of the partitions the cut's place in its partition
+    is known, and one row is read there. Copies of the key at the cut all train.
+    """
+    key = lambda: F.struct(*[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keys)])
+    ranged = df.select(key().alias("k")).repartitionByRange("k").sortWithinPartitions("k")
+    place = F.monotonically_increasing_id()
+    ranged = durable(ranged.select("k", F.spark_partition_id().alias("_p"), place.bitwiseAND(F.lit((1 << 33) - 1)).alias("_i")))
+    sizes = sorted(tuple(r) for r in ranged.groupBy("_p").agg(F.count(F.lit(1))).collect())
+    left = size(sum(n for _, n in sizes)) - 1
+    if left < 0:
+        return F.lit(False)
+    for part, n in sizes:
+        if left < n:
+            break
+        left -= n
+    cut = ranged.where((F.col("_p") == part) & (F.col("_i") == left)).select("k").first()["k"]
+    literal = F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(cut, ranged.schema["k"].dataType.fields)])
+    return key() <= literal
 
 
 # --- resampling --------------------------------------------------------------------------------

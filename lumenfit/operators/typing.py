@@ -25,7 +25,7 @@ def split_target(df: DataFrame, target: str) -> tuple[DataFrame, DataFrame]:
 
 def require_column(df: DataFrame, name: str) -> None:
     if name not in df.columns:
-        raise ValueError(f"Column '{name}' not found. Available: {df.columns}")
+        raise ValueError(f"column '{name}' not found among {df.columns}")
 
 
 def is_missing(df: DataFrame, name: str) -> Column:

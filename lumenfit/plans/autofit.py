@@ -82,6 +82,8 @@ def autofit(
     df = read_table(spark, source, target)
     if not keys:
         df, keys = durable(with_row_key(df)), ["row_id"]  # every later pass would repeat the shuffle
+    elif df.groupBy(*keys).count().where("count > 1").limit(1).count():
+        raise ValueError(f"the keys {keys} name some row more than once")
     features = features or [c for c in df.columns if c != target and c not in keys]
     if not features:
         raise ValueError("there are no feature columns")
@@ -173,7 +175,7 @@ def _search_families(matrix, per_fold, task, k, time_budget, use_random, metric,
         if search.best_params is not None and better(chosen, search.best_score, best and best.best_score):
             best = search
     if best is None:
-        raise RuntimeError("All models failed. Check your data.")
+        raise RuntimeError("no model family could be fitted: " + "; ".join(f"{x.family}: {x.status}" for x in lines))
     return best, lines
 
 
@@ -181,7 +183,7 @@ def run_autofit(spark: SparkSession, arguments: dict, **options) -> dict:
     """Checked call for services: a report record with explanation and path, or an error record."""
     source, target = arguments.get("csv_path"), arguments.get("target_col")
     if not source or not target:
-        return _error("Missing required arguments: 'csv_path' and 'target_col'.")
+        return _error("the call needs both 'csv_path' and 'target_col'")
     try:
         result = autofit(
             source, target, arguments.get("task_type", "auto"), arguments.get("time_budget", 60),

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -31,28 +30,56 @@ def local_session(cpus: int | str = 8, app: str = "lumenfit", **conf: str) -> Sp
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: the session's ``spark.checkpoint.dir``.
 
-    Only a local-mode session without that setting gets a temporary folder; a cluster session
-    without it is an error.
+    Where that is unset, as in tests, a folder of the session's warehouse serves: it is shared as well.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     folder = folder or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        folder = tempfile.mkdtemp(prefix="lumenfit-")
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/lumenfit-shared"
+
+
+class Scratch:
+    """Owner of intermediate tables: those that :func:`durable` writes inside the ``with`` block, or after
+    :meth:`open`, are removed by :meth:`close`. Results that still read them must be kept or written before."""
+
+    active: list["Scratch"] = []
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def open(self) -> "Scratch":
+        Scratch.active.append(self)
+        return self
+
+    def leave(self) -> None:
+        """Stop collecting, keep the tables until :meth:`close`."""
+        if self in Scratch.active:
+            Scratch.active.remove(self)
+
+    def close(self) -> None:
+        self.leave()
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        while self.paths:
+            path = jvm.org.apache.hadoop.fs.Path(self.paths.pop())
+            path.getFileSystem(conf).delete(path, True)
+
+    __enter__ = open
+
+    def __exit__(self, *_) -> None:
+        self.close()
 
 
 def durable(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     Passes that reuse it then scan columnar files with pruning, and a lost executor costs a
-    re-read instead of a recomputation of everything before it.
+    re-read instead of a recomputation of everything before it. An open :class:`Scratch` owns it.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/lumenfit-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if Scratch.active:
+        Scratch.active[-1].paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -104,7 +104,7 @@ def test_scaler_statistics_of_filled_columns(spark, strategy):
 def test_prepare_rejects_wide_text(spark):
     df = spark.range(50).select(F.concat(F.lit("u"), "id").alias("t"))
     with pytest.raises(ValueError, match="'t'"):
-        prepare.Preprocessor(max_width=10).fit(df, ["t"])
+        prepare.Preprocessor(max_width=10, wide="error").fit(df, ["t"])
 
 
 def test_clean_target(spark):

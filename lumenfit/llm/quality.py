@@ -143,7 +143,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     n = known.agg(F.count(F.lit(1))).first()[0]
     share = min(1.0, sample / max(n, 1))
     chosen = known.where(F.pmod(F.xxhash64("_key", F.lit(11)), F.lit(1 << 30)) < int(share * (1 << 30)))
-    bags = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(chosen, "_key")
+    # The sample is bounded, so the documents need no shuffle.
+    bags = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_key")
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

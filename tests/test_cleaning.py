@@ -12,7 +12,7 @@ def test_csv_quoting(spark, tmp_path):
     path.write_text('id,name,score\n1,"a, b",2\n\n2,"say ""hi""",3.5\n', encoding="utf-8")
     df = read_csv(spark, str(path), "score")
     assert [tuple(r) for r in df.orderBy("id").collect()] == [("1", "a, b", "2"), ("2", 'say "hi"', "3.5")]
-    with pytest.raises(ValueError, match="Available"):
+    with pytest.raises(ValueError, match="not found among"):
         read_table(spark, str(path), "nothing")
 
 

@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from ..session import durable
 from .common import row_count, slices
 
 KINDS = ("assign", "access", "hex")
@@ -165,7 +166,7 @@ def labelled(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
 
 def train(table: DataFrame) -> dict[str, Automaton]:
     """One automaton per kind, from the ``SAMPLE_STRINGS`` values of a kind (four times as many others) that hash lowest."""
-    rows = []
+    rows, table = [], durable(table)
     for kind in (*KINDS, "other"):  # four bounded top-k queries
         limit = SAMPLE_STRINGS * (4 if kind == "other" else 1)
         rows += [(kind, r[0]) for r in table.where(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value").limit(limit).select("value").collect()]

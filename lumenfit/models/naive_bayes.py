@@ -13,11 +13,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalar import columns_of, names_of, total, vector, width_of
-from ..operators.linalg import WIDE, block
+from ..operators.linalg import block
 from .base import EXPRESSION_TERMS, Matrix, Model, by_fold, explode_configs, list_array
 
 # Driver-side statistics are kept per class and fold; beyond this many groups fitting fails.
 MAX_GROUPS = 100_000
+# Up to this many features the moments of classes are column aggregates.
+WIDE = 24
 
 
 @dataclass

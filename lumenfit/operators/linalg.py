@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.scalar import columns_of, linear, names_of, vector
 
 # Up to this many columns the moments are column aggregates; beyond it, Arrow blocks.
-WIDE = 24
+WIDE = 4
 # A matrix side up to this many entries is broadcast in a product.
 BROADCAST_ENTRIES = 1_000_000
 

@@ -394,7 +394,7 @@ def _across(vertex: DataFrame, found: DataFrame, full: DataFrame, percent: int)
         return pa.table({"x": pa.array([f[0] for f in found], pa.int64()), "y": pa.array([f[1] for f in found], pa.int64())})
 
     met = nodes.select(F.col("node").alias("_node"), F.col("width").alias("_width"), "bits", "low", "high", "hidden", "component", "size").join(
-        small(met), (F.col("_node") == F.col("node")) & (F.col("_width") == F.col("width")))
+        met, (F.col("_node") == F.col("node")) & (F.col("_width") == F.col("width")))
     pairs = met.withColumn("_g", F.pmod(F.xxhash64("token", "width", "_a", "_b"), F.lit(n_met))).groupBy("_g").applyInArrow(survivors, "x long, y long").distinct()
     # The larger node of a pair, y, meets all its partners together, or so many chunks of them.
     pairs = durable(pairs)

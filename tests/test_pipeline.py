@@ -79,7 +79,7 @@ def test_table_without_key(spark, people):
 
 
 def test_bad_arguments(spark, people):
-    with pytest.raises(ValueError, match="Available"):
+    with pytest.raises(ValueError, match="not found among"):
         autofit(people, "Nothing", keys=["id"])
     with pytest.raises(ValueError, match="task_type"):
         autofit(people, "Survived", "other")
@@ -94,7 +94,7 @@ def test_checked_call(spark, people, tmp_path):
     rows = people.collect()
     path.write_text("id,Age,Income,Education,Survived\n" + "\n".join(
         f'{r["id"]},{r["Age"]},{r["Income"]},{r["Education"]},{r["Survived"]}' for r in rows))
-    assert "Available" in run_autofit(spark, {"csv_path": str(path), "target_col": "z"})["error"]
+    assert "not found among" in run_autofit(spark, {"csv_path": str(path), "target_col": "z"})["error"]
     done = run_autofit(spark, {"csv_path": str(path), "target_col": "Survived", "cv_folds": 2, "time_budget": 600},
                        families=QUICK, keys=["id"])
     assert done["status"] == "success" and "Best family" in done["explanation"]

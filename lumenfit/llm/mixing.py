@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import durable
+from .common import small
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -152,5 +153,5 @@ def mixed_documents(docs: DataFrame, by: str = "source", key: str = "doc_id", te
     # The columns of a document travel as one, so their names may be anything.
     sized = docs.select(F.struct("*").alias("_row"), F.col(key).alias("_k"), F.col(by).alias("_b"), word_count(F.col(text)).alias("_n"))
     same = F.col("_k").eqNullSafe(F.col("_key")) & F.col("_b").eqNullSafe(F.col("_by")) & (F.col("_n") == F.col("_size"))
-    kept = sized.join(plan.where(F.col("_copies") > 0), same)
+    kept = sized.join(small(durable(plan.where(F.col("_copies") > 0))), same)
     return kept.select("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select("_row.*")

@@ -23,14 +23,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..session import durable
-from .common import LANES, NOT_SPACE, chained, list_array, mixed, row_count, signed, slices, texts, words
+from .common import LANES, NOT_SPACE, chained, list_array, mixed, row_count, signed, slices, small, texts, words
 
 NODE = 256
 FAN = 8
 # Nodes of one token that meet in one group; more are dealt over pairs of chunks.
 BLOCK = 10_000
-# Rows of a table of a few longs that may be broadcast (some 50 MB in memory); a longer one is joined by shuffle.
-BROADCAST_ROWS = 1_000_000
 
 
 def least_overlap(n, percent: int):
@@ -109,11 +107,6 @@ def full_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, k: int, p
     return rows.mapInArrow(shingled, "h long, n long, first long, tokens binary, bits binary, width long, prefix array<long>")
 
 
-def small(df: DataFrame) -> DataFrame:
-    """``df``, to be broadcast if it has been counted to be short enough."""
-    return F.broadcast(df) if row_count(df) <= BROADCAST_ROWS else df
-
-
 def width(n: int) -> int:
     """Logarithm of the number of bits for a set of ``n``: two to four bits per token."""
     return max(10, int(2 * n - 1).bit_length())
@@ -210,7 +203,7 @@ class Union:
 
 
 def links(names: np.ndarray, tokens: list[np.ndarray], components: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Links that connect the members of a group as all links would; members that share a component need none."""
+    """Pairs (member, root) that connect the members of a group as all their links would, together with their components."""
     _, once = np.unique(names, return_index=True)
     order = once[np.lexsort((np.array([len(tokens[i]) for i in once]), components[once]))]
     if len(order) < 2:
@@ -220,7 +213,7 @@ def links(names: np.ndarray, tokens: list[np.ndarray], components: np.ndarray, p
     marks = np.stack([signature(t, width(int(sizes.max()))) for t in tokens])
     tree = Tree(marks, sizes, sizes, hidden_tokens(marks, sizes))
     # Exact overlaps come from bitmaps over the group's own repeated tokens, made when the first pair asks.
-    union, out, local = Union(components), [], None
+    union, local = Union(components), None
     for i, j in tree.pairs(percent, union.roots):
         if local is None:
             local = _local_bitmaps(tokens)
@@ -238,8 +231,11 @@ def links(names: np.ndarray, tokens: list[np.ndarray], components: np.ndarray, p
                 rx, ry = union.find(x), union.find(y)
                 if rx != ry:
                     union.parent[max(rx, ry)] = min(rx, ry)
-                    out.append((int(names[x]), int(names[y])))
-    return out
+    if local is None:
+        return []
+    # Stars: components of stars take few rounds.
+    roots = union.roots()
+    return [(int(names[i]), int(names[r])) for i, r in enumerate(roots) if i != r]
 
 
 def _local_bitmaps(tokens: list[np.ndarray]) -> np.ndarray:
@@ -279,9 +275,9 @@ def _linked(rows: DataFrame, by: list[str], full: DataFrame, percent: int) -> Da
     return rows.select("_bucket", *by, "h", "component", "tokens").groupBy("_bucket").applyInArrow(link, "a long, b long")
 
 
-def components(edges: DataFrame, start: DataFrame | None = None) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """``(h, component)`` of all ends of ``edges``: the least name reachable. Tables cut the lineage of each round."""
-    both = durable(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    both = durable(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))))
     state = durable(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("c")))
     while True:
         near = both.join(state.select(F.col("a").alias("b"), "c"), "b").groupBy("a").agg(F.min("c").alias("d"))
@@ -320,10 +316,11 @@ def graph(full: DataFrame, percent: int) -> DataFrame:
         more = durable(_linked(one.withColumn("chunk", _salt("h", F.col("_m"), NODE)), ["first", "chunk"], full, percent))
         if not more.limit(1).count():
             break
-        edges = edges.union(more)
+        edges = found.select(F.col("h").alias("a"), F.col("component").alias("b")).where("a <> b").union(more)
         found = durable(components(edges))
         hot = hot.join(one.where(F.col("_m") > NODE).select(F.col("first").alias("_f")).distinct(), F.col("first") == F.col("_f"), "left_semi")
-    return edges.union(durable(_across(vertex, found, full, percent)))
+    stars = found.select(F.col("h").alias("a"), F.col("component").alias("b")).where("a <> b")
+    return stars.union(durable(_across(vertex, found, full, percent)))
 
 
 def _across(vertex: DataFrame, found: DataFrame, full: DataFrame, percent: int) -> DataFrame:
@@ -438,5 +435,6 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", k: in
     """One row of each component, the one with the least key, with all columns; texts without words all stay."""
     groups = jaccard_components(docs, key, text, k, percent)
     gone = groups.where((F.col("n_shingles") > 0) & (F.col(key) != F.col("component_id"))).select(F.col(key).alias("_gone")).distinct()
+    gone = small(durable(gone))
     rows = docs.select(F.struct("*").alias("_row"), F.col(key).alias("_k"))
     return rows.join(gone, F.col("_k") == F.col("_gone"), "left_anti").select("_row.*")

@@ -53,7 +53,7 @@ def test_regression(spark):
     assert set(result.report["metrics"]) == {"mae", "mse", "r2"} and result.report["metrics"]["r2"] > 0.9
     lowest = min(line.scores["mse"] for line in result.lines)
     assert result.report["metrics"]["mse"] == pytest.approx(lowest, rel=1e-6)
-    assert "R²=" in result.explanation and len(result.lines) == 12
+    assert "and R2 " in result.explanation and len(result.lines) == 12
 
 
 def test_time_budget_and_failing_family(spark, people):

@@ -402,14 +402,8 @@ def _across(vertex: DataFrame, found: DataFrame, full: DataFrame, percent: int)
     return _linked(sides, ["y", "part"], full, percent)
 
 
-def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
-    """``(key, n_shingles, component_id)`` for each row of ``docs``.
-
-    Words are split at ASCII white space, A-Z lower-cased; a text of fewer than ``k`` words is one shingle. Two rows
-    link when ``100 * overlap >= percent * union``; ``component_id`` is the least key reachable by links. Null, empty
-    and wordless texts have no shingle and are their own component. Rows with equal sets belong together, repeated
-    rows as well; null keys take part, and only a component of null keys has a null id. An empty table stays empty.
-    """
+def _placed(docs: DataFrame, key: str, text: str, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """``vertices`` of all rows, and ``(h, component)`` of the sets that have links."""
     rows = durable(vertices(docs, key, text, k, percent))
     some = rows.where("n > 0")
     sets_ = durable(some.groupBy("h", "n").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("text_hash", F.col(key).alias("key"))).alias("label")))
@@ -420,21 +414,50 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     a = F.floor((F.col("n") * percent + 99) / 100)
     need = 1 + F.floor(a * (100 - percent) / 300)
     suspects = durable(sets_.join(hits, "h").where(F.col("_c") >= need * F.col("copies")).select("h", "label"))
-    edges = graph(durable(full_sets(docs, suspects, key, text, k, percent)), percent)
-    least = some.groupBy("h").agg(F.min(key).alias("_key"))
-    found = components(edges)
-    least = least.join(found, "h", "left").withColumn("component", F.coalesce("component", "h"))
-    least = durable(least)
-    ids = least.groupBy("component").agg(F.min("_key").alias("component_id"))
-    named = least.join(ids, "component").select(F.col("h").alias("_h"), "component_id")
+    return rows, components(graph(durable(full_sets(docs, suspects, key, text, k, percent)), percent))
+
+
+def _least(rows: DataFrame, found: DataFrame, least: Column) -> DataFrame:
+    """``(_h, least)`` of each set of ``rows``: the least value in its component."""
+    own = rows.where("n > 0").groupBy("h").agg(F.min(least).alias("_own"))
+    own = durable(own.join(found, "h", "left").withColumn("component", F.coalesce("component", "h")))
+    ids = own.groupBy("component").agg(F.min("_own").alias("least"))
+    return own.join(ids, "component").select(F.col("h").alias("_h"), "least")
+
+
+def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
+    """``(key, n_shingles, component_id)`` for each row of ``docs``.
+
+    Words are split at ASCII white space, A-Z lower-cased; a text of fewer than ``k`` words is one shingle. Two rows
+    link when ``100 * overlap >= percent * union``; ``component_id`` is the least key reachable by links. Null, empty
+    and wordless texts have no shingle and are their own component. Rows with equal sets belong together, repeated
+    rows as well; null keys take part, and only a component of null keys has a null id. An empty table stays empty.
+    """
+    rows, found = _placed(docs, key, text, k, percent)
+    named = _least(rows, found, F.col(key)).withColumnRenamed("least", "component_id")
     out = rows.join(named, (F.col("h") == F.col("_h")) & (F.col("n") > 0), "left")
     return out.select(key, F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col(key)).alias("component_id"))
 
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
-    """One row of each component, the one with the least key, with all columns; texts without words all stay."""
-    groups = jaccard_components(docs, key, text, k, percent)
-    gone = groups.where((F.col("n_shingles") > 0) & (F.col(key) != F.col("component_id"))).select(F.col(key).alias("_gone")).distinct()
-    gone = small(durable(gone))
-    rows = docs.select(F.struct("*").alias("_row"), F.col(key).alias("_k"))
-    return rows.join(gone, F.col("_k") == F.col("_gone"), "left_anti").select("_row.*")
+    """One row of each component with all columns; texts without words all stay.
+
+    The row kept is the one with the least key (null last), then text hash, then hash of the whole row. Decisions are
+    per key and text: a key may repeat with other texts, rows may repeat, keys may be null.
+    """
+    rows, found = _placed(docs, key, text, k, percent)
+    kept = _least(rows, found, F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col("text_hash").alias("text_hash")))
+    rows = rows.where("n > 0").select(F.col(key).alias("_gone"), "text_hash", "h").join(kept, F.col("h") == F.col("_h"))
+    stays = F.col("_gone").eqNullSafe(F.col("least.key")) & (F.col("text_hash") == F.col("least.text_hash"))
+    rows = durable(rows.select("_gone", F.col("text_hash").alias("_hash"), stays.alias("_stays")))
+    gone = rows.where(~F.col("_stays")).select("_gone", "_hash").distinct()
+    # Of a kept row that repeats, one is chosen by an aggregate; the rest of the table is not shuffled.
+    repeated = durable(rows.where("_stays").groupBy("_gone", "_hash").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_gone", "_hash"))
+    apart = small(durable(gone.union(repeated)))
+    rows = docs.select(F.struct("*").alias("_row"), F.col(key).alias("_k"), F.xxhash64(text).alias("_t"))
+    same = F.col("_k").eqNullSafe(F.col("_gone")) & (F.col("_t") == F.col("_hash"))
+    out = rows.join(apart, same, "left_anti").select("_row")
+    if repeated.limit(1).count():
+        ones = rows.join(small(repeated), same, "left_semi").groupBy("_k", "_t")
+        out = out.union(ones.agg(F.min_by("_row", F.xxhash64(F.to_json("_row"))).alias("_row")).select("_row"))
+    return out.select("_row.*")

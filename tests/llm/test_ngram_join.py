@@ -98,3 +98,18 @@ def test_bounds_hold_for_any_bitmap():
             assert np.intersect1d(a, b).size <= int(np.bitwise_count(marks[0] & marks[1]).sum()) + hidden.min()
             log -= 1
             assert log < 10 or np.array_equal(ngram_join.halved(marks), np.stack([ngram_join.signature(a, log), ngram_join.signature(b, log)]))
+
+
+def test_one_row_of_each_component(spark):
+    """Keys that repeat with other texts, rows that repeat and null keys: rows are counted, not keys."""
+    one, two, three, four, five = (" ".join(f"t{t}w{i}" for i in range(40)) for t in range(5))
+    rows = [(1, one, "a"), (2, one + " more", "a"), (2, two, "b"), (2, three, "c"), (9, three, "c"),  # 2 is a copy of 1, clean, and represents 9
+            (5, four, "a"), (5, four, "a"), (5, four, "b"), (None, four, "n"),
+            (None, five, "n"), (None, five, "n"), (None, five + " more", "n"), (7, "", "a"), (7, "", "a"), (None, None, "a")]
+    docs = documents(spark, rows).repartition(4)
+    kept = ngram_join.deduplicated(docs)
+    assert kept.columns == docs.columns
+    got = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    last = [r for r in got if r[0] is None and r[1]]
+    assert len(last) == 1 and last[0][1] in (five, five + " more")
+    assert sorted(map(repr, set(got) - set(last))) == sorted(map(repr, {(1, one), (2, two), (2, three), (5, four), (7, ""), (None, None)})) and len(got) == 8

@@ -44,3 +44,22 @@ def test_long_dialogues_become_parts(spark):
     one = sorted((r for r in out if r["conv_id"] == 1 and r["assistant"] == "a"), key=lambda r: r["part"])
     assert len(one) == 10 and "".join(r["text"] for r in one).count("<|end|>") == 1000
     assert sum(r["n_turns"] for r in out if r["conv_id"] == 2) == 500
+
+
+@pytest.mark.parametrize("range_rows", [50_000, 7])
+def test_pieces_are_consecutive_and_bounded(spark, monkeypatch, range_rows):
+    """Parts of repeated rows, null numbers and one turn many times are cut in the order of the dialogue."""
+    monkeypatch.setattr(chat, "RANGE_ROWS", range_rows)
+    rows = [(1, i, "ab"[i % 2], f"t{i:03}") for i in range(130)] * 2 + [(None, None, "cd"[i % 2], f"n{i * 37 % 90:03}") for i in range(90)]
+    rows += [(2, 3, "a", "again")] * 130 + [(2, 3, "b", "then"), (2, 2, "b", "first"), (3, 0, "a", "x")]
+    out = chat.rotate(turns(spark, rows).repartition(3), part_turns=40).collect()
+    for conv in (1, 2, 3, None):
+        own = [r for r in rows if r[0] == conv]
+        want = [(-1 if p is None else p // 40, p, s, c) for _, p, s, c in sorted(own, key=lambda r: (-1 if r[1] is None else r[1], r[2], r[3]))]
+        for who in {r[2] for r in own}:
+            pieces = sorted((r for r in out if r["conv_id"] == conv and r["assistant"] == who), key=lambda r: (r["part"], r["piece"]))
+            side = lambda s, c: ("<|assistant|>" if s == who else f"<|user name={s}|>") + f"\n{c}<|end|>\n"
+            assert "".join(r["text"] for r in pieces) == "".join(side(s, c) for _, _, s, c in want)
+            for part in {p for p, *_ in want}:
+                n = sum(p == part for p, *_ in want)
+                assert [r["n_turns"] for r in pieces if r["part"] == part] == [min(40, n - at) for at in range(0, n, 40)]

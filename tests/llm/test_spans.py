@@ -114,3 +114,28 @@ def test_viterbi_against_all_paths():
         paths = np.stack(np.meshgrid(*[range(private.TAGS)] * len(group), indexing="ij"), -1).reshape(-1, len(group))
         total = scores[np.arange(len(group)), paths].sum(1) + field.move[paths[:, :-1], paths[:, 1:]].sum(1)
         assert got.tolist() == paths[total.argmax()].tolist()
+
+
+def test_every_valid_place_of_a_run():
+    """Neighbours of one kind in one tagged run, and places beyond any prefix of it."""
+    cards = "4111 1111 1111 1111 5500 0000 0000 0004"
+    many = " ".join([cards] * 20)
+    phones = " ".join(f"+1 (269) 555-{1000 + i}" for i in range(30))
+    hosts = ", ".join(f"user{i}@host{i}" for i in range(60))
+    ips = ",".join(f"10.0.{i}.300,10.0.{i}.7" for i in range(60))
+    for kind, text, want in [(3, cards, [cards[:19], cards[20:]]), (3, many, [cards[:19], cards[20:]] * 20), (4, phones, [f"+1 (269) 555-{1000 + i}" for i in range(30)]),
+                             (4, "+1 (269) 555-3296 4532015112830366", ["+1 (269) 555-3296"]), (1, hosts, [f"user{i}@host{i}" for i in range(60)]),
+                             (1, "x" * 300 + "@mail", ["x" * 300 + "@mail"]), (3, "1234 1234", [])]:
+        assert spans(text, PRIVATE) == [] or kind == 4
+        chain = private.chains(text)
+        got = private.extra_spans(text, [], chain, [np.full(len(c), kind) for c in chain])
+        assert [text[a:b] for a, b, _ in got] == want
+    chain = private.chains(ips)
+    got = [ips[a:b] for a, b, _ in private.extra_spans(ips, [], chain, [np.full(len(c), 2) for c in chain])]
+    assert [v for v in got if v.endswith(".7")] == [f"10.0.{i}.7" for i in range(60)]
+    first = [(0, 2, 19)]
+    assert [cards[a:b] for a, b, _ in private.extra_spans(cards, first, private.chains(cards), [np.full(8, 3)])] == [cards[20:]]
+    assert private.shape("1." * 20 + "@") != private.shape("1." * 20 + "x")
+    for text, kind in (("1 " * 200_000, 3), ("1.1" * 100_000, 2), ("+1 " * 100_000, 4), ("a@" * 100_000, 1)):
+        chain = private.chains(text)
+        private.extra_spans(text, [], chain, [np.full(len(c), kind) for c in chain])

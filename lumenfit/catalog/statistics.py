@@ -269,9 +269,11 @@ ORACLES = {
         with s as (select quantile_cont(c_acctbal, 0.25) a1, quantile_cont(c_acctbal, 0.75) a3,
                           quantile_cont(c_custkey::double, 0.25) k1, quantile_cont(c_custkey::double, 0.75) k3,
                           quantile_cont(c_nationkey::double, 0.25) n1, quantile_cont(c_nationkey::double, 0.75) n3
-                   from customer)
-        select 5::bigint as n_cols, 'c_acctbal,c_custkey,c_nationkey' as numeric_cols,
-               'c_name,c_mktsegment' as categorical_cols,
+                   from customer),
+             cols as (select column_name, column_type, row_number() over () as place from (describe customer))
+        select (select count(*) from cols)::bigint as n_cols,
+               (select string_agg(column_name, ',' order by place) from cols where column_type <> 'VARCHAR') as numeric_cols,
+               (select string_agg(column_name, ',' order by place) from cols where column_type = 'VARCHAR') as categorical_cols,
                (select count(*) filter (c_acctbal < a1 - 1.5 * (a3 - a1) or c_acctbal > a3 + 1.5 * (a3 - a1))
                      + count(*) filter (c_custkey < k1 - 1.5 * (k3 - k1) or c_custkey > k3 + 1.5 * (k3 - k1))
                      + count(*) filter (c_nationkey < n1 - 1.5 * (n3 - n1) or c_nationkey > n3 + 1.5 * (n3 - n1))

@@ -13,7 +13,7 @@ from .typing import (BOOLEAN, CATEGORICAL, NUMERICAL, detect_column_types, is_mi
 
 QUARTILES = [0.25, 0.5, 0.75]
 PROFILE_SCHEMA = (
-    "column string, kind string, mean double, median double, mode string, std double, "
+    "position int, column string, kind string, mean double, median double, mode string, std double, "
     "skew double, kurtosis double, n_unique bigint, missing bigint, lower double, upper double, "
     "outliers bigint"
 )
@@ -122,10 +122,10 @@ def profile(
     outliers = _outlier_counts(data, fences)
 
     rows = []
-    for c in columns:
+    for position, c in enumerate(columns):
         m, (mode_value, n_unique) = moments[c], modes.get(c, (None, 0))
         row = dict.fromkeys(("mean", "median", "std", "skew", "kurtosis", "lower", "upper"))
-        row.update(column=c, kind=kinds[c], missing=m["missing"], n_unique=n_unique, outliers=0)
+        row.update(position=position, column=c, kind=kinds[c], missing=m["missing"], n_unique=n_unique, outliers=0)
         row["mode"] = None if mode_value is None else str(mode_value)
         if kinds[c] == NUMERICAL:
             row.update({k: m[k] for k in ("mean", "std", "skew", "kurtosis")})
@@ -213,8 +213,9 @@ def _rough_counts(data, columns) -> dict[str, tuple]:
 
 
 def profile_summary(profiled: DataFrame) -> DataFrame:
-    """Column lists by kind and the totals of a profile, as one row."""
-    named = lambda kind: F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.col("column"))))
+    """Column lists by kind, in table order, and the totals of a profile, as one row."""
+    placed = lambda kind: F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.struct("position", "column"))))
+    named = lambda kind: placed(kind)["column"]
     return profiled.agg(
         F.count(F.lit(1)).alias("n_cols"),
         named(NUMERICAL).alias("numeric_cols"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontaminate, line_dedup, mixing, neighbours, ngram_join, private, quality, secrets, token_store
+from . import chat, decontaminate, divergence, language, lexical, line_dedup, mixing, neighbours, ngram_join, private, quality, secrets, token_store
 from .common import table
 
 
@@ -72,7 +72,23 @@ def op10_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf, "documents"), k=4, percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality, op3_token_store, op4_secrets, op5_decontamination, op6_private, op7_neighbours, op8_line_dedup, op9_chat, op10_jaccard)}
+def op11_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    return divergence.audit(table(spark, sf, "documents"))
+
+
+def op12_lexical(spark: SparkSession, sf: str) -> DataFrame:
+    return lexical.search(lexical.build(table(spark, sf, "documents")), table(spark, sf, "benchmark"))
+
+
+def op13_language(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    found = language.label(docs, language.train(docs.where(~held)))
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality, op3_token_store, op4_secrets, op5_decontamination, op6_private, op7_neighbours, op8_line_dedup, op9_chat, op10_jaccard,
+                                op11_divergence, op12_lexical, op13_language)}
 
 _LOW = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _TRIM = r"trim(line, e' \t\n\x0b\x0c\r')"
@@ -111,4 +127,31 @@ string_agg(head || body || chr(10), '' order by turn, speaker, content) as text,
 coalesce(string_agg((before + length(head))::varchar, ',' order by turn, speaker, content) filter (where own), '') as mask_starts,
 coalesce(string_agg((before + length(head) + length(body))::varchar, ',' order by turn, speaker, content) filter (where own), '') as mask_ends
 from s group by conv_id, assistant, part""",
+    "op11_divergence": rf"""
+with d as (select coalesce(lang, '') as lang, coalesce(source, '') as source, doc_id,
+  regexp_extract_all({_LOW.format("coalesce(text, '')")}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w from documents),
+g as (select distinct lang, source from d),
+t as (select lang, source, doc_id, unnest(w) as term from d),
+v as (select lang, term from t group by lang, term having count(distinct doc_id) >= 10),
+c as (select lang, source, term, count(*) as n from t join v using (lang, term) group by all),
+size as (select lang, count(*) as v from v group by lang),
+k as (select g.lang, g.source, v.term, coalesce(c.n, 0) as n from g join v using (lang) left join c on c.lang = g.lang and c.source = g.source and c.term = v.term),
+p as (select lang, source, term, n, 1 + (1000000000::hugeint * (n + 2)) // (sum(n) over (partition by lang, source) + 2 * v) as p from k join size using (lang)),
+l as (select lang, term, sum(n) as n from k group by lang, term),
+q as (select lang, term, 1 + (1000000000::hugeint * (n + 2)) // (sum(n) over (partition by lang) + 2 * v) as q from l join size using (lang)),
+pairs as (select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) as value from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+r as (select a.lang, a.source, 'pair' as part, b.source as item, coalesce(x.value, 0)::bigint as value from g a join g b on a.lang = b.lang and a.source <> b.source
+  left join pairs x on x.lang = a.lang and x.source = a.source and x.item = b.source
+  union all select lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::bigint from p join q using (lang, term) where n > 0 and p > q)
+select * from (select lang, source, part, item, value, row_number() over (partition by lang, source, part order by value desc, item)::int as rank from r) where part = 'pair' or rank <= 10""",
+    "op12_lexical": rf"""
+with d as (select row_number() over () as id, doc_id, regexp_extract_all({_LOW.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as w from documents),
+whole as (select count(*) filter (where len(w) > 0) as n, sum(len(w))::bigint as l from d),
+asked as (select distinct item_id, unnest(regexp_extract_all({_LOW.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark),
+tf as (select id, doc_id, len(w) as n, term, count(*) as tf from (select id, doc_id, w, unnest(w) as term from d) group by all),
+df as (select term, count(*) as df from tf group by term),
+m as (select id, 10 + (90 * len(w) * n) // l as m from d, whole where len(w) > 0),
+s as (select item_id, id, doc_id, sum(floor(1000 * ln((2 * whole.n + 2)::double / (2 * df + 1)))::bigint * ((1000000000 * tf) // (1000 * tf + 8 * m)))::bigint as score
+  from asked join tf using (term) join df using (term) join m using (id), whole group by all)
+select item_id, rank, doc_id, score from (select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int as rank, doc_id, score from s where score > 0) where rank <= 10""",
 }

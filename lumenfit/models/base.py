@@ -65,6 +65,11 @@ class Model:
         return spark.createDataFrame(rows, "position int, feature string, importance double")
 
 
+def has_wide(df: DataFrame, features) -> bool:
+    """Whether the feature array holds columns of sparse indicators."""
+    return not isinstance(features, (list, tuple)) and bool(df.schema[features].metadata.get("wide"))
+
+
 def feature_importance(model: Model, names: list[str]) -> list[tuple[str, float]]:
     """Normalised importances, largest first; uniform when a family has none of its own."""
     scores = model.importances()

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalar import vector, width_of
 from ..operators.linalg import block
+from ..operators.sparse import Layout, layout_of
 from ..session import ROWS_PER_TASK, partition_count, spread, with_partition
 
 # Rows are merged when a sketch says that at most this share of them is distinct.
@@ -70,14 +71,15 @@ def _link(z: np.ndarray, logistic: bool) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(z, -500.0, 500.0))) if logistic else z
 
 
-def _sums(blocks, weights: np.ndarray, held_out: np.ndarray, d: int, logistic: bool) -> np.ndarray:
+def _sums(blocks, weights: np.ndarray, held_out: np.ndarray, layout: Layout, logistic: bool) -> np.ndarray:
     """Per model: the summed gradient (features, then bias) and the number of training rows."""
+    d = layout.features
     total = np.zeros((len(weights), d + 2))
     for x, y, w, fold in blocks:
-        guess = _link(x @ weights[:, :d].T + weights[:, d], logistic)
+        guess = _link(layout.scores(x, weights), logistic)
         use = (fold[:, None] != held_out) * w[:, None]
         error = (guess - y[:, None]) * use
-        total[:, :d] += error.T @ x
+        layout.gradient(x, error, total)
         total[:, d] += error.sum(axis=0)
         total[:, d + 1] += use.sum(axis=0)
     return total
@@ -86,12 +88,12 @@ def _sums(blocks, weights: np.ndarray, held_out: np.ndarray, d: int, logistic: b
 class _Descent:
     """Weights of all models and the step that moves them."""
 
-    def __init__(self, settings, d: int, logistic: bool):
+    def __init__(self, settings, layout: Layout, logistic: bool):
         self.rates = np.array([s[0] for s in settings], dtype=float)
         self.epochs = np.array([s[1] for s in settings])
         self.held_out = np.array([s[2] for s in settings], dtype=float)
-        self.weights = np.zeros((len(settings), d + 1))
-        self.d, self.logistic = d, logistic
+        self.weights = np.zeros((len(settings), layout.features + 1))
+        self.layout, self.logistic = layout, logistic
 
     def run(self, sums) -> np.ndarray:
         """``sums(weights, held_out)`` gives the gradient sums of the models still training."""
@@ -110,7 +112,7 @@ def descend(df: DataFrame, features, label: str, fold: Column, settings,
     d = width_of(df, features)
     blocks, n = _pack(df, vector(df, features), F.col(label), fold, d)
     tasks = -(-n // ROWS_PER_TASK)
-    descent = _Descent(settings, d, logistic)
+    descent = _Descent(settings, layout_of(df, features), logistic)
     if n * (d + 3) <= ONE_TASK_CELLS:
         weights = _in_one_task(blocks, descent)
     else:
@@ -119,28 +121,29 @@ def descend(df: DataFrame, features, label: str, fold: Column, settings,
             weights = descent.run(lambda w, out: _distributed_sums(blocks, w, out, descent, tasks))
         finally:
             blocks.unpersist()
-    return [(w[:d], float(w[d])) for w in weights]
+    return [(w[:-1], float(w[-1])) for w in weights]
 
 
 def _in_one_task(blocks: DataFrame, descent: _Descent) -> np.ndarray:
     """A table whose size was checked: all epochs in the one task that holds it."""
-    d, logistic = descent.d, descent.logistic
+    layout, logistic = descent.layout, descent.logistic
 
     def train(batches):
-        held = list(_unpack(batches, d))
-        weights = descent.run(lambda w, out: _sums(held, w, out, d, logistic))
+        held = list(_unpack(batches, layout.slots))
+        weights = descent.run(lambda w, out: _sums(held, w, out, layout, logistic))
         yield pa.record_batch({"s": pa.array([weights.ravel().tolist()], pa.list_(pa.float64()))})
 
     (row,) = blocks.coalesce(1).mapInArrow(train, "s array<double>").collect()
-    return np.array(row["s"]).reshape(-1, d + 1)
+    return np.array(row["s"]).reshape(-1, layout.features + 1)
 
 
 def _distributed_sums(blocks: DataFrame, weights, held_out, descent: _Descent, tasks: int) -> np.ndarray:
     """One pass: partial sums per task, added up by an aggregate."""
-    d, logistic = descent.d, descent.logistic
+    layout, logistic = descent.layout, descent.logistic
+    d = layout.features
 
     def partial(batches):
-        total = _sums(_unpack(batches, d), weights, held_out, d, logistic)
+        total = _sums(_unpack(batches, layout.slots), weights, held_out, layout, logistic)
         yield pa.record_batch({"s": pa.array([total.ravel().tolist()], pa.list_(pa.float64()))})
 
     parts = blocks.mapInArrow(partial, "s array<double>")

@@ -25,7 +25,7 @@ from ..functions.scalar import names_of, vector, width_of
 from ..operators.linalg import block
 from ..operators.split import row_hash
 from ..session import durable
-from .base import Matrix, Model, list_array
+from .base import Matrix, Model, has_wide, list_array
 
 CHUNK = 8_192
 ROWS_PER_PIVOT = 4_000
@@ -33,35 +33,53 @@ MAX_PIVOTS = 256
 METRICS = ("euclidean", "manhattan")
 
 
-def distances(x: np.ndarray, points: np.ndarray, metric: str) -> np.ndarray:
-    """Every row of x to every point; summed dimension by dimension."""
+def distances(x: np.ndarray, points: np.ndarray, metric: str, wide: tuple[int, ...] = ()) -> np.ndarray:
+    """Every row of x to every point; summed dimension by dimension. ``wide`` names the slots of sparse columns."""
     out = np.zeros((len(x), len(points)))
-    for j in range(x.shape[1]):
+    for j in dense_slots(x.shape[1], wide):
         gap = x[:, j, None] - points[None, :, j]
         out += np.abs(gap) if metric == "manhattan" else gap * gap
+    for j in wide:
+        out += unlike(x[:, None, j:j + 2], points[None, :, j:j + 2], metric)
     return out if metric == "manhattan" else np.sqrt(out)
 
 
-def nearest(q: np.ndarray, t: np.ndarray, k: int, metric: str):
+def dense_slots(width: int, wide: tuple[int, ...]) -> list[int]:
+    hidden = {s for w in wide for s in (w, w + 1)}
+    return [j for j in range(width) if j not in hidden]
+
+
+def unlike(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
+    """What a sparse column adds to a distance: rows of one category agree in all indicators, others differ in two.
+    The last axis is (code, gap)."""
+    part = np.abs(a[..., 1]) + np.abs(b[..., 1]) if metric == "manhattan" else a[..., 1] ** 2 + b[..., 1] ** 2
+    return np.where(a[..., 0] == b[..., 0], 0.0, part)
+
+
+def nearest(q: np.ndarray, t: np.ndarray, k: int, metric: str, wide: tuple[int, ...] = ()):
     """Indices (query, training) of all pairs that may be among a query's k nearest.
 
     For the Euclidean metric a matrix product shortlists within its error margin.
     """
     if metric == "manhattan":
-        rough, margin = distances(q, t, metric), 0.0
+        rough, margin = distances(q, t, metric, wide), 0.0
     else:
+        added = [unlike(q[:, None, j:j + 2], t[None, :, j:j + 2], metric) for j in wide]
+        plain = dense_slots(q.shape[1], wide)
+        q, t = (q[:, plain], t[:, plain]) if wide else (q, t)
         centre = t.mean(axis=0)
         a, b = q - centre, t - centre
         qq, tt = (a * a).sum(axis=1), (b * b).sum(axis=1)
         rough = qq[:, None] + tt[None, :] - 2.0 * (a @ b.T)
-        margin = 1e-9 * (qq[:, None] + tt.max())
+        rough = sum(added, rough)
+        margin = 1e-9 * (qq[:, None] + tt.max() + sum((a.max() for a in added), 0.0))
     if k >= len(t):
         return np.nonzero(np.ones_like(rough, dtype=bool))
     limit = np.partition(rough, k - 1, axis=1)[:, k - 1 : k] + margin
     return np.nonzero(rough <= limit)
 
 
-def _join_block(k: int, metric: str, d: int, exclude: bool):
+def _join_block(k: int, metric: str, d: int, exclude: bool, wide: tuple[int, ...]):
     """The group function: k candidates per query of a chunk from one training chunk."""
     def run(queries: pa.Table, train: pa.Table) -> pa.Table:
         found = {"q": [], "t": [], "dist": []}
@@ -77,7 +95,7 @@ def _join_block(k: int, metric: str, d: int, exclude: bool):
                     continue
                 for start in range(0, len(mine), 512):
                     rows = mine[start : start + 512]
-                    _append(found, q, t, rows, other, place, k, metric)
+                    _append(found, q, t, rows, other, place, k, metric, wide)
         at = {c: np.concatenate(v) if v else np.array([]) for c, v in found.items()}
         mine, theirs = at["q"].astype(np.int64), at["t"].astype(np.int64)
         return pa.table({
@@ -89,12 +107,16 @@ def _join_block(k: int, metric: str, d: int, exclude: bool):
     return run
 
 
-def _append(found, q, t, rows, other, place, k, metric) -> None:
+def _append(found, q, t, rows, other, place, k, metric, wide=()) -> None:
     """The k nearest of ``t[other]`` for each of ``q[rows]``, ties by training key."""
     q, t = q[rows], t[other]
-    a, b = nearest(q, t, k, metric)
-    gap = q[a] - t[b]
-    dist = np.abs(gap).sum(axis=1) if metric == "manhattan" else np.sqrt((gap * gap).sum(axis=1))
+    a, b = nearest(q, t, k, metric, wide)
+    plain = dense_slots(q.shape[1], wide)
+    gap = q[a] - t[b] if not wide else q[a][:, plain] - t[b][:, plain]
+    dist = np.abs(gap).sum(axis=1) if metric == "manhattan" else (gap * gap).sum(axis=1)
+    for j in wide:
+        dist = dist + unlike(q[a, j:j + 2], t[b, j:j + 2], metric)
+    dist = dist if metric == "manhattan" else np.sqrt(dist)
     order = np.lexsort((place[other[b]], dist, a))
     a, b, dist = a[order], b[order], dist[order]
     starts = np.searchsorted(a, np.arange(len(q)))
@@ -107,8 +129,9 @@ def _append(found, q, t, rows, other, place, k, metric) -> None:
 def neighbours(
     queries: DataFrame, train: DataFrame, k: int, metric: str = "euclidean", *, width: int,
     exclude_fold: bool = False, n_pivots: int | None = None, chunk: int = CHUNK, seed: int = 42,
+    wide: tuple[int, ...] = (),
 ) -> DataFrame:
-    """``(qid, tid, dist, y, rank)`` with rank 1..k.
+    """``(qid, tid, dist, y, rank)`` with rank 1..k. ``wide`` names the slots of sparse columns in ``x``.
 
     ``queries`` has ``qid, x array<double>, qf int``; ``train`` has ``tid, x, y double, tf int``;
     the keys may be of any orderable type. With ``exclude_fold`` a query ignores training rows of its own fold.
@@ -123,10 +146,10 @@ def neighbours(
     n_pivots = n_pivots or min(MAX_PIVOTS, size // ROWS_PER_PIVOT)
     if n_pivots > 1:
         pivots = _pivots(train, n_pivots, seed)
-        queries = _assign(queries, pivots, metric, width)
+        queries = _assign(queries, pivots, metric, width, wide)
         # several small aggregates and the join read the reduced training rows
-        train = durable(_without_copies(_assign(train, pivots, metric, width), k, exclude_fold))
-        pieces = _join_sides(queries, train, _routes(queries, train, pivots, k, metric, exclude_fold, chunk))
+        train = durable(_without_copies(_assign(train, pivots, metric, width, wide), k, exclude_fold))
+        pieces = _join_sides(queries, train, _routes(queries, train, pivots, k, metric, exclude_fold, chunk, wide))
     else:
         train = _without_copies(train, k, exclude_fold)
         pieces = _one_cell_sides(queries, train, size, exclude_fold, chunk)
@@ -134,7 +157,7 @@ def neighbours(
               f"tid {train.schema['tid'].dataType.simpleString()}, dist double, y double")
     joined = pieces[0].groupBy("cell", "fold", "qc", "tc").cogroup(
         pieces[1].groupBy("cell", "fold", "qc", "tc")
-    ).applyInArrow(_join_block(k, metric, width, exclude_fold), schema)
+    ).applyInArrow(_join_block(k, metric, width, exclude_fold, wide), schema)
     best = W.partitionBy("qid").orderBy("dist", "tid")
     return joined.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
@@ -152,14 +175,14 @@ def _pivots(train: DataFrame, n: int, seed: int) -> np.ndarray:
     return np.array(list(dict.fromkeys(tuple(r["x"]) for r in rows))[:n], dtype=float)
 
 
-def _assign(df: DataFrame, pivots: np.ndarray, metric: str, width: int) -> DataFrame:
+def _assign(df: DataFrame, pivots: np.ndarray, metric: str, width: int, wide: tuple[int, ...] = ()) -> DataFrame:
     """Add the nearest pivot's number ``cell`` and the distance to it ``away``."""
     @F.arrow_udf("array<double>")
     def locate(xs):
         x = block(xs, width)
         found = np.empty((len(x), 2))
         for start in range(0, len(x), 4096):
-            away = distances(x[start : start + 4096], pivots, metric)
+            away = distances(x[start : start + 4096], pivots, metric, wide)
             cell = away.argmin(axis=1)
             found[start : start + 4096, 0] = cell
             found[start : start + 4096, 1] = away[np.arange(len(cell)), cell]
@@ -169,7 +192,7 @@ def _assign(df: DataFrame, pivots: np.ndarray, metric: str, width: int) -> DataF
     return placed.withColumns({"cell": F.col("_at")[0].cast("int"), "away": F.col("_at")[1]}).drop("_at")
 
 
-def _routes(queries, train, pivots, k, metric, exclude, chunk) -> DataFrame:
+def _routes(queries, train, pivots, k, metric, exclude, chunk, wide=()) -> DataFrame:
     """Which shell of each training cell each query cell needs, and the chunk counts."""
     fold = F.col("qf") if exclude else F.lit(-1)
     asked = queries.groupBy("cell", fold.alias("fold")).agg(
@@ -178,7 +201,7 @@ def _routes(queries, train, pivots, k, metric, exclude, chunk) -> DataFrame:
     held = train.withColumn("_r", F.row_number().over(near)).where(F.col("_r") <= k)
     closest = held.groupBy("cell", "tf").agg(F.collect_list("away").alias("near")).collect()
     sizes = train.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("away").alias("radius")).collect()
-    apart = distances(pivots, pivots, metric)
+    apart = distances(pivots, pivots, metric, wide)
     slack = 1e-9 * (1.0 + apart.max() + max(s["radius"] for s in sizes))
     rows = []
     for a in asked:
@@ -271,7 +294,7 @@ class KNNModel(Model):
                                vector(self.df, self.features).alias("x"),
                                F.col(self.label).cast("double").alias("y"), F.lit(-1).alias("tf"))
         return neighbours(queries, train, self.k, self.metric, width=width_of(self.df, self.features),
-                          **options)
+                          wide=wide_slots(self.df, self.features), **options)
 
     def transform(self, df: DataFrame, **options) -> DataFrame:
         votes = _votes(self.neighbours(df, **options)).select(
@@ -308,7 +331,7 @@ class KNearestNeighbors:
         for metric in sorted({c.metric for c in made}):
             members = [(i, c.k) for i, c in enumerate(made) if c.metric == metric]
             found = neighbours(queries, train, max(n for _, n in members), metric,
-                               width=width_of(m.df, m.features), exclude_fold=True, seed=seed)
+                               width=width_of(m.df, m.features), exclude_fold=True, seed=seed, wide=wide_slots(m.df, m.features))
             offers = F.array(*[
                 F.struct(F.lit(i).alias("config"),
                          vote_column(F.slice("labels", 1, n), m.task).alias("prediction"))
@@ -321,6 +344,11 @@ class KNearestNeighbors:
         return out
 
 
+def wide_slots(df: DataFrame, features) -> tuple[int, ...]:
+    """The slots at which sparse columns stand in a feature array."""
+    return tuple(int(w["slot"]) for w in df.schema[features].metadata["wide"]) if has_wide(df, features) else ()
+
+
 def key_column(keys) -> Column:
     """The row key as one orderable column: composite keys are structs, so different keys never meet."""
     if len(keys) == 1:

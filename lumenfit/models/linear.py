@@ -11,10 +11,11 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.scalar import columns_of, linear, names_of, vector, width_of
+from ..functions.scalar import columns_of, linear, vector, width_of
 from ..operators.linalg import Moments, block, merge_all, moments, solve_moments
+from ..operators.sparse import feature_names, layout_of
 from . import descent
-from .base import (EXPRESSION_TERMS, Matrix, Model, absolute_share, by_fold, explode_configs,
+from .base import (EXPRESSION_TERMS, Matrix, Model, absolute_share, by_fold, explode_configs, has_wide,
                    list_array)
 
 
@@ -58,19 +59,23 @@ class LinearRegression:
         return solve_moments(m) if self.solver == "normal" else descend(m, self.lr, self.epochs)
 
     def _by_passes(self, df: DataFrame, features) -> bool:
+        if has_wide(df, features):
+            if self.solver == "normal":
+                raise ValueError("columns of sparse indicators have no normal equations here: use solver='gd'")
+            return True
         return self.solver != "normal" and width_of(df, features) > MANY_FEATURES
 
     def fit(self, df: DataFrame, label: str = "label", features="features") -> LinearModel:
         if self._by_passes(df, features):
             settings = [(2 * self.lr, self.epochs, -1)]
             (found,) = descent.descend(df, features, label, F.lit(0), settings, False)
-            return LinearModel(features, names_of(df, features), *found)
+            return LinearModel(features, feature_names(df, features), *found)
         columns = columns_of(df, features) + [F.col(label).cast("double")]
         found = moments(df, columns)
         if not found:
             raise ValueError("the table has no rows")
         w, b = self._solve(found[()])
-        return LinearModel(features, names_of(df, features), w, b)
+        return LinearModel(features, feature_names(df, features), w, b)
 
     @classmethod
     def fit_matrix(cls, m: Matrix, params: dict, seed: int = 42) -> LinearModel:
@@ -94,12 +99,13 @@ class LinearRegression:
 def linear_scores(df, features, models, m: Matrix | None) -> list[Column]:
     """``x w + b`` per configuration; ``models[config][fold]`` is ``(weights, bias)``."""
     d, k = width_of(df, features), len(models[0])
-    if d * k * len(models) <= EXPRESSION_TERMS:
+    if d * k * len(models) <= EXPRESSION_TERMS and not has_wide(df, features):
         x = columns_of(df, features)
         if m is None:
             return [linear(x, *config[0]) for config in models]
         return [by_fold(m, k, lambda f: linear(x, *config[f])) for config in models]
     weights = np.array([[np.append(w, b) for w, b in config] for config in models])
+    layout = layout_of(df, features)
 
     @F.arrow_udf("array<double>")
     def score(xs, folds):
@@ -109,7 +115,7 @@ def linear_scores(df, features, models, m: Matrix | None) -> list[Column]:
         for f in range(k):
             rows = fold == f
             with np.errstate(all="ignore"):
-                out[rows] = x[rows] @ weights[:, f, :d].T + weights[:, f, d]
+                out[rows] = layout.scores(x[rows], weights[:, f])
         return list_array(out)
 
     scores = score(vector(df, features), F.col(m.fold) if m else F.lit(0))

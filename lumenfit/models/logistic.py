@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.scalar import names_of, sigmoid
+from ..functions.scalar import sigmoid
+from ..operators.sparse import feature_names
 from .base import Matrix, Model, absolute_share, explode_configs
 from .descent import descend
 from .linear import linear_scores
@@ -34,7 +35,7 @@ class LogisticRegression:
 
     def fit(self, df: DataFrame, label: str = "label", features="features") -> LogisticModel:
         (w, b), = descend(df, features, label, F.lit(0), [(self.lr, self.epochs, -1)], True)
-        return LogisticModel(features, names_of(df, features), w, b)
+        return LogisticModel(features, feature_names(df, features), w, b)
 
     @classmethod
     def fit_matrix(cls, m: Matrix, params: dict, seed: int = 42) -> LogisticModel:
@@ -50,6 +51,6 @@ class LogisticRegression:
         models = [found[i * len(folds) :][:k] for i in range(len(configs))]
         if full is not None:
             for i in range(len(configs)):
-                full[i] = LogisticModel(m.features, names_of(m.df, m.features), *found[i * len(folds) + k])
+                full[i] = LogisticModel(m.features, feature_names(m.df, m.features), *found[i * len(folds) + k])
         scores = linear_scores(m.df, m.features, models, m)
         return explode_configs(m, F.array(*[(sigmoid(z) >= 0.5).cast("double") for z in scores]), k)

@@ -6,7 +6,7 @@ moments, so all folds and smoothing values cost one pass for fitting and one for
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalar import columns_of, names_of, total, vector, width_of
 from ..operators.linalg import block
+from ..operators.sparse import MODEL_CATEGORIES, Layout, layout_of
+from ..session import durable
 from .base import EXPRESSION_TERMS, Matrix, Model, by_fold, explode_configs, list_array
 
 # Driver-side statistics are kept per class and fold; beyond this many groups fitting fails.
@@ -35,12 +37,14 @@ class ClassMoments:
 
 @dataclass
 class Gaussians:
-    """Classes in order with their priors, means and smoothed variances."""
+    """Classes in order with their priors, means and smoothed variances; for each column of sparse indicators also
+    the log likelihood of its constant vector by class, and what a category adds to it by (class, category)."""
 
     classes: np.ndarray
     prior: np.ndarray
     mean: np.ndarray
     var: np.ndarray
+    wide: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
 
 
 def class_moments(df: DataFrame, label: str, features, by: list[str]) -> dict[tuple, ClassMoments]:
@@ -107,6 +111,43 @@ def _class_moments_by_block(df, label, features, by) -> dict[tuple, ClassMoments
     }
 
 
+def dense_part(df: DataFrame, features, layout: Layout) -> tuple[DataFrame, object]:
+    """The table and its dense features alone."""
+    if not layout.wides:
+        return df, features
+    cells = F.transform(F.lit(layout.dense.tolist()), lambda i: F.get(features, i)) if len(layout.dense) else F.array().cast("array<double>")
+    return df.withColumn("_dense", cells).withMetadata("_dense", {"width": len(layout.dense)}), "_dense"
+
+
+def category_counts(df: DataFrame, label: str, features, by: list[str], layout: Layout) -> dict[tuple, list[np.ndarray]]:
+    """``{(class, *group): [rows per category of each sparse column]}``; counts are merged before they are shuffled."""
+    if not layout.wides:
+        return {}
+    codes = F.array(*[F.struct(F.lit(j).alias("j"), F.get(features, F.lit(w.slot)).cast("long").alias("code")) for j, w in enumerate(layout.wides)])
+    cells = df.select(F.col(label).cast("int").alias("_class"), *by, F.inline(codes)).where("code >= 0")
+    counts = durable(cells.groupBy("_class", *by, "j", "code").agg(F.count(F.lit(1)).alias("n")))
+    if counts.count() > MODEL_CATEGORIES:
+        raise ValueError(f"'{label}' has more than {MODEL_CATEGORIES} pairs of class and category")
+    table, found = counts.toPandas(), {}
+    for group, rows in table.groupby(["_class", *by]):
+        cells = found[tuple(int(v) for v in group)] = [np.zeros(w.size) for w in layout.wides]
+        for j, part in rows.groupby("j"):
+            cells[int(j)][part["code"].to_numpy()] = part["n"].to_numpy()
+    return found
+
+
+def with_indicators(g: Gaussians, counts: dict[int, list[np.ndarray]], sizes: dict[int, int], smoothing: float, layout: Layout) -> Gaussians:
+    """Add the likelihoods of sparse indicators: with the share of a class's rows in a category, an indicator's
+    mean and variance are known, and all rows outside of the category share one likelihood."""
+    for j, w in enumerate(layout.wides):
+        zero = [np.zeros(w.size)] * len(layout.wides)
+        share = np.array([counts.get(int(c), zero)[j] / sizes[int(c)] for c in g.classes])
+        var = w.gap**2 * share * (1 - share) + smoothing
+        base = (-0.5 * np.log(2 * np.pi * var) - (w.gap * share) ** 2 / (2 * var)).sum(axis=1)
+        g.wide.append((base, w.gap**2 * (2 * share - 1) / (2 * var)))
+    return g
+
+
 def gaussians(moments: dict[int, ClassMoments], smoothing: float) -> Gaussians:
     classes = sorted(moments)
     n = sum(moments[c].n for c in classes)
@@ -139,18 +180,25 @@ def _expression(x: list[Column], g: Gaussians) -> Column:
     return -F.array_max(F.array(*options))["c"]
 
 
-def _likeliest(x: np.ndarray, g: Gaussians) -> np.ndarray:
+def _likeliest(x: np.ndarray, g: Gaussians, layout: Layout) -> np.ndarray:
     score = np.empty((len(x), len(g.classes)))
+    dense = layout.plain(x)
     for c in range(len(g.classes)):
         constant = np.log(g.prior[c]) - 0.5 * np.log(2 * np.pi * g.var[c]).sum()
-        score[:, c] = constant - ((x - g.mean[c]) ** 2 / (2 * g.var[c])).sum(axis=1)
+        score[:, c] = constant - ((dense - g.mean[c]) ** 2 / (2 * g.var[c])).sum(axis=1)
+    for w, (base, added) in zip(layout.wides, g.wide):
+        codes = w.codes(x)
+        known = codes >= 0
+        score += base
+        score[known] += added[:, codes[known]].T
     return g.classes[score.argmax(axis=1)]
 
 
 def nb_scores(df, features, models: list[list[Gaussians]], m: Matrix | None) -> list[Column]:
     """Predicted class per configuration; ``models[config][fold]``."""
     d, k = width_of(df, features), len(models[0])
-    if sum(g.mean.size for config in models for g in config) <= EXPRESSION_TERMS:
+    layout = layout_of(df, features)
+    if sum(g.mean.size for config in models for g in config) <= EXPRESSION_TERMS and not layout.wides:
         x = columns_of(df, features)
         if m is None:
             return [_expression(x, config[0]) for config in models]
@@ -164,26 +212,46 @@ def nb_scores(df, features, models: list[list[Gaussians]], m: Matrix | None) ->
         for f in range(k):
             rows = fold == f
             for c, config in enumerate(models):
-                out[rows, c] = _likeliest(x[rows], config[f])
+                out[rows, c] = _likeliest(x[rows], config[f], layout)
         return list_array(out)
 
     scores = score(vector(df, features), F.col(m.fold) if m else F.lit(0))
     return [scores[c] for c in range(len(models))]
 
 
+def _roles(df: DataFrame, label: str, features, layout: Layout) -> tuple:
+    dense, name = dense_part(df, features, layout)
+    return dense, label, name
+
+
+def _dense_names(df: DataFrame, features, layout: Layout) -> list[str]:
+    names = names_of(df, features)
+    return [names[s] for s in layout.dense] if layout.wides else names
+
+
+def _counts_without(counts: dict[tuple, list[np.ndarray]], left_out: int) -> dict[int, list[np.ndarray]]:
+    """Category counts by class over all folds but one."""
+    found: dict[int, list[np.ndarray]] = {}
+    for (c, fold), cells in counts.items():
+        if fold != left_out:
+            found[c] = [a + b for a, b in zip(found[c], cells)] if c in found else cells
+    return found
+
+
 class GaussianNBModel(Model):
     def __init__(self, features, names, parameters: Gaussians):
         self.features, self.names, self.parameters = features, names, parameters
+        self.dense = list(names)
 
     def prediction(self, df: DataFrame) -> Column:
         return nb_scores(df, self.features, [[self.parameters]], None)[0].cast("int")
 
     def to_table(self, spark) -> DataFrame:
-        """``(class, prior, feature, mean, var)``."""
+        """``(class, prior, feature, mean, var)`` of the dense features."""
         g = self.parameters
         rows = [
             (int(g.classes[c]), float(g.prior[c]), name, float(g.mean[c, j]), float(g.var[c, j]))
-            for c in range(len(g.classes)) for j, name in enumerate(self.names)
+            for c in range(len(g.classes)) for j, name in enumerate(self.dense)
         ]
         return spark.createDataFrame(rows, "class int, prior double, feature string, mean double, var double")
 
@@ -193,10 +261,13 @@ class GaussianNB:
         self.var_smoothing = var_smoothing
 
     def fit(self, df: DataFrame, label: str = "label", features="features") -> GaussianNBModel:
-        found = {c[0]: v for c, v in class_moments(df, label, features, []).items()}
+        layout = layout_of(df, features)
+        found = {c[0]: v for c, v in class_moments(*_roles(df, label, features, layout), []).items()}
         if not found:
             raise ValueError("the table has no rows")
-        return GaussianNBModel(features, names_of(df, features), gaussians(found, self.var_smoothing))
+        counts = {c[0]: v for c, v in category_counts(df, label, features, [], layout).items()}
+        sizes = {c: v.n for c, v in found.items()}
+        return GaussianNBModel(features, _dense_names(df, features, layout), with_indicators(gaussians(found, self.var_smoothing), counts, sizes, self.var_smoothing, layout))
 
     @classmethod
     def fit_matrix(cls, m: Matrix, params: dict, seed: int = 42) -> GaussianNBModel:
@@ -204,8 +275,15 @@ class GaussianNB:
 
     @classmethod
     def out_of_fold(cls, m: Matrix, configs: list[dict], k: int, seed: int = 42) -> DataFrame:
-        found = class_moments(m.df, m.label, m.features, [m.fold])
+        layout = layout_of(m.df, m.features)
+        found = class_moments(*_roles(m.df, m.label, m.features, layout), [m.fold])
         train = [merged(found, f) for f in range(k)]
-        models = [[gaussians(train[f], cls(**c).var_smoothing) for f in range(k)] for c in configs]
+        counts = category_counts(m.df, m.label, m.features, [m.fold], layout)
+        rest = [_counts_without(counts, f) for f in range(k)]
+
+        def model(smoothing: float, f: int) -> Gaussians:
+            return with_indicators(gaussians(train[f], smoothing), rest[f], {c: v.n for c, v in train[f].items()}, smoothing, layout)
+
+        models = [[model(cls(**c).var_smoothing, f) for f in range(k)] for c in configs]
         scores = nb_scores(m.df, m.features, models, m)
         return explode_configs(m, F.array(*[s.cast("double") for s in scores]), k)

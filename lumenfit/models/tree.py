@@ -1,11 +1,12 @@
-"""Exact decision trees and random forests, grown level by level for many trees at once.
+"""Decision trees and random forests, grown level by level for many trees at once.
 
-All trees of all folds grow together: rows carry a model number and a node number, and a level
-costs the same few jobs whatever the number of trees.
+Rows are packed once into blocks: features, bucket numbers, labels, and how often each tree draws each row. All trees of all
+folds grow together over these blocks; no row is ever copied per tree, fold or feature. On a level a task finds the
+node of every row in every tree by replaying the splits above, and adds the rows up.
 
 1. *Histogram.* Features are cut once into buckets by quantile sketches. Statistics per (model,
-   node, feature, bucket, class) are merged on the map side. From a node's few buckets, running
-   sums give the exact impurity of splitting at every bucket edge.
+   node, feature, bucket, class) are counted in each block and merged by an aggregate. From a node's few
+   buckets, running sums give the exact impurity of splitting at every bucket edge.
 2. *Refinement.* A split inside a bucket cannot beat the impurity obtained by setting the whole
    bucket aside as pure, because merging groups never lowers weighted impurity. Only buckets whose
    bound reaches the best edge are opened: large ones are cut again by quantiles, small ones are
@@ -16,6 +17,11 @@ The result is the split an exhaustive search over all distinct values finds, wit
 first feature and smallest value. No feature is ever sorted as a whole, every group that reaches a
 task has bounded size, and the driver holds one row per tree node.
 
+``solver="binned"`` stops at the bucket edges (up to 256 buckets, one per value where a feature has few values): one job per
+level, and of two siblings only the smaller one is counted, the other is its parent less that. ``subset="node"`` lets a
+forest draw a subset of the features for each node instead of each tree. A column of sparse indicators is split
+on one category against all others, which is what a split on the indicator's own column would be.
+
 A tree limited to depth 3 is the top of the tree limited to depth 5, and the first 10 trees of a
 forest are the forest of 10, so a whole grid over depth, split size and tree count is read off one
 growth.
@@ -30,10 +36,11 @@ import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.scalar import columns_of, names_of, vector, width_of
+from ..functions.scalar import columns_of, vector, width_of
 from ..operators.linalg import block
-from ..operators.split import bootstrap_weights, feature_subset
-from ..session import partition_count, spread, with_partition
+from ..operators.sparse import Layout, feature_names, layout_of
+from ..operators.split import feature_subset, poisson_weights
+from ..session import durable, partition_count, spread, with_partition
 from .base import Matrix, Model, class_counts, explode_configs, list_array
 
 # Impurities are compared relative to their node, at this many decimals, so that the order of
@@ -48,7 +55,11 @@ PARTS = 256
 SUMS = ["s0", "s1", "s2"]
 # Small nodes are scored together in groups of about this many cells.
 CELLS_PER_TEAM = 50_000
-TEAMS = "team int, model int, node long, subset array<int>, small boolean"
+# Rows of a packed block, and the number no fold has.
+ROWS_PER_BLOCK = 50_000
+NO_FOLD = -2
+PARTIAL = "model int, node long, f int, part long, cls int, low double, high double, s0 double, s1 double, s2 double"
+VALUES = "model int, node long, f int, v double, part long, cls int, s0 double, s1 double, s2 double"
 OFFERS = ("model int, node long, f int, part long, open boolean, ratio double, v double, n double, "
           "left array<double>, right array<double>")
 
@@ -64,6 +75,8 @@ class Node:
     feature: int | None = None
     threshold: float | None = None
     gain: float = 0.0
+    # A split on one category of a sparse column: its rows go right.
+    category: int | None = None
 
 
 @dataclass
@@ -97,6 +110,7 @@ class Tree:
         size = len(order)
         self.feature = np.full(size, -1)
         self.threshold, self.value = np.zeros(size), np.zeros(size)
+        self.category = np.full(size, -1)
         self.left, self.right = np.arange(size), np.arange(size)
         self.depth = 0
         for i in order:
@@ -106,29 +120,36 @@ class Tree:
             self.depth = max(self.depth, node.depth)
             if split:
                 self.feature[p], self.threshold[p] = node.feature, node.threshold
+                self.category[p] = -1 if node.category is None else node.category
                 self.left[p], self.right[p] = place[2 * i], place[2 * i + 1]
 
-    def predict(self, x: np.ndarray) -> np.ndarray:
+    def route(self, x: np.ndarray) -> np.ndarray:
+        """Number of the leaf that each row ends in."""
         at = np.zeros(len(x), dtype=int)
         rows = np.arange(len(x))
         for _ in range(self.depth):
-            low = x[rows, np.maximum(self.feature[at], 0)] <= self.threshold[at]
+            cell = x[rows, np.maximum(self.feature[at], 0)]
+            low = np.where(self.category[at] >= 0, cell != self.category[at], cell <= self.threshold[at])
             at = np.where(low, self.left[at], self.right[at])
-        return self.value[at]
+        return at
+
+    def predict(self, x: np.ndarray) -> np.ndarray:
+        return self.value[self.route(x)]
 
     def expression(self, x: list[Column], at: int = 0) -> Column:
         if self.feature[at] < 0:
             return F.lit(float(self.value[at]))
-        low = x[self.feature[at]] <= F.lit(float(self.threshold[at]))
+        cell = x[self.feature[at]]
+        low = cell != F.lit(float(self.category[at])) if self.category[at] >= 0 else cell <= F.lit(float(self.threshold[at]))
         return F.when(low, self.expression(x, self.left[at])).otherwise(
             self.expression(x, self.right[at]))
 
-    def gains(self, d: int) -> np.ndarray:
+    def gains(self, layout: Layout) -> np.ndarray:
         """Total impurity decrease per feature, normalised within the tree."""
-        found = np.zeros(d)
+        found = np.zeros(layout.features)
         for node, split in self.nodes.values():
             if split:
-                found[node.feature] += node.gain
+                found[layout.place(node.feature, node.category)] += node.gain
         return found / found.sum() if found.sum() > 0 else found
 
 
@@ -136,50 +157,85 @@ class Tree:
 
 class _Grower:
     def __init__(self, m: Matrix, folds: list[int | None], n_trees: int | None, max_depth: int,
-                 min_samples_split: int, max_features: int | None, seed: int, bins: int | None):
+                 min_samples_split: int, max_features: int | None, seed: int, bins: int | None,
+                 solver: str = "exact", subset: str = "tree"):
         self.m, self.folds, self.n_trees = m, folds, n_trees
         self.max_depth, self.min_split = max_depth, min_samples_split
         self.max_features, self.seed, self.bins = max_features, seed, bins
-        self.d = width_of(m.df, m.features)
+        self.layout = layout_of(m.df, m.features)
+        self.d = self.layout.slots
         self.classify = m.task == "classification"
         self.spark = m.df.sparkSession
         self.centre, self.classes = 0.0, []
-        self.values_per_group, self.bucketed = VALUES_PER_GROUP, True
+        self.values_per_group = VALUES_PER_GROUP
+        self.binned, self.per_node = solver == "binned", subset == "node"
+        self.cuts: list[np.ndarray] = []
+        self.models = len(folds) * (n_trees or 1)
+        self.before: DataFrame | None = None
 
     def model(self, fold_position: int, tree: int) -> int:
         return fold_position * (self.n_trees or 1) + tree
 
     def grow(self) -> Grown:
-        base = self._base().persist(StorageLevel.MEMORY_AND_DISK)
+        blocks = self._blocks().persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            rows = self._rows(base)
-            grown = self._roots(rows)
+            grown = self._roots(blocks)
             for depth in range(self.max_depth):
                 active = self._active(grown, depth)
                 if not active:
                     break
-                self._split(grown, self._routed(rows, grown, depth, active), depth, active)
+                self._split(grown, blocks, depth, active)
             return grown
         finally:
-            base.unpersist()
+            blocks.unpersist()
 
-    # rows and their models
+    # rows, packed once
 
-    def _base(self) -> DataFrame:
+    def _blocks(self) -> DataFrame:
+        """Blocks of packed rows: features, bucket numbers, label, fold and the draws of every tree."""
         m = self.m
         n, partitions = self._survey()
-        cells = [vector(m.df, m.features).alias("x"), F.col(m.label).cast("double").alias("y")]
-        cells.append(F.col(m.fold).alias("fold") if self.folds != [None] else F.lit(-1).alias("fold"))
-        draws = F.array(F.lit(1))
+        y = F.col(m.label).cast("double")
+        cells = [vector(m.df, m.features).alias("x"), y.alias("y")]
+        cells.append(F.col(m.fold).cast("int").alias("fold") if self.folds != [None] else F.lit(-1).alias("fold"))
         if self.n_trees:
-            draws = bootstrap_weights([F.col(k) for k in m.keys], self.seed, self.n_trees)
-        work = n * self.d * len(self.folds) // 10  # a cell is a tenth of a row's work
-        base = spread(m.df.select(*cells, draws.alias("draws")), max(n, work), partitions)
-        self.bucketed = 1.25 * n * self.d > self.values_per_group
-        if not self.bucketed:
-            # every node will be searched value by value, so there is nothing to cut
-            return base.withColumn("b", F.array().cast("array<int>"))
-        return base.withColumn("b", self._bucket(n)("x"))
+            cells.append(poisson_weights([F.col(f"`{k}`") for k in m.keys], self.seed, self.n_trees).alias("draws"))
+        else:
+            cells.append(F.array(F.lit(1)).alias("draws"))
+        work = n * self.d * self.models // 10  # a cell is a tenth of a row's work
+        base = spread(m.df.select(*cells), max(n, work), partitions)
+        if self.binned or self._bucketed(n):
+            self.cuts = self._quantiles(n)
+        d, cuts, trees = self.d, self.cuts, self.n_trees or 1
+        classes = np.array(self.classes) if self.classify else None
+        centre = self.centre
+
+        def pack(batches):
+            held, rows = [], 0
+            for batch in batches:
+                if batch.num_rows:
+                    held.append(batch)
+                    rows += batch.num_rows
+                if rows >= ROWS_PER_BLOCK:
+                    yield packed(pa.concat_batches(held))
+                    held, rows = [], 0
+            if held:
+                yield packed(pa.concat_batches(held))
+
+        def packed(batch):
+            x = np.ascontiguousarray(block(batch.column("x"), d))
+            y = batch.column("y").to_numpy(zero_copy_only=False)
+            label = np.searchsorted(classes, y).astype(np.float64) if classes is not None else y - centre
+            codes = np.stack([np.searchsorted(c, x[:, j], side="left") for j, c in enumerate(cuts)], axis=1).astype(np.uint16) if cuts else np.zeros(0, np.uint16)
+            w = block(batch.column("draws"), trees).astype(np.uint8)
+            fold = batch.column("fold").to_numpy(zero_copy_only=False).astype(np.int32)
+            return pa.record_batch({c: pa.array([v.tobytes()], pa.binary()) for c, v in (("x", x), ("b", codes), ("y", label), ("fold", fold), ("w", w))})
+
+        return base.mapInArrow(pack, "x binary, b binary, y binary, fold binary, w binary")
+
+    def _bucketed(self, n: int) -> bool:
+        """Whether nodes may be too large to be searched value by value at once."""
+        return 1.25 * n * self.d * self.models > self.values_per_group
 
     def _survey(self) -> tuple[int, int]:
         """Number of rows and of partitions; notes the classes or the label's mean."""
@@ -194,44 +250,40 @@ class _Grower:
             raise ValueError("the table has no rows")
         return n, partitions
 
-    def _bucket(self, n: int):
-        """A function from the feature vector to its bucket numbers, by quantile cuts."""
+    def _quantiles(self, n: int) -> list[np.ndarray]:
+        """Where each feature is cut. A feature of few values is cut at every value, any other by quantiles."""
         bins = self.bins or (64 if n < 10_000_000 else 256 if n < 1_000_000_000 else 2048)
-        probs = [i / bins for i in range(1, bins)]
-        x = columns_of(self.m.df, self.m.features)
-        row = self.m.df.agg(*[F.percentile_approx(c, probs, 10 * bins) for c in x]).first()
-        cuts = [np.unique(np.array(q or [])) for q in row]
-        d = self.d
-
-        @F.arrow_udf("array<int>")
-        def buckets(xs):
-            x = block(xs, d)
-            codes = [np.searchsorted(cuts[j], x[:, j], side="left") for j in range(d)]
-            return list_array(np.stack(codes, axis=1).astype(np.int32))
-
-        return buckets
-
-    def _rows(self, base: DataFrame) -> DataFrame:
-        """One row per (row, model that trains on it), with the row's statistics."""
-        trees = base.select("x", "b", "y", "fold", F.posexplode("draws").alias("tree", "w"))
-        trees = trees.where(F.col("w") > 0)
-        numbers = [
-            F.when(F.lit(True) if f is None else F.col("fold") != f,
-                   F.lit(p * (self.n_trees or 1)) + F.col("tree"))
-            for p, f in enumerate(self.folds)
-        ]
-        kept = F.filter(F.array(*numbers), lambda c: c.isNotNull())
-        return trees.select(F.explode(kept).alias("model"), F.lit(1).cast("long").alias("node"),
-                            "x", "b", *self._row_stats())
-
-    def _row_stats(self) -> list[Column]:
-        """Class number and weight, or weight, weighted label and its square."""
-        w, y = F.col("w").cast("double"), F.col("y")
-        if self.classify:
-            number = F.create_map(*[F.lit(v) for p in enumerate(self.classes) for v in (p[1], p[0])])
-            return [number[y].alias("cls"), w.alias("s0"), F.lit(0.0).alias("s1"), F.lit(0.0).alias("s2")]
-        z = y - F.lit(float(self.centre))
-        return [F.lit(0).alias("cls"), w.alias("s0"), (w * z).alias("s1"), (w * z * z).alias("s2")]
+        if self.binned:
+            bins = self.bins or 256
+        d, dense, most = self.d, self.layout.dense.tolist(), 2 * bins
+
+        def distinct(batches):
+            """Values of each feature, null in their place where there are too many."""
+            found: dict[int, np.ndarray | None] = {j: np.zeros(0) for j in dense}
+            for batch in batches:
+                x = block(batch.column("x"), d)
+                for j, known in found.items():
+                    if known is not None:
+                        known = np.union1d(known, x[:, j][~np.isnan(x[:, j])])
+                        found[j] = known if len(known) <= most else None
+            f = np.concatenate([np.full(1 if v is None else len(v), j) for j, v in found.items()] or [np.zeros(0)])
+            v = np.concatenate([[np.nan] if v is None else v for v in found.values()] or [np.zeros(0)])
+            yield pa.record_batch({"f": pa.array(f, pa.int32()), "v": pa.array(v, mask=np.isnan(v))})
+
+        rows = self.m.df.select(vector(self.m.df, self.m.features).alias("x"))
+        values = rows.mapInArrow(distinct, "f int, v double").distinct().groupBy("f").agg(
+            F.count("v").alias("n"), F.count_if(F.col("v").isNull()).alias("unknown"), F.sort_array(F.collect_list("v")).alias("v"))
+        cuts = [np.zeros(0)] * d
+        few = values.where((F.col("unknown") == 0) & (F.col("n") <= most)).collect()  # a few hundred values of each feature
+        for r in few:
+            cuts[r["f"]] = np.array(r["v"])
+        many = sorted(set(dense) - {r["f"] for r in few})
+        if many:
+            probs = [i / bins for i in range(1, bins)]
+            cells = rows.select(F.explode(F.transform(F.lit(many), lambda j: F.struct(j.alias("f"), F.get("x", j).alias("v")))).alias("c"))
+            for r in cells.groupBy("c.f").agg(F.percentile_approx("c.v", probs, 10 * bins).alias("q")).collect():
+                cuts[r["f"]] = np.unique(np.array(r["q"] or []))
+        return cuts
 
     # nodes on the driver
 
@@ -247,19 +299,36 @@ class _Grower:
             return sum(s) - sum(c * c for c in s) / sum(s)
         return max(0.0, s[2] - s[1] ** 2 / s[0])
 
-    def _roots(self, rows: DataFrame) -> Grown:
+    def _roots(self, blocks: DataFrame) -> Grown:
         grown, found = Grown(), {}
-        sums = rows.groupBy("model", "cls").agg(*[F.sum(s).alias(s) for s in SUMS])
-        for r in sums.collect():
-            stats = found.setdefault(r["model"], [0.0] * len(self.classes) if self.classify else None)
-            if self.classify:
-                stats[r["cls"]] = r["s0"]
-            else:
-                found[r["model"]] = [r[s] for s in SUMS]
+        held_out, trees, width = self._held_out(), self.n_trees or 1, len(self.classes) if self.classify else 0
+
+        def sums(batches):
+            total = np.zeros((len(held_out) * trees, width or 3))
+            for _, _, y, fold, w in _unpacked(batches, self_d, trees):
+                for position, out in enumerate(held_out):
+                    mine = w[fold != out].astype(float)
+                    z = y[fold != out]
+                    for t in range(trees):
+                        at = position * trees + t
+                        if width:
+                            total[at] += np.bincount(z.astype(np.int64), mine[:, t], width)
+                        else:
+                            total[at] += mine[:, t].sum(), mine[:, t] @ z, mine[:, t] @ (z * z)
+            model, column = np.nonzero(total)
+            yield pa.record_batch({"model": pa.array(model, pa.int32()), "i": pa.array(column, pa.int32()), "v": pa.array(total[model, column])})
+
+        self_d = self.d
+        for r in blocks.mapInArrow(sums, "model int, i int, v double").groupBy("model", "i").agg(F.sum("v").alias("v")).collect():
+            found.setdefault(r["model"], [0.0] * (width or 3))[r["i"]] = r["v"]
         for model, stats in found.items():
             grown.trees[model] = {1: self._node(0, stats)}
         return grown
 
+    def _held_out(self) -> list[int]:
+        """The fold that each position leaves out; no row has the number of the position that leaves none out."""
+        return [NO_FOLD if f is None else f for f in self.folds]
+
     def _active(self, grown: Grown, depth: int) -> list[tuple[int, int]]:
         """Nodes of a level that may split: large enough and not pure."""
         found = []
@@ -271,10 +340,17 @@ class _Grower:
                         found.append((model, i))
         return found
 
-    def _features_of(self, model: int) -> list[int]:
+    def _features_of(self, model: int, node: int) -> tuple[list[int], dict[int, np.ndarray] | None]:
+        """Slots a node may split on, and the categories of each sparse slot (all of them without a subset): for a forest
+        the seeded subset of the features of its tree, or of the node itself."""
+        sparse = [w.slot for w in self.layout.wides]
         if not self.n_trees:
-            return list(range(self.d))
-        return feature_subset(self.d, self.max_features, self.seed, model % self.n_trees)
+            return sorted([*self.layout.dense.tolist(), *sparse]), None
+        tree = model % self.n_trees
+        chosen = np.array(feature_subset(self.layout.features, self.max_features, self.seed, (tree << 32) + node if self.per_node else tree))
+        slots = self.layout.dense[np.isin(self.layout.at, chosen)].tolist()
+        codes = {w.slot: chosen[(chosen >= w.at) & (chosen < w.at + w.size)] - w.at for w in self.layout.wides}
+        return sorted(slots + [s for s in sparse if len(codes[s])]), codes
 
     def _small(self, rows: list[tuple], schema: str) -> DataFrame:
         """A driver table of tree nodes, broadcast while it is small."""
@@ -283,57 +359,93 @@ class _Grower:
 
     # one level
 
-    def _routed(self, rows: DataFrame, grown: Grown, depth: int, active) -> DataFrame:
-        """Rows at the active nodes of a level, one per candidate feature.
-
-        Every level replays the few splits above it; rows that ended in a leaf drop out. All
-        levels look into the same small table, which is therefore sent once.
-        """
-        if depth:
-            table = self._small([
-                (model, i, node.feature, node.threshold)
-                for model, nodes in grown.trees.items() for i, node in nodes.items()
-                if node.feature is not None
-            ], "model int, node long, sf int, st double")
-        for _ in range(depth):
-            right = (F.get("x", F.col("sf")) > F.col("st")).cast("long")
-            rows = rows.join(table, ["model", "node"]).withColumn("node", F.col("node") * 2 + right)
-            rows = rows.select("model", "node", "x", "b", "cls", *SUMS)
-        cells = rows.join(self._small(self._teams(grown, active), TEAMS), ["model", "node"]).select(
-            "team", "model", "node", "small", "x", "b", "cls", *SUMS, F.explode("subset").alias("f"))
-        part = F.when(F.col("small"), F.lit(-1)).otherwise(F.get("b", F.col("f"))).cast("long")
-        return cells.select("team", "model", "node", "f", F.get("x", F.col("f")).alias("v"),
-                            part.alias("part"), "cls", *SUMS)
-
-    def _teams(self, grown: Grown, active) -> list[tuple]:
-        """Candidate features per node, and the group that scores it: small nodes share one."""
-        rows, team, filled = [], 0, 0.0
-        subset = {model: self._features_of(model) for model, _ in active}
-        for model, i in active:
-            small = self._is_small(grown, model, i)
-            cells = grown.trees[model][i].n * len(subset[model])
-            if filled and (not small or filled + cells > CELLS_PER_TEAM):
-                team, filled = team + 1, 0.0
-            rows.append((team, model, i, subset[model], small))
-            filled += cells
-        return rows
+    def _level(self, grown: Grown, nodes: list[tuple[int, int]]) -> "_Level":
+        """What a task needs to know of a level: all trees so far, and the nodes it works on with their features."""
+        trees = {}
+        for model, i in nodes:
+            trees.setdefault(model, []).append(i)
+        parts = {}
+        for model, ids in trees.items():
+            routes = Tree({i: (node, node.feature is not None) for i, node in grown.trees[model].items()})
+            place = {i: p for p, i in enumerate(sorted(grown.trees[model]))}
+            local = np.full(len(place), -1)
+            local[[place[i] for i in ids]] = np.arange(len(ids))
+            allowed = np.zeros((len(ids), self.d), bool)
+            codes = []
+            for k, i in enumerate(ids):
+                slots, categories = self._features_of(model, i)
+                allowed[k, slots] = True
+                codes.append(categories)
+            small = np.array([self._is_small(grown, model, i) for i in ids])
+            parts[model] = (routes, local, np.array(ids, np.int64), allowed, small, codes)
+        return _Level(parts, self._held_out(), self.n_trees or 1, self.d, len(self.classes) if self.classify else 0,
+                      [w.slot for w in self.layout.wides], bool(self.cuts))
 
     def _is_small(self, grown: Grown, model: int, node: int) -> bool:
         """Whether all cells of a node fit one group, which then skips the buckets."""
-        cells = grown.trees[model][node].n * len(self._features_of(model))
-        return not self.bucketed or cells <= self.values_per_group
+        if self.binned:
+            return False
+        cells = grown.trees[model][node].n * len(self._features_of(model, node)[0])
+        return not self.cuts or cells <= max(2_000, self.values_per_group // self.models)
+
+    def _counts(self, grown: Grown, blocks: DataFrame, depth: int, active) -> DataFrame:
+        """Merged statistics per (model, node, feature, part, class): partial histograms of blocks, added up."""
+        names = ["model", "node", "f", "part", "cls"]
+        nodes = active
+        derived: list[tuple] = []
+        if self.binned and depth and not self.n_trees:
+            nodes, derived = self._siblings(grown, depth, active)
+        level = self._level(grown, nodes)
+        found = blocks.mapInArrow(level.histograms, PARTIAL).groupBy(*names, F.when(F.col("part") == -1, F.col("low")).alias("value")).agg(
+            F.min("low").alias("low"), F.max("high").alias("high"), *[F.sum(s).alias(s) for s in SUMS])
+        if not self.binned:
+            return found
+        if derived:
+            # The larger of two siblings is its parent less the smaller one: its rows are not looked at.
+            table = self._small(derived, "model int, parent long, smaller long, larger long")
+            whole = self.before.withColumnRenamed("node", "parent").join(table, ["model", "parent"])
+            less = found.withColumnRenamed("node", "smaller").join(table, ["model", "smaller"])
+            sign = lambda rows, by: rows.select("model", F.col("larger").alias("node"), "f", "part", "cls", *[(by * F.col(s)).alias(s) for s in SUMS])
+            rest = sign(whole, 1.0).unionByName(sign(less, -1.0)).groupBy(*names).agg(*[F.sum(s).alias(s) for s in SUMS]).where("s0 > 0.5")
+            found = found.select(*names, *SUMS).unionByName(rest)
+        if not self.n_trees and depth + 1 < self.max_depth:
+            found = self.before = durable(found.select(*names, *SUMS))
+        return found.withColumns({"low": F.lit(0.0), "high": F.lit(0.0)})
+
+    def _siblings(self, grown: Grown, depth: int, active) -> tuple[list[tuple], list[tuple]]:
+        """The nodes to look at, and the ``(model, parent, smaller, larger)`` of those that follow."""
+        nodes, derived = set(), []
+        for model, i in active:
+            other = i ^ 1
+            mine, theirs = grown.trees[model][i].n, grown.trees[model][other].n
+            if (mine, i) > (theirs, other):
+                derived.append((model, i // 2, other, i))
+                nodes.add((model, other))
+            else:
+                nodes.add((model, i))
+        return sorted(nodes), derived
 
-    def _split(self, grown: Grown, cells: DataFrame, depth: int, active) -> None:
+    def _split(self, grown: Grown, blocks: DataFrame, depth: int, active) -> None:
         """Find and record the best split of every active node."""
-        kernel = _kernel(len(self.classes) if self.classify else None)
-        counts = self._histogram(cells, ["team", "model", "node", "f", "part"])
-        scored = counts.groupBy("team").applyInArrow(lambda t: kernel(t, None), OFFERS)
+        kernel = _kernel(len(self.classes) if self.classify else None, self.cuts if self.binned else None)
+        counts = self._counts(grown, blocks, depth, active)
         best: dict[tuple, tuple] = {}
-        if all(self._is_small(grown, *a) for a in active):
-            for r in scored.collect():
-                best[(r["model"], r["node"])] = (r["ratio"], r["f"], r["v"], r["left"], r["right"])
+        sparse = [w.slot for w in self.layout.wides]
+        if sparse:
+            counts = durable(counts)
+            self._best_categories(grown, counts.where(F.col("f").isin(sparse)), active, best)
+            counts = counts.where(~F.col("f").isin(sparse))
+        if self.binned:
+            counts = counts.join(self._small([(m, i) for m, i in active], "model int, node long"), ["model", "node"], "left_semi")
+        cells = sum(min(grown.trees[m][i].n, 1024) * self.d for m, i in active)
+        teams = max(1, min(len(active), int(cells // CELLS_PER_TEAM) + 1))
+        counts = counts.withColumn("team", F.pmod(F.xxhash64("model", "node"), F.lit(teams)))
+        scored = counts.groupBy("team").applyInArrow(lambda t: kernel(t, None), OFFERS)
+        if self.binned or all(self._is_small(grown, *a) for a in active):
+            for r in scored.where("not open").collect():
+                self._offer(best, (r["model"], r["node"]), (r["ratio"], r["f"], r["v"], r["left"], r["right"]))
             return self._record(grown, best, depth)
-        stored = []
+        stored, cells = [], None
         try:
             while True:
                 scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
@@ -341,12 +453,50 @@ class _Grower:
                 opened, largest = self._collect(scored, best)
                 if not opened:
                     break
-                cells, scored = self._open(cells, scored, best, opened, largest, kernel)
+                cells, scored = self._open(cells, scored, best, opened, largest, kernel, lambda names: self._inside(grown, blocks, active, names))
         finally:
             for df in stored:
                 df.unpersist()
         self._record(grown, best, depth)
 
+    def _offer(self, best: dict, key: tuple, offer: tuple) -> None:
+        """Keep the better split: lower ratio, then the first feature, then the smaller value."""
+        place = lambda o: (o[0], self.layout.place(o[1], *o[5:]), o[2])
+        if key not in best or place(offer) < place(best[key]):
+            best[key] = offer
+
+    def _best_categories(self, grown: Grown, counts: DataFrame, active, best: dict) -> None:
+        """The best single category of each sparse column against all others: a split on its indicator. The others are the
+        node less the category, so only categories that a node holds are looked at, and what is collected is a row per node and column."""
+        width = len(self.classes) if self.classify else 3
+        cells = [F.coalesce(F.sum(F.when(F.col("cls") == c, F.col("s0"))), F.lit(0.0)) for c in range(width)] if self.classify else [F.sum(s) for s in SUMS]
+        each = counts.groupBy("model", "node", "f", "part").agg(F.array(*cells).alias("right"))
+        whole = self._small([(m, i, [float(v) for v in grown.trees[m][i].stats]) for m, i in active], "model int, node long, whole array<double>")
+        each = each.join(whole, ["model", "node"]).withColumn("left", F.zip_with("whole", "right", lambda a, b: a - b))
+
+        def mass(s: Column) -> Column:
+            if self.classify:
+                n = F.aggregate(s, F.lit(0.0), lambda a, b: a + b)
+                return F.when(n > 0.5, n - F.aggregate(s, F.lit(0.0), lambda a, b: a + b * b) / n).otherwise(0.0)
+            return F.when(F.get(s, 0) > 0.5, F.greatest(F.lit(0.0), F.get(s, 2) - F.get(s, 1) * F.get(s, 1) / F.get(s, 0))).otherwise(0.0)
+
+        size = F.aggregate("left", F.lit(0.0), lambda a, b: a + b) if self.classify else F.get("left", 0)
+        ratio = F.round((mass(F.col("left")) + mass(F.col("right"))) / mass(F.col("whole")), DECIMALS)
+        offers = each.where((F.col("part") >= 0) & (size > 0.5)).groupBy("model", "node", "f").agg(F.min(F.struct(ratio.alias("ratio"), "part", "left", "right")).alias("o"))
+        for r in offers.collect():
+            o = r["o"]
+            self._offer(best, (r["model"], r["node"]), (o["ratio"], r["f"], float(o["part"]), o["left"], o["right"], int(o["part"])))
+
+    def _inside(self, grown: Grown, blocks: DataFrame, active, names: DataFrame | None) -> DataFrame:
+        """The rows of some buckets (of all, without names), merged by value: ``(model, node, f, part, v, cls, sums)``."""
+        wanted = None
+        if names is not None:
+            wanted = {}
+            for r in names.collect():
+                wanted.setdefault((r["model"], r["node"]), []).append((r["f"], r["part"]))
+        level = self._level(grown, active)
+        return blocks.mapInArrow(lambda batches: level.values(batches, wanted), VALUES)
+
     def _histogram(self, cells: DataFrame, keys: list[str]) -> DataFrame:
         """Merged statistics per part and class; part -1 is kept value by value."""
         value = F.when(F.col("part") == -1, F.col("v"))
@@ -362,13 +512,11 @@ class _Grower:
         for r in summary.collect():
             key, offer = (r["model"], r["node"]), r["offer"]
             if offer is not None:
-                found = (offer["ratio"], offer["f"], offer["v"], offer["left"], offer["right"])
-                if key not in best or found[:3] < best[key][:3]:
-                    best[key] = found
+                self._offer(best, key, (offer["ratio"], offer["f"], offer["v"], offer["left"], offer["right"]))
             opened, largest = opened + r["opened"], max(largest, r["largest"] or 0.0)
         return opened, largest
 
-    def _open(self, cells, scored, best, opened, largest, kernel):
+    def _open(self, cells, scored, best, opened, largest, kernel, rows_inside):
         """The rows of the open buckets in finer parts, and those parts' offers."""
         where = ["model", "node", "f", "part"]
         floors = self._small([(m, i, b[0]) for (m, i), b in best.items()],
@@ -378,7 +526,10 @@ class _Grower:
         table = doubtful.select(*where, "left", "right", F.coalesce("floor", F.lit(1.0)).alias("floor"))
         few = opened <= BROADCAST_ROWS
         names = table.select(*where)
-        inside = cells.join(F.broadcast(names) if few else names, where)
+        if cells is None:
+            inside = rows_inside(names) if few else rows_inside(None).join(names, where)
+        else:
+            inside = cells.join(F.broadcast(names) if few else names, where)
         if largest <= self.values_per_group:
             finer = inside.withColumns({"parent": F.col("part"), "part": F.lit(-1).cast("long")})
         else:
@@ -399,18 +550,146 @@ class _Grower:
         return finer.drop("parent"), offers
 
     def _record(self, grown: Grown, best: dict, depth: int) -> None:
-        for (model, i), (ratio, feature, threshold, left, right) in best.items():
+        for (model, i), (ratio, feature, threshold, left, right, *category) in best.items():
             if not ratio < 1:
                 continue
             nodes = grown.trees[model]
             node = nodes[i]
             node.feature, node.threshold = feature, threshold
+            node.category = category[0] if category else None
             whole = self._mass_of([a + b for a, b in zip(left, right)])
             node.gain = whole - self._mass_of(left) - self._mass_of(right)
             nodes[2 * i] = self._node(depth + 1, list(left))
             nodes[2 * i + 1] = self._node(depth + 1, list(right))
 
 
+def _unpacked(batches, d: int, trees: int):
+    """The (features, buckets, labels, folds, draws) of every block."""
+    for batch in batches:
+        for x, b, y, fold, w in zip(*(batch.column(c).to_pylist() for c in ("x", "b", "y", "fold", "w"))):
+            yield (np.frombuffer(x).reshape(-1, d), np.frombuffer(b, np.uint16).reshape(-1, d) if b else None, np.frombuffer(y),
+                   np.frombuffer(fold, np.int32), np.frombuffer(w, np.uint8).reshape(-1, trees))
+
+
+@dataclass
+class _Level:
+    """A level as tasks see it. ``models[model]`` has the tree so far, the position of each of its places among the nodes
+    that are worked on (-1: none), their numbers, the slots each may split on, whether it is searched value by value, and the
+    categories it may split on."""
+
+    models: dict[int, tuple]
+    held_out: list[int]
+    trees: int
+    d: int
+    classes: int
+    sparse: list[int]
+    bucketed: bool
+
+    def _rows(self, x, fold, w):
+        """Per model the rows at its nodes: ``(model, rows, local node, draws)``."""
+        for model, (tree, local, *_) in self.models.items():
+            draws = w[:, model % self.trees]
+            mine = np.flatnonzero((fold != self.held_out[model // self.trees]) & (draws > 0))
+            at = local[tree.route(x[mine])]
+            keep = at >= 0
+            yield model, mine[keep], at[keep], draws[mine[keep]].astype(float)
+
+    def _sums(self, key: np.ndarray, size: int, w: np.ndarray, y: np.ndarray):
+        """Occurring keys (with the class inside, if there are classes) and their sums."""
+        if self.classes:
+            key, size = key * self.classes + y.astype(np.int64), size * self.classes
+        inverse = key
+        if size > 4 * len(key) + 1024:
+            key, inverse = np.unique(key, return_inverse=True)
+            size = len(key)
+        else:
+            key = np.arange(size)
+        sums = [np.bincount(inverse, w, size)]
+        sums += [np.zeros(size)] * 2 if self.classes else [np.bincount(inverse, w * y, size), np.bincount(inverse, w * y * y, size)]
+        some = np.flatnonzero(sums[0])
+        cls = key[some] % self.classes if self.classes else np.zeros(len(some), np.int64)
+        return key[some] // max(self.classes, 1), cls, [v[some] for v in sums]
+
+    def histograms(self, batches):
+        for x, b, y, fold, w in _unpacked(batches, self.d, self.trees):
+            ranks = {}
+            found = []
+            for model, rows, at, draws in self._rows(x, fold, w):
+                _, _, ids, allowed, small, codes = self.models[model]
+                for f in np.flatnonzero(allowed.any(axis=0)).tolist():
+                    for by_value in (False, True):
+                        some = allowed[at, f] & (small[at] == by_value)
+                        if f in self.sparse:
+                            if by_value:
+                                continue
+                            some = allowed[at, f]
+                        if not some.any():
+                            continue
+                        r, node, n, z = rows[some], at[some], draws[some], y[rows[some]]
+                        if f in self.sparse:
+                            code = x[r, f].astype(np.int64) + 1  # unknown categories are one of their own
+                            width = int(code.max()) + 1
+                            key, cls, sums = self._sums(node * width + code, len(ids) * width, n, z)
+                            part = key % width - 1
+                            if codes[0] is not None:
+                                open_ = np.zeros(len(key), bool)
+                                for k in np.unique(key // width).tolist():
+                                    mine = key // width == k
+                                    open_[mine] = np.isin(part[mine], codes[k][f])
+                                key, cls, part, sums = key[open_], cls[open_], part[open_], [v[open_] for v in sums]
+                            low = high = np.zeros(len(key))
+                        elif by_value:
+                            if f not in ranks:
+                                ranks[f] = np.unique(x[:, f], return_inverse=True)
+                            values, code = ranks[f]
+                            width = len(values)
+                            key, cls, sums = self._sums(node * width + code[r], len(ids) * width, n, z)
+                            part, low = np.full(len(key), -1), values[key % width]
+                            high = low
+                        else:
+                            code, v = b[r, f].astype(np.int64), x[r, f]
+                            width = int(code.max()) + 1
+                            places = node * width + code
+                            key, cls, sums = self._sums(places, len(ids) * width, n, z)
+                            least, most = np.full(len(ids) * width, np.inf), np.full(len(ids) * width, -np.inf)
+                            np.minimum.at(least, places, v)
+                            np.maximum.at(most, places, v)
+                            part, low, high = key % width, least[key], most[key]
+                        found.append((np.full(len(key), model), ids[key // width], np.full(len(key), f), part, cls, low, high, *sums))
+            if found:
+                yield _record_batch(("model", "node", "f", "part", "cls", "low", "high", *SUMS), found)
+
+    def values(self, batches, wanted: dict | None):
+        """Rows of the wanted buckets by value."""
+        for x, b, y, fold, w in _unpacked(batches, self.d, self.trees):
+            found = []
+            for model, rows, at, draws in self._rows(x, fold, w):
+                _, _, ids, allowed, small, _ = self.models[model]
+                for k, i in enumerate(ids.tolist()):
+                    if wanted is not None and (model, i) not in wanted:
+                        continue
+                    here = np.flatnonzero(at == k)
+                    slots = {f for f, _ in wanted[(model, i)]} if wanted is not None else set(np.flatnonzero(allowed[k]).tolist()) - set(self.sparse)
+                    for f in sorted(slots):
+                        code = b[rows[here], f].astype(np.int64) if not small[k] else np.full(len(here), -1)
+                        inside = here if wanted is None else here[np.isin(code, [p for s, p in wanted[(model, i)] if s == f])]
+                        if not len(inside):
+                            continue
+                        v = x[rows[inside], f]
+                        values, rank = np.unique(v, return_inverse=True)
+                        key, cls, sums = self._sums(rank, len(values), draws[inside], y[rows[inside]])
+                        first = np.zeros(len(values), np.int64)
+                        first[rank] = b[rows[inside], f] if not small[k] else -1
+                        found.append((np.full(len(key), model), np.full(len(key), i), np.full(len(key), f), values[key], first[key], cls, *sums))
+            if found:
+                yield _record_batch(("model", "node", "f", "v", "part", "cls", *SUMS), found)
+
+
+def _record_batch(names, found: list[tuple]) -> pa.RecordBatch:
+    kinds = {"model": pa.int32(), "node": pa.int64(), "f": pa.int32(), "part": pa.int64(), "cls": pa.int32()}
+    return pa.record_batch({c: pa.array(np.concatenate(cells), kinds.get(c, pa.float64())) for c, cells in zip(names, zip(*found))})
+
+
 def _masses(s: np.ndarray, classify: bool) -> np.ndarray:
     """Node size times impurity per row of statistics: Gini, or squared error around the mean."""
     with np.errstate(all="ignore"):
@@ -422,11 +701,11 @@ def _masses(s: np.ndarray, classify: bool) -> np.ndarray:
         return np.where(n > 0, np.maximum(spread, 0.0), 0.0)
 
 
-def _kernel(classes: int | None):
+def _kernel(classes: int | None, cuts: list[np.ndarray] | None = None):
     """The group function that scores a node's buckets (or the parts of one opened bucket).
 
     Emits the best edge and the buckets in which a better threshold may hide. ``outer`` carries
-    the statistics left and right of the opened bucket.
+    the statistics left and right of the opened bucket. With ``cuts`` the edges are those cuts and nothing hides.
     """
     width = classes or 3
 
@@ -449,6 +728,9 @@ def _kernel(classes: int | None):
         np.minimum.at(low, line, got["low"])
         np.maximum.at(high, line, got["high"])
         got = {c: got[c][new] for c in ("model", "node", "f", "part")}
+        if cuts is not None:
+            edges = [np.append(c, np.inf) for c in cuts]
+            low = high = np.array([edges[f][p] for f, p in zip(got["f"], got["part"])])
         starts = np.nonzero(np.r_[True, step("model", "node")])[0]
         found = []
         for a, b in zip(starts, np.r_[starts[1:], len(low)]):
@@ -516,14 +798,14 @@ def vote(predictions: np.ndarray, task: str) -> np.ndarray:
 class TreeEnsemble(Model):
     """One tree or a forest."""
 
-    def __init__(self, features, names: list[str], task: str, trees: list[Tree]):
-        self.features, self.names, self.task, self.trees = features, names, task, trees
+    def __init__(self, features, names: list[str], task: str, trees: list[Tree], layout: Layout):
+        self.features, self.names, self.task, self.trees, self.layout = features, names, task, trees, layout
 
     def prediction(self, df: DataFrame) -> Column:
         if len(self.trees) == 1 and self.trees[0].depth <= EXPRESSION_DEPTH:
             value = self.trees[0].expression(columns_of(df, self.features))
         else:
-            trees, task, d = self.trees, self.task, len(self.names)
+            trees, task, d = self.trees, self.task, self.layout.slots
 
             @F.arrow_udf("double")
             def ensemble(xs):
@@ -534,7 +816,7 @@ class TreeEnsemble(Model):
         return value.cast("int") if self.task == "classification" else value
 
     def importances(self) -> list[float]:
-        gains = np.sum([t.gains(len(self.names)) for t in self.trees], axis=0)
+        gains = np.sum([t.gains(self.layout) for t in self.trees], axis=0)
         return (gains / gains.sum() if gains.sum() > 0 else gains).tolist()
 
     def to_table(self, spark) -> DataFrame:
@@ -543,7 +825,7 @@ class TreeEnsemble(Model):
         for t, tree in enumerate(self.trees):
             for i, (node, split) in sorted(tree.nodes.items()):
                 ids = (2 * i, 2 * i + 1) if split else (None, None)
-                name = self.names[node.feature] if split else None
+                name = self.names[self.layout.place(node.feature, node.category)] if split else None
                 rows.append((t, i, name, float(node.threshold) if split else None, *ids,
                              node.value, float(node.n), float(node.gain) if split else 0.0))
         return spark.createDataFrame(
@@ -556,6 +838,7 @@ class _TreeFamily:
 
     n_trees: int | None = None
     max_features: int | None = None
+    subset = "tree"
 
     def _matrix(self, df, label, features, keys) -> Matrix:
         return Matrix(df, tuple(keys or ()), label, features, task=self.task)
@@ -566,10 +849,10 @@ class _TreeFamily:
             raise ValueError("a forest needs the row keys to draw its samples from")
         m = self._matrix(df, label, features, keys)
         grower = _Grower(m, [None], self.n_trees, self.max_depth, self.min_samples_split,
-                         self.max_features, seed, self.bins)
+                         self.max_features, seed, self.bins, self.solver, self.subset)
         grown = grower.grow()
         trees = [grown.cut(t, self.max_depth, self.min_samples_split) for t in sorted(grown.trees)]
-        return TreeEnsemble(features, names_of(df, features), self.task, trees)
+        return TreeEnsemble(features, feature_names(df, features), self.task, trees, grower.layout)
 
     @classmethod
     def fit_matrix(cls, m: Matrix, params: dict, seed: int = 42) -> TreeEnsemble:
@@ -581,13 +864,14 @@ class _TreeFamily:
         """``full`` receives the models of all rows, grown along with the folds'."""
         made = [cls(**{"task": m.task, **c}) for c in configs]
         parts = []
-        # one growth per feature-subset size; every other setting is read off the same trees
-        for size in sorted({c.max_features or 0 for c in made}):
-            members = [i for i, c in enumerate(made) if (c.max_features or 0) == size]
-            ensembles, complete = cls._grow_grid(m, [made[i] for i in members], k, seed, full is not None)
+        # one growth per feature subset and solver; every other setting is read off the same trees
+        kind = lambda c: (c.max_features or 0, c.solver, c.subset, c.bins or 0)
+        for wanted in sorted({kind(c) for c in made}):
+            members = [i for i, c in enumerate(made) if kind(c) == wanted]
+            ensembles, complete, layout = cls._grow_grid(m, [made[i] for i in members], k, seed, full is not None)
             if full is not None:
-                names = names_of(m.df, m.features)
-                full.update({i: TreeEnsemble(m.features, names, m.task, trees)
+                names = feature_names(m.df, m.features)
+                full.update({i: TreeEnsemble(m.features, names, m.task, trees, layout)
                              for i, trees in zip(members, complete)})
             scored = explode_configs(m, _out_of_fold_scores(m, ensembles, k), k)
             number = F.element_at(F.array(*[F.lit(i) for i in members]), F.col("config") + 1)
@@ -605,7 +889,7 @@ class _TreeFamily:
         most = max(c.n_trees or 0 for c in made) or None
         folds = [*range(k)] + ([None] if full else [])
         grower = _Grower(m, folds, most, max(c.max_depth for c in made),
-                         min(c.min_samples_split for c in made), first.max_features, seed, first.bins)
+                         min(c.min_samples_split for c in made), first.max_features, seed, first.bins, first.solver, first.subset)
         grown = grower.grow()
 
         def trees(c, position):
@@ -613,7 +897,7 @@ class _TreeFamily:
             return [grown.cut(i, c.max_depth, c.min_samples_split) for i in numbers if i in grown.trees]
 
         return ([[trees(c, f) for f in range(k)] for c in made],
-                [trees(c, k) for c in made] if full else [])
+                [trees(c, k) for c in made] if full else [], grower.layout)
 
 
 def _out_of_fold_scores(m: Matrix, ensembles, k: int) -> Column:
@@ -636,17 +920,29 @@ def _out_of_fold_scores(m: Matrix, ensembles, k: int) -> Column:
 
 
 class DecisionTree(_TreeFamily):
+    """``solver="binned"`` splits at the edges of up to ``bins`` buckets, "exact" at any value."""
+
     def __init__(self, max_depth: int = 5, min_samples_split: int = 2,
-                 task: str = "classification", bins: int | None = None):
+                 task: str = "classification", bins: int | None = None, solver: str = "exact"):
         self.max_depth, self.min_samples_split = max_depth, min_samples_split
-        self.task, self.bins = task, bins
+        self.task, self.bins, self.solver = task, bins, _solver(solver)
 
 
 class RandomForest(_TreeFamily):
-    """Each tree sees a Poisson(1) resample of the rows and its own subset of the features."""
+    """Each tree sees a Poisson(1) resample of the rows and its own subset of the features, or
+    with ``subset="node"`` a subset for every node."""
 
     def __init__(self, n_trees: int = 10, max_depth: int = 5, min_samples_split: int = 2,
                  max_features: int | None = None, task: str = "classification",
-                 bins: int | None = None):
+                 bins: int | None = None, solver: str = "exact", subset: str = "tree"):
+        if subset not in ("tree", "node"):
+            raise ValueError("subset must be 'tree' or 'node'")
         self.n_trees, self.max_depth, self.min_samples_split = n_trees, max_depth, min_samples_split
         self.max_features, self.task, self.bins = max_features, task, bins
+        self.solver, self.subset = _solver(solver), subset
+
+
+def _solver(name: str) -> str:
+    if name not in ("exact", "binned"):
+        raise ValueError("solver must be 'exact' or 'binned'")
+    return name

@@ -11,12 +11,13 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.scalar import EPS, normalize
 from .encode import MAX_WIDTH, LabelEncoder, OneHotEncoder, _bytes
 from .profile import mode_table
 from .quantiles import exact_percentiles
+from .sparse import SparseOneHot, category_names
 from .typing import (BOOLEAN, CATEGORICAL, NUMERICAL, detect_column_types, is_missing,
                      numeric_cell, require_column, typed)
 
@@ -38,6 +39,8 @@ class _Piece:
     categories: list[str] = field(default_factory=list)
     # Codes of a column with more categories than a literal should hold: joined, not looked up.
     encoder: LabelEncoder | None = None
+    # Indicators of a column with more categories than columns should hold: (index, value) pairs.
+    sparse: SparseOneHot | None = None
 
     def value(self) -> Column:
         """The source cell, filled."""
@@ -54,6 +57,11 @@ class _Piece:
     def joined(self) -> str:
         return f"_code of {self.source}"
 
+    @property
+    def slots(self) -> list[str]:
+        """The numbers this piece takes in a feature array: a sparse piece is its code and its gap."""
+        return [self.joined, f"_gap of {self.source}"] if self.sparse is not None else self.names
+
     def code(self) -> Column:
         if self.encoder is not None:
             return F.col(f"`{self.joined}`")
@@ -74,6 +82,8 @@ class _Piece:
 
     def array(self, scale: bool) -> Column:
         """The features as an array. Wide indicators differ from a constant array in one place."""
+        if self.sparse is not None:
+            return F.array(*[F.col(f"`{c}`").cast("double") for c in self.slots])
         if len(self.names) <= FEW_CATEGORIES:
             return F.array(*self.columns(scale))
         off, on = [0.0] * len(self.names), [1.0] * len(self.names)
@@ -98,7 +108,10 @@ class FittedPreprocessor:
 
     @property
     def feature_names(self) -> list[str]:
-        return [n for p in self.pieces for n in p.names]
+        """All features in order. Categories of sparse columns are read from their tables, which is bounded as
+        the models are."""
+        found = lambda s: category_names(SparkSession.active(), s.path, s.column, s.size)
+        return [n for p in self.pieces for n in (found(p.sparse) if p.sparse is not None else p.names)]
 
     @property
     def fills(self) -> dict[str, object]:
@@ -106,31 +119,45 @@ class FittedPreprocessor:
 
     @property
     def wide(self) -> list[str]:
-        """Columns whose codes are joined from a table."""
-        return [p.source for p in self.pieces if p.encoder is not None]
+        """Columns whose codes are joined from a table: sparse indicators, or ordinal codes."""
+        return [p.source for p in self.pieces if p.encoder is not None or p.sparse is not None]
+
+    @property
+    def sparse(self) -> dict[str, SparseOneHot]:
+        """The encoders of the columns whose indicators are (index, value) pairs."""
+        return {p.source: p.sparse for p in self.pieces if p.sparse is not None}
 
     def _coded(self, df: DataFrame) -> DataFrame:
         for piece in self.pieces:
             if piece.encoder is not None:
                 filled = df.withColumn(piece.joined, piece.value())
                 df = piece.encoder.transform(filled, piece.joined)
+            if piece.sparse is not None:
+                df = piece.sparse.placed(df, *piece.slots)
         return df
 
     def _scaled(self, piece: _Piece) -> bool:
         return self.scale and (self.scale_encoded or piece.kind != CATEGORICAL)
 
     def transform(self, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
-        """Keep the given columns and add one double column per feature."""
-        cells = [c.alias(n) for p in self.pieces for n, c in zip(p.names, p.columns(self._scaled(p)))]
+        """Keep the given columns and add one double column per feature. A sparse column stays the number of its
+        category (-1 if unknown); :meth:`pairs` gives its indicators."""
+        cells = [c.alias(n) for p in self.pieces for n, c in zip(
+            p.names, [F.col(f"`{p.joined}`").cast("double")] if p.sparse is not None else p.columns(self._scaled(p)))]
         return self._coded(typed(df, self.kinds)).select(*[F.col(f"`{c}`") for c in keep or []], *cells)
 
     def matrix(self, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
         """Keep the given columns and add the features as one array column ``features``."""
-        names = self.feature_names
+        names = [n for p in self.pieces for n in p.slots]
+        wide = [p.sparse.metadata(names.index(p.slots[0])) for p in self.pieces if p.sparse is not None]
         vector = F.concat(*[p.array(self._scaled(p)) for p in self.pieces])
-        vector = vector.alias("features", metadata={"width": len(names), "names": names})
+        vector = vector.alias("features", metadata={"width": len(names), "names": names, **({"wide": wide} if wide else {})})
         return self._coded(typed(df, self.kinds)).select(*[F.col(f"`{c}`") for c in keep or []], vector)
 
+    def pairs(self, df: DataFrame, column: str, keep: list[str]) -> DataFrame:
+        """The indicators of a sparse column as long rows ``(keep..., index, value)``, see :class:`SparseOneHot`."""
+        return self.sparse[column].pairs(df, keep)
+
 
 class Preprocessor:
     """``fit`` returns the frozen transform; ``fit_transform`` applies it at once.
@@ -138,14 +165,14 @@ class Preprocessor:
     Numbers pass, at most two categories become a code, more become indicators, and everything
     is standardised (``scale_encoded=False`` leaves codes and indicators alone). A ``scaler``
     other than "standard" scales nothing. ``encoding="ordinal"`` gives codes to all text, whatever
-    its width. Text of more than ``max_width`` categories gets codes as well (``wide="ordinal"``,
-    named by ``wide`` of the result) or is refused (``wide="error"``); its codes are joined.
+    its width. Text of more than ``max_width`` categories is indicators like any other, kept as
+    (index, value) pairs (``wide="sparse"``); codes (``wide="ordinal"``) or an error are on request.
     """
 
     def __init__(self, scaler: str | None = "standard", imputer_strategy: str = "mean",
-                 encoding: str = "auto", scale_encoded: bool = True, max_width: int = MAX_WIDTH, wide: str = "ordinal"):
-        if wide not in ("ordinal", "error"):
-            raise ValueError("wide must be 'ordinal' or 'error'")
+                 encoding: str = "auto", scale_encoded: bool = True, max_width: int = MAX_WIDTH, wide: str = "sparse"):
+        if wide not in ("sparse", "ordinal", "error"):
+            raise ValueError("wide must be 'sparse', 'ordinal' or 'error'")
         self.wide = wide
         self.scaler, self.strategy = scaler, imputer_strategy
         self.encoding, self.scale_encoded, self.max_width = encoding, scale_encoded, max_width
@@ -160,6 +187,7 @@ class Preprocessor:
         counts, rows = self._category_counts(data, [c for c in text if c not in wide])
         pieces = [
             self._number(c, numbers[c], kinds[c]) if kinds[c] != CATEGORICAL
+            else self._sparse_category(data, c) if c in wide and self.wide == "sparse" and self.encoding != "ordinal"
             else self._wide_category(data, c) if c in wide else self._category(c, counts[c], rows) for c in columns
         ]
         return FittedPreprocessor(kinds, pieces, self.scaler == "standard", self.scale_encoded)
@@ -229,6 +257,11 @@ class Preprocessor:
         var = coded.agg((F.sum(F.col("n") * F.pow(F.col("code") - whole, 2)) / F.sum("n")).alias("v")).first()["v"]
         return _Piece(c, [c], [whole], [math.sqrt(var)], CATEGORICAL, fill, encoder=encoder)
 
+    def _sparse_category(self, data, c) -> _Piece:
+        """Indicators at any width; the scaler's statistics are the shares of the categories."""
+        found = SparseOneHot(c, self.scaler == "standard" and self.scale_encoded).fit(data)
+        return _Piece(c, [c], [], [], CATEGORICAL, found.fill, sparse=found)
+
     def _too_wide(self, c):
         return ValueError(f"column '{c}' has more than {self.max_width} categories; drop it, "
                           "label-encode it or raise max_width")

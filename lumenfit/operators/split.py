@@ -184,29 +184,31 @@ def _first_by_key(df, keys, size) -> Column:
 
 # --- resampling --------------------------------------------------------------------------------
 
-def bootstrap_weights(keys: list[Column], seed: int, n_trees: int) -> Column:
-    """How often a row is drawn for each tree: Poisson(1), so a sample has n rows on average.
+def poisson_weights(keys: list[Column], seed: int, n_trees: int) -> Column:
+    """How often a row is drawn for each tree: Poisson(1), from 16 of the bits of ``md5(seed:group:key...)``.
 
-    The draws depend on seed, row key and tree number only.
+    One digest serves eight trees, and any SQL engine can repeat it.
     """
+    parts = [F.coalesce(k.cast("string"), F.lit("")) for k in keys]
+    groups = F.transform(F.sequence(F.lit(0), F.lit((n_trees - 1) // 8)), lambda g: F.md5(F.concat_ws(":", F.lit(str(seed)), g.cast("string"), *parts)))
+    draws = F.transform(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: F.conv(F.substring(F.get(groups, F.floor(t / 8).cast("int")), t % 8 * 4 + 1, F.lit(4)), 16, 10).cast("int"))
+    return F.transform(draws, lambda u: F.size(F.filter(F.lit(poisson_steps()), lambda c: c <= u)))
+
+
+def poisson_steps() -> list[int]:
+    """The 16-bit numbers from which on a row is drawn once more."""
     steps, density, cumulative = [], 0.36787944117144233, 0.0  # exp(-1)
     for count in range(12):
         cumulative += density
-        steps.append(cumulative)
         density /= count + 1
-    unit = F.lit(float(1 << 53))
-    hashes = F.transform(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: F.xxhash64(F.lit(seed), t, *keys))
-
-    def draw(h: Column) -> Column:
-        u = F.shiftrightunsigned(h, 11).cast("double") / unit
-        return F.size(F.filter(F.lit(steps), lambda c: c <= u))
-
-    return F.transform(hashes, draw)
+        if round(cumulative * 65536) < 65536:
+            steps.append(round(cumulative * 65536))
+    return steps
 
 
 def bootstrap(df: DataFrame, keys: list[str], n_trees: int, seed: int = 42) -> DataFrame:
     """Add ``weights``: the row's draw count for every tree."""
-    return df.withColumn("weights", bootstrap_weights([F.col(k) for k in keys], seed, n_trees))
+    return df.withColumn("weights", poisson_weights([F.col(f"`{k}`") for k in keys], seed, n_trees))
 
 
 def feature_subset(n_features: int, size: int | None, seed: int, tree: int) -> list[int]:

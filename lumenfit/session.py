@@ -69,18 +69,22 @@ class Scratch:
         self.close()
 
 
+def stored(df: DataFrame) -> str:
+    """Write ``df`` as a table in the shared folder; returns its path. An open :class:`Scratch` owns it."""
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/lumenfit-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    if Scratch.active:
+        Scratch.active[-1].paths.append(path)
+    return path
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     Passes that reuse it then scan columnar files with pruning, and a lost executor costs a
     re-read instead of a recomputation of everything before it. An open :class:`Scratch` owns it.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/lumenfit-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    if Scratch.active:
-        Scratch.active[-1].paths.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(stored(df))
 
 
 # Rows one task should have before a table is worth spreading over more of them.

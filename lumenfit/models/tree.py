@@ -257,32 +257,31 @@ class _Grower:
             bins = self.bins or 256
         d, dense, most = self.d, self.layout.dense.tolist(), 2 * bins
 
-        def distinct(batches):
-            """Values of each feature, null in their place where there are too many."""
+        def summaries(batches):
+            """Distinct values of each feature (null in their place where there are too many), and every n-th value in order."""
             found: dict[int, np.ndarray | None] = {j: np.zeros(0) for j in dense}
             for batch in batches:
-                x = block(batch.column("x"), d)
-                for j, known in found.items():
+                x = np.sort(block(batch.column("x"), d)[:, dense], axis=0)
+                step = max(1, min(64, len(x) // 256))
+                kept = x[step // 2::step]
+                yield _summary(np.tile(dense, len(kept)), kept.ravel(), True)
+                for k, (j, known) in enumerate(found.items()):
                     if known is not None:
-                        known = np.union1d(known, x[:, j][~np.isnan(x[:, j])])
-                        found[j] = known if len(known) <= most else None
-            f = np.concatenate([np.full(1 if v is None else len(v), j) for j, v in found.items()] or [np.zeros(0)])
-            v = np.concatenate([[np.nan] if v is None else v for v in found.values()] or [np.zeros(0)])
-            yield pa.record_batch({"f": pa.array(f, pa.int32()), "v": pa.array(v, mask=np.isnan(v))})
-
-        rows = self.m.df.select(vector(self.m.df, self.m.features).alias("x"))
-        values = rows.mapInArrow(distinct, "f int, v double").distinct().groupBy("f").agg(
-            F.count("v").alias("n"), F.count_if(F.col("v").isNull()).alias("unknown"), F.sort_array(F.collect_list("v")).alias("v"))
+                        values = x[np.append(True, x[1:, k] != x[:-1, k])[:len(x)], k]
+                        known = np.union1d(known, values) if len(values) <= most else None
+                        found[j] = known if known is not None and len(known) <= most else None
+            for j, known in found.items():
+                yield _summary(np.full(1 if known is None else len(known), j), np.array([np.nan]) if known is None else known, False)
+
+        probs = [i / bins for i in range(1, bins)]
+        rows = self.m.df.select(vector(self.m.df, self.m.features).alias("x")).mapInArrow(summaries, "f int, v double, sampled boolean")
+        plain = ~F.col("sampled")
+        found = rows.groupBy("f").agg(F.count_if(plain & F.col("v").isNull()).alias("unknown"), F.array_sort(F.collect_set(F.when(plain, F.col("v")))).alias("v"),
+                                      F.percentile_approx(F.when(F.col("sampled"), F.col("v")), probs, 10 * bins).alias("q"))
+        few = (F.col("unknown") == 0) & (F.size("v") <= most)
         cuts = [np.zeros(0)] * d
-        few = values.where((F.col("unknown") == 0) & (F.col("n") <= most)).collect()  # a few hundred values of each feature
-        for r in few:
-            cuts[r["f"]] = np.array(r["v"])
-        many = sorted(set(dense) - {r["f"] for r in few})
-        if many:
-            probs = [i / bins for i in range(1, bins)]
-            cells = rows.select(F.explode(F.transform(F.lit(many), lambda j: F.struct(j.alias("f"), F.get("x", j).alias("v")))).alias("c"))
-            for r in cells.groupBy("c.f").agg(F.percentile_approx("c.v", probs, 10 * bins).alias("q")).collect():
-                cuts[r["f"]] = np.unique(np.array(r["q"] or []))
+        for r in found.select("f", F.when(few, F.col("v")).otherwise(F.coalesce("q", F.array())).alias("cuts")).collect():  # a row per feature
+            cuts[r["f"]] = np.unique(np.array(r["cuts"], float))
         return cuts
 
     # nodes on the driver
@@ -445,6 +444,34 @@ class _Grower:
             for r in scored.where("not open").collect():
                 self._offer(best, (r["model"], r["node"]), (r["ratio"], r["f"], r["v"], r["left"], r["right"]))
             return self._record(grown, best, depth)
+        rows = scored.limit(BROADCAST_ROWS + 1).collect()  # an offer per node, and the buckets that may hide a better one
+        if len(rows) > BROADCAST_ROWS:
+            self._narrow(grown, blocks, active, scored, best, kernel)
+            return self._record(grown, best, depth)
+        for r in rows:
+            if not r["open"]:
+                self._offer(best, (r["model"], r["node"]), (r["ratio"], r["f"], r["v"], r["left"], r["right"]))
+        floor = lambda r: best[(r["model"], r["node"])][0] if (r["model"], r["node"]) in best else 1.0
+        doubtful = [r for r in rows if r["open"] and r["ratio"] <= floor(r)]
+        if any(r["n"] > self.values_per_group for r in doubtful):
+            self._narrow(grown, blocks, active, scored, best, kernel)
+        elif doubtful:
+            wanted: dict[tuple, list] = {}
+            for r in doubtful:
+                wanted.setdefault((r["model"], r["node"]), []).append((r["f"], r["part"]))
+            level = self._level(grown, active)
+            inside = blocks.mapInArrow(lambda batches: level.values(batches, wanted), VALUES)
+            finer = inside.withColumns({"parent": F.col("part"), "part": F.lit(-1).cast("long")})
+            by = ["model", "node", "f", "parent"]
+            sides = self.spark.createDataFrame([(r["model"], r["node"], r["f"], r["part"], r["left"], r["right"], float(floor(r))) for r in doubtful],
+                                               "model int, node long, f int, parent long, left array<double>, right array<double>, floor double")
+            offers = self._histogram(finer, [*by, "part"]).groupBy(*by).cogroup(sides.groupBy(*by)).applyInArrow(kernel, OFFERS)
+            for r in offers.collect():
+                self._offer(best, (r["model"], r["node"]), (r["ratio"], r["f"], r["v"], r["left"], r["right"]))
+        self._record(grown, best, depth)
+
+    def _narrow(self, grown: Grown, blocks: DataFrame, active, scored: DataFrame, best: dict, kernel) -> None:
+        """Open buckets, as tables, until none is left: for levels with many open buckets, or with very large ones."""
         stored, cells = [], None
         try:
             while True:
@@ -452,12 +479,11 @@ class _Grower:
                 stored.append(scored)
                 opened, largest = self._collect(scored, best)
                 if not opened:
-                    break
+                    return
                 cells, scored = self._open(cells, scored, best, opened, largest, kernel, lambda names: self._inside(grown, blocks, active, names))
         finally:
             for df in stored:
                 df.unpersist()
-        self._record(grown, best, depth)
 
     def _offer(self, best: dict, key: tuple, offer: tuple) -> None:
         """Keep the better split: lower ratio, then the first feature, then the smaller value."""
@@ -563,6 +589,10 @@ class _Grower:
             nodes[2 * i + 1] = self._node(depth + 1, list(right))
 
 
+def _summary(f: np.ndarray, v: np.ndarray, sampled: bool) -> pa.RecordBatch:
+    return pa.record_batch({"f": pa.array(f, pa.int32()), "v": pa.array(v, pa.float64(), mask=np.isnan(v)), "sampled": pa.array(np.full(len(v), sampled))})
+
+
 def _unpacked(batches, d: int, trees: int):
     """The (features, buckets, labels, folds, draws) of every block."""
     for batch in batches:

@@ -7,9 +7,10 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..operators import encode, impute, prepare, scale, split, typing
+from ..operators.sparse import SparseOneHot
 from ..session import shared_folder
 from ..sources.tables import read_csv
-from .common import fold_sql, labelled_documents, rounded, table
+from .common import draws_sql, fold_sql, labelled_documents, rounded, table
 
 
 def csv_scan(spark, sf):
@@ -112,6 +113,24 @@ def prepared(spark, sf):
     return done.select("o_orderkey", *[rounded(F.col(f"`{c}`")).alias(c) for c in fitted.feature_names])
 
 
+def prepared_wide(spark, sf):
+    """Names of customers as standardised indicators, a category per customer: the hot place of each row, its value there, and
+    the value of all other rows."""
+    customers = table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
+    fitted = prepare.Preprocessor(max_width=100).fit(customers, ["c_name", "c_acctbal"])
+    pairs = fitted.pairs(customers, "c_name", ["c_custkey"])
+    base = fitted.sparse["c_name"].base(spark).withColumnRenamed("value", "off")
+    return pairs.join(base, "index").select("c_custkey", "index", rounded("value").alias("value"), rounded("off").alias("off"))
+
+
+def category_moments(spark, sf):
+    """Rows and sums of measures per category: the products of sparse indicators with other columns."""
+    orders = table(spark, sf, "orders").select("o_custkey", F.col("o_custkey").cast("string").alias("customer"), "o_totalprice")
+    named = orders.withColumn("customer", F.concat(F.lit("c"), "customer"))
+    fitted = SparseOneHot("customer").fit(named)
+    return fitted.moments(named, ["o_totalprice"]).select("index", "n", rounded("sum_o_totalprice", 2).alias("total"))
+
+
 PREPARED_SQL = """
     with t as (select o_orderkey, (o_orderstatus = 'F')::int as f, (o_orderstatus = 'O')::int as o,
                       (o_orderstatus = 'P')::int as p,
@@ -167,12 +186,15 @@ def stratified_folds(spark, sf):
 
 
 def bootstrap_counts(spark, sf):
-    """How often rows are drawn, per tree; the draws come from a keyed hash SQL does not share."""
+    """How often rows are drawn, per tree."""
     drawn = split.bootstrap(table(spark, sf, "orders").select("o_orderkey"), ["o_orderkey"], 5)
     cells = drawn.select(F.posexplode("weights").alias("tree", "draws"))
     return cells.groupBy("tree", "draws").agg(F.count(F.lit(1)).alias("n"))
 
 
+BOOTSTRAP_SQL = " union all ".join(
+    f"select {t}::int as tree, draws::int as draws, count(*) as n from (select {draws_sql('o_orderkey', t)} as draws from orders) group by draws" for t in range(5))
+
 QUERIES = {
     "csv_scan": csv_scan,
     "impute_mean": imputed("mean"),
@@ -186,6 +208,8 @@ QUERIES = {
     "ordinal_encode": ordinal_encoded,
     "onehot_encode": onehot_encoded,
     "prepare_table": prepared,
+    "prepare_onehot_wide": prepared_wide,
+    "category_moments": category_moments,
     "clean_target": cleaned_target,
     "train_test_split": train_test,
     "train_test_in_order": train_test_in_order,
@@ -216,6 +240,12 @@ ORACLES = {
         f"(c_mktsegment = '{c}')::int as \"c_mktsegment_{c}\"" for c in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD")
     ) + " from customer",
     "prepare_table": PREPARED_SQL,
+    "prepare_onehot_wide": """with c as (select c_name, count(*) as n, row_number() over (order by c_name) - 1 as index from customer group by c_name),
+        p as (select c_name, index, n / (select count(*) from customer) as p from c), s as (select *, sqrt(p * (1 - p)) + 1e-8 as s from p)
+        select c_custkey, index, round((1 - p) / s, 6) + 0.0 as value, round((0 - p) / s, 6) + 0.0 as off from customer join s using (c_name)""",
+    "category_moments": """select dense_rank() over (order by 'c' || o_custkey::varchar) - 1 as index, count(*) as n, round(sum(o_totalprice), 2) + 0.0 as total
+        from orders group by o_custkey""",
+    "bootstrap": BOOTSTRAP_SQL,
     "clean_target": """select o_orderkey, (dense_rank() over (order by o_orderpriority) - 1)::double as target
         from orders where o_orderpriority <> '5-LOW'""",
     "train_test_split": """select o_orderkey,

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..operators.split import poisson_steps
+
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
@@ -30,3 +32,9 @@ def fold_sql(k: int, key: str, by: str = "") -> str:
     """Fold number of the seeded order, in SQL."""
     part = f"partition by {by} " if by else ""
     return f"(ntile({k}) over ({part}order by md5(concat_ws(':', '42', {key}::varchar))) - 1)"
+
+
+def draws_sql(key: str, tree: int) -> str:
+    """How often a tree draws a row, in SQL."""
+    draw = f"('0x' || substr(md5('42:{tree // 8}:' || {key}), {tree % 8 * 4 + 1}, 4))::int"
+    return "(" + " + ".join(f"({draw} >= {step})::int" for step in poisson_steps()) + ")"

@@ -11,9 +11,9 @@ from ..models.linear import LinearRegression
 from ..models.logistic import LogisticRegression
 from ..models.naive_bayes import GaussianNB
 from ..models.tree import DecisionTree, RandomForest
-from ..operators.split import kfold
+from ..operators.split import feature_subset, kfold
 from ..plans.search import GridSearch, cross_validate, generate_combinations, mean_scores
-from .common import embeddings, fold_sql, labelled_documents, rounded, table
+from .common import draws_sql, embeddings, fold_sql, labelled_documents, rounded, table
 
 ROW = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice"]
 
@@ -59,18 +59,18 @@ def linear_score(spark, sf):
 
 
 def _docs(spark, sf):
-    return labelled_documents(spark, sf).withColumn("x", F.col("n_chars") / 1000)
+    return labelled_documents(spark, sf).withColumns({"x": F.col("n_chars") / 1000, "weight": F.col("n_chars") % 7})
 
 
 LOGISTIC = """with recursive d as (select doc_id, n_chars / 1000 as x, quality as y from documents join labels using (doc_id)),
     g(e, w, b) as (select 0, 0.0::double, 0.0::double union all
         select e + 1, w - 0.1 * (select avg((1 / (1 + exp(-(g.w * x + g.b))) - y) * x) from d),
-               b - 0.1 * (select avg(1 / (1 + exp(-(g.w * x + g.b))) - y) from d) from g where e < 20),
-    m as (select * from g where e = 20) """
+               b - 0.1 * (select avg(1 / (1 + exp(-(g.w * x + g.b))) - y) from d) from g where e < 200),
+    m as (select * from g where e = 200) """
 
 
 def _logistic(spark, sf):
-    return LogisticRegression(lr=0.1, epochs=20).fit(_docs(spark, sf), "quality", ["x"])
+    return LogisticRegression(lr=0.1, epochs=200).fit(_docs(spark, sf), "quality", ["x"])
 
 
 def logistic_fit(spark, sf):
@@ -206,10 +206,10 @@ def tree_regress(spark, sf):
     return _tree_columns(model, spark)
 
 
-def _tree_sql(source: str, features: list[str], depth: int, classify: bool, want: str = "nodes") -> str:
+def _tree_sql(source: str, features: list[str], depth: int, classify: bool, want: str = "nodes", w: str = "1") -> str:
     """An exhaustive tree in SQL: every distinct value of every feature, level by level.
 
-    ``want`` is "nodes", "importance" or the key column of the predictions."""
+    ``want`` is "nodes", "importance" or the key column of the predictions; ``w`` says how often a row counts."""
     def mass(n, s, q):
         if classify:
             return f"({n} - (({s}) * ({s}) + ({n} - ({s})) * ({n} - ({s}))) / ({n}))"
@@ -222,26 +222,29 @@ def _tree_sql(source: str, features: list[str], depth: int, classify: bool, want
         left, right, whole = mass("ln", "ls", "lq"), mass("(n - ln)", "(s - ls)", "(q - lq)"), mass("n", "s", "q")
         parts.append(f"""p{level} as (select *, sum(cn) over w ln, sum(cs) over w ls, sum(cq) over w lq,
             sum(cn) over (partition by node, f) n, sum(cs) over (partition by node, f) s, sum(cq) over (partition by node, f) q
-            from (select node, f, v, count(*)::double cn, sum(y)::double cs, sum(y * y)::double cq
+            from (select node, f, v, sum({w})::double cn, sum({w} * y)::double cs, sum({w} * y * y)::double cq
                   from r{level} join c using (id) join d using (id) group by all)
             window w as (partition by node, f order by v rows unbounded preceding))""")
         parts.append(f"""s{level} as materialized (select node, f, v, gain from (
             select node, f, v, {whole} - {left} - {right} as gain, round(({left} + {right}) / ({whole}), 12) as ratio,
                    row_number() over (partition by node order by round(({left} + {right}) / ({whole}), 12), f, v) rn
-            from p{level} where n > ln and {whole} > 1e-9 and n >= 2) where rn = 1 and ratio < 1)""")
+            from p{level} where n > ln and ln > 0 and {whole} > 1e-9 and n >= 2) where rn = 1 and ratio < 1)""")
         parts.append(f"""r{level + 1} as materialized (select id, node * 2 + (c.v > s{level}.v)::int as node
             from r{level} join s{level} using (node) join c using (id) where c.f = s{level}.f)""")
     names = "case f " + " ".join(f"when {i} then '{x}'" for i, x in enumerate(features)) + " end"
-    value = "(case when 2 * sum(y) > count(*) then 1 else 0 end)::double" if classify else "avg(y)"
+    value = f"(case when 2 * sum({w} * y) > sum({w}) then 1 else 0 end)::double" if classify else f"sum({w} * y) / sum({w})"
     rows = []
-    if want == "importance":
+    if want in ("importance", "share"):
         gains = " union all ".join(f"select f, gain from s{level}" for level in range(depth))
+        if want == "share":
+            return "with " + ", ".join(parts) + f""", g as (select f, sum(gain) as g from ({gains}) group by f)
+                select {names} as feature, g / (select sum(g) from g) as share from g"""
         return "with " + ", ".join(parts) + f""", g as (select f, sum(gain) as g from ({gains}) group by f),
             a as (select k.f, coalesce(g, 0) / (select sum(g) from g) as share
                   from (select unnest({list(range(len(features)))}) as f) k left join g on g.f = k.f)
             select {names} as feature, round(share / (1 + 1e-10), 6) + 0.0 as importance from a"""
     if want != "nodes":
-        leaf = "(case when 2 * sum(y) > count(*) then 1 else 0 end)::int" if classify else "avg(y)"
+        leaf = value.replace("::double", "::int")
         for level in range(depth + 1):
             stay = f"where node not in (select node from s{level})" if level < depth else ""
             rows.append(f"""select {want}, prediction from r{level} join d using (id) join (
@@ -250,7 +253,7 @@ def _tree_sql(source: str, features: list[str], depth: int, classify: bool, want
     for level in range(depth + 1):
         join = f"left join s{level} using (node)" if level < depth else ""
         pick = f"{names} as feature, round(s{level}.v, 4) + 0.0 as threshold" if level < depth else "null as feature, null::double as threshold"
-        rows.append(f"""select node as node_id, {pick}, n, value from (select node, count(*) as n, round({value}, 4) + 0.0 as value
+        rows.append(f"""select node as node_id, {pick}, n, value from (select node, sum({w})::bigint as n, round({value}, 4) + 0.0 as value
             from r{level} join d using (id) group by node) {join}""")
     return "with " + ", ".join(parts) + " " + " union all ".join(rows)
 
@@ -266,20 +269,42 @@ def tree_importance(spark, sf):
     return model.importance_table(spark).select("feature", rounded("importance").alias("importance"))
 
 
+def _forest(spark, sf):
+    return RandomForest().fit(_docs(spark, sf), "quality", FOREST_FEATURES, keys=["doc_id"])
+
+
 def forest_fit(spark, sf):
-    model = RandomForest(5, 3).fit(_docs(spark, sf), "quality", ["n_chars", "toxic"], keys=["doc_id"])
-    return model.to_table(spark)
+    model = _forest(spark, sf)
+    return model.to_table(spark).select("tree_id", "node_id", "feature", rounded("threshold", 4).alias("threshold"),
+                                        F.col("n").cast("long").alias("n"), rounded("value", 4).alias("value"))
 
 
 def forest_predict(spark, sf):
-    docs = _docs(spark, sf)
-    model = RandomForest(5, 3).fit(docs, "quality", ["n_chars", "toxic"], keys=["doc_id"])
-    return model.transform(docs).select("doc_id", "prediction")
+    return _forest(spark, sf).transform(_docs(spark, sf)).select("doc_id", "prediction")
 
 
 def forest_importance(spark, sf):
-    model = RandomForest(5, 3).fit(_docs(spark, sf), "quality", ["n_chars", "toxic"], keys=["doc_id"])
-    return model.importance_table(spark)
+    return _forest(spark, sf).importance_table(spark).select("feature", rounded("importance").alias("importance"))
+
+
+def tree_binned(spark, sf):
+    """A tree over buckets that hold every value: the exhaustive tree."""
+    lines = table(spark, sf, "lineitem").withColumn("y", F.col("l_extendedprice") / 100000)
+    model = DecisionTree(3, task="regression", solver="binned").fit(lines, "y", ["l_quantity", "l_discount", "l_tax"])
+    return _tree_columns(model, spark)
+
+
+FOREST_FEATURES = ["n_chars", "toxic", "weight"]
+
+
+def _forest_sql(want: str) -> str:
+    """All trees of the default forest, one after the other: seeded weights, seeded features, exhaustive splits."""
+    parts = []
+    for t in range(10):
+        subset = [FOREST_FEATURES[i] for i in feature_subset(len(FOREST_FEATURES), None, 42, t)]
+        source = f"(select doc_id, n_chars, toxic, n_chars % 7 as weight, quality as y, {draws_sql('doc_id', t)}::double as w from documents join labels using (doc_id))"
+        parts.append(f"select {t} as tree_id, * from ({_tree_sql(source, subset, 5, True, want, 'w')})")
+    return " union all ".join(parts)
 
 
 def classification_metrics(spark, sf):
@@ -334,6 +359,7 @@ QUERIES = {
     "tree_regress": tree_regress,
     "tree_predict": tree_predict,
     "tree_importance": tree_importance,
+    "tree_binned": tree_binned,
     "forest_fit": forest_fit,
     "forest_predict": forest_predict,
     "forest_importance": forest_importance,
@@ -390,6 +416,14 @@ ORACLES = {
                               ["n_chars", "toxic"], 3, True, "doc_id"),
     "tree_importance": _tree_sql("(select n_chars, toxic, quality as y from documents join labels using (doc_id))",
                                  ["n_chars", "toxic"], 3, True, "importance"),
+    "tree_binned": _tree_sql("(select *, l_extendedprice / 100000 as y from lineitem)",
+                             ["l_quantity", "l_discount", "l_tax"], 3, False),
+    "forest_fit": _forest_sql("nodes"),
+    "forest_predict": f"""with v as (select doc_id, prediction, count(*) as n from ({_forest_sql("doc_id")}) group by doc_id, prediction)
+        select doc_id, prediction from (select *, row_number() over (partition by doc_id order by n desc, prediction) as rn from v) where rn = 1""",
+    "forest_importance": f"""with g as (select feature, sum(share) as s from ({_forest_sql("share")}) group by feature),
+        a as (select f as feature, coalesce(s, 0) as s from (select unnest({FOREST_FEATURES}) as f) left join g on g.feature = f)
+        select feature, round(s / (select sum(s) from a) / (1 + 1e-10), 6) + 0.0 as importance from a""",
     "metrics_classification": """with c as (select count(*) filter (quality = 1 and toxic = 1)::double tp,
             count(*) filter (quality = 0 and toxic = 1) fp, count(*) filter (quality = 1 and toxic = 0) fn,
             avg((quality = toxic)::int) acc from labels),

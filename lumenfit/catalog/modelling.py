@@ -85,6 +85,22 @@ def logistic_predict(spark, sf):
     return scored.select("doc_id", rounded("p").alias("p"), "prediction")
 
 
+def logistic_optimum(spark, sf):
+    """The logistic optimum by L-BFGS, with a small penalty."""
+    model = LogisticRegression(solver="lbfgs", l2=0.01, tolerance=1e-9).fit(_docs(spark, sf), "quality", ["x"])
+    rows = [("x", float(model.weights[0])), ("bias", model.bias)]
+    return spark.createDataFrame(rows, "feature string, weight double").select("feature", rounded("weight").alias("weight"))
+
+
+# Newton steps on the same loss: the two-by-two system is solved in closed form.
+OPTIMUM = """with recursive d as (select n_chars / 1000 as x, quality as y from documents join labels using (doc_id)),
+    g(e, w, b) as (select 0, 0.0::double, 0.0::double union all
+        select e + 1, w - (h22 * g1 - h12 * g2) / (h11 * h22 - h12 * h12), b - (h11 * g2 - h12 * g1) / (h11 * h22 - h12 * h12) from (
+            select e, w, b, avg((p - y) * x) + 0.01 * w as g1, avg(p - y) as g2, avg(p * (1 - p) * x * x) + 0.01 as h11, avg(p * (1 - p) * x) as h12, avg(p * (1 - p)) as h22
+            from (select e, w, b, x, y, 1 / (1 + exp(-(w * x + b))) as p from g, d where e < 30) group by e, w, b)),
+    m as (select * from g where e = 30) """
+
+
 def nb_fit(spark, sf):
     found = GaussianNB().fit(embeddings(spark, sf)).to_table(spark)
     number = F.regexp_extract("feature", r"(\d+)$", 1).cast("int")
@@ -344,6 +360,7 @@ QUERIES = {
     "linear_score": linear_score,
     "logistic_fit": logistic_fit,
     "logistic_predict": logistic_predict,
+    "logistic_optimum": logistic_optimum,
     "gnb_fit": nb_fit,
     "gnb_predict": nb_predict,
     "gnb_cv": nb_cross_validation,
@@ -383,6 +400,8 @@ ORACLES = {
         select 'bias', round(b, 6) + 0.0 from m""",
     "logistic_predict": LOGISTIC + """select doc_id, round(1 / (1 + exp(-(w * x + b))), 6) + 0.0 as p,
         (1 / (1 + exp(-(w * x + b))) >= 0.5)::int as prediction from d, m""",
+    "logistic_optimum": OPTIMUM + """select 'x' as feature, round(w, 6) + 0.0 as weight from m union all
+        select 'bias', round(b, 6) + 0.0 from m""",
     "gnb_fit": f"""with {CELLS} select label as class, round((select count(*) from embeddings e where e.label = c.label)
         / (select count(*) from embeddings), 6) + 0.0 as prior, (j - 1)::int as j, round(avg(v), 8) + 0.0 as mean,
         round(var_pop(v) + 1e-9, 8) + 0.0 as var from c group by label, j""",

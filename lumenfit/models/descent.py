@@ -71,17 +71,22 @@ def _link(z: np.ndarray, logistic: bool) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(z, -500.0, 500.0))) if logistic else z
 
 
-def _sums(blocks, weights: np.ndarray, held_out: np.ndarray, layout: Layout, logistic: bool) -> np.ndarray:
-    """Per model: the summed gradient (features, then bias) and the number of training rows."""
+def _sums(blocks, weights: np.ndarray, held_out: np.ndarray, layout: Layout, logistic: bool, loss: bool = False) -> np.ndarray:
+    """Per model: the summed gradient (features, then bias), the number of training rows and, with ``loss``, the summed
+    log loss or half the summed squared error."""
     d = layout.features
-    total = np.zeros((len(weights), d + 2))
+    total = np.zeros((len(weights), d + 2 + loss))
     for x, y, w, fold in blocks:
-        guess = _link(layout.scores(x, weights), logistic)
+        z = layout.scores(x, weights)
+        guess = _link(z, logistic)
         use = (fold[:, None] != held_out) * w[:, None]
         error = (guess - y[:, None]) * use
         layout.gradient(x, error, total)
         total[:, d] += error.sum(axis=0)
         total[:, d + 1] += use.sum(axis=0)
+        if loss:
+            each = np.logaddexp(0.0, z) - y[:, None] * z if logistic else (z - y[:, None]) ** 2 / 2
+            total[:, d + 2] += (each * use).sum(axis=0)
     return total
 
 
@@ -137,17 +142,17 @@ def _in_one_task(blocks: DataFrame, descent: _Descent) -> np.ndarray:
     return np.array(row["s"]).reshape(-1, layout.features + 1)
 
 
-def _distributed_sums(blocks: DataFrame, weights, held_out, descent: _Descent, tasks: int) -> np.ndarray:
+def _distributed_sums(blocks: DataFrame, weights, held_out, descent: _Descent, tasks: int, loss: bool = False) -> np.ndarray:
     """One pass: partial sums per task, added up by an aggregate."""
     layout, logistic = descent.layout, descent.logistic
-    d = layout.features
+    width = layout.features + 2 + loss
 
     def partial(batches):
-        total = _sums(_unpack(batches, layout.slots), weights, held_out, layout, logistic)
+        total = _sums(_unpack(batches, layout.slots), weights, held_out, layout, logistic, loss)
         yield pa.record_batch({"s": pa.array([total.ravel().tolist()], pa.list_(pa.float64()))})
 
     parts = blocks.mapInArrow(partial, "s array<double>")
-    cells = len(weights) * (d + 2)
+    cells = len(weights) * width
     if tasks * cells <= DRIVER_CELLS:
         summed = np.sum([r["s"] for r in parts.collect()], axis=0)
     else:
@@ -155,4 +160,83 @@ def _distributed_sums(blocks: DataFrame, weights, held_out, descent: _Descent, t
         summed = np.zeros(cells)
         for r in rows.collect():
             summed[r["i"]] = r["v"]
-    return summed.reshape(len(weights), d + 2)
+    return summed.reshape(len(weights), width)
+
+
+# --- quasi-Newton ------------------------------------------------------------------------------
+
+# Past steps that shape the next direction, and the decrease that a step must give.
+MEMORY = 10
+ARMIJO = 1e-4
+
+
+class _QuasiNewton:
+    """One model's limited-memory BFGS: the point, its gradient, past steps, and the trial that waits for its loss."""
+
+    def __init__(self, width: int, held_out: int):
+        self.point, self.held_out = np.zeros(width), held_out
+        self.trial, self.step, self.done = self.point, 0.0, False
+        self.loss, self.gradient = np.inf, np.zeros(width)
+        self.steps: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def told(self, loss: float, gradient: np.ndarray, tolerance: float) -> None:
+        """Accept the trial or halve the step; then the next trial."""
+        first = not np.isfinite(self.loss)
+        slope = 0.0 if first else self.gradient @ self.direction
+        if not first and not loss <= self.loss + ARMIJO * self.step * slope:
+            self.step /= 2
+            self.done = self.step < 1e-10  # no decrease is left to find in this direction
+            self.trial = self.point + self.step * self.direction
+            return
+        if not first:
+            move, change = self.trial - self.point, gradient - self.gradient
+            if move @ change > 1e-12 * (change @ change):
+                self.steps = [*self.steps[1 - MEMORY:], (move, change)]
+        self.point, self.loss, self.gradient = self.trial, loss, gradient
+        self.done = bool(np.abs(gradient).max() <= tolerance)
+        self.direction = -self._curved(gradient)
+        # The first step has no curvature to go by: at most one in length.
+        self.step = 1.0 if self.steps else min(1.0, 1.0 / max(np.linalg.norm(gradient), 1e-300))
+        self.trial = self.point + self.step * self.direction
+
+    def _curved(self, gradient: np.ndarray) -> np.ndarray:
+        """The inverse curvature of the past steps applied to the gradient, by two loops."""
+        q, kept = gradient.copy(), []
+        for move, change in reversed(self.steps):
+            a = (move @ q) / (move @ change)
+            q -= a * change
+            kept.append(a)
+        if self.steps:
+            move, change = self.steps[-1]
+            q *= (move @ change) / (change @ change)
+        for (move, change), a in zip(self.steps, reversed(kept)):
+            q += (a - (change @ q) / (move @ change)) * move
+        return q
+
+
+def minimise(df: DataFrame, features, label: str, fold: Column, held_out: list[int], logistic: bool, l2: float = 0.0,
+             tolerance: float = 1e-6, passes: int = 200) -> tuple[list[tuple[np.ndarray, float]], int]:
+    """Minimise the mean loss (plus ``l2 / 2`` times the squared weights) of one model per held-out fold by L-BFGS.
+
+    Every pass is one distributed aggregate that gives loss and gradient of all models at their trials; the two-loop recursion
+    and the line search see those sums alone. A model stops when no gradient entry exceeds ``tolerance``. Returns the models and the passes.
+    """
+    d = width_of(df, features)
+    blocks, n = _pack(df, vector(df, features), F.col(label), fold, d)
+    layout, tasks = layout_of(df, features), -(-n // ROWS_PER_TASK)
+    carrier = _Descent([(0.0, 0, f) for f in held_out], layout, logistic)
+    models = [_QuasiNewton(layout.features + 1, f) for f in held_out]
+    blocks = blocks.persist(StorageLevel.MEMORY_AND_DISK)
+    used = 0
+    try:
+        for used in range(1, passes + 1):
+            live = [m for m in models if not m.done]
+            sums = _distributed_sums(blocks, np.array([m.trial for m in live]), np.array([m.held_out for m in live], float), carrier, tasks, True)
+            for m, row in zip(live, sums):
+                rows, penalty = row[-2], l2 * np.append(m.trial[:-1], 0.0)
+                m.told(row[-1] / rows + 0.5 * float(penalty @ m.trial), row[:-2] / rows + penalty, tolerance)
+            if all(m.done for m in models):
+                break
+    finally:
+        blocks.unpersist()
+    return [(m.point[:-1], float(m.point[-1])) for m in models], used

@@ -1,4 +1,4 @@
-"""Logistic regression by full-batch gradient descent for 0/1 labels."""
+"""Logistic regression for 0/1 labels, by full-batch gradient descent or by L-BFGS."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.scalar import sigmoid
 from ..operators.sparse import feature_names
 from .base import Matrix, Model, absolute_share, explode_configs
-from .descent import descend
+from .descent import descend, minimise
 from .linear import linear_scores
 
 
@@ -26,15 +26,22 @@ class LogisticModel(Model):
 
 
 class LogisticRegression:
-    def __init__(self, lr: float = 0.01, epochs: int = 200):
-        self.lr, self.epochs = lr, epochs
+    """``solver="gd"`` runs the fixed number of epochs; ``"lbfgs"`` goes on until no gradient entry exceeds ``tolerance``
+    (at most ``epochs`` passes), with an optional ``l2`` penalty. Each of its passes is a distributed job, whatever the size."""
 
-    @classmethod
-    def _settings(cls, params: dict) -> dict:
-        return vars(cls(**params))
+    def __init__(self, lr: float = 0.01, epochs: int = 200, solver: str = "gd", l2: float = 0.0, tolerance: float = 1e-6):
+        if solver not in ("gd", "lbfgs"):
+            raise ValueError("solver must be 'gd' or 'lbfgs'")
+        if l2 and solver == "gd":
+            raise ValueError("the penalty needs solver='lbfgs'")
+        self.lr, self.epochs, self.solver, self.l2, self.tolerance = lr, epochs, solver, l2, tolerance
+        self.passes = epochs
 
     def fit(self, df: DataFrame, label: str = "label", features="features") -> LogisticModel:
-        (w, b), = descend(df, features, label, F.lit(0), [(self.lr, self.epochs, -1)], True)
+        if self.solver == "lbfgs":
+            ((w, b),), self.passes = minimise(df, features, label, F.lit(0), [-1], True, self.l2, self.tolerance, self.epochs)
+        else:
+            (w, b), = descend(df, features, label, F.lit(0), [(self.lr, self.epochs, -1)], True)
         return LogisticModel(features, feature_names(df, features), w, b)
 
     @classmethod
@@ -46,8 +53,16 @@ class LogisticRegression:
                     full: dict | None = None) -> DataFrame:
         """``full`` receives the models of all rows, trained in the same passes."""
         folds = [*range(k)] + ([-1] if full is not None else [])
-        settings = [(c["lr"], c["epochs"], f) for c in map(cls._settings, configs) for f in folds]
-        found = descend(m.df, m.features, m.label, F.col(m.fold), settings, True)
+        made = [cls(**c) for c in configs]
+        plain = [c for c in made if c.solver == "gd"]
+        settings = [(c.lr, c.epochs, f) for c in plain for f in folds]
+        descended = iter(descend(m.df, m.features, m.label, F.col(m.fold), settings, True) if plain else [])
+        found = []
+        for c in made:
+            if c.solver == "gd":
+                found += [next(descended) for _ in folds]
+            else:
+                found += minimise(m.df, m.features, m.label, F.col(m.fold), folds, True, c.l2, c.tolerance, c.epochs)[0]
         models = [found[i * len(folds) :][:k] for i in range(len(configs))]
         if full is not None:
             for i in range(len(configs)):

@@ -350,3 +350,52 @@ def test_combinations():
     assert search.generate_combinations({"a": [1, 2], "b": [3]}) == [{"a": 1, "b": 3}, {"a": 2, "b": 3}]
     assert search.generate_combinations({}) == [{}]
     assert len(search.generate_combinations(search.default_grid("RandomForest_clf"))) == 4
+
+
+# --- solvers -----------------------------------------------------------------------------------
+
+def test_lbfgs_reaches_the_optimum_of_a_long_descent(data):
+    x, y, _, _, df = data
+    long = LogisticRegression(0.5, 6_000).fit(df, "y", ["a", "b", "c"])
+    quick = LogisticRegression(solver="lbfgs")
+    model = quick.fit(df, "y", ["a", "b", "c"])
+    np.testing.assert_allclose([*model.weights, model.bias], [*long.weights, long.bias], rtol=1e-3, atol=1e-3)
+    assert quick.passes <= 300  # a twentieth
+    p = 1 / (1 + np.exp(-(x @ model.weights + model.bias)))
+    assert np.abs(np.append(x.T @ (p - y), (p - y).sum())).max() / len(y) <= 1e-6
+
+
+def test_lbfgs_folds_with_a_penalty(data):
+    x, y, _, fold, df = data
+    m = Matrix(df, ("row_id",), "y", ["a", "b", "c"])
+    found = LogisticRegression.out_of_fold(m, [{"solver": "lbfgs", "l2": 0.1}, {"lr": 0.1, "epochs": 50}], 3)
+    assert found.groupBy("config").count().count() == 2
+    with pytest.raises(ValueError, match="penalty"):
+        LogisticRegression(l2=1.0)
+
+
+def test_binned_trees_equal_exact_ones_where_buckets_hold_every_value(data):
+    _, _, _, _, df = data
+    rough = df.select("row_id", "y", "z", *[(F.floor(F.col(c) * 4) / 4).alias(c) for c in ("a", "b", "c")]).persist()
+    for label, task in (("y", "classification"), ("z", "regression")):
+        trees = [DecisionTree(4, task=task, solver=s).fit(rough, label, ["a", "b", "c"]).to_table(rough.sparkSession).drop("gain").orderBy("node_id").collect() for s in ("exact", "binned")]
+        assert len(trees[0]) > 5
+        for r, s in zip(*trees, strict=True):
+            assert r[:7] == s[:7] or np.allclose([v for v in r[3:] if v is not None], [v for v in s[3:] if v is not None], rtol=1e-9)
+
+
+def test_subset_of_features_per_node(data):
+    _, _, _, _, df = data
+    forest = RandomForest(6, 4, max_features=1, subset="node", solver="binned").fit(df, "y", ["a", "b", "c"], ["row_id"])
+    per_tree = [{node.feature for node, split in t.nodes.values() if split} for t in forest.trees]
+    assert max(len(f) for f in per_tree) > 1  # one feature per node, several in a tree
+    again = RandomForest(6, 4, max_features=1, subset="node", solver="binned").fit(df.repartition(5), "y", ["a", "b", "c"], ["row_id"])
+    assert sorted(map(tuple, forest.to_table(df.sparkSession).drop("gain").collect()), key=str) == sorted(map(tuple, again.to_table(df.sparkSession).drop("gain").collect()), key=str)
+
+
+def test_no_row_per_row_and_tree(data):
+    from lumenfit.models.tree import _Grower
+
+    _, _, _, _, df = data
+    grower = _Grower(Matrix(df, ("row_id",), "y", ["a", "b", "c"]), [None], 20, 3, 2, None, 42, None)
+    assert grower._blocks().count() <= df.rdd.getNumPartitions()

@@ -88,50 +88,63 @@ def mix(docs: DataFrame, by: str = "source", weights=(1, 2, 3), cap: float = 3.0
         rows_per_cell: int = 100_000, spare: int = 8) -> DataFrame:
     """How often each document goes into the mix: ``(key, by, size, source_size, target, rate, copies, taken)``, a row per row.
 
-    Rounding unit is a set of equal ``(key, by, size)``; repeated rows share one decision. In a cell of like sizes the
-    ``i``-th unit in hash order gets ``floor(rate * i + u) - floor(rate * (i - 1) + u)`` copies, ``u`` being the
-    cell's own hash, so each cell is right to one copy; cells hold about ``rows_per_cell`` units at most, so a source
-    with a third of all rows is many cells. Then ``spare`` units of each size class are offered, larger first, to
+    Every row is decided by itself: rows that repeat ``(key, by, size)`` are numbered, by many tasks where they are many. In a
+    cell of like sizes the ``i``-th row in hash order gets ``floor(rate * i + u) - floor(rate * (i - 1) + u)`` copies,
+    ``u`` being the cell's own hash, so each cell is right to one copy; cells hold about ``rows_per_cell`` rows, so a source
+    with a third of all rows is many cells. Then ``spare`` rows of each size class are offered, larger first, to
     close the gap to the source's target. Null and empty texts have size 0 and count for nothing; null sources are a
     source of their own; a null key is a key. Empty tables give an empty result. Deterministic: no random numbers.
     """
+    plan = _plan(docs, by, weights, cap, key, text, rows_per_cell, spare)
+    return plan.select(key, by, "size", F.col("group_size").alias("source_size"), "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+# Repeated rows of one (key, source, size) that a task numbers at once.
+CHUNK = 100_000
+
+
+def _plan(docs: DataFrame, by: str, weights, cap: float, key: str, text: str, rows_per_cell: int, spare: int) -> DataFrame:
+    """A row per row: ``(key, by, size, _copy, group_size, target, rate, copies)``; ``_copy`` numbers equal ``(key, by, size)`` from 0."""
     sized = docs.select(F.col(key), F.col(by), word_count(F.col(text)).alias("size"))
-    units = durable(sized.groupBy(key, by, "size").agg(F.count(F.lit(1)).alias("_m")).withColumn("_mass", F.col("size") * F.col("_m")))
-    groups = durable(units.groupBy(by).agg(F.sum("_mass").alias("group_size"), F.count(F.lit(1)).alias("_n")))
-    rows = groups.agg(F.sum("_n")).first()[0] or 0
-    targets = durable(capped_targets(groups.drop("_n"), by, weights, cap))
+    counted = durable(sized.groupBy(key, by, "size").agg(F.count(F.lit(1)).alias("_m")))
+    groups = durable(counted.groupBy(by).agg(F.sum(F.col("size") * F.col("_m")).alias("group_size"), F.sum("_m").alias("_n"), F.max("_m").alias("_most")))
+    rows, most = groups.agg(F.sum("_n"), F.max("_most")).first()
+    targets = durable(capped_targets(groups.drop("_n", "_most"), by, weights, cap))
     rates = balance(targets.select(by, F.col("group_size").alias("cell_size")), {by: targets.select(by, "target")}, cap)
     rates = durable(targets.join(rates.select(F.col(by).alias("_k"), "rate"), F.col(by).eqNullSafe(F.col("_k"))).drop("_k"))
 
-    salts = 1 + rows // rows_per_cell
-    bins = F.floor(F.log2(F.greatest(F.col("_mass"), F.lit(1)).cast("double")) * 4).cast("long")
-    cell = units.join(rates.withColumnRenamed(by, "_k"), F.col(by).eqNullSafe(F.col("_k"))).drop("_k")
-    cell = cell.withColumn("_cell", bins * salts + F.pmod(F.xxhash64(F.col(key), F.lit(1)), F.lit(salts)))
-    place = F.row_number().over(Window.partitionBy(by, "_cell").orderBy(F.xxhash64(F.col(key), F.col("size")), F.col(key), F.col("size")))
+    pieces = counted.withColumn("_start", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_m") - 1, F.lit(CHUNK).cast("long"))))
+    if (most or 0) > CHUNK:
+        pieces = pieces.repartition(F.xxhash64(key, by, "size", "_start"))
+    units = pieces.withColumn("_copy", F.explode(F.sequence(F.col("_start"), F.least(F.col("_start") + CHUNK, F.col("_m")) - 1))).drop("_m", "_start")
+    salts = 1 + (rows or 0) // rows_per_cell
+    bins = F.floor(F.log2(F.greatest(F.col("size"), F.lit(1)).cast("double")) * 4).cast("long")
+    cell = units.join(small(rates.withColumnRenamed(by, "_k")), F.col(by).eqNullSafe(F.col("_k"))).drop("_k")
+    cell = cell.withColumn("_cell", bins * salts + F.pmod(F.xxhash64(F.col(key), F.col("_copy"), F.lit(1)), F.lit(salts)))
+    place = F.row_number().over(Window.partitionBy(by, "_cell").orderBy(F.xxhash64(F.col(key), F.col("size"), F.col("_copy")), F.col(key), F.col("size"), F.col("_copy")))
     cell = cell.withColumn("_i", place.cast("long"))
     u = _uniform(F.col(by), F.col("_cell"))
     copies = F.floor(F.col("rate") * F.col("_i") + u) - F.floor(F.col("rate") * (F.col("_i") - 1) + u)
-    # A unit that alone would move its source by more than a twentieth of its target is left to the repair.
-    copies = F.when(F.col("_mass") * 20 > F.col("target"), F.floor(F.col("rate"))).otherwise(copies)
+    # A row that alone would move its source by more than a twentieth of its target is left to the repair.
+    copies = F.when(F.col("size") * 20 > F.col("target"), F.floor(F.col("rate"))).otherwise(copies)
     limit = int(cap)
     cell = durable(cell.withColumn("copies", F.greatest(F.lit(0), F.least(F.lit(limit), copies)).cast("long")))
-
     for flip in (False, True, False):
         cell = durable(_repaired(cell, by, key, limit, spare, flip))
-    final = cell
-    final = final.withColumn("_each", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_m"))))
-    return final.select(key, by, "size", F.col("group_size").alias("source_size"), "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    return cell
 
 
 def _repaired(cell: DataFrame, by: str, key: str, limit: int, spare: int, flip: bool) -> DataFrame:
-    """Change the copies of a few units by one each to close the gaps to the targets.
+    """Change the copies of a few rows by one each to close the gaps to the targets.
 
-    Of each size class ``spare`` units are offered; larger first, a unit is taken while it does not exceed what is
-    left or, with ``flip``, while it brings the rest nearer to zero.
+    Of each size class ``spare`` rows are offered; larger first, a row is taken while it does not exceed what is
+    left or, with ``flip``, while it brings the rest nearer to zero. Gaps and changes are a few rows per source, so
+    that the rows themselves are not dealt by source.
     """
-    gaps = cell.groupBy(by).agg(F.first("target").alias("_target"), F.sum(F.col("_mass") * F.col("copies")).alias("_taken"))
-    gaps = gaps.select(F.col(by).alias("_k"), (F.col("_target") - F.col("_taken")).alias("_gap"))
-    offered = cell.join(gaps, F.col(by).eqNullSafe(F.col("_k"))).where((F.col("size") > 0) & (F.col("_mass") < 2 * F.abs("_gap")))
+    gaps = cell.groupBy(by).agg(F.first("target").alias("_target"), F.sum(F.col("size") * F.col("copies")).alias("_taken"))
+    gaps = durable(gaps.select(F.col(by).alias("_k"), (F.col("_target") - F.col("_taken")).alias("_gap")))
+    offered = cell.join(small(gaps), F.col(by).eqNullSafe(F.col("_k"))).where((F.col("size") > 0) & (F.col("size") < 2 * F.abs("_gap")))
+    offered = offered.withColumn("_mass", F.col("size"))
     offered = offered.where(F.when(F.col("_gap") > 0, F.col("copies") < limit).otherwise(F.col("copies") > 0))
     offered = offered.withColumn("_level", F.floor(F.log2(F.col("_mass").cast("double"))))
     first = F.row_number().over(Window.partitionBy(by, "_level").orderBy(F.xxhash64(F.col(key), F.lit(2 + flip)), F.col("_cell"), F.col("_i")))
@@ -142,16 +155,50 @@ def _repaired(cell: DataFrame, by: str, key: str, limit: int, spare: int, flip:
         x["_mass"] < 2 * s["left"] if flip else x["_mass"] <= s["left"],
         F.struct((s["left"] - x["_mass"]).alias("left"), F.concat(s["took"], F.array(F.struct(x["_cell"].alias("c"), x["_i"].alias("i")))).alias("took"))).otherwise(s))
     changes = lists.select("_k", F.signum("_gap").cast("long").alias("_sign"), F.explode(take["took"]).alias("_u")).select("_k", "_sign", F.col("_u.c").alias("_c"), F.col("_u.i").alias("_j"))
-    final = cell.join(changes, F.col(by).eqNullSafe(F.col("_k")) & (F.col("_cell") == F.col("_c")) & (F.col("_i") == F.col("_j")), "left")
+    final = cell.join(small(durable(changes)), F.col(by).eqNullSafe(F.col("_k")) & (F.col("_cell") == F.col("_c")) & (F.col("_i") == F.col("_j")), "left")
     return final.withColumn("copies", F.col("copies") + F.coalesce(F.col("_sign"), F.lit(0))).drop("_k", "_c", "_j", "_sign")
 
 
-def mixed_documents(docs: DataFrame, by: str = "source", key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The mix itself: each row of ``docs`` as often as :func:`mix` decides, with all its columns."""
-    plan = mix(docs, by=by, key=key, text=text, **options)
-    plan = plan.groupBy(F.col(key).alias("_key"), F.col(by).alias("_by"), F.col("size").alias("_size")).agg(F.max("copies").alias("_copies"))
+def mixed_documents(docs: DataFrame, by: str = "source", key: str = "doc_id", text: str = "text", weights=(1, 2, 3), cap: float = 3.0,
+                    rows_per_cell: int = 100_000, spare: int = 8) -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as :func:`mix` decides, with all its columns.
+
+    Rows that alone have their key, source and size are joined with their decision. Of rows that share them, equal ones are
+    merged and numbered in the order of their content, cell by cell, and take the decisions of their numbers.
+    """
+    plan = _plan(docs, by, weights, cap, key, text, rows_per_cell, spare)
+    plan = durable(plan.select(F.col(key).alias("_key"), F.col(by).alias("_by"), F.col("size").alias("_size"), "_copy", "copies"))
+    repeated = durable(plan.where(F.col("_copy") == 1).select("_key", "_by", "_size"))
     # The columns of a document travel as one, so their names may be anything.
     sized = docs.select(F.struct("*").alias("_row"), F.col(key).alias("_k"), F.col(by).alias("_b"), word_count(F.col(text)).alias("_n"))
     same = F.col("_k").eqNullSafe(F.col("_key")) & F.col("_b").eqNullSafe(F.col("_by")) & (F.col("_n") == F.col("_size"))
-    kept = sized.join(small(durable(plan.where(F.col("_copies") > 0))), same)
-    return kept.select("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select("_row.*")
+    few = small(repeated)
+    alone = plan.join(few.select(*[F.col(c).alias(f"{c}2") for c in ("_key", "_by", "_size")]),
+                      F.col("_key").eqNullSafe(F.col("_key2")) & F.col("_by").eqNullSafe(F.col("_by2")) & (F.col("_size") == F.col("_size2")), "left_anti")
+    kept = sized.join(small(durable(alone.where(F.col("copies") > 0))), same).select("_row", "copies")
+    if not repeated.isEmpty():
+        kept = kept.unionByName(_numbered(sized.join(few, same), plan))
+    return kept.select("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("_row.*")
+
+
+def _numbered(rows: DataFrame, plan: DataFrame, cells: int = 1024) -> DataFrame:
+    """``(_row, copies)`` of rows that share key, source and size: merged where they are equal, numbered over cells of
+    their hash, and given the sum of the decisions of their numbers."""
+    unit = ["_k", "_b", "_n"]
+    merged = rows.groupBy(*unit, "_row").agg(F.count(F.lit(1)).alias("_m"))
+    merged = durable(merged.withColumns({"_h": F.xxhash64("_row"), "_g": F.xxhash64(F.lit(3), "_row")}).withColumn("_cell", F.pmod("_h", F.lit(cells))))
+    names = merged.drop("_row")
+    sizes = names.groupBy(*unit, "_cell").agg(F.sum("_m").alias("_s"))
+    before = Window.partitionBy(*unit).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select(*[F.col(c).alias(f"{c}2") for c in (*unit, "_cell")], F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_before"))
+    equal = lambda c: F.col(c).eqNullSafe(F.col(f"{c}2"))
+    inside = Window.partitionBy(*unit, "_cell").orderBy("_h", "_g").rowsBetween(Window.unboundedPreceding, -1)
+    placed = names.withColumn("_first", F.coalesce(F.sum("_m").over(inside), F.lit(0)))
+    placed = placed.join(sizes, equal("_k") & equal("_b") & equal("_n") & equal("_cell")).select(*unit, "_h", "_g", "_m", (F.col("_first") + F.col("_before")).alias("_first"))
+    pieces = placed.withColumn("_start", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_m") - 1, F.lit(CHUNK).cast("long"))))
+    pieces = pieces.repartition(F.xxhash64(*unit, "_h", "_start"))
+    each = pieces.withColumn("_number", F.explode(F.sequence(F.col("_first") + F.col("_start"), F.col("_first") + F.least(F.col("_start") + CHUNK, F.col("_m")) - 1)))
+    decided = each.join(plan, F.col("_k").eqNullSafe(F.col("_key")) & F.col("_b").eqNullSafe(F.col("_by")) & (F.col("_n") == F.col("_size")) & (F.col("_number") == F.col("_copy")))
+    total = decided.groupBy(*unit, "_h", "_g").agg(F.sum("copies").alias("copies")).where("copies > 0")
+    total = total.select(*[F.col(c).alias(f"{c}2") for c in (*unit, "_h", "_g")], "copies")
+    return merged.join(total, equal("_k") & equal("_b") & equal("_n") & equal("_h") & equal("_g")).select("_row", "copies")

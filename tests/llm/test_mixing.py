@@ -74,3 +74,25 @@ def test_hot_source_is_rounded_in_cells(spark):
     for s in {r["source"] for r in rows}:
         own = [r for r in rows if r["source"] == s]
         assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 60
+
+
+def test_rows_that_share_key_source_and_size_are_decided_one_by_one(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "CHUNK", 64)
+    rows = [(None, prose(0, 10), "a")] * 700 + [(None, prose(i, 10), "a") for i in range(300)] + [(i, prose(i, 20), "b") for i in range(200)] + [(7, prose(1, 30), "c")] * 40
+    docs = documents(spark, rows).repartition(5)
+    plan = mixing.mix(docs).collect()
+    assert len(plan) == len(rows)
+    for s in "abc":
+        own = [r for r in plan if r["source"] == s]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 60 and all(r["taken"] <= 3 * r["size"] for r in own)
+    out = [(r["doc_id"], r["text"], r["source"]) for r in mixing.mixed_documents(docs).collect()]
+    count, given = defaultdict(int), defaultdict(int)
+    for r in out:
+        count[r] += 1
+    for r in rows:
+        given[r] += 1
+    assert all(n <= 3 * given[r] for r, n in count.items())
+    for s in "abc":
+        assert sum(len(t.split()) for _, t, x in out if x == s) == sum(r["taken"] for r in plan if r["source"] == s)
+    again = mixing.mixed_documents(docs.orderBy("text").repartition(3))
+    assert sorted(map(str, out)) == sorted(str((r["doc_id"], r["text"], r["source"])) for r in again.collect())

@@ -4,8 +4,9 @@ A store is a folder. ``shard-NNNNNN.ids`` holds the ids of consecutive documents
 each if the vocabulary allows it, else 4; then the offsets of its records (in ids, 8 bytes each, one more than there
 are records) and a trailer ``(records, width, magic)``. Parquet tables beside the shards: ``shards`` (ids before each
 shard) and ``index``, one row per hash bucket: a minimal perfect hash of the bucket's keys and, at the place it gives
-a key, a fingerprint, the shard, the record and how many records the key has. A lookup hashes the key, reads one
-index row, checks the fingerprint and reads two offsets and the ids: constant time, whatever the size of the store.
+a key, a fingerprint, the first shard and record, how many records the key has, its last shard and how many it has there.
+A lookup hashes the key, reads one index row, checks the fingerprint and reads two offsets and the ids: constant time,
+whatever the size of the store. Records of one key stand in the order of their texts' hashes, over as many shards as they need.
 
 Shards are written under a task-attempt name and renamed, so a retried task replaces its own shard.
 """
@@ -32,6 +33,8 @@ BUCKET_KEYS = 8192
 # Words of one generation of the cache; the generation before is kept beside it.
 CACHE_WORDS = 500_000
 MAGIC = 0x31535F534449
+# What the index holds of a key: its first shard and record, its records, its last shard and its records there.
+PLACES = {"shard": "<i4", "record": "<i8", "records": "<i8", "last": "<i4", "tail": "<i8"}
 
 # ByteLevel's printable stand-ins for bytes: printable Latin-1 stays, the others follow from 256 on.
 _plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
@@ -50,6 +53,8 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        # Added tokens are matched in the raw text, before it is lower-cased.
+        self.added = [(t.content, t.content.lower()) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -90,7 +95,9 @@ class Encoder:
             return self._full(text)  # Python's split would cut there
         try:
             text.encode("latin-1")
-            lowered, text = True, text.lower()
+            raw, lowered, text = text, True, text.lower()
+            if any(low in text and text.count(low) != raw.count(token) for token, low in self.added):
+                return self._full(raw)  # some stand in another case, and are plain text there
         except UnicodeEncodeError:
             lowered = False  # case mappings beyond Latin-1 can depend on context
         words = text.split()
@@ -163,14 +170,17 @@ def write(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "tex
     """Encode and write all rows in ascending key order (null first); returns the store.
 
     Null and empty texts are records of the end id alone. Repeated keys are consecutive records under one index
-    entry; one key's records are one shard. An empty table makes an empty store.
+    entry, in the order of their texts' hashes, whatever order the rows come in; a key with many rows, or many copies
+    of one row, is dealt to several shards. An empty table makes an empty store.
     """
     spark = docs.sparkSession
     folder = folder or f"{shared_folder(spark).rstrip('/')}/token-ids-{uuid.uuid4().hex}"
     docs = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
     size, rows = docs.agg(F.sum(F.octet_length("_text")), F.count(F.lit(1))).first()
     parts = max(1, -(-((size or 0) + 16 * rows) // SHARD_BYTES))
-    ordered = docs.repartitionByRange(parts, "_key").sortWithinPartitions("_key").select("_key", *key_hashes("_key"), "_text")
+    # Equal rows may stand in any order: their number in the input only deals them to shards.
+    docs = docs.withColumns({"_th": F.xxhash64(F.coalesce("_text", F.lit(""))), "_salt": F.monotonically_increasing_id() % 4096})
+    ordered = docs.repartitionByRange(parts, "_key", "_th", "_salt").sortWithinPartitions("_key", "_th", "_text").select("_key", *key_hashes("_key"), "_text")
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, context = Encoder.of(tokenizer), TaskContext.get()
@@ -212,43 +222,46 @@ def write(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "tex
     before = F.coalesce(F.sum("ids").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     per_shard.withColumn("ids_before", before).write.parquet(f"{folder}/shards")
 
-    keys = entries.groupBy("_key", "_h1", "_h2").agg(F.min("shard").alias("shard"), F.min("record").alias("record"), F.count(F.lit(1)).alias("records"))
+    place = F.struct("shard", "record")
+    by_shard = entries.groupBy("_key", "_h1", "_h2", "shard").agg(F.min("record").alias("record"), F.count(F.lit(1)).alias("n"))
+    keys = by_shard.groupBy("_key", "_h1", "_h2").agg(F.min(place).alias("_first"), F.max(F.struct("shard", "n")).alias("_last"), F.sum("n").alias("records"))
+    keys = keys.select("_key", "_h1", "_h2", "_first.shard", "_first.record", "records", F.col("_last.shard").alias("last"), F.col("_last.n").alias("tail"))
     buckets = max(1, -(-rows // BUCKET_KEYS))
 
     def build(group: pa.Table) -> pa.Table:
-        h1, h2, shards, records, counts = (np.asarray(group.column(c)).astype(np.int64) for c in ("_h1", "_h2", "shard", "record", "records"))
+        h1, h2 = (np.asarray(group.column(c)).astype(np.int64) for c in ("_h1", "_h2"))
         levels = perfect_hash(h1, h2)
         order = np.argsort(ranks(levels, h1, h2))
         pack = lambda x, kind: x[order].astype(kind).tobytes()
         return pa.table({
             "bucket": pa.array([group.column("_bucket")[0].as_py()], pa.int64()), "sizes": pa.array([[len(x) for x in levels]], pa.list_(pa.int64())),
             "bits": pa.array([[np.packbits(x).tobytes() for x in levels]], pa.list_(pa.binary())), "fingerprints": pa.array([pack(h2.view(np.uint64) >> np.uint64(32), "<u4")], pa.binary()),
-            "shards": pa.array([pack(shards, "<i4")], pa.binary()), "records": pa.array([pack(records, "<i8")], pa.binary()), "counts": pa.array([pack(counts, "<i8")], pa.binary())})
+            **{name: pa.array([pack(np.asarray(group.column(name)), kind)], pa.binary()) for name, kind in PLACES.items()}})
 
-    schema = "bucket long, sizes array<long>, bits array<binary>, fingerprints binary, shards binary, records binary, counts binary"
+    schema = "bucket long, sizes array<long>, bits array<binary>, fingerprints binary, " + ", ".join(f"{name} binary" for name in PLACES)
     keys.withColumn("_bucket", bucket_of(buckets)).drop("_key").groupBy("_bucket").applyInArrow(build, schema).write.parquet(f"{folder}/index")
     return Store(folder, buckets, Encoder.of(tokenizer).kind.itemsize)
 
 
 def lookup(keys: DataFrame, store: Store, key: str = "doc_id") -> DataFrame:
-    """``(key, shard, record, records)`` of the distinct keys that the store holds; others have no row."""
+    """``(key, shard, record, records, last, tail)`` of the distinct keys that the store holds; others have no row."""
     index = store.index(keys.sparkSession)
     asked = keys.select(F.col(key).alias("_key")).distinct().select("_key", *key_hashes("_key")).withColumn("_bucket", bucket_of(store.buckets))
 
     def find(asked: pa.Table, index: pa.Table) -> pa.Table:
         if not asked.num_rows or not index.num_rows:
-            return pa.table({c: pa.array([], t) for c, t in zip(["_key", "shard", "record", "records"], [asked.schema.field("_key").type] + [pa.int64()] * 3)})
+            return pa.table({c: pa.array([], t) for c, t in zip(["_key", *PLACES], [asked.schema.field("_key").type] + [pa.int64()] * len(PLACES))})
         row = index.to_pylist()[0]
         levels = [np.unpackbits(np.frombuffer(b, np.uint8))[:n].astype(bool) for b, n in zip(row["bits"], row["sizes"])]
         h1, h2 = (np.asarray(asked.column(c)) for c in ("_h1", "_h2"))
         place = ranks(levels, h1, h2)
         prints = np.frombuffer(row["fingerprints"], "<u4")
         ok = np.flatnonzero((place >= 0) & (prints[place] == (h2.view(np.uint64) >> np.uint64(32))))
-        shards, records, counts = (np.frombuffer(row[c], k)[place[ok]].astype(np.int64) for c, k in (("shards", "<i4"), ("records", "<i8"), ("counts", "<i8")))
-        return pa.table({"_key": asked.column("_key").take(pa.array(ok)), "shard": shards, "record": records, "records": counts})
+        found = {c: np.frombuffer(row[c], k)[place[ok]].astype(np.int64) for c, k in PLACES.items()}
+        return pa.table({"_key": asked.column("_key").take(pa.array(ok)), **found})
 
     long = T.LongType()
-    schema = T.StructType([asked.schema["_key"], *(T.StructField(c, long) for c in ("shard", "record", "records"))])
+    schema = T.StructType([asked.schema["_key"], *(T.StructField(c, long) for c in PLACES)])
     found = asked.groupBy("_bucket").cogroup(index.groupBy("bucket")).applyInArrow(find, schema)
     return found.withColumnRenamed("_key", key)
 
@@ -268,6 +281,13 @@ def read(keys: DataFrame, store: Store, key: str = "doc_id", ids: bool = True) -
     """
     spark, folder = keys.sparkSession, store.folder
     where = lookup(keys, store, key).withColumnRenamed(key, "_key")
+    # A key's records in each of its shards: from its first record on, whole shards between, its tail in the last one.
+    base = store.shards(spark).select(F.col("shard").alias("_shard"), "ids_before", F.col("records").alias("_all"))
+    where = where.select("_key", "record", "records", "last", "tail", F.col("shard").alias("_first"), F.explode(F.sequence("shard", "last")).alias("shard"))
+    where = where.join(base, F.col("shard") == F.col("_shard"))
+    start = F.when(F.col("shard") == F.col("_first"), F.col("record")).otherwise(0)
+    count = F.when(F.col("_first") == F.col("last"), F.col("records")).when(F.col("shard") == F.col("last"), F.col("tail")).otherwise(F.col("_all") - start)
+    where = where.select("_key", "shard", start.alias("record"), count.alias("records"), "ids_before")
 
     def fetch(group: pa.Table) -> pa.Table:
         store_fs, path = fs.FileSystem.from_uri(folder)
@@ -284,12 +304,10 @@ def read(keys: DataFrame, store: Store, key: str = "doc_id", ids: bool = True) -
                     for c, v in zip(out, (int(i), offset, len(found), zlib.crc32(raw), raw if ids else None)):
                         out[c].append(v)
         return pa.table({
-            "_key": group.column("_key").take(pa.array(out["at"], pa.int64())), "shard": group.column("shard").take(pa.array(out["at"], pa.int64())), "offset": pa.array(out["offset"], pa.int64()),
+            "_key": group.column("_key").take(pa.array(out["at"], pa.int64())), "start": pa.array(np.asarray(group.column("ids_before"))[np.array(out["at"], int)] + np.array(out["offset"], np.int64), pa.int64()),
             "n_tokens": pa.array(out["n_tokens"], pa.int64()), "ids_crc32": pa.array(out["ids_crc32"], pa.int64()), "ids": pa.array(out["ids"], pa.binary())})
 
-    schema = T.StructType([where.schema["_key"], *(T.StructField(c, T.LongType()) for c in ("shard", "offset", "n_tokens", "ids_crc32")), T.StructField("ids", T.BinaryType())])
+    schema = T.StructType([where.schema["_key"], *(T.StructField(c, T.LongType()) for c in ("start", "n_tokens", "ids_crc32")), T.StructField("ids", T.BinaryType())])
     rows = where.groupBy("shard").applyInArrow(fetch, schema)
-    base = store.shards(spark).select(F.col("shard").alias("_shard"), "ids_before")
-    rows = rows.join(base, F.col("shard") == F.col("_shard"))
-    out = rows.select(F.col("_key").alias(key), (F.col("ids_before") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32", "ids")
+    out = rows.select(F.col("_key").alias(key), "start", "n_tokens", "ids_crc32", "ids")
     return out if ids else out.drop("ids")

@@ -68,3 +68,28 @@ def test_many_shards(spark, monkeypatch):
     rows = sorted(token_store.read(docs, store).collect())
     assert [r["start"] for r in rows] == np.concatenate([[0], np.cumsum([r["n_tokens"] for r in rows])[:-1]]).tolist()
     assert isinstance(pa.array([1]), pa.Array)
+
+
+@pytest.mark.parametrize("text", ["a <|ENDOFTEXT|> b", "<|EndOfText|>", "<|STARTOFTEXT|> x <|startoftext|>", "<|endoftext|>", "x<|endoftext|>Y <|endoftext|>"])
+def test_added_tokens_in_any_case(tokenizer, text):
+    encoder = token_store.Encoder(queries.tokenizer_path())
+    assert np.frombuffer(encoder.encode(text), encoder.kind).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_one_key_over_several_shards_in_any_order(spark, tokenizer, monkeypatch):
+    monkeypatch.setattr(token_store, "SHARD_BYTES", 2_000)
+    rows = [(5, f"text number {i % 150}") for i in range(400)] + [(9, "the same text")] * 400 + [(1, "first"), (12, "last"), (None, "no key")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = []
+    for part in (docs.repartition(3), docs.orderBy(F.desc("text")).repartition(5)):
+        store = token_store.write(part, queries.tokenizer_path())
+        where = {r["doc_id"]: r for r in token_store.lookup(part, store).collect()}
+        assert where[5]["last"] > where[5]["shard"] and where[9]["last"] > where[9]["shard"] and where[9]["records"] == 400
+        found.append(sorted(map(tuple, token_store.read(part, store, ids=False).collect()), key=lambda r: r[1]))
+    assert found[0] == found[1] and len(found[0]) == len(rows)
+    start = 0
+    for key, at, n, _ in found[0]:
+        assert at == start
+        start += n
+    wanted = sorted((len(i), zlib.crc32(i.tobytes())) for i in (ids(tokenizer, t) for _, t in rows))
+    assert sorted(r[2:] for r in found[0]) == wanted and [r[0] for r in found[0]] == [None, 1] + [5] * 400 + [9] * 400 + [12]

@@ -9,13 +9,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Rows of one Arrow batch, and text bytes that are worked on at once inside a task.
 BATCH_ROWS = 1000
 SLICE_BYTES = 1 << 21
 
-# Odd multipliers: the base of word hashes, the finaliser's pair, and the weights of words within a shingle.
+# Odd multipliers: of word hashes, the finaliser's pair, and the weights of words within a shingle.
 BASE = 0x9E3779B97F4A7C15
 MIX1, MIX2 = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 LANES = [(0xD6E8FEB86659FD93 * (2 * i + 1)) % 2**64 | 1 for i in range(16)]
@@ -65,15 +66,6 @@ def worker_state() -> dict:
     return vars(sys.modules.setdefault("_lumenfit_llm_state", types.ModuleType("_lumenfit_llm_state")))
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """``n`` powers, or more, of ``BASE`` and of its inverse modulo 2^64."""
-    state = worker_state()
-    if len(state.get("powers", ((),))[0]) < n:
-        size = max(n, SLICE_BYTES)
-        state["powers"] = tuple(np.cumprod(np.concatenate([[np.uint64(1)], np.full(size - 1, base, np.uint64)]), dtype=np.uint64) for base in (BASE, pow(BASE, -1, 2**64)))
-    return state["powers"]
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective finaliser of 64-bit numbers."""
     x = x ^ (x >> np.uint64(30))
@@ -98,13 +90,42 @@ def spans(flag: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
+# Bytes of a super-character; longer words than LONG_WORD are hashed one by one.
+STEP = 8
+LONG_WORD = 1024
+
+
+def super_characters(data: np.ndarray, at: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """The next eight bytes from each place on as one number in byte order, zero beyond the ``left`` bytes of the word.
+    ``data`` ends in eight spare bytes."""
+    view = np.ndarray((len(data) - STEP + 1,), ">u8", data, strides=(1,))
+    keys = view[at].astype(np.uint64)
+    cut = np.clip(STEP - left, 0, STEP).astype(np.uint64) * np.uint64(8)
+    # a shift by 64 is undefined: such words have ended
+    return np.where(cut >= 64, np.uint64(0), keys >> np.minimum(cut, np.uint64(63)) << np.minimum(cut, np.uint64(63)))
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each word: eight bytes at a time, with a bijective finaliser between, so that no two words collide
+    by the algebra of the hash as they do under polynomials modulo 2^64."""
+    sizes = ends - starts
+    out = mixed(sizes.astype(np.uint64) * np.uint64(BASE) + np.uint64(BASE))
+    long = sizes > LONG_WORD
+    for i in np.flatnonzero(long).tolist():
+        out[i] = xxhash.xxh64_intdigest(data[starts[i]:ends[i]].tobytes())
+    todo, depth = np.flatnonzero(~long), 0
+    while len(todo):
+        keys = super_characters(data, starts[todo] + depth, sizes[todo] - depth)
+        out[todo] = mixed((out[todo] ^ keys) * np.uint64(BASE))
+        depth += STEP
+        todo = todo[sizes[todo] > depth]
+    return out
+
+
 def words(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, ...]:
     """Start, end, row and 64-bit hash of each word, with A-Z lower-cased."""
     starts, ends, rows = spans(inside[data], offsets)
-    up, down = powers(len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((LOWER[data].astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=total[1:])
-    return starts, ends, rows, mixed((total[ends] - total[starts]) * down[starts])
+    return starts, ends, rows, word_hashes(np.concatenate([LOWER[data], np.zeros(STEP, np.uint8)]), starts, ends)
 
 
 def chained(hashes: np.ndarray, k: int) -> np.ndarray:

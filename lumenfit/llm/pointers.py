@@ -12,11 +12,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-from .common import LOWER, slices, spans, texts
+from .common import LOWER, STEP, slices, spans, super_characters, texts
 
 # Text bytes of one shard: what a task sorts at once.
 SHARD_BYTES = 8 << 20
-STEP = 8
 
 
 def shards(batches: Iterator[pa.RecordBatch], column: str, limit: int = SHARD_BYTES) -> Iterator[pa.RecordBatch]:
@@ -67,15 +66,6 @@ class Pointers:
         return edge, np.diff(np.append(edge, n))
 
 
-def super_characters(data: np.ndarray, at: np.ndarray, left: np.ndarray) -> np.ndarray:
-    """The next eight bytes from each place on as one number in byte order, zero beyond the ``left`` bytes of the word."""
-    view = np.ndarray((len(data) - STEP + 1,), ">u8", data, strides=(1,))
-    keys = view[at].astype(np.uint64)
-    cut = np.clip(STEP - left, 0, STEP).astype(np.uint64) * np.uint64(8)
-    # a shift by 64 is undefined: such words have ended
-    return np.where(cut >= 64, np.uint64(0), keys >> np.minimum(cut, np.uint64(63)) << np.minimum(cut, np.uint64(63)))
-
-
 def multikey_sort(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Stable order of the words ``data[start:end]`` by bytes, and flags of those that differ from the one before.
 

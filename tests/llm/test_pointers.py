@@ -39,3 +39,15 @@ def test_shards_hold_whole_rows():
     batches = [pa.RecordBatch.from_arrays([pa.array(["x" * n for n in sizes])], ["t"]) for sizes in ([10, 200, 5], [90, 0, 20], [])]
     parts = [[len(x) for x in b.column("t").to_pylist()] for b in shards(iter(batches), "t", 100)]
     assert sum(parts, []) == [10, 200, 5, 90, 0, 20] and all(sum(p) <= 100 or len(p) == 1 for p in parts)
+
+
+def test_word_hashes_tell_words_apart():
+    """Thue-Morse words and their complements collide under every polynomial modulo 2^64; equal words agree anywhere."""
+    from lumenfit.llm.common import texts, words
+
+    morse = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    pieces = [morse, morse.translate(str.maketrans("ab", "ba")), morse[:512], "a", "A", "aa", "a" * 8, "a" * 9, "a" * 16, "x" * 5000, "X" * 5000, "x" * 5001]
+    data, offsets = texts(pa.array([" ".join(pieces), *pieces]))
+    _, _, rows, hashes = words(data, offsets, ALNUM)
+    assert hashes[rows == 0].tolist() == hashes[rows > 0].tolist()
+    assert len(set(hashes.tolist())) == len({p.lower() for p in pieces})

@@ -220,12 +220,24 @@ def least_squares(spark, sf):
 
 
 def solve_system(spark, sf):
-    """Normal equations of two columns, solved as a system in long form."""
-    data = _scaled(spark, sf)
-    a = linalg.gramian(data, ["a", "b"])
-    b = data.agg(F.array(F.sum(F.col("a") * F.col("y")), F.sum(F.col("b") * F.col("y"))).alias("v"))
-    b = b.select(F.posexplode("v").alias("i", "v"))
-    return linalg.solve(a, b).select("i", rounded("v").alias("v"))
+    """Two columns without intercept: the system of their normal equations, from the triangular factor."""
+    found = linalg.least_squares(_scaled(spark, sf), ["a", "b"], "y", intercept=False)
+    return found.select(F.when(F.col("feature") == "a", 0).otherwise(1).alias("i"), rounded("value").alias("v"))
+
+
+def least_squares_collinear(spark, sf):
+    """A column that is the sum of two others: the shortest of all coefficients."""
+    found = linalg.least_squares(_scaled(spark, sf).withColumn("s", F.col("a") + F.col("b")), ["a", "b", "s"], "y")
+    return found.select("feature", rounded("value", 5).alias("value"))
+
+
+def matrix_product_tiled(spark, sf):
+    """Vectors times the transpose of the vectors of label 0, both too large to be broadcast by the limit given here."""
+    vectors = embeddings(spark, sf)
+    a = linalg.to_matrix(vectors, "vec_id", "features")
+    b = linalg.transpose(linalg.to_matrix(vectors.where("label = 0"), "vec_id", "features"))
+    found = linalg.tiled_product(a, b)
+    return found.groupBy("i").agg(rounded(F.sum("v"), 4).alias("total"), rounded(F.max("v")).alias("most"), F.count(F.lit(1)).alias("n"))
 
 
 def row_key(spark, sf):
@@ -258,6 +270,8 @@ QUERIES = {
     "gradient": gradient,
     "least_squares": least_squares,
     "solve_system": solve_system,
+    "least_squares_collinear": least_squares_collinear,
+    "matrix_product_tiled": matrix_product_tiled,
     "row_key": row_key,
 }
 
@@ -366,6 +380,20 @@ ORACLES = {
         select 'a' as feature, round(wa, 6) + 0.0 as value from w union all
         select 'b', round(wb, 6) + 0.0 from w union all
         select 'intercept', round(my - wa * ma - wb * mb, 6) + 0.0 from w""",
+    "least_squares_collinear": f"""
+        with t as (select {SCALED} from lineitem),
+        s as (select var_pop(a) aa, covar_pop(a, b) ab, var_pop(b) bb, covar_pop(a, y) ay, covar_pop(b, y) byy,
+                     avg(a) ma, avg(b) mb, avg(y) my from t),
+        w as (select *, (ay * bb - byy * ab) / (aa * bb - ab * ab) wa, (byy * aa - ay * ab) / (aa * bb - ab * ab) wb from s),
+        r as (select *, (wa + wb) / 3 as ws from w)
+        select 'a' as feature, round(wa - ws, 5) + 0.0 as value from r union all
+        select 'b', round(wb - ws, 5) + 0.0 from r union all
+        select 's', round(ws, 5) + 0.0 from r union all
+        select 'intercept', round(my - wa * ma - wb * mb, 5) + 0.0 from r""",
+    "matrix_product_tiled": """
+        with x as (select vec_id, label, unnest(embedding::double[]) as v, generate_subscripts(embedding, 1) as j from embeddings),
+        p as (select a.vec_id as i, b.vec_id as k, sum(a.v * b.v) as v from x a join x b on a.j = b.j where b.label = 0 group by a.vec_id, b.vec_id)
+        select i, round(sum(v), 4) + 0.0 as total, round(max(v), 6) + 0.0 as most, count(*) as n from p group by i""",
     "solve_system": f"""
         with t as (select {SCALED} from lineitem),
         s as (select sum(a * a) aa, sum(a * b) ab, sum(b * b) bb, sum(a * y) ay, sum(b * y) byy from t)

@@ -1,7 +1,7 @@
 """Linear algebra over tables: second moments, products, gradients and least squares.
 
 A table with n rows and d features is reduced on the executors to d x d statistics; only those
-reach the driver.
+reach the driver. Products of two large matrices are made of packed tiles.
 """
 
 from __future__ import annotations
@@ -10,14 +10,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalar import columns_of, linear, names_of, vector
+from ..session import durable
 
 # Up to this many columns the moments are column aggregates; beyond it, Arrow blocks.
 WIDE = 4
 # A matrix side up to this many entries is broadcast in a product.
 BROADCAST_ENTRIES = 1_000_000
+# Side of a packed tile, and inner tiles that one group multiplies.
+TILE = 256
+INNER_TILES = 64
 
 
 @dataclass
@@ -148,17 +153,64 @@ def gramian(df: DataFrame, features) -> DataFrame:
 def matrix_product(a: DataFrame, b: DataFrame) -> DataFrame:
     """``A B`` for matrices in long form ``(i, j, v)``; absent entries are zeros.
 
-    The right side is broadcast when its counted size allows; otherwise both sides are joined on
-    the inner index. Products are summed before they are shuffled.
+    A right side whose counted size allows it is broadcast, products being summed before they are shuffled; larger
+    ones are multiplied by :func:`tiled_product`.
     """
-    left = a.select(F.col("i").alias("row"), F.col("j").alias("inner"), F.col("v").alias("x"))
-    right = b.select(F.col("i").alias("inner"), F.col("j").alias("col"), F.col("v").alias("y"))
     if b.limit(BROADCAST_ENTRIES + 1).count() <= BROADCAST_ENTRIES:
-        right = F.broadcast(right)
-    products = left.join(right, "inner")
-    return products.groupBy(F.col("row").alias("i"), F.col("col").alias("j")).agg(
-        F.sum(F.col("x") * F.col("y")).alias("v")
-    )
+        left = a.select(F.col("i").alias("row"), F.col("j").alias("inner"), F.col("v").alias("x"))
+        right = b.select(F.col("i").alias("inner"), F.col("j").alias("col"), F.col("v").alias("y"))
+        products = left.join(F.broadcast(right), "inner")
+        return products.groupBy(F.col("row").alias("i"), F.col("col").alias("j")).agg(F.sum(F.col("x") * F.col("y")).alias("v"))
+    return tiled_product(a, b)
+
+
+def tiled_product(a: DataFrame, b: DataFrame, tile: int = TILE, inner_tiles: int = INNER_TILES) -> DataFrame:
+    """``A B`` for two large matrices in long form with whole numbers as indices.
+
+    Both are packed into tiles of ``tile`` by ``tile``, and the tiles that belong to one tile of the result meet in groups of at
+    most ``inner_tiles`` inner tiles, which multiply and add them up; a result tile of several groups is summed. No entry
+    is joined on its inner index, so a full row or column is many tiles.
+    """
+    left = durable(_tiles(a, tile, "rows", "inner"))
+    right = durable(_tiles(b, tile, "inner", "cols"))
+    # Which tiles meet: the directory of the other side, a row per tile.
+    to_cols = right.select("inner", "cols").withColumnRenamed("inner", "_k")
+    to_rows = left.select("inner", "rows").withColumnRenamed("inner", "_k")
+    group = ["rows", "cols", "part"]
+    part = F.floor(F.col("inner") / inner_tiles).alias("part")
+    # the aliases give each side its own columns, which a co-grouping of related tables needs
+    own = [*(F.col(c).alias(c) for c in ("rows", "cols")), part, *(F.col(c).alias(c) for c in ("inner", "i", "j", "v"))]
+    mine = left.join(to_cols, F.col("inner") == F.col("_k")).select(*own)
+    theirs = right.join(to_rows, F.col("inner") == F.col("_k")).select(*own)
+
+    def multiply(x: pa.Table, y: pa.Table) -> pa.Table:
+        other = {k: r for r, k in enumerate(y.column("inner").to_pylist())}
+        total = np.zeros((tile, tile))
+        for r, k in enumerate(x.column("inner").to_pylist()):
+            if k in other:
+                total += _dense(x, r, tile) @ _dense(y, other[k], tile)
+        i, j = np.nonzero(total)
+        n = len(i)
+        first = lambda c: (x if x.num_rows else y).column(c)[0].as_py() * tile
+        return pa.table({"i": pa.array(i + first("rows") if n else i, pa.int64()), "j": pa.array(j + first("cols") if n else j, pa.int64()), "v": pa.array(total[i, j])})
+
+    products = mine.groupBy(*group).cogroup(theirs.groupBy(*group)).applyInArrow(multiply, "i long, j long, v double")
+    return products.groupBy("i", "j").agg(F.sum("v").alias("v"))
+
+
+def _tiles(a: DataFrame, tile: int, rows: str, cols: str) -> DataFrame:
+    """Packed tiles ``(rows, cols, i, j, v)`` with places inside the tile; equal places are summed."""
+    place = lambda c: F.pmod(F.col(c), F.lit(tile)).cast("int")
+    cells = a.select(F.floor(F.col("i") / tile).alias(rows), F.floor(F.col("j") / tile).alias(cols), place("i").alias("i"), place("j").alias("j"), F.col("v").cast("double").alias("v"))
+    cells = cells.groupBy(rows, cols, "i", "j").agg(F.sum("v").alias("v")).groupBy(rows, cols).agg(F.collect_list(F.struct("i", "j", "v")).alias("c"))
+    return cells.select(rows, cols, F.col("c.i").alias("i"), F.col("c.j").alias("j"), F.col("c.v").alias("v"))
+
+
+def _dense(table: pa.Table, row: int, tile: int) -> np.ndarray:
+    out = np.zeros((tile, tile))
+    i, j, v = (table.column(c)[row].values.to_numpy() for c in ("i", "j", "v"))
+    out[i, j] = v
+    return out
 
 
 def transpose(a: DataFrame) -> DataFrame:
@@ -185,29 +237,56 @@ def gradient(df: DataFrame, features, label: str, weights: list[float], bias: fl
     return errors.agg(F.array(*cells).alias("a")).select(F.inline("a"))
 
 
-def least_squares(df: DataFrame, features, label: str) -> DataFrame:
-    """Coefficients ``(feature, value)`` minimising the squared error, the intercept last."""
-    names = names_of(df, features)
-    w, b = solve_moments(
-        next(iter(moments(df, columns_of(df, features) + [F.col(label).cast("double")]).values()))
-    )
-    rows = [(n, float(v)) for n, v in zip(names + ["intercept"], [*w, b])]
+def least_squares(df: DataFrame, features, label: str, intercept: bool = True) -> DataFrame:
+    """Coefficients ``(feature, value)`` minimising the squared error, the intercept last.
+
+    From the triangular factor of the table (:func:`triangle`), which is as well conditioned as the table itself; products
+    of columns would square its condition. Of equally good coefficients, as with collinear columns, the shortest are returned.
+    """
+    names, columns = names_of(df, features), columns_of(df, features)
+    lead = [F.lit(1.0)] if intercept else []
+    r = triangle(df, [*lead, *columns, F.col(label).cast("double")])
+    # Behind the column of ones the factor is that of the centred table.
+    at = len(lead)
+    w = np.linalg.lstsq(r[at:-1, at:-1], r[at:-1, -1], rcond=1e-12)[0]
+    rows = [(n, float(v)) for n, v in zip(names, w)]
+    if intercept:
+        rows.append(("intercept", float((r[0, -1] - r[0, 1:-1] @ w) / r[0, 0])))
     return df.sparkSession.createDataFrame(rows, "feature string, value double")
 
 
-def solve(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Solve ``A x = b`` for a feature-sized square system in long form: ``(i, v)``."""
-    cells = [(r["i"], r["j"], r["v"]) for r in a.limit(BROADCAST_ENTRIES + 1).collect()]
-    if len(cells) > BROADCAST_ENTRIES:
-        raise ValueError("solve takes feature-sized systems; use least_squares on tables")
-    size = 1 + max(max(i, j) for i, j, _ in cells)
-    matrix, right = np.zeros((size, size)), np.zeros(size)
-    for i, j, v in cells:
-        matrix[i, j] = v
-    for r in b.limit(size + 1).collect():
-        right[r["i"]] = r["v"]
-    rows = [(i, float(v)) for i, v in enumerate(np.linalg.solve(matrix, right))]
-    return a.sparkSession.createDataFrame(rows, "i int, v double")
+def triangle(df: DataFrame, columns: list[Column], fan: int = 16) -> np.ndarray:
+    """The triangular factor R of a tall table (``R'R`` is its Gramian): tasks factor their blocks, and the factors are stacked and
+    factored again, ``fan`` at a time, until one is left. Its size is that of the columns squared."""
+    d = len(columns)
+    rows = df.select(F.array(*columns).alias("x"))
+
+    def factored(parts) -> np.ndarray:
+        r = np.zeros((0, d))
+        for part in parts:
+            r = np.linalg.qr(np.vstack([r, part]), mode="r")
+        return np.vstack([r, np.zeros((d - len(r), d))])
+
+    def blocks(batches):
+        context = TaskContext.get()
+        r = factored(block(b.column("x"), d) for b in batches if b.num_rows)
+        yield pa.record_batch({"node": pa.array([context.partitionId()], pa.int64()), "r": pa.array([r.tobytes()], pa.binary())})
+
+    def stacked(table: pa.Table) -> pa.Table:
+        order = np.argsort(np.asarray(table.column("node")))
+        r = factored(np.frombuffer(table.column("r")[int(i)].as_py()).reshape(-1, d) for i in order)
+        return pa.table({"node": pa.array([table.column("parent")[0].as_py()], pa.int64()), "r": pa.array([r.tobytes()], pa.binary())})
+
+    level = durable(rows.mapInArrow(blocks, "node long, r binary"))
+    while (n := level.count()) > 1:
+        level = level.withColumn("parent", F.floor(F.col("node") / fan))
+        level = durable(level.groupBy("parent").applyInArrow(stacked, "node long, r binary"))
+    if not n:
+        raise ValueError("the table has no rows")
+    found = np.frombuffer(level.first()["r"]).reshape(d, d)
+    if not found.any():
+        raise ValueError("the table has no rows")
+    return found
 
 
 def solve_moments(m: Moments) -> tuple[np.ndarray, float]:

@@ -46,53 +46,37 @@ def with_row_key(df: DataFrame, name: str = "row_id", chunk: int = 1_000_000) ->
     return copies.select(key.alias(name), *[F.col(f"`{c}`") for c in df.columns])
 
 
-def _prefix_counts(df: DataFrame, keys, seed, by) -> list:
+def hash_cuts(df: DataFrame, keys: list[str], seed: int, ranks) -> tuple[int, list[str]]:
+    """The number of rows, and the hash value of the row at each wanted 0-based rank; ``ranks(n)`` lists them for n rows."""
     prefix = F.substring(row_hash(keys, seed), 1, PREFIX).alias("p")
-    return df.groupBy(*by, prefix).agg(F.count(F.lit(1)).alias("n")).collect()
-
-
-def hash_cuts(df: DataFrame, keys: list[str], seed: int, ranks, by: str | None = None):
-    """Hash value of the row at each wanted 0-based rank, per group of ``by`` if given.
-
-    ``ranks(n)`` lists the ranks for a group of n rows. Returns ``{group: (n, [hash, ...])}``.
-    """
-    groups: dict = {}
-    for r in _prefix_counts(df, keys, seed, [by] if by else []):
-        groups.setdefault(r[by] if by else None, []).append((r["p"], r["n"]))
-    sizes, wanted = {}, {}
-    for g, counts in groups.items():
-        sizes[g] = sum(n for _, n in counts)
-        targets, seen = sorted(set(ranks(sizes[g]))), 0
-        for p, n in sorted(counts):
-            for rank in targets:
-                if seen <= rank < seen + n:
-                    wanted.setdefault((g, p), []).append((rank, rank - seen + 1))
-            seen += n
-    found = _pick(df, keys, seed, by, wanted)
-    return {g: (n, [found[(g, rank)] for rank in ranks(n)]) for g, n in sizes.items()}
-
-
-def _pick(df, keys, seed, by, wanted) -> dict:
+    counts = sorted((r["p"], r["n"]) for r in df.groupBy(prefix).agg(F.count(F.lit(1)).alias("n")).collect())
+    n, seen, wanted = sum(c for _, c in counts), 0, {}
+    targets = sorted(set(ranks(n)))
+    for p, c in counts:
+        for rank in targets:
+            if seen <= rank < seen + c:
+                wanted.setdefault(p, []).append((rank, rank - seen + 1))
+        seen += c
+    found = _pick(df, keys, seed, wanted)
+    return n, [found[rank] for rank in ranks(n)]
+
+
+def _pick(df, keys, seed, wanted) -> dict:
     """The hashes at the wanted positions inside the prefixes that contain a cut."""
     if not wanted:
         return {}
-    hashed = df.select(*([by] if by else []), row_hash(keys, seed).alias("h"))
-    hashed = hashed.withColumn("p", F.substring("h", 1, PREFIX))
-    hashed = hashed.where(F.col("p").isin(sorted({p for _, p in wanted})))
-    group = [by] if by else []
+    hashed = df.select(row_hash(keys, seed).alias("h")).withColumn("p", F.substring("h", 1, PREFIX))
+    hashed = hashed.where(F.col("p").isin(sorted(wanted)))
     # keys should be unique; copies of one key are merged before they meet in a task
-    counted = hashed.groupBy(*group, "p", "h").agg(F.count(F.lit(1)).alias("n"))
-    order = W.partitionBy(*group, "p").orderBy("h").rowsBetween(W.unboundedPreceding, W.currentRow)
+    counted = hashed.groupBy("p", "h").agg(F.count(F.lit(1)).alias("n"))
+    order = W.partitionBy("p").orderBy("h").rowsBetween(W.unboundedPreceding, W.currentRow)
     running = counted.withColumn("upto", F.sum("n").over(order))
     places = sorted({position for hits in wanted.values() for _, position in hits})
     hit = F.exists(F.lit(places), lambda p: (p <= F.col("upto")) & (p > F.col("upto") - F.col("n")))
     picked: dict = {}
     for r in running.where(hit).collect():
-        picked.setdefault((r[by] if by else None, r["p"]), []).append((r["upto"], r["h"]))
-    return {
-        (g, rank): next(h for upto, h in sorted(picked[(g, p)]) if upto >= position)
-        for (g, p), hits in wanted.items() for rank, position in hits
-    }
+        picked.setdefault(r["p"], []).append((r["upto"], r["h"]))
+    return {rank: next(h for upto, h in sorted(picked[p]) if upto >= position) for p, hits in wanted.items() for rank, position in hits}
 
 
 def _fold_ranks(k: int):
@@ -115,7 +99,7 @@ def kfold(df: DataFrame, keys: list[str], k: int = 5, seed: int = 42, name: str
     """Add the fold number 0..k-1. Folds are disjoint, complete and differ by at most one row."""
     if k < 2:
         raise ValueError("k must be at least 2")
-    cuts = hash_cuts(df, keys, seed, _fold_ranks(k)).get(None, (0, []))[1]
+    _, cuts = hash_cuts(df, keys, seed, _fold_ranks(k))
     return df.withColumn(name, _fold_column(row_hash(keys, seed), cuts))
 
 
@@ -125,13 +109,59 @@ def stratified_kfold(
     """Folds that are exact within every class."""
     if k < 2:
         raise ValueError("k must be at least 2")
-    cuts = hash_cuts(df, keys, seed, _fold_ranks(k), by=label)
-    h = row_hash(keys, seed)
-    fold = F.lit(0).cast("int")
-    for group, (_, hashes) in cuts.items():
-        same = F.col(label).eqNullSafe(F.lit(group))
-        fold = F.when(same, _fold_column(h, hashes)).otherwise(fold)
-    return df.withColumn(name, fold)
+    cuts = group_cuts(df, keys, label, k, seed).withColumnRenamed("group", "_group")
+    cuts = F.broadcast(cuts) if cuts.count() * (k - 1) <= BROADCAST_CUTS else cuts
+    joined = df.withColumn("_h", row_hash(keys, seed)).join(cuts, F.col(f"`{label}`").eqNullSafe(F.col("_group")), "left")
+    fold = F.size(F.filter(F.coalesce("cuts", F.array().cast("array<string>")), lambda c: c < F.col("_h"))).cast("int")
+    return joined.withColumn(name, fold).drop("_h", "_group", "cuts")
+
+
+# Cut hashes that may be broadcast, and rows of one label that are ranked by a window.
+BROADCAST_CUTS = 1_000_000
+RANKED = 10_000
+
+
+def group_cuts(df: DataFrame, keys: list[str], label: str, k: int, seed: int = 42, ranked: int = RANKED) -> DataFrame:
+    """``(group, cuts)``: for each label the last hash of every fold but the final one, in order.
+
+    All labels are cut together, in tables: rows are counted per (label, hash prefix), running counts tell which prefix holds
+    each cut, and only rows under those prefixes are counted again by a longer prefix, until a prefix holds few enough to rank.
+    Nothing per label reaches the driver, however many labels there are, and a label with most of the rows is counted in many tasks.
+    """
+    hashed = df.select(F.col(f"`{label}`").alias("group"), row_hash(keys, seed).alias("h"))
+    sizes = durable(hashed.groupBy("group").agg(F.count(F.lit(1)).alias("n")))
+    size, extra = F.floor(F.col("n") / k), F.col("n") % k
+    folds = sizes.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(k - 2))))
+    rank = ((F.col("fold") + 1) * size + F.least((F.col("fold") + 1).cast("long"), extra)).cast("long")
+    # A fold that ends before the first row or with the last one needs no cut.
+    wanted = durable(folds.withColumn("rank", rank).where("rank > 0 and rank < n").select("group", "fold", "rank", F.lit("").alias("prefix")))
+    under = lambda rows, length, names: rows.join(
+        names.select(F.col("group").alias("_g"), F.col("prefix").alias("_p")).distinct(),
+        F.col("group").eqNullSafe(F.col("_g")) & (F.substring("h", 1, length) == F.col("_p")), "left_semi")
+    found, length = None, 0
+    while True:
+        length += PREFIX
+        inside = under(hashed, length - PREFIX, wanted) if found is not None else hashed
+        counts = inside.groupBy("group", F.substring("h", 1, length - PREFIX).alias("prefix"), F.substring("h", 1, length).alias("p")).agg(F.count(F.lit(1)).alias("c"))
+        placed = _holding(wanted, counts, ["group", "prefix"], "p")
+        placed = durable(placed.select("group", "fold", "rank", F.col("p").alias("prefix"), "c"))
+        done = placed.where(F.col("c") <= ranked) if length < 32 else placed
+        few = under(hashed, length, done).groupBy("group", "h", F.substring("h", 1, length).alias("prefix")).agg(F.count(F.lit(1)).alias("c"))
+        hit = durable(_holding(done.drop("c"), few, ["group", "prefix"], "h").select("group", "fold", "h"))
+        found = hit if found is None else found.unionByName(hit)
+        wanted = placed.where(F.col("c") > ranked).drop("c")
+        if length >= 32 or wanted.isEmpty():
+            return found.groupBy("group").agg(F.array_sort(F.collect_list("h")).alias("cuts"))
+
+
+def _holding(wanted: DataFrame, counts: DataFrame, by: list[str], order: str) -> DataFrame:
+    """Each wanted rank (from 1) with the row of ``counts`` that holds it, and the rank inside that row."""
+    running = W.partitionBy(*by).orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    counts = counts.withColumn("_upto", F.sum("c").over(running))
+    counts = counts.select(*[F.col(c).alias(f"_{c}") for c in by], F.col(order).alias(order), F.col("c").alias("c"), "_upto")
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
+    held = wanted.join(counts, same + [F.col("rank") <= F.col("_upto"), F.col("rank") > F.col("_upto") - F.col("c")])
+    return held.withColumn("rank", F.col("rank") - F.col("_upto") + F.col("c"))
 
 
 def get_splits(df: DataFrame, k: int = 5, name: str = "fold"):
@@ -153,8 +183,7 @@ def train_test_mark(df, keys, test_size=0.2, shuffle=True, seed=42) -> DataFrame
     size = lambda n: int(n * (1 - test_size))
     if not shuffle:
         return df.withColumn("is_train", _first_by_key(df, keys, size))
-    cuts = hash_cuts(df, keys, seed, lambda n: [size(n) - 1] if size(n) else [])
-    hashes = cuts.get(None, (0, []))[1]
+    _, hashes = hash_cuts(df, keys, seed, lambda n: [size(n) - 1] if size(n) else [])
     inside = row_hash(keys, seed) <= F.lit(hashes[0]) if hashes else F.lit(False)
     return df.withColumn("is_train", inside)
 

@@ -170,3 +170,17 @@ def test_matrix_equals_columns(spark):
         columns = np.array([list(r) for r in fitted.transform(new).collect()])
         vectors = np.array([r["features"] for r in fitted.matrix(new).collect()])
         np.testing.assert_allclose(vectors, columns, rtol=1e-12)
+
+
+def test_a_thousand_labels_are_cut_together(spark):
+    df = spark.range(6_000).select("id", F.concat(F.lit("label"), (F.pow(F.rand(3), 3) * 1000).cast("int")).alias("y")).persist()
+    df = df.unionByName(spark.range(6_000, 9_000).select("id", F.lit(None).cast("string").alias("y")))
+    folds = split.stratified_kfold(df, ["id"], "y", 4)
+    assert folds.count() == 9_000
+    counts = folds.groupBy("y").agg(*[F.count_if(F.col("fold") == f).alias(f"f{f}") for f in range(4)]).collect()
+    for r in counts:
+        n = [r[f"f{f}"] for f in range(4)]
+        assert n == [sum(n) // 4 + (f < sum(n) % 4) for f in range(4)]
+    # narrowing by longer prefixes finds the same cuts
+    deep = {r["group"]: r["cuts"] for r in split.group_cuts(df, ["id"], "y", 4, ranked=0).collect()}
+    assert deep == {r["group"]: r["cuts"] for r in split.group_cuts(df, ["id"], "y", 4).collect()}

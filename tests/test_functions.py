@@ -112,3 +112,28 @@ def test_gradient_and_least_squares(numbers):
     fit = {r.feature: r.value for r in linalg.least_squares(df, ["a", "b", "c"], "y").collect()}
     expected = np.linalg.lstsq(np.c_[x, np.ones(len(x))], y, rcond=None)[0]
     np.testing.assert_allclose([fit[c] for c in ("a", "b", "c", "intercept")], expected, rtol=1e-6)
+
+
+def test_tiles_against_numpy(spark):
+    rng = np.random.default_rng(2)
+    a, b = rng.normal(size=(23, 31)), rng.normal(size=(31, 17))
+    a[rng.random(a.shape) < 0.6] = 0
+    long = lambda m: spark.createDataFrame([(int(i), int(j), float(v)) for (i, j), v in np.ndenumerate(m) if v], "i long, j long, v double")
+    product = np.zeros((23, 17))
+    for r in linalg.tiled_product(long(a), long(b), tile=5, inner_tiles=2).collect():
+        product[r.i, r.j] = r.v
+    np.testing.assert_allclose(product, a @ b, atol=1e-12)
+    assert linalg.tiled_product(long(a).limit(0), long(b)).count() == 0
+
+
+def test_triangle_of_ill_conditioned_columns(spark):
+    """Products of these columns lose the third one to rounding; their triangular factor does not."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(4_000, 2))
+    near = x[:, 0] + 1e-9 * x[:, 1]
+    y = 3 * near - 2 * x[:, 0] + 5
+    df = spark.createDataFrame([(float(p), float(q), float(t)) for p, q, t in zip(x[:, 0], near, y)], "a double, n double, y double").repartition(40)
+    found = {r.feature: r.value for r in linalg.least_squares(df, ["a", "n"], "y").collect()}
+    assert found["n"] == pytest.approx(3, abs=1e-4) and found["a"] == pytest.approx(-2, abs=1e-4) and found["intercept"] == pytest.approx(5, abs=1e-8)
+    r = linalg.triangle(df, [F.col("a"), F.col("n")], fan=3)
+    np.testing.assert_allclose(r.T @ r, np.stack([x[:, 0], near]) @ np.stack([x[:, 0], near]).T, rtol=1e-10)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import metrics
 from ..models.base import Matrix
-from ..models.knn import KNearestNeighbors
+from ..models.knn import MAX_CELLS, KNearestNeighbors
 from ..models.linear import LinearRegression
 from ..models.logistic import LogisticRegression
 from ..models.naive_bayes import GaussianNB
@@ -170,6 +170,13 @@ def neighbours_found(spark, sf):
     return found.select("qid", "tid", rounded("dist").alias("dist"), "rank")
 
 
+def knn_approximate(spark, sf):
+    """Neighbours by inverted cells, every cell probed: the exact ones."""
+    vectors = embeddings(spark, sf)
+    found = KNearestNeighbors(5, approx=True, probes=MAX_CELLS).fit(vectors, keys=["vec_id"]).neighbours(vectors)
+    return found.select("qid", "tid", rounded("dist").alias("dist"), "rank")
+
+
 def knn_classify(spark, sf):
     vectors = embeddings(spark, sf)
     return KNearestNeighbors(3).fit(vectors, keys=["vec_id"]).transform(vectors).select("vec_id", "label", "prediction")
@@ -368,6 +375,7 @@ QUERIES = {
     "grid_search": grid_search,
     "grid_combinations": grid_combinations,
     "knn_neighbours": neighbours_found,
+    "knn_approximate": knn_approximate,
     "knn_classify": knn_classify,
     "knn_regress": knn_regress,
     "knn_cv": knn_cross_validation,
@@ -417,6 +425,7 @@ ORACLES = {
         select case config when 0 then 1e-9 else 1e-3 end::double as var_smoothing, round(v, 6) + 0.0 as accuracy,
                config = (select config from a order by round(v, 12) desc, config limit 1) as chosen from a""",
     "knn_neighbours": _knn_sql(EUCLIDEAN, "select q as qid, t as tid, round(dist, 6) + 0.0 as dist, rank from n where rank <= 5"),
+    "knn_approximate": _knn_sql(EUCLIDEAN, "select q as qid, t as tid, round(dist, 6) + 0.0 as dist, rank from n where rank <= 5"),
     "knn_classify": _knn_sql(EUCLIDEAN, """, v as (select q, truth, y, row_number() over (partition by q order by count(*) desc, y) r
         from n where rank <= 3 group by q, truth, y) select q as vec_id, truth as label, y as prediction from v where r = 1"""),
     "knn_regress": _knn_sql(MANHATTAN, "select q as vec_id, round(avg(y), 6) + 0.0 as prediction from n where rank <= 5 group by q"),

@@ -16,6 +16,8 @@ and are removed by a group limit that works before the shuffle, so copied rows c
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -162,6 +164,65 @@ def neighbours(
     return joined.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
 
+def approximate_neighbours(
+    queries: DataFrame, train: DataFrame, k: int, metric: str = "euclidean", *, width: int, probes: int = 8,
+    cells: int | None = None, exclude_fold: bool = False, chunk: int = CHUNK, seed: int = 42, wide: tuple[int, ...] = (),
+) -> DataFrame:
+    """``(qid, tid, dist, y, rank)`` like :func:`neighbours`, found in the ``probes`` nearest of about ``sqrt(n)`` cells only.
+
+    Training rows stand in the cell of their nearest pivot. A query goes to its nearest cells, where its distances are exact; what
+    it can miss is a neighbour in a cell further off (:func:`recall` measures how many). Cells are cut into chunks of bounded size,
+    so a cell with most of the rows is many groups.
+    """
+    if metric not in METRICS or k < 1 or probes < 1:
+        raise ValueError(f"the metric is one of {METRICS}, k and probes are at least 1")
+    size = train.count()
+    if not size:
+        raise ValueError("no training rows")
+    pivots = _pivots(train, cells or max(1, min(MAX_CELLS, int(size ** 0.5))), seed)
+    train = durable(_assign(train, pivots, metric, width, wide))
+    # Chunks per cell: a row per pivot.
+    sizes = {r["cell"]: -(-r["n"] // chunk) for r in train.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+    chunks = F.create_map(*[F.lit(v) for pair in sizes.items() for v in pair])
+    take = min(probes, len(pivots))
+
+    @F.arrow_udf("array<int>")
+    def nearest_cells(xs):
+        x = block(xs, width)
+        out = np.empty((len(x), take), np.int32)
+        for start in range(0, len(x), 4096):
+            away = distances(x[start : start + 4096], pivots, metric, wide)
+            out[start : start + 4096] = np.argpartition(away, take - 1, axis=1)[:, :take]
+        return list_array(out)
+
+    numbers = F.explode(F.sequence(F.lit(0), F.coalesce(F.try_element_at(chunks, F.col("cell")), F.lit(0)) - 1))
+    asked = queries.select("qid", "x", "qf", F.explode(nearest_cells("x")).alias("cell")).where(F.col("cell").isin(list(sizes)))
+    left = asked.select(F.col("cell").alias("cell"), numbers.alias("tc"), F.pmod(F.xxhash64("qid"), F.lit(max(1, -(-queries.count() // chunk)))).alias("qc"), "qid", "x", "qf")
+    parts = left.select("cell", "qc").distinct().select(F.col("cell").alias("_cell"), "qc")
+    parts = F.broadcast(parts) if parts.count() <= 1_000_000 else parts
+    right = train.join(parts, F.col("cell") == F.col("_cell")).select(
+        F.col("cell").alias("cell"), F.pmod(F.xxhash64("tid"), F.try_element_at(chunks, F.col("cell"))).cast("int").alias("tc"), F.col("qc").alias("qc"), F.col("tid").alias("tid"), F.col("x").alias("x"), F.col("y").alias("y"), F.col("tf").alias("tf"))
+    schema = (f"qid {queries.schema['qid'].dataType.simpleString()}, tid {train.schema['tid'].dataType.simpleString()}, dist double, y double")
+    group = ["cell", "tc", "qc"]
+    joined = left.groupBy(*group).cogroup(right.groupBy(*group)).applyInArrow(_join_block(k, metric, width, exclude_fold, wide), schema)
+    best = W.partitionBy("qid").orderBy("dist", "tid")
+    return joined.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+
+
+# Cells of the approximate search, and queries that its recall is measured on.
+MAX_CELLS = 4_096
+RECALL_QUERIES = 500
+
+
+def recall(found: DataFrame, queries: DataFrame, train: DataFrame, k: int, metric: str = "euclidean", *, width: int, seed: int = 42,
+           sample: int = RECALL_QUERIES, **options) -> float:
+    """Share of the exact ``k`` nearest distances that ``found`` reaches, over up to ``sample`` queries drawn by key hash."""
+    drawn = durable(queries.withColumn("_h", row_hash(["qid"], seed)).orderBy("_h").limit(sample).drop("_h"))
+    exact = neighbours(drawn, train, k, metric, width=width, **options).select(F.col("qid").alias("_q"), F.col("rank").alias("_r"), F.col("dist").alias("_d"))
+    both = exact.join(found, (F.col("qid") == F.col("_q")) & (F.col("rank") == F.col("_r")), "left")
+    return both.agg(F.avg(F.when(F.col("dist") <= F.col("_d") * (1 + 1e-9) + 1e-12, 1.0).otherwise(0.0))).first()[0]
+
+
 def _without_copies(train: DataFrame, k: int, exclude: bool) -> DataFrame:
     """Of equal vectors (within a fold) only the k smallest keys can be anyone's neighbour."""
     copies = W.partitionBy("x", "tf") if exclude else W.partitionBy("x")
@@ -283,16 +344,29 @@ def _votes(found: DataFrame) -> DataFrame:
 class KNNModel(Model):
     """Keeps the training table; ``transform`` joins, so it needs the queries' key column."""
 
-    def __init__(self, df, label, features, names, keys, k, metric, task):
+    def __init__(self, df, label, features, names, keys, k, metric, task, approx=False, probes=8):
         self.df, self.label, self.features, self.names = df, label, features, names
         self.keys, self.k, self.metric, self.task = keys, k, metric, task
+        self.approx, self.probes = approx, probes
 
-    def neighbours(self, df: DataFrame, **options) -> DataFrame:
+    def _sides(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
         queries = df.select(key_column(self.keys).alias("qid"),
                             vector(df, self.features).alias("x"), F.lit(-1).alias("qf"))
         train = self.df.select(key_column(self.keys).alias("tid"),
                                vector(self.df, self.features).alias("x"),
                                F.col(self.label).cast("double").alias("y"), F.lit(-1).alias("tf"))
+        return queries, train
+
+    def recall(self, df: DataFrame, sample: int = RECALL_QUERIES) -> float:
+        """Measured recall of this model's neighbours on a sample of ``df``."""
+        queries, train = self._sides(df)
+        return recall(self.neighbours(df), queries, train, self.k, self.metric, width=width_of(self.df, self.features), sample=sample, wide=wide_slots(self.df, self.features))
+
+    def neighbours(self, df: DataFrame, **options) -> DataFrame:
+        queries, train = self._sides(df)
+        if self.approx:
+            return approximate_neighbours(queries, train, self.k, self.metric, width=width_of(self.df, self.features), probes=self.probes,
+                                          wide=wide_slots(self.df, self.features), **options)
         return neighbours(queries, train, self.k, self.metric, width=width_of(self.df, self.features),
                           wide=wide_slots(self.df, self.features), **options)
 
@@ -305,15 +379,17 @@ class KNNModel(Model):
 
 
 class KNearestNeighbors:
-    def __init__(self, k: int = 3, metric: str = "euclidean", task: str = "classification"):
+    """Exact unless ``approx=True`` asks for the search of the ``probes`` nearest cells only; it is never chosen by itself."""
+
+    def __init__(self, k: int = 3, metric: str = "euclidean", task: str = "classification", approx: bool = False, probes: int = 8):
         if metric not in METRICS:
             raise ValueError(f"unknown metric {metric!r}; use one of {METRICS}")
-        self.k, self.metric, self.task = k, metric, task
+        self.k, self.metric, self.task, self.approx, self.probes = k, metric, task, approx, probes
 
     def fit(self, df: DataFrame, label: str = "label", features="features",
             keys: list[str] | None = None) -> KNNModel:
         names = names_of(df, features)
-        return KNNModel(df, label, features, names, keys or ["row_id"], self.k, self.metric, self.task)
+        return KNNModel(df, label, features, names, keys or ["row_id"], self.k, self.metric, self.task, self.approx, self.probes)
 
     @classmethod
     def fit_matrix(cls, m: Matrix, params: dict, seed: int = 42) -> KNNModel:
@@ -328,9 +404,10 @@ class KNearestNeighbors:
         train = m.df.select(key.alias("tid"), x.alias("x"), y.alias("y"), F.col(m.fold).alias("tf"))
         truth = m.df.select(key.alias("qid"), F.col(m.fold).alias("fold"), y.alias("label"))
         parts = []
-        for metric in sorted({c.metric for c in made}):
-            members = [(i, c.k) for i, c in enumerate(made) if c.metric == metric]
-            found = neighbours(queries, train, max(n for _, n in members), metric,
+        for metric, approx, probes in sorted({(c.metric, c.approx, c.probes if c.approx else 0) for c in made}):
+            members = [(i, c.k) for i, c in enumerate(made) if c.metric == metric and c.approx == approx and (not approx or c.probes == probes)]
+            search = partial(approximate_neighbours, probes=probes) if approx else neighbours
+            found = search(queries, train, max(n for _, n in members), metric,
                                width=width_of(m.df, m.features), exclude_fold=True, seed=seed, wide=wide_slots(m.df, m.features))
             offers = F.array(*[
                 F.struct(F.lit(i).alias("config"),

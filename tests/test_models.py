@@ -399,3 +399,20 @@ def test_no_row_per_row_and_tree(data):
     _, _, _, _, df = data
     grower = _Grower(Matrix(df, ("row_id",), "y", ["a", "b", "c"]), [None], 20, 3, 2, None, 42, None)
     assert grower._blocks().count() <= df.rdd.getNumPartitions()
+
+
+def test_approximate_neighbours_reach_their_recall(spark):
+    rng = np.random.default_rng(11)
+    centres = rng.normal(size=(40, 12)) * 4
+    x = centres[rng.integers(0, 40, 4_000)] + rng.normal(size=(4_000, 12))
+    df = spark.createDataFrame([(i, [float(v) for v in r], i % 2) for i, r in enumerate(x)], "row_id long, features array<double>, y int").persist()
+    few = KNearestNeighbors(10, approx=True, probes=8).fit(df, "y")
+    one = KNearestNeighbors(10, approx=True, probes=1).fit(df, "y")
+    asked = df.where("row_id % 10 = 0")
+    assert few.recall(asked, 200) >= 0.9 > one.recall(asked, 200)
+    assert KNearestNeighbors(10).approx is False
+    rows = few.neighbours(asked).groupBy("qid").count().collect()
+    assert len(rows) == 400 and all(r["count"] == 10 for r in rows)
+    m = Matrix(kfold(df, ["row_id"], 3), ("row_id",), "y")
+    found = KNearestNeighbors.out_of_fold(m, [{"k": 3}, {"k": 3, "approx": True, "probes": 64}], 3).groupBy("config", "fold").agg(F.sum("prediction")).collect()
+    assert {tuple(r)[1:] for r in found if r[0] == 0} == {tuple(r)[1:] for r in found if r[0] == 1}

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions import metrics
-from ..models.tree import DecisionTree, RandomForest
+from ..models.tree import DecisionTree
 from ..operators.split import kfold
 from ..plans import compare, leaderboard, report
 from ..plans.autofit import autofit
@@ -32,11 +32,8 @@ def autofit_regression(spark, sf):
 
 
 def autofit_explanation(spark, sf):
-    """A run over two quick families, told in words and read back from its JSON report."""
-    from ..plans.search import FAMILIES
-
-    quick = {n: FAMILIES["classification"][n] for n in ("GaussianNB", "DecisionTree_clf")}
-    found = _pipeline(spark, sf, families=quick)
+    """The whole run told in words and read back from its JSON report."""
+    found = _pipeline(spark, sf)
     path = f"{shared_folder(spark).rstrip('/')}/report-{uuid.uuid4().hex}.json"
     full = dict(found.report, explanation=found.explanation)
     back = report.load_report(spark, report.write_report(report.report_table(spark, full), path))
@@ -50,20 +47,16 @@ def random_search(spark, sf):
     return RandomSearch(DecisionTree, grid, k=5, n_iter=10).fit(m, refit=False).leaderboard(spark).drop("seconds")
 
 
-def _small_forest(models):
-    return {n: (f, dict(p, n_trees=20) if f is RandomForest else p) for n, (f, p) in models.items()}
-
-
 def leaderboard_classification(spark, sf):
     docs = labelled_documents(spark, sf)
     m = leaderboard.baseline_matrix(docs, "quality", ["doc_id"], ["lang", "source", "n_chars", "toxic"], "classification")
-    return leaderboard.leaderboard(m, models=_small_forest(leaderboard.CLASSIFIERS))
+    return leaderboard.leaderboard(m).drop("seconds")
 
 
 def leaderboard_regression(spark, sf):
     docs = labelled_documents(spark, sf)
     m = leaderboard.baseline_matrix(docs, "n_chars", ["doc_id"], ["lang", "source", "quality", "toxic"], "regression")
-    return leaderboard.leaderboard(m, models=_small_forest(leaderboard.REGRESSORS))
+    return leaderboard.leaderboard(m).drop("seconds")
 
 
 def _labels_report(spark, sf, guess, name, seconds):

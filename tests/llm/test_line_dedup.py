@@ -38,3 +38,20 @@ def test_messy_rows(messy, empty):
     assert by[1]["text"] == "" and by[1]["n_removed"] == 1  # the same line on sources a and b
     assert by[4]["n_removed"] == 0  # no source, and a line of its own
     assert line_dedup.dedup_lines(empty).count() == 0
+
+
+@pytest.mark.parametrize("rows, places", [(1_000_000, 8_000_000), (0, 0)])
+def test_long_copies_in_linear_time(spark, monkeypatch, rows, places):
+    """Copies of a text of many lines, most of which go; with broadcasts and, forbidden those, with salted joins."""
+    import time
+
+    monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", rows)
+    monkeypatch.setattr(line_dedup, "BROADCAST_PLACES", places)
+    text = "\n".join(f"line {i}" if i % 3 else f"own {i}" for i in range(30_000))
+    docs = documents(spark, [(i, text if i % 2 else text.replace("own", f"own{i}"), f"s{i}") for i in range(12)])
+    start = time.time()
+    found = {r["doc_id"]: r for r in line_dedup.dedup_lines(docs).collect()}
+    assert time.time() - start < 120
+    for i, r in found.items():
+        kept = [line for line in (text if i % 2 else text.replace("own", f"own{i}")).split("\n") if not line.startswith("line")]
+        assert r["n_lines"] == 30_000 and r["n_removed"] == 20_000 and r["text"] == "\n".join(kept)

@@ -4,6 +4,7 @@ import hashlib
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest_llm import table_rows
 from hypothesis import given, settings, strategies as st
@@ -84,12 +85,13 @@ def test_long_runs_stay_linear():
 def test_automata_tell_formats_apart():
     rng = np.random.default_rng(3)
     keys = ["".join(rng.choice(list("0123456789abcdef"), 32)) for _ in range(150)]
-    other = ["".join(rng.choice(list("etaoinshrdlu"), 18)) for _ in range(150)] + ["".join(rng.choice(list("0123456789"), 16)) for _ in range(150)]
-    automata = {"hex": secrets.Automaton(keys), "other": secrets.Automaton(other)}
+    plain = {"plain 2": ["".join(rng.choice(list("etaoinshrdlu"), 18)) for _ in range(150)], "plain 1": ["".join(rng.choice(list("0123456789"), 16)) for _ in range(150)]}
+    automata = {"hex": secrets.Automaton(keys)} | {k: secrets.Automaton(v) for k, v in plain.items()}
     assert len(automata["hex"].next) > 0
     new = "".join(rng.choice(list("0123456789abcdef"), 22))  # too short for the pattern
     text = f"see 4532015112830366 and {new} or internationalization"
-    assert [text[a:b] for a, b, _ in secrets.extra_spans(text, [], automata)] == [new]
+    (found,) = secrets.extra_spans(pa.array([text]), [[]], {k: a.compiled() for k, a in automata.items()})
+    assert [text[a:b] for a, b, _ in found] == [new]
 
 
 def test_field_finds_what_the_patterns_lose(spark):
@@ -139,3 +141,63 @@ def test_every_valid_place_of_a_run():
     for text, kind in (("1 " * 200_000, 3), ("1.1" * 100_000, 2), ("+1 " * 100_000, 4), ("a@" * 100_000, 1)):
         chain = private.chains(text)
         private.extra_spans(text, [], chain, [np.full(len(c), kind) for c in chain])
+
+
+PLANTED = {"hex": ("", "0123456789abcdef", 22), "HEX": ("", "0123456789ABCDEF", 40), "session": ("ASIA", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 16), "ghp": ("ghp_", secrets.BASE62, 36),
+           "live": ("sk-live-", secrets.BASE62, 28), "random": ("", secrets.BASE62, 40), "project": ("glpat-", secrets.BASE62, 20), "encoded": ("", secrets.BASE62 + "+/", 44)}
+
+
+@pytest.fixture(scope="module")
+def automata(spark):
+    return secrets.train(secrets.labelled(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")))
+
+
+def test_planted_credentials_are_found_and_words_left_alone(spark, automata):
+    import random
+
+    rng, rows = random.Random(4), []
+    words = [w for d in table_rows("/root/testdata/sf0.01", "documents")[:200] for w in d["text"].split()[:40]]
+    for name, (prefix, alphabet, n) in PLANTED.items():
+        for i in range(60):
+            value = prefix + "".join(rng.choice(alphabet) for _ in range(n))
+            rows.append((len(rows), " ".join(rng.sample(words, 12)) + f" é «{value}» " + " ".join(rng.sample(words, 12)), name, value))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    found = {r["doc_id"]: r["spans"] for r in secrets.scan(docs, automata).collect()}
+    hits, false = {}, 0
+    for key, text, name, value in rows:
+        start = text.index(value)
+        spans = [tuple(map(int, s.split(":")[1:])) for s in found[key].split(",") if s]
+        hits[name] = hits.get(name, 0) + any(a < start + len(value) and start < b for a, b in spans)
+        false += sum(not (a < start + len(value) and start < b) for a, b in spans)
+    assert sum(hits.values()) >= 0.9 * len(rows) and min(hits.values()) >= 0.75 * 60, hits
+    assert false <= 0.02 * len(rows)
+
+
+def test_added_spans_against_a_walk_of_every_candidate(automata):
+    """Likelihoods, makes, places and overlaps, one candidate at a time."""
+    texts = ["ghp_0aZ9bY8cX7dW6eV5fU4gT3hS2iR1jQ0kP9lO and ünd Wörter 0123456789abcdef0123", "password=abc12345xyz 9aF3kLm0QzX7vB2nR8tY4wE6uI1oP5sD", None, "", "--..//", "plainwords Only HERE and Zz9Yy8Xx7Ww6Vv5Uu4Tt3Ss2"]
+    column = pa.array(texts, pa.string())
+    taken = [secrets.base_spans(t or "") for t in texts]
+    machines = {k: a.compiled() for k, a in automata.items()}
+    wanted = []
+    for text, base in zip(texts, taken):
+        mine = []
+        for m in re.finditer(r"[A-Za-z0-9+/_=.-]+", text or ""):
+            a, b = m.span()
+            while a < b and text[a] in ".-/":
+                a += 1
+            while b > a and text[b - 1] in ".-/":
+                b -= 1
+            value = text[a:b]
+            if len(value) < secrets.LEAST or any(x < b and a < y for x, _, y in base):
+                continue
+            capitals = [c.isupper() for c in value]
+            make = sum(n * any(f) for n, f in ((1, [c.isdigit() for c in value]), (2, [c.islower() for c in value]), (4, capitals), (8, [not c.isalnum() for c in value])))
+            make += 16 * (sum(capitals) == 1 and capitals[0])
+            plain = [k for k in automata if k.startswith("plain ")]
+            same = [k for k in plain if k == f"plain {make}"] or plain
+            above = max(automata[k].likelihood(value) for k in automata if k not in plain) - max(automata[k].likelihood(value) for k in same)
+            if above > secrets.MARGIN and above * (len(value) + 1) > secrets.EVIDENCE:
+                mine.append((a, b, "format"))
+        wanted.append(mine)
+    assert secrets.extra_spans(column, taken, machines) == wanted and sum(map(len, wanted)) >= 3

@@ -32,7 +32,7 @@ N_FEATURES = N_CLASS + 8
 
 
 def encode(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Features of every passage, and the number of passages of every row (at least one: an empty text is one zero row)."""
+    """Features of every passage, and the number of passages of every row (at least one: a text without words is one zero row)."""
     n_rows = len(offsets) - 1
     starts, ends, rows, hashes = words(data, offsets, NOT_SPACE)
     per_row = np.bincount(rows, minlength=n_rows)
@@ -69,6 +69,7 @@ def encode(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
              np.bincount(passage, upper, minlength=total) / per_word, np.bincount(passage, marked, minlength=total) / per_word,
              repeated(1), repeated(2), np.bincount(passage[distinct], minlength=total) / per_word, np.log1p(n_words) / 4]
     out[:, N_CLASS:] = np.stack(extra, 1)
+    out[base[:-1][per_row == 0]] = 0  # texts of white space alone are empty, whatever texts they come with
     return out, counts
 
 

@@ -57,3 +57,48 @@ def test_passages(text, count):
     data = np.frombuffer(text.encode(), np.uint8)
     x, counts = quality.encode(data, np.array([0, len(data)]))
     assert counts.tolist() == [count] and len(x) == count
+
+
+def plain_score(text, model):
+    """One text, one passage, one feature at a time."""
+    import math
+    import re
+
+    data = (text or "").encode()
+    found = [(m.start(), m.group()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", data)]
+    low = [w.translate(bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")) for _, w in found]
+    bags = []
+    for at in range(0, max(len(found), 1), quality.PASSAGE):
+        x = np.zeros(quality.N_FEATURES)
+        part = found[at:at + quality.PASSAGE]
+        if part:
+            begin = 0 if at == 0 else part[0][0]
+            end = found[at + quality.PASSAGE][0] if at + quality.PASSAGE < len(found) else len(data)
+            for c in data[begin:end]:
+                x[quality.CLASS[c]] += 1 / (end - begin)
+            x = np.sqrt(x)
+            n = len(part)
+            x[quality.N_CLASS:] = [
+                sum(i > 0 and data[i] == data[i - 1] and data[i] not in b" \t\n\x0b\x0c\r" for i in range(begin, end)) / (end - begin),
+                math.log1p(sum(len(w) for _, w in part) / n), sum(65 <= w[0] <= 90 for _, w in part) / n,
+                sum(w[-1] < 128 and not chr(w[-1]).isalnum() and 33 <= w[-1] < 127 for _, w in part) / n,
+                sum(i >= 1 and low[i] == low[i - 1] for i in range(at, at + n)) / n, sum(i >= 2 and low[i] == low[i - 2] for i in range(at, at + n)) / n,
+                len(set(low[at:at + n])) / n, math.log1p(n) / 4]
+        bags.append((x.astype(np.float32) - model.mean) / model.scale)
+    p = model.weights
+    hidden = [np.tanh(x @ p["W"] + p["b"]) for x in bags]
+    gates = [float((np.tanh(h @ p["V"]) / (1 + np.exp(-(h @ p["U"])))) @ p["w"]) for h in hidden]
+    attention = np.exp(np.array(gates) - max(gates))
+    z = sum(a * h for a, h in zip(attention / attention.sum(), hidden))
+    return float(1 / (1 + np.exp(-(z @ p["c"] + p["d"][0]))))
+
+
+def test_scores_against_a_loop_over_passages(spark, sf, messy):
+    model = queries.quality_model(spark, sf)
+    texts = {r["doc_id"]: r["text"] for r in table_rows(sf, "documents")}
+    rows = queries.op2_quality(spark, sf).collect()
+    for r in rows[::4]:
+        assert r["score"] == pytest.approx(plain_score(texts[r["doc_id"]], model), abs=1e-5)
+    odd = [(r["doc_id"], r["text"]) for r in messy.select("doc_id", "text").collect() if r["text"] is None or len(r["text"]) < 5_000]
+    found = sorted(r["score"] for r in quality.score(messy.where("text is null or length(text) < 5000"), model).collect())
+    assert found == pytest.approx(sorted(plain_score(t, model) for _, t in odd), abs=1e-5)

@@ -113,6 +113,52 @@ def prepared(spark, sf):
     return done.select("o_orderkey", *[rounded(F.col(f"`{c}`")).alias(c) for c in fitted.feature_names])
 
 
+def _noted(spark, sf):
+    """Labelled documents with a note that is blank, "NaN" or the language."""
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "n_chars").join(table(spark, sf, "labels"), "doc_id", "left")
+    return docs.withColumn("note", F.when(F.col("doc_id") % 5 == 0, "  ").when(F.col("doc_id") % 7 == 0, "NaN").otherwise(F.col("lang")))
+
+
+def missing_cleaned(spark, sf):
+    """Every kind of missing cell as null."""
+    return typing.handle_missing(_noted(spark, sf)).select("doc_id", "note", "quality")
+
+
+def present_rows(spark, sf):
+    """Rows with a note and a label, of the longer half of a range of lengths."""
+    found = typing.present(_noted(spark, sf), "note", "quality")
+    return typing.where(found, F.col("n_chars") > 1000).select("doc_id", "note", "quality")
+
+
+def target_split(spark, sf):
+    """Features and target apart, each with its sums."""
+    lines = table(spark, sf, "lineitem").select("l_quantity", "l_discount", "l_tax")
+    features, target = typing.split_target(lines, "l_tax")
+    total = lambda df, name: df.agg(F.lit(name).alias("part"), F.lit(",".join(df.columns)).alias("columns"), F.count(F.lit(1)).alias("n"),
+                                    rounded(sum((F.sum(c) for c in df.columns), F.lit(0.0)), 2).alias("total"))
+    return total(features, "features").unionByName(total(target, "target"))
+
+
+def target_cast(spark, sf):
+    """Text labels as whole numbers for classes, as doubles for regression."""
+    orders = table(spark, sf, "orders").select("o_orderkey", F.substring("o_orderpriority", 1, 1).alias("rank"), F.col("o_totalprice").cast("string").alias("price"))
+    return typing.cast_target(typing.cast_target(orders, "rank", "classification"), "price", "regression")
+
+
+def inputs_validated(spark, sf):
+    """Whether tables are fit for training: the target is there and all vectors have one length."""
+    vectors = table(spark, sf, "embeddings")
+    ragged = vectors.withColumn("embedding", F.when(F.col("vec_id") == 7, F.slice("embedding", 1, 3)).otherwise(F.col("embedding")))
+    rows = []
+    for name, df, features, target in (("vectors", vectors, "embedding", "label"), ("ragged", ragged, "embedding", "label"), ("no target", vectors, "embedding", "price"), ("target of vectors", vectors, ["vec_id"], "embedding")):
+        try:
+            typing.validate_input(df, features, target)
+            rows.append((name, True))
+        except ValueError:
+            rows.append((name, False))
+    return spark.createDataFrame(rows, "input string, fit boolean")
+
+
 def prepared_wide(spark, sf):
     """Names of customers as standardised indicators, a category per customer: the hot place of each row, its value there, and
     the value of all other rows."""
@@ -208,6 +254,11 @@ QUERIES = {
     "ordinal_encode": ordinal_encoded,
     "onehot_encode": onehot_encoded,
     "prepare_table": prepared,
+    "handle_missing": missing_cleaned,
+    "present_rows": present_rows,
+    "split_target": target_split,
+    "cast_target": target_cast,
+    "validate_input": inputs_validated,
     "prepare_onehot_wide": prepared_wide,
     "category_moments": category_moments,
     "clean_target": cleaned_target,
@@ -240,6 +291,16 @@ ORACLES = {
         f"(c_mktsegment = '{c}')::int as \"c_mktsegment_{c}\"" for c in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD")
     ) + " from customer",
     "prepare_table": PREPARED_SQL,
+    "handle_missing": """select doc_id, case when doc_id % 5 <> 0 and doc_id % 7 <> 0 then lang end as note, quality from documents left join labels using (doc_id)""",
+    "present_rows": """select doc_id, lang as note, quality from documents join labels using (doc_id)
+        where doc_id % 5 <> 0 and doc_id % 7 <> 0 and lang is not null and quality is not null and n_chars > 1000""",
+    "split_target": """select 'features' as part, 'l_quantity,l_discount' as columns, count(*) as n, round(sum(l_quantity) + sum(l_discount), 2) + 0.0 as total from lineitem
+        union all select 'target', 'l_tax', count(*), round(sum(l_tax), 2) + 0.0 from lineitem""",
+    "cast_target": "select o_orderkey, substr(o_orderpriority, 1, 1)::int as rank, o_totalprice::double as price from orders",
+    "validate_input": """with v as (select min(len(embedding)) = max(len(embedding)) as same, min(case when vec_id = 7 then 3 else len(embedding) end) = max(len(embedding)) as ragged from embeddings),
+        c as (select count(*) filter (column_name = 'price') > 0 as has from (describe embeddings))
+        select 'vectors' as input, same as fit from v union all select 'ragged', ragged from v union all select 'no target', has from c
+        union all select 'target of vectors', column_type not like '%[%' from (describe embeddings) where column_name = 'embedding'""",
     "prepare_onehot_wide": """with c as (select c_name, count(*) as n, row_number() over (order by c_name) - 1 as index from customer group by c_name),
         p as (select c_name, index, n / (select count(*) from customer) as p from c), s as (select *, sqrt(p * (1 - p)) + 1e-8 as s from p)
         select c_custkey, index, round((1 - p) / s, 6) + 0.0 as value, round((0 - p) / s, 6) + 0.0 as off from customer join s using (c_name)""",

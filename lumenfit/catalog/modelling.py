@@ -85,6 +85,12 @@ def logistic_predict(spark, sf):
     return scored.select("doc_id", rounded("p").alias("p"), "prediction")
 
 
+def logistic_score(spark, sf):
+    """Accuracy of the fitted model on its rows."""
+    docs = _docs(spark, sf)
+    return docs.agg(F.lit(_logistic(spark, sf).score(docs, "quality")).alias("accuracy")).select(rounded("accuracy").alias("accuracy"))
+
+
 def logistic_optimum(spark, sf):
     """The logistic optimum by L-BFGS, with a small penalty."""
     model = LogisticRegression(solver="lbfgs", l2=0.01, tolerance=1e-9).fit(_docs(spark, sf), "quality", ["x"])
@@ -367,6 +373,7 @@ QUERIES = {
     "linear_score": linear_score,
     "logistic_fit": logistic_fit,
     "logistic_predict": logistic_predict,
+    "logistic_score": logistic_score,
     "logistic_optimum": logistic_optimum,
     "gnb_fit": nb_fit,
     "gnb_predict": nb_predict,
@@ -408,6 +415,7 @@ ORACLES = {
         select 'bias', round(b, 6) + 0.0 from m""",
     "logistic_predict": LOGISTIC + """select doc_id, round(1 / (1 + exp(-(w * x + b))), 6) + 0.0 as p,
         (1 / (1 + exp(-(w * x + b))) >= 0.5)::int as prediction from d, m""",
+    "logistic_score": LOGISTIC + """select round(avg(((1 / (1 + exp(-(w * x + b))) >= 0.5)::int = y)::int), 6) + 0.0 as accuracy from d, m""",
     "logistic_optimum": OPTIMUM + """select 'x' as feature, round(w, 6) + 0.0 as weight from m union all
         select 'bias', round(b, 6) + 0.0 from m""",
     "gnb_fit": f"""with {CELLS} select label as class, round((select count(*) from embeddings e where e.label = c.label)

@@ -80,6 +80,20 @@ def compare_metrics(spark, sf):
     return found.withColumn("difference", rounded("difference"))
 
 
+def report_sink(spark, sf):
+    """A report written as JSON and read back: its metrics, one per row."""
+    path = f"{shared_folder(spark).rstrip('/')}/report-{uuid.uuid4().hex}.json"
+    back = report.load_report(spark, report.write_report(_two_reports(spark, sf)[0], path))
+    return back.select("best_model", F.explode("metrics").alias("metric", "value"))
+
+
+def comparison_sink(spark, sf):
+    """A comparison written as JSON and read back."""
+    path = f"{shared_folder(spark).rstrip('/')}/comparison-{uuid.uuid4().hex}.json"
+    found = compare_metrics(spark, sf)
+    return spark.read.schema(found.schema).json(compare.write_comparison(found, path))
+
+
 def compare_reports(spark, sf):
     a, b = _two_reports(spark, sf)
     found = compare.compare_reports(a, b, ("toxic", "always"))
@@ -114,6 +128,8 @@ QUERIES = {
     "leaderboard_regression": leaderboard_regression,
     "compare_metrics": compare_metrics,
     "compare_reports": compare_reports,
+    "report_sink": report_sink,
+    "comparison_sink": comparison_sink,
     "compare_leaderboards": compare_leaderboards,
 }
 
@@ -130,6 +146,8 @@ _GUESSES = """with g as (select quality as y, toxic as p, 0 as side from labels
 
 ORACLES = {
     "compare_metrics": _GUESSES + "select * from x",
+    "comparison_sink": _GUESSES + "select * from x",
+    "report_sink": _GUESSES + """select 'toxic' as best_model, metric, "left" as value from x""",
     "compare_reports": _GUESSES + """select 'toxic' as left_model, 'always' as right_model, 2.0::double as left_seconds,
         (select count(*) from x)::int as shared, winner, difference as accuracy_difference from x where metric = 'accuracy'""",
     "compare_leaderboards": """with a as (select round(avg((quality = toxic)::int), 4) t, round(avg((quality = 1 - toxic)::int), 4) c,

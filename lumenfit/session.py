@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -30,10 +31,13 @@ def local_session(cpus: int | str = 8, app: str = "lumenfit", **conf: str) -> Sp
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: the session's ``spark.checkpoint.dir``.
 
-    Where that is unset, as in tests, a folder of the session's warehouse serves: it is shared as well.
+    Where that is unset a session of one machine, as in tests, uses a folder of its warehouse; on a cluster the warehouse
+    may be a folder of one machine, so the setting is required.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     folder = folder or spark.sparkContext.getCheckpointDir()
+    if not folder and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/lumenfit-shared"
 
 

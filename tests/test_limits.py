@@ -42,11 +42,12 @@ def test_codes_have_one_type(spark, n):
     assert coded.where("code <> id").count() == 0
 
 
-@pytest.mark.parametrize("encoding", ["ordinal", "auto"])
-def test_wide_text_is_prepared(spark, encoding):
+@pytest.mark.parametrize("options", [{"encoding": "ordinal"}, {"wide": "ordinal"}])
+def test_wide_text_is_prepared(spark, options):
     df = spark.range(3000).select(F.format_string("c%05d", "id").alias("wide"), F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit("c")), (F.col("id") % 3 + 1).cast("int")).alias("narrow"), "id")
-    fitted = prepare.Preprocessor(encoding=encoding).fit(df, ["wide", "narrow"])
+    fitted = prepare.Preprocessor(**options).fit(df, ["wide", "narrow"])
     assert fitted.wide == ["wide"]
+    assert list(prepare.Preprocessor().fit(df, ["wide", "narrow"]).sparse) == ["wide"]
     row = fitted.matrix(df, ["id"]).agg(F.avg(F.col("features")[0]), F.stddev_pop(F.col("features")[0]), F.count(F.lit(1))).first()
     assert row[0] == pytest.approx(0, abs=1e-9) and row[1] == pytest.approx(1) and row[2] == 3000
 

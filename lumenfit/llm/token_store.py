@@ -176,11 +176,15 @@ def write(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "tex
     spark = docs.sparkSession
     folder = folder or f"{shared_folder(spark).rstrip('/')}/token-ids-{uuid.uuid4().hex}"
     docs = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    size, rows = docs.agg(F.sum(F.octet_length("_text")), F.count(F.lit(1))).first()
+    by_key = docs.groupBy("_key").agg(F.sum(F.octet_length("_text")).alias("_s"), F.count(F.lit(1)).alias("_n"))
+    size, rows, most = by_key.agg(F.sum("_s"), F.sum("_n"), F.max(F.coalesce("_s", F.lit(0)) + 16 * F.col("_n"))).first()
+    rows = rows or 0
     parts = max(1, -(-((size or 0) + 16 * rows) // SHARD_BYTES))
     # Equal rows may stand in any order: their number in the input only deals them to shards.
     docs = docs.withColumns({"_th": F.xxhash64(F.coalesce("_text", F.lit(""))), "_salt": F.monotonically_increasing_id() % 4096})
-    ordered = docs.repartitionByRange(parts, "_key", "_th", "_salt").sortWithinPartitions("_key", "_th", "_text").select("_key", *key_hashes("_key"), "_text")
+    # A key that fits a shard is not split, and where all do the ranges are drawn without reading texts.
+    ranges = ["_key", "_th", "_salt"] if (most or 0) > SHARD_BYTES else ["_key"]
+    ordered = docs.repartitionByRange(parts, *ranges).sortWithinPartitions("_key", "_th", "_text").select("_key", *key_hashes("_key"), "_text")
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, context = Encoder.of(tokenizer), TaskContext.get()

@@ -23,6 +23,9 @@ BROADCAST_ENTRIES = 1_000_000
 # Side of a packed tile, and inner tiles that one group multiplies.
 TILE = 256
 INNER_TILES = 64
+# Numbers in a strip of rows or columns of a product that is reduced by row, and in a piece of that product.
+SIDE_CELLS = 4_000_000
+PIECE_CELLS = 2_000_000
 
 
 @dataclass
@@ -173,6 +176,11 @@ def tiled_product(a: DataFrame, b: DataFrame, tile: int = TILE, inner_tiles: int
     """
     left = durable(_tiles(a, tile, "rows", "inner"))
     right = durable(_tiles(b, tile, "inner", "cols"))
+    return _tile_products(left, right, tile, inner_tiles)
+
+
+def _tile_products(left: DataFrame, right: DataFrame, tile: int, inner_tiles: int) -> DataFrame:
+    """The entries of the product of two tables of tiles."""
     # Which tiles meet: the directory of the other side, a row per tile.
     to_cols = right.select("inner", "cols").withColumnRenamed("inner", "_k")
     to_rows = left.select("inner", "rows").withColumnRenamed("inner", "_k")
@@ -195,9 +203,85 @@ def tiled_product(a: DataFrame, b: DataFrame, tile: int = TILE, inner_tiles: int
         return pa.table({"i": pa.array(i + first("rows") if n else i, pa.int64()), "j": pa.array(j + first("cols") if n else j, pa.int64()), "v": pa.array(total[i, j])})
 
     products = mine.groupBy(*group).cogroup(theirs.groupBy(*group)).applyInArrow(multiply, "i long, j long, v double")
+    if _inner_span(left, right, inner_tiles) <= 1:
+        return products  # every entry comes from one group
     return products.groupBy("i", "j").agg(F.sum("v").alias("v"))
 
 
+def _inner_span(left: DataFrame, right: DataFrame, size: int = 1) -> int:
+    """How many stretches of ``size`` inner tiles lie between the first and the last inner tile."""
+    part = F.floor(F.col("inner") / size)
+    low, high = left.select("inner").union(right.select("inner")).agg(F.min(part), F.max(part)).first()
+    return 0 if low is None else high - low + 1
+
+
+def product_rows(a: DataFrame, b: DataFrame, tile: int = TILE, inner_tiles: int = INNER_TILES, cells: int = SIDE_CELLS) -> DataFrame:
+    """``(i, total, most, n)``: sum, maximum and number of the entries of each row of ``A B``, as :func:`tiled_product` gives them.
+
+    The product itself is never written or shuffled: strips of rows and of columns, each of at most about ``cells`` numbers, meet in
+    one group, which multiplies them piece by piece and keeps three numbers per row. A side is sent once for each strip of the other
+    one. Where the inner side is longer than ``inner_tiles`` tiles, an entry is a sum over several groups and the entries are needed.
+    """
+    left = durable(_tiles(a, tile, "rows", "inner"))
+    right = durable(_tiles(b, tile, "inner", "cols"))
+    deep = _inner_span(left, right)
+    if deep > inner_tiles:
+        entries = _tile_products(left, right, tile, inner_tiles).where("v <> 0")
+        return entries.groupBy("i").agg(F.sum("v").alias("total"), F.max("v").alias("most"), F.count(F.lit(1)).alias("n"))
+    size = max(1, cells // (tile * tile * max(1, deep)))
+    strip = lambda c: F.floor(F.col(c) / size)
+    place = ["inner", "i", "j", "v"]
+    left = left.select(strip("rows").alias("_r"), "rows", *place)
+    right = right.select(strip("cols").alias("_c"), "cols", *place)
+    pairs = left.select("_r", "inner").distinct().join(right.select("_c", "inner").distinct(), "inner").select(F.col("_r").alias("r"), F.col("_c").alias("c")).distinct()
+    pairs = durable(pairs)
+    pairs = F.broadcast(pairs) if pairs.limit(BROADCAST_ENTRIES + 1).count() <= BROADCAST_ENTRIES else pairs
+    # the aliases give each side its own columns, which a co-grouping of related tables needs
+    own = lambda side: [F.col(c).alias(c) for c in ("r", "c", side, *place)]
+    mine = left.join(pairs, F.col("_r").eqNullSafe(F.col("r"))).select(*own("rows"))
+    theirs = right.join(pairs, F.col("_c").eqNullSafe(F.col("c"))).select(*own("cols"))
+
+    def multiply(x: pa.Table, y: pa.Table) -> pa.Table:
+        out = {"i": np.zeros(0, np.int64), "total": np.zeros(0), "most": np.zeros(0), "n": np.zeros(0, np.int64)}
+        if x.num_rows and y.num_rows:
+            (row, xk, xv), (yk, col, yv) = _entries(x, "rows", "inner", tile), _entries(y, "inner", "cols", tile)
+            inner = np.intersect1d(xk, yk)
+            rows, a_ = _strip(row, xk, xv, inner)
+            _, b_ = _strip(col, yk, yv, inner)
+            found = []
+            step = max(1, PIECE_CELLS // max(1, len(b_)))
+            for start in range(0, len(rows), step):
+                p = a_[start:start + step] @ b_.T
+                n = np.count_nonzero(p, axis=1)
+                some = n > 0
+                most = p.max(axis=1) if n.min() == p.shape[1] else np.where(p != 0, p, -np.inf).max(axis=1, initial=-np.inf)
+                found.append((rows[start:start + step][some], p.sum(axis=1)[some], most[some], n[some]))
+            out = {c: np.concatenate(v) for c, v in zip(out, zip(*found))}
+        return pa.table({"i": pa.array(out["i"], pa.int64()), "total": pa.array(out["total"]), "most": pa.array(out["most"]), "n": pa.array(out["n"], pa.int64())})
+
+    parts = mine.groupBy("r", "c").cogroup(theirs.groupBy("r", "c")).applyInArrow(multiply, "i long, total double, most double, n long")
+    return parts.groupBy("i").agg(F.sum("total").alias("total"), F.max("most").alias("most"), F.sum("n").alias("n"))
+
+
+def _entries(table: pa.Table, rows: str, cols: str, tile: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row numbers, column numbers and values of all entries of packed tiles."""
+    lists = [table.column(c).combine_chunks() for c in ("i", "j", "v")]
+    lengths = np.diff(lists[0].offsets.to_numpy())
+    i, j, v = (c.flatten().to_numpy() for c in lists)
+    first = [np.repeat(table.column(c).to_numpy() * tile, lengths) for c in (rows, cols)]
+    return first[0] + i, first[1] + j, v
+
+
+def _strip(row: np.ndarray, k: np.ndarray, v: np.ndarray, inner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The occurring rows and their dense values at the inner places that both sides have."""
+    rows, at = np.unique(row, return_inverse=True)
+    out = np.zeros((len(rows), len(inner)))
+    place = np.searchsorted(inner, k)
+    known = np.isin(k, inner)
+    out[at[known], place[known]] = v[known]
+    return rows, out
+
+
 def _tiles(a: DataFrame, tile: int, rows: str, cols: str) -> DataFrame:
     """Packed tiles ``(rows, cols, i, j, v)`` with places inside the tile; equal places are summed."""
     place = lambda c: F.pmod(F.col(c), F.lit(tile)).cast("int")

@@ -126,6 +126,24 @@ def test_tiles_against_numpy(spark):
     assert linalg.tiled_product(long(a).limit(0), long(b)).count() == 0
 
 
+@pytest.mark.parametrize("inner", [64, 1])
+def test_rows_of_a_product_without_its_entries(spark, monkeypatch, inner):
+    rng = np.random.default_rng(4)
+    a, b = rng.integers(-2, 3, size=(23, 9)).astype(float), rng.integers(-2, 3, size=(9, 17)).astype(float)
+    long = lambda m: spark.createDataFrame([(int(i), int(j), float(v)) for (i, j), v in np.ndenumerate(m) if v], "i long, j long, v double")
+    x, y = long(a), long(b)
+    x = x.union(x.where("i = 3"))  # a key that repeats adds up
+    a[3] *= 2
+    if inner > 1:  # the table of entries must not be made
+        monkeypatch.setattr(linalg, "_tile_products", None)
+    product = a @ b
+    expected = {i: (row.sum(), row[row != 0].max(), int((row != 0).sum())) for i, row in enumerate(product) if row.any()}
+    for cells in (30, 10_000):
+        found = {r.i: (r.total, r.most, r.n) for r in linalg.product_rows(x, y, tile=3, inner_tiles=inner, cells=cells).collect()}
+        assert found == expected
+    assert linalg.product_rows(x.limit(0), y).count() == 0
+
+
 def test_triangle_of_ill_conditioned_columns(spark):
     """Products of these columns lose the third one to rounding; their triangular factor does not."""
     rng = np.random.default_rng(3)

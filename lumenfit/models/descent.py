@@ -40,12 +40,13 @@ def _pack(df: DataFrame, x: Column, y: Column, fold: Column, d: int) -> tuple[Da
     ).first()
     if not n:
         raise ValueError("the table has no rows")
-    if distinct <= MERGE_SHARE * n:
+    merged, tasks = distinct <= MERGE_SHARE * n, -(-n // ROWS_PER_TASK)
+    if merged:
         rows = rows.groupBy("x", "y", "fold").agg(F.count(F.lit(1)).cast("double").alias("w"))
         n = int(1.1 * distinct)
+        tasks = max(1, -(-n // ROWS_PER_TASK))
     else:
         rows = spread(rows.withColumn("w", F.lit(1.0)), n, partitions)
-    rows = rows.coalesce(-(-n // ROWS_PER_TASK))  # never raises the number of partitions
 
     def pack(batches):
         for batch in batches:
@@ -56,7 +57,9 @@ def _pack(df: DataFrame, x: Column, y: Column, fold: Column, d: int) -> tuple[Da
                     cells[name] = batch.column(name).to_numpy(zero_copy_only=False).tobytes()
                 yield pa.record_batch({c: pa.array([v], pa.binary()) for c, v in cells.items()})
 
-    return rows.mapInArrow(pack, "x binary, y binary, w binary, fold binary"), n
+    blocks = rows.mapInArrow(pack, "x binary, y binary, w binary, fold binary")
+    # Packed blocks are dealt anew: fewer tasks further up would each hold the sorts and hash tables of many partitions.
+    return (blocks.repartition(tasks) if merged or partitions > tasks else blocks), n
 
 
 def _unpack(batches, d: int):
@@ -134,11 +137,11 @@ def _in_one_task(blocks: DataFrame, descent: _Descent) -> np.ndarray:
     layout, logistic = descent.layout, descent.logistic
 
     def train(batches):
-        held = list(_unpack(batches, layout.slots))
+        held = sorted(_unpack(batches, layout.slots), key=lambda b: tuple(c.tobytes() for c in b))
         weights = descent.run(lambda w, out: _sums(held, w, out, layout, logistic))
         yield pa.record_batch({"s": pa.array([weights.ravel().tolist()], pa.list_(pa.float64()))})
 
-    (row,) = blocks.coalesce(1).mapInArrow(train, "s array<double>").collect()
+    (row,) = blocks.repartition(1).mapInArrow(train, "s array<double>").collect()
     return np.array(row["s"]).reshape(-1, layout.features + 1)
 
 

@@ -354,6 +354,15 @@ def test_combinations():
 
 # --- solvers -----------------------------------------------------------------------------------
 
+def test_blocks_are_packed_where_their_rows_are(spark):
+    """Few rows are few blocks' tasks, but the partitions they come from are not chained in one task."""
+    rows = spark.range(640, numPartitions=16)
+    for x in (F.array(F.col("id").cast("double")), F.array(F.lit(1.0))):
+        blocks, _ = descent._pack(rows, x, F.spark_partition_id(), F.lit(0), 1)
+        labels = {y for b in blocks.collect() for y in np.frombuffer(b["y"])}
+        assert labels == set(range(16)) and blocks.rdd.getNumPartitions() == 1
+
+
 def test_lbfgs_reaches_the_optimum_of_a_long_descent(data):
     x, y, _, _, df = data
     long = LogisticRegression(0.5, 6_000).fit(df, "y", ["a", "b", "c"])

@@ -7,7 +7,8 @@ Plan, following the published pivot scheme for kNN joins (Lu et al., VLDB 2012):
    inequality they bound the k-th neighbour distance of every query of a cell, and so the shell of
    each training cell that can hold a neighbour. Training rows outside every shell are not sent.
 3. Cells are cut into hashed chunks of bounded size on both sides; each (query chunk, training
-   chunk) meets in one group, which emits k candidates per query and never the pairs.
+   chunk) meets in one group, which emits k candidates per query and never the pairs. Query cells that
+   can rule out little are put together and meet the table in a few large chunks, all folds at once.
 4. The candidates of a query are ranked by (distance, training key) and cut to k.
 
 Copies of a training vector beyond the k smallest keys (per fold) cannot be neighbours of anything
@@ -81,50 +82,210 @@ def nearest(q: np.ndarray, t: np.ndarray, k: int, metric: str, wide: tuple[int,
     return np.nonzero(rough <= limit)
 
 
+# Rows by columns of one piece of distances: whole numbers in a processor's cache, and matrix products.
+PIECES = {"manhattan": (256, 512), "euclidean": (256, 8_192)}
+# Rough distances that pass for more than this share of a piece are told apart by finer numbers.
+TOO_MANY = 0.25
+
+
+class _Shortlist:
+    """Training rows prepared for :meth:`of`, which finds all pairs that may be among a query's k nearest.
+
+    Pieces of rough distances with a known error are compared with the best bound so far of each query's k-th distance, so only
+    the first piece is ranked. Squared Euclidean distances come from one matrix product. Manhattan distances are sums of
+    ``max(q, t)``, since ``|q - t| = 2 max(q, t) - q - t``, over 16-bit numbers, or over floats where those are too coarse.
+    """
+
+    def __init__(self, t: np.ndarray, k: int, metric: str):
+        self.t, self.k, self.metric = t, k, metric
+        self.centre = t.mean(axis=0)
+        moved = t - self.centre
+        self.largest = np.abs(moved).max(initial=0.0)
+        if metric == "euclidean":
+            squares = (moved * moved).sum(axis=1)
+            self.most, self.sides = squares.max(), np.c_[moved, squares].T
+        else:
+            self.moved, self.kinds = moved, {}
+
+    def _numbers(self, rows: np.ndarray, kind) -> np.ndarray:
+        if kind is np.float32:
+            return rows.astype(kind)
+        return np.clip(np.rint(rows / self.step), -self.high, self.high).astype(kind)
+
+    def of(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        height, self.length = PIECES[self.metric]
+        found = [self._some(q[start:start + height], start) for start in range(0, len(q), height)]
+        return tuple(np.concatenate(c) for c in zip(*found))
+
+    def _some(self, q: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
+        moved = q - self.centre
+        bound, best = np.full(len(q), np.inf), np.full((len(q), self.k), np.inf)
+        kind = None
+        if self.metric == "euclidean":
+            squares = (moved * moved).sum(axis=1)
+            left, margin = np.c_[-2.0 * moved, np.ones(len(q))], 1e-9 * (squares + self.most)
+        else:
+            kind = np.int16 if np.abs(moved).max(initial=0.0) <= 2 * self.largest else np.float32
+            side = self._side(moved, kind)
+        held = [[], [], []]
+        for at in range(0, len(self.t), self.length):
+            if kind is None:
+                rough = left @ self.sides[:, at:at + self.length]
+                scale, shift, error = 1.0, squares, margin
+            else:
+                rough, scale, shift, error = self._sums(side, at, kind)
+            if at == 0:
+                kth = np.partition(rough, self.k - 1, axis=1)[:, self.k - 1] if rough.shape[1] >= self.k else np.full(len(q), np.inf)
+                bound = np.minimum(bound, kth * scale + shift + error)
+            a, b = self._passing(rough, self._limit(bound, scale, shift, error, rough.dtype))
+            if kind is np.int16 and len(a) > TOO_MANY * rough.size and rough.shape[1] > 4 * self.k:
+                kind = np.float32
+                side = self._side(moved, kind)
+                rough, scale, shift, error = self._sums(side, at, kind)
+                a, b = self._passing(rough, self._limit(bound, scale, shift, error, rough.dtype))
+            if not len(a):
+                continue
+            value = rough[a, b] * scale + shift[a]
+            error = np.broadcast_to(error, len(q))[a]
+            for c, v in zip(held, (a, b + at, value - error)):
+                c.append(v)
+            upper = value + error
+            order = np.lexsort((upper, a))
+            rank = np.arange(len(a)) - np.searchsorted(a, np.arange(len(q)))[a]  # a is sorted
+            first = rank < self.k
+            more = np.full((len(q), self.k), np.inf)
+            more[a[first], rank[first]] = upper[order][first]
+            best = np.partition(np.concatenate([best, more], axis=1), self.k - 1, axis=1)[:, :self.k]
+            bound = np.minimum(bound, best[:, -1])
+        if not held[0]:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        a, b, lower = (np.concatenate(c) for c in held)
+        keep = lower <= bound[a]
+        return a[keep] + start, b[keep]
+
+    def _side(self, moved: np.ndarray, kind):
+        """The queries' numbers and sums, once the training rows' are made."""
+        if kind not in self.kinds:
+            d = self.moved.shape[1]
+            if kind is np.int16:
+                # a sum of d terms of at most 1.5 times this size fits 16 bits; queries reach twice as far as training rows
+                self.high = max(1, 32_000 * 2 // (3 * d))
+                self.step = max(2 * self.largest / self.high, 1e-300)
+            numbers = self._numbers(self.moved, kind)
+            sums = numbers.sum(axis=1, dtype=np.int64 if kind is np.int16 else np.float64)
+            half = (sums // 2 if kind is np.int16 else sums / 2).astype(kind)
+            self.kinds[kind] = (np.ascontiguousarray(numbers.T), half)
+        numbers = self._numbers(moved, kind)
+        return numbers, numbers.sum(axis=1, dtype=np.int64 if kind is np.int16 else np.float64), np.abs(moved).sum(axis=1)
+
+    def _sums(self, side, at: int, kind):
+        """``(rough, scale, shift, error)``: a distance is ``rough * scale + shift``, give or take ``error``."""
+        numbers, sums, sizes = side
+        t, half = self.kinds[kind]
+        t, half = t[:, at:at + self.length], half[at:at + self.length]
+        out = np.repeat(-half[None, :], len(numbers), axis=0)
+        larger = np.empty_like(out)
+        for j in range(len(t)):
+            np.maximum(numbers[:, j, None], t[j][None, :], out=larger)
+            np.add(out, larger, out=out)
+        d = len(t)
+        if kind is np.int16:
+            return out, 2.0 * self.step, -self.step * sums, self.step * (1.000001 * d + 2)
+        return out, 2.0, -sums, 4 * (d + 8) * 2.0 ** -24 * (sizes + d * self.largest)
+
+    @staticmethod
+    def _passing(rough: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return np.divmod(np.flatnonzero(rough <= limit[:, None]), rough.shape[1])
+
+    @staticmethod
+    def _limit(bound, scale, shift, error, kind):
+        limit = (bound + error - shift) / scale
+        if kind == np.int16:
+            return np.clip(np.ceil(limit), -32_768, 32_767).astype(kind)
+        return np.nextafter(limit.astype(kind), np.array(np.inf, kind))
+
+
+def _search(q: np.ndarray, t: np.ndarray, place: np.ndarray, k: int, metric: str, wide: tuple[int, ...]):
+    """``(query, training, dist)`` of the k nearest of ``t`` for each row of ``q``, ties by ``place``."""
+    found = {"q": [], "t": [], "dist": []}
+    plain = not wide and k < len(t) and q.shape[1] and np.abs(t).max(initial=0.0) < 1e15 and np.abs(q).max(initial=0.0) < 1e15
+    finder = _Shortlist(t, k, metric).of if plain else None
+    # without a shortlist a step's distances are a table
+    step = 512 if plain else max(1, min(512, STEP_CELLS // max(1, len(t))))
+    for start in range(0, len(q), step):
+        _append(found, q, t, np.arange(start, min(start + step, len(q))), place, k, metric, wide, finder)
+    return tuple(np.concatenate(v) for v in found.values())
+
+
+# Distances that are worked out at once where nothing is known of them beforehand.
+STEP_CELLS = 4_000_000
+
+
 def _join_block(k: int, metric: str, d: int, exclude: bool, wide: tuple[int, ...]):
-    """The group function: k candidates per query of a chunk from one training chunk."""
+    """The group function: k candidates per query of a chunk from one training chunk. Queries with ``probed`` cells look at
+    training rows of those cells only."""
     def run(queries: pa.Table, train: pa.Table) -> pa.Table:
-        found = {"q": [], "t": [], "dist": []}
+        parts = []
         if queries.num_rows and train.num_rows:
             q, t = block(queries.column("x"), d), block(train.column("x"), d)
             place = key_places(train.column("tid"))
-            qf = queries.column("qf").to_numpy()
-            tf = train.column("tf").to_numpy()
-            for fold in np.unique(qf) if exclude else [None]:
-                mine = np.arange(len(q)) if fold is None else np.nonzero(qf == fold)[0]
-                other = np.arange(len(t)) if fold is None else np.nonzero(tf != fold)[0]
-                if not len(other):
-                    continue
-                for start in range(0, len(mine), 512):
-                    rows = mine[start : start + 512]
-                    _append(found, q, t, rows, other, place, k, metric, wide)
-        at = {c: np.concatenate(v) if v else np.array([]) for c, v in found.items()}
-        mine, theirs = at["q"].astype(np.int64), at["t"].astype(np.int64)
+            qf, tf = queries.column("qf").to_numpy(), train.column("tf").to_numpy()
+            for mine, other in _meetings(queries, train):
+                for fold in np.unique(qf[mine]) if exclude else [None]:
+                    rows = mine if fold is None else mine[qf[mine] == fold]
+                    held = other if fold is None else other[tf[other] != fold]
+                    if len(held):
+                        a, b, dist = _search(q[rows], t[held], place[held], k, metric, wide)
+                        parts.append((rows[a], held[b], dist))
+        mine, theirs, dist = (np.concatenate(c) for c in zip(*parts)) if parts else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        if "probed" in queries.column_names and len(mine):
+            # of the candidates from several cells, k
+            order = np.lexsort((place[theirs], dist, mine))
+            mine, theirs, dist = mine[order], theirs[order], dist[order]
+            keep = np.arange(len(mine)) - np.searchsorted(mine, mine) < k
+            mine, theirs, dist = mine[keep], theirs[keep], dist[keep]
         return pa.table({
-            "qid": queries.column("qid").take(pa.array(mine)),
-            "tid": train.column("tid").take(pa.array(theirs)),
-            "dist": pa.array(at["dist"].astype(float)),
-            "y": train.column("y").take(pa.array(theirs)),
+            "qid": queries.column("qid").take(pa.array(mine, pa.int64())),
+            "tid": train.column("tid").take(pa.array(theirs, pa.int64())),
+            "dist": pa.array(dist.astype(float)),
+            "y": train.column("y").take(pa.array(theirs, pa.int64())),
         })
     return run
 
 
-def _append(found, q, t, rows, other, place, k, metric, wide=()) -> None:
-    """The k nearest of ``t[other]`` for each of ``q[rows]``, ties by training key."""
-    q, t = q[rows], t[other]
-    a, b = nearest(q, t, k, metric, wide)
+def _meetings(queries: pa.Table, train: pa.Table):
+    """Rows of both sides that meet: all, or for each cell those queries that probe it."""
+    everyone = np.arange(queries.num_rows), np.arange(train.num_rows)
+    probed = queries.column("probed").combine_chunks() if "probed" in queries.column_names else None
+    if probed is None or not len(probed.flatten()):
+        yield everyone
+        return
+    asked, cells = np.repeat(everyone[0], np.diff(probed.offsets.to_numpy())), probed.flatten().to_numpy()
+    held = train.column("tcell").to_numpy()
+    by_query, by_cell = np.argsort(cells, kind="stable"), np.argsort(held, kind="stable")
+    for cell in np.unique(held):
+        left, right = np.searchsorted(cells[by_query], [cell, cell + 1])
+        if left < right:
+            first, last = np.searchsorted(held[by_cell], [cell, cell + 1])
+            yield asked[by_query[left:right]], by_cell[first:last]
+
+
+def _append(found, q, t, rows, place, k, metric, wide=(), finder=None) -> None:
+    """The k nearest of ``t`` for each of ``q[rows]``, ties by training key."""
+    q = q[rows]
+    a, b = finder(q) if finder else nearest(q, t, k, metric, wide)
     plain = dense_slots(q.shape[1], wide)
     gap = q[a] - t[b] if not wide else q[a][:, plain] - t[b][:, plain]
     dist = np.abs(gap).sum(axis=1) if metric == "manhattan" else (gap * gap).sum(axis=1)
     for j in wide:
         dist = dist + unlike(q[a, j:j + 2], t[b, j:j + 2], metric)
     dist = dist if metric == "manhattan" else np.sqrt(dist)
-    order = np.lexsort((place[other[b]], dist, a))
+    order = np.lexsort((place[b], dist, a))
     a, b, dist = a[order], b[order], dist[order]
     starts = np.searchsorted(a, np.arange(len(q)))
     keep = np.arange(len(a)) - starts[a] < k
     found["q"].append(rows[a[keep]])
-    found["t"].append(other[b[keep]])
+    found["t"].append(b[keep])
     found["dist"].append(dist[keep])
 
 
@@ -151,7 +312,7 @@ def neighbours(
         queries = _assign(queries, pivots, metric, width, wide)
         # several small aggregates and the join read the reduced training rows
         train = durable(_without_copies(_assign(train, pivots, metric, width, wide), k, exclude_fold))
-        pieces = _join_sides(queries, train, _routes(queries, train, pivots, k, metric, exclude_fold, chunk, wide))
+        pieces = _join_sides(queries, train, *_routes(queries, train, pivots, k, metric, exclude_fold, chunk, wide, width))
     else:
         train = _without_copies(train, k, exclude_fold)
         pieces = _one_cell_sides(queries, train, size, exclude_fold, chunk)
@@ -253,18 +414,33 @@ def _assign(df: DataFrame, pivots: np.ndarray, metric: str, width: int, wide: tu
     return placed.withColumns({"cell": F.col("_at")[0].cast("int"), "away": F.col("_at")[1]}).drop("_at")
 
 
-def _routes(queries, train, pivots, k, metric, exclude, chunk, wide=()) -> DataFrame:
-    """Which shell of each training cell each query cell needs, and the chunk counts."""
+def _large(rows: int, chunk: int, width: int) -> int:
+    """Rows of a chunk where every chunk meets every other: an eighth of the table, within bounds that a task can hold."""
+    return max(chunk, min(-(-rows // 8), 8 * chunk, CHUNK_CELLS // max(1, width)))
+
+
+# Numbers in such a chunk, and the share of the training rows from which on a query cell meets all of them.
+CHUNK_CELLS = 4_000_000
+EVERYONE = 0.25
+
+
+def _routes(queries, train, pivots, k, metric, exclude, chunk, wide=(), width=1) -> tuple[DataFrame, DataFrame]:
+    """Where each query cell goes ``(qcell, qfold, cell, fold, qcs, tcs)``, and which shells of the training cells go there.
+
+    Query cells that can rule out little are one group: each of them would be sent nearly the whole table.
+    """
     fold = F.col("qf") if exclude else F.lit(-1)
     asked = queries.groupBy("cell", fold.alias("fold")).agg(
         F.count(F.lit(1)).alias("n"), F.max("away").alias("radius")).collect()
     near = W.partitionBy("cell", "tf").orderBy("away")
     held = train.withColumn("_r", F.row_number().over(near)).where(F.col("_r") <= k)
     closest = held.groupBy("cell", "tf").agg(F.collect_list("away").alias("near")).collect()
-    sizes = train.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("away").alias("radius")).collect()
+    probs = [i / 10 for i in range(11)]
+    sizes = train.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("away").alias("radius"), F.percentile_approx("away", probs, 100).alias("marks")).collect()
+    total = sum(s["n"] for s in sizes)
     apart = distances(pivots, pivots, metric, wide)
     slack = 1e-9 * (1.0 + apart.max() + max(s["radius"] for s in sizes))
-    rows = []
+    places, shells, everyone = [], [], []
     for a in asked:
         cell, f = a["cell"], a["fold"]
         reach = np.concatenate([
@@ -274,16 +450,28 @@ def _routes(queries, train, pivots, k, metric, exclude, chunk, wide=()) -> DataF
         theta = np.sort(reach)[k - 1] if len(reach) >= k else np.inf
         spread = theta + a["radius"] + slack
         needed = [
-            (s["cell"], apart[cell, s["cell"]] - spread, apart[cell, s["cell"]] + spread, s["n"])
+            (s["cell"], apart[cell, s["cell"]] - spread, apart[cell, s["cell"]] + spread, s)
             for s in sizes if apart[cell, s["cell"]] - spread <= s["radius"]
         ]
+        inside = sum(s["n"] * float(np.diff(np.interp([lo, hi], s["marks"], probs))[0]) for _, lo, hi, s in needed)
+        if inside >= EVERYONE * total:
+            everyone.append(a)
+            continue
         qcs = max(1, -(-a["n"] // chunk))
-        tcs = max(1, -(-sum(n for *_, n in needed) // chunk))
-        rows += [(cell, f, c, float(lo), float(hi), qcs, tcs) for c, lo, hi, _ in needed]
-    return queries.sparkSession.createDataFrame(rows, ROUTES)
+        tcs = max(1, -(-sum(s["n"] for *_, s in needed) // chunk))
+        places.append((cell, f, cell, f, qcs, tcs))
+        shells += [(cell, f, c, float(lo), float(hi), qcs, tcs) for c, lo, hi, _ in needed]
+    if everyone:
+        asking = sum(a["n"] for a in everyone)
+        qcs, tcs = -(-asking // _large(asking, chunk, width)), -(-total // _large(total, chunk, width))
+        places += [(a["cell"], a["fold"], -1, -1, qcs, tcs) for a in everyone]
+        shells += [(-1, -1, s["cell"], -np.inf, np.inf, qcs, tcs) for s in sizes]
+    spark = queries.sparkSession
+    return spark.createDataFrame(places, PLACES), spark.createDataFrame(shells, ROUTES)
 
 
-ROUTES = "cell int, fold int, tcell int, lo double, hi double, qcs long, tcs long"
+PLACES = "qcell int, qfold int, gcell int, gfold int, qcs long, tcs long"
+ROUTES = "gcell int, gfold int, tcell int, lo double, hi double, qcs long, tcs long"
 
 
 def _one_cell_sides(queries, train, size, exclude, chunk):
@@ -305,22 +493,18 @@ def _one_cell_sides(queries, train, size, exclude, chunk):
     return left, right
 
 
-def _join_sides(queries, train, routes):
+def _join_sides(queries, train, places, shells):
     """Both sides keyed by (query cell, fold, query chunk, training chunk).
 
     The route table has at most pivots^2 * folds rows and is broadcast.
     """
-    counts = F.broadcast(routes.select("cell", "fold", "qcs", "tcs").distinct())
-    any_fold = F.col("fold") == -1
-    left = queries.join(counts.withColumnRenamed("cell", "qcell"),
-                        (F.col("cell") == F.col("qcell")) & (any_fold | (F.col("fold") == F.col("qf"))))
+    left = queries.join(F.broadcast(places), (F.col("cell") == F.col("qcell")) & ((F.col("qfold") == -1) | (F.col("qfold") == F.col("qf"))))
     # the aliases give each side its own columns, which a co-grouping of related tables needs
-    left = left.select(F.col("cell").alias("cell"), F.col("fold").alias("fold"), F.pmod(F.xxhash64("qid"), "qcs").alias("qc"), "qid", "x", "qf",
+    left = left.select(F.col("gcell").alias("cell"), F.col("gfold").alias("fold"), F.pmod(F.xxhash64("qid"), "qcs").alias("qc"), "qid", "x", "qf",
                        F.explode(F.sequence(F.lit(0).cast("long"), F.col("tcs") - 1)).alias("tc"))
-    shells = F.broadcast(routes.withColumnRenamed("cell", "qcell"))
-    right = train.join(shells, (F.col("cell") == F.col("tcell")) & F.col("away").between(F.col("lo"), F.col("hi"))
-                       & (any_fold | (F.col("fold") != F.col("tf"))))
-    right = right.select(F.col("qcell").alias("cell"), F.col("fold").alias("fold"),
+    right = train.join(F.broadcast(shells), (F.col("cell") == F.col("tcell")) & F.col("away").between(F.col("lo"), F.col("hi"))
+                       & ((F.col("gfold") == -1) | (F.col("gfold") != F.col("tf"))))
+    right = right.select(F.col("gcell").alias("cell"), F.col("gfold").alias("fold"),
                          F.explode(F.sequence(F.lit(0).cast("long"), F.col("qcs") - 1)).alias("qc"),
                          F.pmod(F.xxhash64("tid"), "tcs").alias("tc"), "tid", "x", "y", "tf")
     return left, right

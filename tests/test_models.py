@@ -305,6 +305,56 @@ def test_neighbours_with_text_keys_and_bad_input(spark):
         KNearestNeighbors(metric="cosine")
 
 
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan"])
+def test_shortlist_against_all_distances(metric):
+    """Ties, copies, an outlier that leaves few 16-bit steps, and points far from the origin."""
+    rng = np.random.default_rng(5)
+    normal = lambda n, d: rng.normal(size=(n, d))
+    cases = [(normal(300, 20), normal(2_000, 20)), (rng.integers(0, 3, (90, 3)) * 1.0, rng.integers(0, 3, (1_500, 3)) * 1.0),
+             (normal(50, 4) * 1e6, normal(1_200, 4) + 1e7), (normal(60, 5), np.r_[normal(1_300, 5), np.full((1, 5), 1e9)]), (np.ones((20, 2)), np.ones((700, 2)))]
+    for q, t in cases:
+        place = rng.permutation(len(t))
+        full = np.abs(q[:, None] - t[None]).sum(2) if metric == "manhattan" else np.sqrt(((q[:, None] - t[None]) ** 2).sum(2))
+        for k in (1, 4):
+            a, b, dist = knn._search(q, t, place, k, metric, ())
+            assert a.tolist() == np.repeat(np.arange(len(q)), k).tolist()
+            np.testing.assert_allclose(dist.reshape(-1, k), np.sort(full, axis=1)[:, :k], rtol=1e-12)
+            if len(np.unique(t, axis=0)) < 30:
+                assert b.tolist() == [j for row in full for j in np.lexsort((place, row))[:k]]
+    # pieces of whole numbers, and no table of all distances
+    assert len(knn._Shortlist(cases[0][1], 4, metric).of(cases[0][0])[0]) < 20 * len(cases[0][0])
+
+
+def test_cells_that_rule_out_nothing_meet_in_few_chunks(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(600, 30))
+    df = spark.createDataFrame([(i, [float(v) for v in r], i % 3) for i, r in enumerate(x)], "row_id long, x array<double>, qf int")
+    queries, train = df.select(F.col("row_id").alias("qid"), "x", "qf"), df.select(F.col("row_id").alias("tid"), "x", F.lit(0.0).alias("y"), F.col("qf").alias("tf"))
+    sent = []
+    sides = knn._join_sides
+    monkeypatch.setattr(knn, "_join_sides", lambda *a: sent.append(sides(*a)) or sent[-1])
+    found = knn.neighbours(queries, train, 3, width=30, exclude_fold=True, n_pivots=12, chunk=50).collect()
+    assert [side.count() for side in sent[0]] == [600 * 8, 600 * 8]  # not once for each of 36 cells and folds
+    away = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
+    away[np.arange(600)[:, None] % 3 == np.arange(600)[None] % 3] = np.inf
+    expected = {(i, j) for i, row in enumerate(away) for j in np.argsort(row)[:3]}
+    assert {(r["qid"], r["tid"]) for r in found} == expected
+
+
+def test_approximate_queries_are_sent_once_to_a_pack_of_cells(spark):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(500, 6))
+    x[:200] = x[0]  # one cell is many chunks
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "row_id long, x array<double>")
+    queries, train = df.select(F.col("row_id").alias("qid"), "x", F.lit(-1).alias("qf")), df.select(F.col("row_id").alias("tid"), "x", F.lit(0.0).alias("y"), F.lit(-1).alias("tf"))
+    rows = lambda found: {(r["qid"], r["rank"]): r["tid"] for r in found.collect()}
+    exact = rows(knn.neighbours(queries, train, 3, width=6))
+    everything = knn.approximate_neighbours(queries, train, 3, width=6, probes=100, cells=40, chunk=60)
+    assert rows(everything) == exact
+    some = rows(knn.approximate_neighbours(queries, train, 3, width=6, probes=6, cells=40, chunk=60))
+    assert len(some) == 1500 and np.mean([some[k] == exact[k] for k in exact]) > 0.5
+
+
 # --- search ---
 
 def test_direction_of_metrics(data):

@@ -342,9 +342,18 @@ def approximate_neighbours(
         raise ValueError("no training rows")
     pivots = _pivots(train, cells or max(1, min(MAX_CELLS, int(size ** 0.5))), seed)
     train = durable(_assign(train, pivots, metric, width, wide))
-    # Chunks per cell: a row per pivot.
-    sizes = {r["cell"]: -(-r["n"] // chunk) for r in train.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-    chunks = F.create_map(*[F.lit(v) for pair in sizes.items() for v in pair])
+    # Cells next to each other share a pack of bounded size, a larger cell is a pack of several chunks: a row per pivot.
+    size = train.count()
+    large = _large(size, chunk, width)
+    packs, chunks, room = {}, [], 0
+    for r in sorted(train.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()):
+        if r["n"] > room:
+            chunks.append(max(1, -(-r["n"] // large)))
+            room = large * chunks[-1]
+        packs[r["cell"]] = len(chunks) - 1
+        room -= r["n"]
+    pack_of = F.create_map(*[F.lit(v) for pair in packs.items() for v in pair])
+    chunks_of = F.array(*[F.lit(n) for n in chunks])
     take = min(probes, len(pivots))
 
     @F.arrow_udf("array<int>")
@@ -356,15 +365,21 @@ def approximate_neighbours(
             out[start : start + 4096] = np.argpartition(away, take - 1, axis=1)[:, :take]
         return list_array(out)
 
-    numbers = F.explode(F.sequence(F.lit(0), F.coalesce(F.try_element_at(chunks, F.col("cell")), F.lit(0)) - 1))
-    asked = queries.select("qid", "x", "qf", F.explode(nearest_cells("x")).alias("cell")).where(F.col("cell").isin(list(sizes)))
-    left = asked.select(F.col("cell").alias("cell"), numbers.alias("tc"), F.pmod(F.xxhash64("qid"), F.lit(max(1, -(-queries.count() // chunk)))).alias("qc"), "qid", "x", "qf")
-    parts = left.select("cell", "qc").distinct().select(F.col("cell").alias("_cell"), "qc")
-    parts = F.broadcast(parts) if parts.count() <= 1_000_000 else parts
-    right = train.join(parts, F.col("cell") == F.col("_cell")).select(
-        F.col("cell").alias("cell"), F.pmod(F.xxhash64("tid"), F.try_element_at(chunks, F.col("cell"))).cast("int").alias("tc"), F.col("qc").alias("qc"), F.col("tid").alias("tid"), F.col("x").alias("x"), F.col("y").alias("y"), F.col("tf").alias("tf"))
+    # A query goes once to each pack that has one of its cells; where all cells are probed, their names are not needed.
+    every = take == len(pivots)
+    probed = F.array().cast("array<int>") if every else nearest_cells("x")
+    asked = queries.select("qid", "x", "qf", probed.alias("probed"))
+    places = F.array(*[F.lit(i) for i in range(len(chunks))]) if every else F.array_distinct(F.filter(F.transform("probed", lambda c: F.try_element_at(pack_of, c)), lambda c: c.isNotNull()))
+    asked = asked.select("*", F.explode(places).alias("pack"))
+    qcs = max(1, -(-queries.count() // large))
+    left = asked.select("pack", F.explode(F.sequence(F.lit(0), F.get(chunks_of, F.col("pack")) - 1)).alias("tc"), F.pmod(F.xxhash64("qid"), F.lit(qcs)).cast("int").alias("qc"), "qid", "x", "qf", "probed")
+    held = train.withColumn("pack", F.try_element_at(pack_of, F.col("cell")))
+    # the aliases give each side its own columns, which a co-grouping of related tables needs
+    right = held.select(
+        F.col("pack").alias("pack"), F.pmod(F.xxhash64("tid"), F.get(chunks_of, F.col("pack"))).cast("int").alias("tc"), F.explode(F.sequence(F.lit(0), F.lit(qcs - 1))).alias("qc"),
+        F.col("tid").alias("tid"), F.col("x").alias("x"), F.col("y").alias("y"), F.col("tf").alias("tf"), F.col("cell").alias("tcell"))
     schema = (f"qid {queries.schema['qid'].dataType.simpleString()}, tid {train.schema['tid'].dataType.simpleString()}, dist double, y double")
-    group = ["cell", "tc", "qc"]
+    group = ["pack", "tc", "qc"]
     joined = left.groupBy(*group).cogroup(right.groupBy(*group)).applyInArrow(_join_block(k, metric, width, exclude_fold, wide), schema)
     best = W.partitionBy("qid").orderBy("dist", "tid")
     return joined.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)

@@ -27,6 +27,10 @@ def row_hash(keys: list[str], seed: int) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *cells))
 
 
+# Rows that one task makes of counted pieces, about.
+ROWS_PER_PIECE = 500_000
+
+
 def with_row_key(df: DataFrame, name: str = "row_id", chunk: int = 1_000_000) -> DataFrame:
     """Add a stable key to a table without one: content hash plus occurrence number.
 
@@ -34,12 +38,15 @@ def with_row_key(df: DataFrame, name: str = "row_id", chunk: int = 1_000_000) ->
     numbered; a row copied very often is numbered in chunks by many tasks.
     """
     cells = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\0")) for c in df.columns]
+    rows = df.count()
     counted = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
     pieces = counted.withColumn(
         "_start", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1,
                                        F.lit(chunk).cast("long")))
     ).withColumn("_hash", F.md5(F.concat_ws("\1", *cells)))
-    pieces = pieces.repartition("_hash", "_start")
+    # A piece is a few bytes and becomes ``chunk`` rows, so the number of tasks follows from the rows and not from the bytes.
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_PIECE))
+    pieces = pieces.repartition(tasks, "_hash", "_start")
     last = F.least(F.col("_start") + chunk, F.col("_n")) - 1
     copies = pieces.withColumn("_copy", F.explode(F.sequence(F.col("_start"), last)))
     key = F.concat_ws("#", "_hash", F.col("_copy").cast("string"))

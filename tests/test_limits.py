@@ -103,3 +103,13 @@ def test_intermediate_tables_stay_in_the_shared_folder(spark):
     with Scratch(spark) as scratch:
         durable(spark.range(3))
         assert all(p.startswith(shared_folder(spark)) for p in scratch.paths) and len(scratch.paths) == 1
+
+
+def test_copies_are_numbered_by_many_tasks(spark, monkeypatch):
+    """The pieces of a table of copies are a few bytes, which must not put all of its rows into one task."""
+    monkeypatch.setattr(split, "ROWS_PER_PIECE", 1_000)
+    df = spark.range(20_000).select((F.col("id") % 3).alias("a"), F.lit(None).cast("string").alias("b"))
+    keyed = split.with_row_key(df, chunk=100)
+    each = keyed.groupBy(F.spark_partition_id()).count().collect()
+    assert len(each) > 8 and max(r["count"] for r in each) < 5_000
+    assert keyed.select("row_id").distinct().count() == 20_000 and keyed.where("b is null").count() == 20_000

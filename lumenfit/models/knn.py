@@ -230,7 +230,9 @@ def _join_block(k: int, metric: str, d: int, exclude: bool, wide: tuple[int, ...
             q, t = block(queries.column("x"), d), block(train.column("x"), d)
             place = key_places(train.column("tid"))
             qf, tf = queries.column("qf").to_numpy(), train.column("tf").to_numpy()
-            for mine, other in _meetings(queries, train):
+            # rows without a vector are not told apart here; with folds they are an error
+            sizes = (queries.num_rows, train.num_rows) if exclude else (len(q), len(t))
+            for mine, other in _meetings(queries, train, sizes):
                 for fold in np.unique(qf[mine]) if exclude else [None]:
                     rows = mine if fold is None else mine[qf[mine] == fold]
                     held = other if fold is None else other[tf[other] != fold]
@@ -253,9 +255,9 @@ def _join_block(k: int, metric: str, d: int, exclude: bool, wide: tuple[int, ...
     return run
 
 
-def _meetings(queries: pa.Table, train: pa.Table):
+def _meetings(queries: pa.Table, train: pa.Table, sizes: tuple[int, int]):
     """Rows of both sides that meet: all, or for each cell those queries that probe it."""
-    everyone = np.arange(queries.num_rows), np.arange(train.num_rows)
+    everyone = np.arange(sizes[0]), np.arange(sizes[1])
     probed = queries.column("probed").combine_chunks() if "probed" in queries.column_names else None
     if probed is None or not len(probed.flatten()):
         yield everyone

@@ -596,7 +596,7 @@ def _summary(f: np.ndarray, v: np.ndarray, sampled: bool) -> pa.RecordBatch:
 def _unpacked(batches, d: int, trees: int):
     """The (features, buckets, labels, folds, draws) of every block."""
     for batch in batches:
-        # an Arrow batch can hold all blocks of a partition: each is viewed in place, none is copied
+        # an Arrow batch can hold all blocks of a partition: one is copied at a time
         for row in range(batch.num_rows):
             x, b, y, fold, w = (batch.column(c)[row].as_buffer() for c in ("x", "b", "y", "fold", "w"))
             yield (np.frombuffer(x).reshape(-1, d), np.frombuffer(b, np.uint16).reshape(-1, d) if b.size else None, np.frombuffer(y),

@@ -460,6 +460,29 @@ def test_no_row_per_row_and_tree(data):
     assert grower._blocks().count() <= df.rdd.getNumPartitions()
 
 
+def test_blocks_of_a_batch_are_taken_one_at_a_time():
+    """An Arrow batch can hold all blocks of a partition; copies of all of them would double what a worker holds."""
+    import pyarrow as pa
+
+    class Column:
+        def __init__(self, cells):
+            self.cells = cells
+
+        def __getitem__(self, row):
+            return self.cells[row]
+
+    class Batch:
+        num_rows = 2
+
+        def column(self, name):
+            v = {"x": np.arange(6.0), "b": np.arange(6, dtype=np.uint16), "y": np.arange(3.0), "fold": np.zeros(3, np.int32), "w": np.ones(3, np.uint8)}[name]
+            return Column(pa.array([v.tobytes(), v.tobytes() if name != "b" else b""], pa.binary()))
+
+    (x, codes, y, fold, w), (_, none, *_) = tree._unpacked([Batch()], 2, 1)
+    assert x.tolist() == [[0, 1], [2, 3], [4, 5]] and codes.tolist() == [[0, 1], [2, 3], [4, 5]] and none is None
+    assert y.tolist() == [0, 1, 2] and fold.tolist() == [0, 0, 0] and w.tolist() == [[1], [1], [1]]
+
+
 def test_approximate_neighbours_reach_their_recall(spark):
     rng = np.random.default_rng(11)
     centres = rng.normal(size=(40, 12)) * 4

@@ -55,6 +55,8 @@ PARTS = 256
 SUMS = ["s0", "s1", "s2"]
 # Small nodes are scored together in groups of about this many cells.
 CELLS_PER_TEAM = 50_000
+# Opened buckets are searched together in groups of about this many drawn rows.
+ROWS_PER_TEAM = 200_000
 # Rows of a packed block, and the number no fold has.
 ROWS_PER_BLOCK = 50_000
 NO_FOLD = -2
@@ -465,8 +467,8 @@ class _Grower:
             by = ["model", "node", "f", "parent"]
             sides = self.spark.createDataFrame([(r["model"], r["node"], r["f"], r["part"], r["left"], r["right"], float(floor(r))) for r in doubtful],
                                                "model int, node long, f int, parent long, left array<double>, right array<double>, floor double")
-            offers = self._histogram(finer, [*by, "part"]).groupBy(*by).cogroup(sides.groupBy(*by)).applyInArrow(kernel, OFFERS)
-            for r in offers.collect():
+            teams = _teams(len(doubtful), sum(r["n"] for r in doubtful))
+            for r in _in_teams(self._histogram(finer, [*by, "part"]), sides, teams, kernel).collect():
                 self._offer(best, (r["model"], r["node"]), (r["ratio"], r["f"], r["v"], r["left"], r["right"]))
         self._record(grown, best, depth)
 
@@ -477,10 +479,10 @@ class _Grower:
             while True:
                 scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
                 stored.append(scored)
-                opened, largest = self._collect(scored, best)
+                opened, largest, rows = self._collect(scored, best)
                 if not opened:
                     return
-                cells, scored = self._open(cells, scored, best, opened, largest, kernel, lambda names: self._inside(grown, blocks, active, names))
+                cells, scored = self._open(cells, scored, best, opened, largest, _teams(opened, rows), kernel, lambda names: self._inside(grown, blocks, active, names))
         finally:
             for df in stored:
                 df.unpersist()
@@ -529,20 +531,21 @@ class _Grower:
         return cells.groupBy(*keys, "cls", value.alias("value")).agg(
             F.min("v").alias("low"), F.max("v").alias("high"), *[F.sum(s).alias(s) for s in SUMS])
 
-    def _collect(self, scored: DataFrame, best: dict) -> tuple[int, float]:
-        """Keep each node's best offer; returns how many buckets stay open and the largest."""
-        opened, largest = 0, 0.0
+    def _collect(self, scored: DataFrame, best: dict) -> tuple[int, float, float]:
+        """Keep each node's best offer; returns how many buckets stay open, the largest and the rows of all."""
+        opened, largest, rows = 0, 0.0, 0.0
         summary = scored.groupBy("model", "node").agg(
             F.min(F.when(~F.col("open"), F.struct("ratio", "f", "v", "left", "right"))).alias("offer"),
-            F.count_if("open").alias("opened"), F.max(F.when(F.col("open"), F.col("n"))).alias("largest"))
+            F.count_if("open").alias("opened"), F.max(F.when(F.col("open"), F.col("n"))).alias("largest"),
+            F.sum(F.when(F.col("open"), F.col("n"))).alias("rows"))
         for r in summary.collect():
             key, offer = (r["model"], r["node"]), r["offer"]
             if offer is not None:
                 self._offer(best, key, (offer["ratio"], offer["f"], offer["v"], offer["left"], offer["right"]))
-            opened, largest = opened + r["opened"], max(largest, r["largest"] or 0.0)
-        return opened, largest
+            opened, largest, rows = opened + r["opened"], max(largest, r["largest"] or 0.0), rows + (r["rows"] or 0.0)
+        return opened, largest, rows
 
-    def _open(self, cells, scored, best, opened, largest, kernel, rows_inside):
+    def _open(self, cells, scored, best, opened, largest, teams, kernel, rows_inside):
         """The rows of the open buckets in finer parts, and those parts' offers."""
         where = ["model", "node", "f", "part"]
         floors = self._small([(m, i, b[0]) for (m, i), b in best.items()],
@@ -568,12 +571,9 @@ class _Grower:
             finer = finer.withColumns({"parent": F.col("part"), "part": F.col("part") * (2 * PARTS) + place})
             finer = finer.drop("cuts")
         counts = self._histogram(finer, ["model", "node", "f", "parent", "part"])
-        by = ["model", "node", "f", "parent"]
         sides = table.select("model", "node", "f", F.col("part").alias("parent"), "left", "right", "floor")
         sides = sides.select(*[F.col(c).alias(c) for c in sides.columns])
-        offers = counts.select(*[F.col(c).alias(c) for c in counts.columns]).groupBy(*by).cogroup(
-            sides.groupBy(*by)).applyInArrow(kernel, OFFERS)
-        return finer.drop("parent"), offers
+        return finer.drop("parent"), _in_teams(counts.select(*[F.col(c).alias(c) for c in counts.columns]), sides, teams, kernel)
 
     def _record(self, grown: Grown, best: dict, depth: int) -> None:
         for (model, i), (ratio, feature, threshold, left, right, *category) in best.items():
@@ -589,6 +589,17 @@ class _Grower:
             nodes[2 * i + 1] = self._node(depth + 1, list(right))
 
 
+def _teams(opened: int, rows: float) -> int:
+    return max(1, min(opened, int(rows // ROWS_PER_TEAM) + 1))
+
+
+def _in_teams(counts: DataFrame, sides: DataFrame, teams: int, kernel) -> DataFrame:
+    """The offers of opened buckets. There are many of them in a forest, and a group costs more than the search of a small bucket,
+    so each group has many."""
+    team = F.pmod(F.xxhash64("model", "node", "f", "parent"), F.lit(teams)).alias("team")
+    return counts.select("*", team).groupBy("team").cogroup(sides.select("*", team).groupBy("team")).applyInArrow(kernel, OFFERS)
+
+
 def _summary(f: np.ndarray, v: np.ndarray, sampled: bool) -> pa.RecordBatch:
     return pa.record_batch({"f": pa.array(f, pa.int32()), "v": pa.array(v, pa.float64(), mask=np.isnan(v)), "sampled": pa.array(np.full(len(v), sampled))})
 
@@ -734,22 +745,23 @@ def _masses(s: np.ndarray, classify: bool) -> np.ndarray:
 
 
 def _kernel(classes: int | None, cuts: list[np.ndarray] | None = None):
-    """The group function that scores a node's buckets (or the parts of one opened bucket).
+    """The group function that scores the buckets of nodes (or the parts of opened buckets).
 
     Emits the best edge and the buckets in which a better threshold may hide. ``outer`` carries
-    the statistics left and right of the opened bucket. With ``cuts`` the edges are those cuts and nothing hides.
+    the statistics left and right of each opened bucket. With ``cuts`` the edges are those cuts and nothing hides.
     """
     width = classes or 3
 
     def score(table: pa.Table, outer: pa.Table | None) -> pa.Table:
-        columns = ("model", "node", "f", "part", "low", "high", "cls", *SUMS)
+        inside = () if outer is None else ("parent",)
+        columns = ("model", "node", "f", *inside, "part", "low", "high", "cls", *SUMS)
         got = {c: table.column(c).to_numpy() for c in columns}
         cut = np.where(got["part"] == -1, got["low"], got["part"])
-        order = np.lexsort((cut, got["f"], got["node"], got["model"]))
+        order = np.lexsort((cut, *(got[c] for c in inside), got["f"], got["node"], got["model"]))
         got, cut = {c: v[order] for c, v in got.items()}, cut[order]
         # one line per (node, feature, bucket or value); classes become columns
         step = lambda *names: np.any([got[c][1:] != got[c][:-1] for c in names], axis=0)
-        new = np.r_[True, step("model", "node", "f") | (cut[1:] != cut[:-1])]
+        new = np.r_[True, step("model", "node", "f", *inside) | (cut[1:] != cut[:-1])]
         line = np.cumsum(new) - 1
         stats = np.zeros((line[-1] + 1, width))
         if classes:
@@ -759,15 +771,19 @@ def _kernel(classes: int | None, cuts: list[np.ndarray] | None = None):
         low, high = got["low"][new].copy(), got["high"][new].copy()
         np.minimum.at(low, line, got["low"])
         np.maximum.at(high, line, got["high"])
-        got = {c: got[c][new] for c in ("model", "node", "f", "part")}
+        got = {c: got[c][new] for c in ("model", "node", "f", *inside, "part")}
         if cuts is not None:
             edges = [np.append(c, np.inf) for c in cuts]
             low = high = np.array([edges[f][p] for f, p in zip(got["f"], got["part"])])
-        starts = np.nonzero(np.r_[True, step("model", "node")])[0]
+        own = ("model", "node", "f", "parent") if inside else ("model", "node")
+        starts = np.nonzero(np.r_[True, step(*own)])[0]
+        sides = {tuple(r[c] for c in own): r for r in outer.to_pylist()} if inside else {}
+        if inside and classes and np.array_equal(low, high):
+            return _inner_offers(starts, [sides[tuple(got[c][a] for c in own)] for a in starts.tolist()], got, high, stats)
         found = []
         for a, b in zip(starts, np.r_[starts[1:], len(low)]):
-            key = (got["model"][a], got["node"][a])
-            found.append(_offers(key, outer, got["f"][a:b], got["part"][a:b], low[a:b], high[a:b],
+            key = tuple(got[c][a] for c in own)
+            found.append(_offers(key, sides.get(key), got["f"][a:b], got["part"][a:b], low[a:b], high[a:b],
                                  stats[a:b], bool(classes)))
         return pa.concat_tables(found)
 
@@ -784,8 +800,7 @@ def _offers(key, outer, f, part, low, high, stats, classify) -> pa.Table:
         before, after, floor = np.zeros(width), np.zeros(width), 1.0
         whole = left[np.r_[first[1:], True]][0]
     else:
-        before, after = (np.array(outer.column(c)[0].as_py()) for c in ("left", "right"))
-        floor = outer.column("floor")[0].as_py()
+        before, after, floor = np.array(outer["left"]), np.array(outer["right"]), outer["floor"]
         whole = before + left[-1] + after
     left = left + before
     right = whole - left
@@ -816,6 +831,29 @@ def _offers(key, outer, f, part, low, high, stats, classify) -> pa.Table:
     })
 
 
+def _inner_offers(starts, sides, got, high, stats) -> pa.Table:
+    """The best edge of each of many opened buckets whose classes are counted value by value, all at once: sums of counts are exact."""
+    lines = np.arange(len(stats))
+    bucket = np.searchsorted(starts, lines, side="right") - 1
+    before, after = (np.array([r[c] for r in sides], float) for c in ("left", "right"))
+    running = stats.cumsum(axis=0)
+    left = running - (running[starts] - stats[starts])[bucket]
+    last = np.r_[starts[1:], len(stats)] - 1
+    whole = before + left[last] + after
+    left += before[bucket]
+    right = whole[bucket] - left
+    ratio = np.round((_masses(left, True) + _masses(right, True)) / _masses(whole, True)[bucket], DECIMALS)
+    ratio = np.where(right.sum(axis=1) > 0.5, ratio, np.inf)
+    least = np.minimum.reduceat(ratio, starts)
+    # lines are in the order of their values: of equal ones the first
+    rows = np.minimum.reduceat(np.where(ratio == least[bucket], lines, len(lines)), starts)[np.isfinite(least)]
+    return pa.table({
+        "model": pa.array(got["model"][rows], pa.int32()), "node": pa.array(got["node"][rows], pa.int64()), "f": pa.array(got["f"][rows], pa.int32()),
+        "part": pa.array(got["part"][rows], pa.int64()), "open": pa.array(np.zeros(len(rows), bool)), "ratio": pa.array(ratio[rows]), "v": pa.array(high[rows]),
+        "n": pa.array(stats[rows].sum(axis=1)), "left": list_array(left[rows]), "right": list_array(right[rows]),
+    })
+
+
 # --- models ------------------------------------------------------------------------------------
 
 def vote(predictions: np.ndarray, task: str) -> np.ndarray:

@@ -498,3 +498,20 @@ def test_approximate_neighbours_reach_their_recall(spark):
     m = Matrix(kfold(df, ["row_id"], 3), ("row_id",), "y")
     found = KNearestNeighbors.out_of_fold(m, [{"k": 3}, {"k": 3, "approx": True, "probes": 64}], 3).groupBy("config", "fold").agg(F.sum("prediction")).collect()
     assert {tuple(r)[1:] for r in found if r[0] == 0} == {tuple(r)[1:] for r in found if r[0] == 1}
+
+
+@pytest.mark.parametrize("task", ["classification", "regression"])
+def test_opened_buckets_share_groups(spark, monkeypatch, task):
+    """Where labels are noise every bucket is opened: a group for each would cost more than its search."""
+    asked = []
+    teams = tree._teams
+    monkeypatch.setattr(tree, "_teams", lambda opened, rows: asked.append((opened, teams(opened, rows))) or asked[-1][1])
+    monkeypatch.setattr(tree, "VALUES_PER_GROUP", 1_000)
+    rng = np.random.default_rng(3)
+    x, y = rng.integers(0, 900, (3000, 2)).astype(float), rng.integers(0, 3, 3000)
+    df = spark.createDataFrame([(float(a), float(b), int(c)) for (a, b), c in zip(x, y)], "a double, b double, y int").repartition(3)
+    model = DecisionTree(3, 2, task).fit(df, "y", ["a", "b"])
+    assert asked and max(opened for opened, _ in asked) > 50 and max(n for _, n in asked) < 5
+    expected = brute(x, y.astype(float), np.ones(len(x)), 0, 3, 2, task, range(2))
+    got = sorted((r["feature"], r["threshold"]) for r in model.to_table(spark).where("feature is not null").collect())
+    assert got == sorted(("ab"[f], v) for f, v, _ in splits(expected))

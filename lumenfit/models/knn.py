@@ -11,12 +11,16 @@ Plan, following the published pivot scheme for kNN joins (Lu et al., VLDB 2012):
    can rule out little are put together and meet the table in a few large chunks, all folds at once.
 4. The candidates of a query are ranked by (distance, training key) and cut to k.
 
+Narrow vectors go to the boxes of a tree of cuts instead of to pivots where boxes rule out most pairs: a few rows far off make a
+pivot's cell so large that it meets the whole table, but not a box.
+
 Copies of a training vector beyond the k smallest keys (per fold) cannot be neighbours of anything
 and are removed by a group limit that works before the shuffle, so copied rows cost nothing.
 """
 
 from __future__ import annotations
 
+import heapq
 from functools import partial
 
 import numpy as np
@@ -308,8 +312,11 @@ def neighbours(
     size = train.count()
     if not size:
         raise ValueError("no training rows")
+    boxes = None if n_pivots or wide or width > BOX_WIDTH or size < 2 * ROWS_PER_BOX else _boxed(queries, train, k, metric, exclude_fold, chunk, size, width, seed)
     n_pivots = n_pivots or min(MAX_PIVOTS, size // ROWS_PER_PIVOT)
-    if n_pivots > 1:
+    if boxes is not None:
+        pieces = boxes
+    elif n_pivots > 1:
         pivots = _pivots(train, n_pivots, seed)
         queries = _assign(queries, pivots, metric, width, wide)
         # several small aggregates and the join read the reduced training rows
@@ -431,6 +438,167 @@ def _assign(df: DataFrame, pivots: np.ndarray, metric: str, width: int, wide: tu
     return placed.withColumns({"cell": F.col("_at")[0].cast("int"), "away": F.col("_at")[1]}).drop("_at")
 
 
+# Rows of a box, about, and the most boxes; the rows that they are found from, and the numbers in those; the widest vectors; the share of
+# all pairs from which on boxes do not pay, and the same share among the rows that they are found from, where bounds are looser.
+ROWS_PER_BOX = 250
+MAX_BOXES = 2_048
+SAMPLED, SAMPLED_CELLS = 16_384, 1_000_000
+BOX_WIDTH = 64
+SHARE, SAMPLED_SHARE = 0.2, 0.3
+
+
+class _Boxes:
+    """A tree of cuts of single dimensions, by which every row belongs to one box.
+
+    The box that costs most, in rows and width, is cut first, so that the few rows far off are cut as finely as the many in the middle.
+    """
+
+    def __init__(self, x: np.ndarray, most: int):
+        self.axis, self.cut, self.low, self.high = [-1], [0.0], [0], [0]
+        waiting, self.count = [self._entry(x, 0)], 1
+        while waiting and self.count < most:
+            cost, at, x = heapq.heappop(waiting)
+            if not cost:
+                break
+            axis = int(np.argmax(np.ptp(x, axis=0)))
+            values = x[:, axis]
+            # between the middle of the rows and the middle of the box
+            cut = (np.median(values) + (values.min() + values.max()) / 2) / 2
+            below = values[values <= cut]
+            cut = below.max() if len(below) and below.max() < values.max() else values.min()
+            self.axis[at], self.cut[at] = axis, cut
+            for side, some in ((self.low, x[values <= cut]), (self.high, x[values > cut])):
+                side[at] = len(self.axis)
+                for column, value in ((self.axis, -1), (self.cut, 0.0), (self.low, side[at]), (self.high, side[at])):
+                    column.append(value)
+                heapq.heappush(waiting, self._entry(some, side[at]))
+            self.count += 1
+        self.axis, self.cut, self.low, self.high = (np.array(c) for c in (self.axis, self.cut, self.low, self.high))
+
+    @staticmethod
+    def _entry(x: np.ndarray, at: int) -> tuple:
+        return -len(x) * float(np.linalg.norm(np.ptp(x, axis=0))), at, x
+
+    def of(self, x: np.ndarray) -> np.ndarray:
+        at, rows = np.zeros(len(x), int), np.arange(len(x))
+        while len(rows):
+            rows = rows[self.axis[at[rows]] >= 0]
+            here = at[rows]
+            at[rows] = np.where(x[rows, self.axis[here]] <= self.cut[here], self.low[here], self.high[here])
+        return at.astype(np.int32)
+
+
+def _boxed(queries, train, k, metric, exclude, chunk, size, width, seed):
+    """Both sides of the join by boxes, or none where boxes rule out too little.
+
+    A box with k training rows (of other folds) bounds the k-th distance of every query of another by the distance of their
+    furthest corners; boxes whose nearest points are further apart than that do not meet.
+    """
+    drawn = train.select("x", row_hash(["tid"], seed).alias("h")).orderBy("h").limit(min(SAMPLED, SAMPLED_CELLS // max(1, width))).collect()
+    if any(r["x"] is None or len(r["x"]) != width or None in r["x"] for r in drawn):
+        return None
+    x = np.array([r["x"] for r in drawn], float)
+    if not width or not np.isfinite(x).all():
+        return None
+    tree = _Boxes(x, min(MAX_BOXES, size // ROWS_PER_BOX))
+    cells = tree.of(x)
+    some = [x[cells == c] for c in np.unique(cells)]
+    some = [{"cell": c, "fold": -1, "n": len(v), "ends": np.r_[v.min(axis=0), v.max(axis=0)]} for c, v in enumerate(some)]
+    if len(some) < 2 or _box_routes(some, some, k, metric, False, chunk, width, SAMPLED_SHARE) is None:
+        return None
+
+    @F.arrow_udf("int")
+    def locate(xs):
+        return pa.array(tree.of(block(xs, width)), pa.int32())
+
+    def corners(batches):
+        """Per box and fold the rows of a task, and their least and largest numbers."""
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, box, fold = block(batch.column("x"), width), batch.column("cell").to_numpy(), batch.column("fold").to_numpy(zero_copy_only=False)
+            order = np.lexsort((fold, box))
+            x, box, fold = x[order], box[order], fold[order]
+            starts = np.flatnonzero(np.r_[True, (box[1:] != box[:-1]) | (fold[1:] != fold[:-1])])
+            yield pa.record_batch({
+                "cell": pa.array(box[starts], pa.int32()), "fold": pa.array(fold[starts], pa.int32()), "n": pa.array(np.diff(np.r_[starts, len(x)]), pa.int64()),
+                "low": list_array(np.minimum.reduceat(x, starts)), "high": list_array(np.maximum.reduceat(x, starts))})
+
+    def described(df, fold):
+        found = df.select("x", "cell", F.coalesce(F.col(fold).cast("int"), F.lit(-2)).alias("fold")).mapInArrow(corners, "cell int, fold int, n long, low array<double>, high array<double>")
+        ends = [f(F.get(c, F.lit(j))) for f, c in ((F.min, "low"), (F.max, "high")) for j in range(width)]
+        return found.groupBy("cell", "fold").agg(F.sum("n").alias("n"), F.array(*ends).alias("ends")).collect()
+
+    train = _without_copies(train.withColumn("cell", locate("x")), k, exclude)
+    train, queries = durable(train), queries.withColumn("cell", locate("x"))
+    held, asked = described(train, "tf"), described(queries, "qf")
+    places = _box_routes(held, asked, k, metric, exclude, chunk, width)
+    if places is None:
+        return None
+    places, routes = (queries.sparkSession.createDataFrame(rows, schema) for rows, schema in zip(places, (BOX_PLACES, BOX_ROUTES)))
+    numbers = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    left = queries.join(F.broadcast(places), "cell").select(
+        "cell", F.lit(-1).alias("fold"), F.pmod(F.xxhash64("qid"), "qcs").alias("qc"), "qid", "x", "qf", numbers("tcs").alias("tc"))
+    right = train.join(F.broadcast(routes), F.col("cell") == F.col("tcell"))
+    # the aliases give each side its own columns, which a co-grouping of related tables needs
+    right = right.select(F.col("qcell").alias("cell"), F.lit(-1).alias("fold"), numbers("qcs").alias("qc"), F.pmod(F.xxhash64("tid"), "tcs").alias("tc"),
+                         F.col("tid").alias("tid"), F.col("x").alias("x"), F.col("y").alias("y"), F.col("tf").alias("tf"))
+    return left, right
+
+
+BOX_PLACES = "cell int, qcs long, tcs long"
+BOX_ROUTES = "qcell int, tcell int, qcs long, tcs long"
+
+
+def _box_routes(held, asked, k, metric, exclude, chunk, width, share=None):
+    """``(places, routes)`` of :func:`_boxed`; none where boxes rule out too little or hold numbers that are not finite."""
+    def joined(rows):
+        cells = sorted({r["cell"] for r in rows})
+        at = {c: i for i, c in enumerate(cells)}
+        low, high = np.full((len(cells), width), np.inf), np.full((len(cells), width), -np.inf)
+        for r in rows:
+            ends = np.array(r["ends"], float)
+            low[at[r["cell"]]] = np.minimum(low[at[r["cell"]]], ends[:width])
+            high[at[r["cell"]]] = np.maximum(high[at[r["cell"]]], ends[width:])
+        return cells, at, low, high
+
+    cells, at, low, high = joined(held)
+    mine, here, least, most = joined(asked)
+    if not all(np.isfinite(v).all() for v in (low, high, least, most)):
+        return None
+    folds = sorted({r["fold"] for r in [*held, *asked]}) if exclude else [None]
+    sizes = {f: np.zeros(len(cells)) for f in folds}
+    asking, theirs = np.zeros(len(mine)), [set() for _ in mine]
+    for r in held:
+        for f in folds:
+            sizes[f][at[r["cell"]]] += r["n"] if f is None or r["fold"] != f else 0
+    for r in asked:
+        asking[here[r["cell"]]] += r["n"]
+        theirs[here[r["cell"]]].add(r["fold"] if exclude else None)
+    total = np.zeros(len(cells))
+    for r in held:
+        total[at[r["cell"]]] += r["n"]
+    length = (lambda v: v.sum(axis=1)) if metric == "manhattan" else (lambda v: np.sqrt((v * v).sum(axis=1)))
+    slack = 1e-9 * (1.0 + float(length(np.maximum(high.max(axis=0), most.max(axis=0))[None] - np.minimum(low.min(axis=0), least.min(axis=0))[None])[0]))
+    places, routes, met = [], [], 0.0
+    for i, cell in enumerate(mine):
+        far = length(np.maximum(np.abs(high - least[i]), np.abs(most[i] - low)))
+        near = length(np.maximum(0.0, np.maximum(low - most[i], least[i] - high)))
+        order, reach = np.argsort(far), 0.0
+        for f in theirs[i]:
+            enough = np.flatnonzero(np.cumsum(sizes[f][order]) >= k)
+            reach = max(reach, far[order[enough[0]]] if len(enough) else np.inf)
+        needed = np.flatnonzero(near <= reach + slack)
+        rows = float(total[needed].sum())
+        met += asking[i] * rows
+        if met > (share or SHARE) * asking.sum() * total.sum():
+            return None
+        qcs, tcs = max(1, -(-int(asking[i]) // chunk)), max(1, -(-int(rows) // _large(int(rows), chunk, width)))
+        places.append((cell, qcs, tcs))
+        routes += [(cell, cells[j], qcs, tcs) for j in needed]
+    return places, routes
+
+
 def _large(rows: int, chunk: int, width: int) -> int:
     """Rows of a chunk where every chunk meets every other: an eighth of the table, within bounds that a task can hold."""
     return max(chunk, min(-(-rows // 8), 8 * chunk, CHUNK_CELLS // max(1, width)))

@@ -515,3 +515,31 @@ def test_opened_buckets_share_groups(spark, monkeypatch, task):
     expected = brute(x, y.astype(float), np.ones(len(x)), 0, 3, 2, task, range(2))
     got = sorted((r["feature"], r["threshold"]) for r in model.to_table(spark).where("feature is not null").collect())
     assert got == sorted(("ab"[f], v) for f, v, _ in splits(expected))
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan"])
+@pytest.mark.parametrize("exclude", [True, False])
+def test_boxes_rule_out_most_of_lines_with_long_tails(spark, monkeypatch, metric, exclude):
+    """Categories and one number far from even: few pairs of rows meet, and the neighbours are those of all pairs."""
+    monkeypatch.setattr(knn, "ROWS_PER_BOX", 30)
+    monkeypatch.setattr(knn, "CHUNK", 60)
+    rng = np.random.default_rng(8)
+    n = 3000
+    x = np.zeros((n, 5))
+    x[np.arange(n), rng.integers(0, 4, n)] = 3.0
+    x[:, 4] = np.round(rng.lognormal(0, 1.5, n), 2)
+    fold = rng.integers(0, 3, n)
+    sent, sides = [], knn._boxed
+    monkeypatch.setattr(knn, "_boxed", lambda *a: sent.append(sides(*a)) or sent[-1])
+    rows = spark.createDataFrame([(i, r.tolist(), float(i % 2), int(f)) for i, (r, f) in enumerate(zip(x, fold))], "id int, x array<double>, y double, f int")
+    queries, train = rows.select(F.col("id").alias("qid"), "x", F.col("f").alias("qf")), rows.select(F.col("id").alias("tid"), "x", "y", F.col("f").alias("tf"))
+    found = {}
+    for r in knn.neighbours(queries, train, 3, metric, width=5, exclude_fold=exclude).orderBy("qid", "rank").collect():
+        found.setdefault(r["qid"], []).append(r["tid"])
+    away = np.abs(x[:, None] - x[None]).sum(axis=2) if metric == "manhattan" else np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    if exclude:
+        away[fold[:, None] == fold[None]] = np.inf
+    assert [found[i] for i in range(n)] == np.lexsort((np.broadcast_to(np.arange(n), away.shape), away))[:, :3].tolist()
+    by = ["cell", "fold", "qc", "tc"]
+    met = sent[0][0].groupBy(*by).agg(F.count(F.lit(1)).alias("q")).join(sent[0][1].groupBy(*by).agg(F.count(F.lit(1)).alias("t")), by)
+    assert met.agg(F.sum(F.col("q") * F.col("t"))).first()[0] < 0.1 * n * n
